@@ -63,6 +63,7 @@ def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
+        batch = pa.RecordBatch.from_arrays(batch.columns, names=batch.schema.names)
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         starts = np.flatnonzero(_fresh(batch))

@@ -33,6 +33,16 @@ def test_odd_rows(odd):
     assert result(exact_dedup.exact_groups(odd.repartition(13), fan_in=2)) == want
 
 
+def test_many_batches(odd, spark):
+    """Groups that reach over the batches of a partition."""
+    want = brute([(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        assert result(exact_dedup.exact_groups(odd.repartition(3))) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_empty(none):
     assert exact_dedup.exact_groups(none).count() == 0
     assert exact_dedup.drop_exact_copies(none).columns == none.columns
