@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelens.llm import chat, exact_dedup, hmm, language_id, mixing, pieces, quality, simhash
+from tapelens.llm import chat, chunk_dedup, exact_dedup, hmm, language_id, licenses, mixing, pieces, quality, simhash
 from tapelens.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(documents(spark, sf_dir))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(documents(spark, sf_dir), MODEL)
 
@@ -60,13 +64,17 @@ def op8_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeated_passages(documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     return quality.judge(documents(spark, sf_dir), labels)
 
 
 def queries() -> dict[str, Query]:
-    every = (op1_simhash_near_dedup, op3_sentencepiece, op4_mixing, op5_language_id, op6_exact_dedup, op7_chat_format, op8_hmm_score, op10_quality_rules)
+    every = (op1_simhash_near_dedup, op2_license_scan, op3_sentencepiece, op4_mixing, op5_language_id, op6_exact_dedup, op7_chat_format, op8_hmm_score, op9_chunk_dedup, op10_quality_rules)
     return {f.__name__: f for f in every}
 
 
