@@ -11,8 +11,18 @@ from tapelens.functions.columns import null_tokens, zero_pad
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    """(path, length, modificationTime) of all files below a folder; contents are not read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "modificationTime")
+    """(path, length, modificationTime) of all files below a folder; contents are not read.
+
+    Lists on the driver with the folder's own file system, as Spark does before a scan. Spark's scans
+    leave out empty files, which an inventory must count.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found, rows = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True), []
+    while found.hasNext():
+        f = found.next()
+        rows.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    files = spark.createDataFrame(rows, "path string, length bigint, millis bigint")
+    return files.select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
 
 
 def text_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
