@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapelens.llm.common import blocks, schema_of, slim
+from tapelens.llm.common import blocks, free, schema_of, slim, small_batches
 
 ORDER = 4
 ROWS_PER_LANGUAGE = 2000
@@ -160,6 +160,7 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str =
     Rows per language are counted over all rows, and a hash picks about as many as asked for. The
     counts of strings are summed in Spark and arrive here as at most max_grams rows.
     """
+    small_batches(docs.sparkSession)
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"), F.col(id_col).alias("i"))
     counts = rows.groupBy("l").agg(F.count("*").alias("n"))
     chosen = rows.join(F.broadcast(counts), "l").where(F.pmod(F.xxhash64("i", "t"), F.lit(1 << 20)) < F.lit(rows_per_language * (1 << 20)) / F.col("n"))
@@ -180,8 +181,8 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str =
     return Tree(languages, found["g"].to_numpy().astype(np.uint64), number, found["n"].to_numpy().astype(float))
 
 
-def predict(docs: DataFrame, tree: Tree | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), carry_text: bool = False) -> DataFrame:
-    """(id, keep..., lang_pred, score) for every row, with the text if asked; reads only the text for its prediction."""
+def predict(docs: DataFrame, tree: Tree | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), carry_text: bool = False, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """(id, keep..., lang_pred, score) for every row, with the text if asked; reads only the text for its prediction. out: names for the last two."""
     shared = docs.sparkSession.sparkContext.broadcast(tree)
     names = [id_col, *keep, *[text_col] * carry_text]
 
@@ -197,7 +198,15 @@ def predict(docs: DataFrame, tree: Tree | None, id_col: str = "doc_id", text_col
                 score[some] = 1 / np.exp2(np.minimum(bits.min(1, keepdims=True) - bits, 0)).sum(1)
                 for i, b in zip(some, best.tolist(), strict=True):
                     said[i] = known.languages[b]
-            yield pa.RecordBatch.from_arrays([*[block.column(c) for c in names], pa.array(said, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*[block.column(c) for c in names], pa.array(said, pa.string()), pa.array(score)], names=[*names, *out])
 
     kept = ", ".join(schema_of(docs, c) for c in names)
-    return slim(docs, *dict.fromkeys([*names, text_col])).mapInArrow(run, f"{kept}, lang_pred string, score double")
+    return slim(docs, *dict.fromkeys([*names, text_col])).mapInArrow(run, f"{kept}, `{out[0]}` string, `{out[1]}` double")
+
+
+def drop_unknown(docs: DataFrame, tree: Tree | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that have a language, with all columns."""
+    said, score = free(docs, "lang_pred"), free(docs, "score")
+    keep = tuple(c for c in docs.columns if c not in (id_col, text_col))
+    found = predict(docs, tree, id_col, text_col, keep, carry_text=True, out=(said, score))
+    return found.where(F.col(said) != UNKNOWN).select(*docs.columns)
