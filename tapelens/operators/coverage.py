@@ -83,6 +83,17 @@ def failure_ledger(rejections: DataFrame, parse_failures: DataFrame, member_fail
     return out
 
 
+def members_of(rows: DataFrame) -> DataFrame:
+    """(date, raw_group, source_file, columns, row_count, min_time, max_time) of members read by the zip source.
+
+    A member's rows have the same header, so the first row's is taken; failed members have none.
+    """
+    good = rows.where("error IS NULL")
+    header = F.min_by(F.sort_array(F.map_keys("cells")), "row_num_in_file")
+    time = F.try_element_at("cells", F.lit("Time"))
+    return good.groupBy(F.col("trade_date").alias("date"), "raw_group", "source_file").agg(header.alias("columns"), F.count("*").alias("row_count"), F.min(time).alias("min_time"), F.max(time).alias("max_time"))
+
+
 def member_profile(members: DataFrame) -> DataFrame:
     """Per member: rows, columns, a hash of them, which table they are like, time range. members: date, raw_group, source_file, columns, row_count, min_time, max_time."""
     from tapelens.contracts import ORDERS, TRADES

@@ -8,6 +8,7 @@ from tapelens.contracts import ORDER_RULES, TRADE_RULES
 from tapelens.operators import profile as op
 from tapelens.plans.adapters import ORDER_EVENTS, TRADES, order_events, trades
 from tapelens.plans.common import rounded
+from tapelens.sources.files import listing
 
 _RULES = [r for r in ORDER_RULES if r.name != "volumepre_ge_0"]
 _FIELDS = ["SeqNum", "OrderType", "Level", "Volume", "Time"]
@@ -50,6 +51,13 @@ def times(spark, sf_dir):
     return rounded(out.drop("hour_bucket_profile"))
 
 
+def fingerprints(spark, sf_dir):
+    """Footers of the tables' files; DuckDB has no view of files, so there is no SQL."""
+    files = listing(spark, sf_dir).where("path LIKE '%.parquet'")
+    table = F.regexp_extract("path", r"/(\w+)\.parquet", 1)
+    return op.schema_fingerprints(spark, files).groupBy(table.alias("table_name"), "fingerprint").agg(F.count("*").alias("n_files"), F.first(F.size("columns")).alias("n_columns"))
+
+
 def _field(name: str) -> str:
     blank = f"count(*) FILTER (WHERE trim({name}) = '')" if name == "Time" else "0"
     return f"SELECT date, '{name}' AS field, count(*) AS row_count, count(*) - count({name}) AS null_count, CAST({blank} AS BIGINT) AS blank_count, CAST(min({name}) AS VARCHAR) AS min_value, CAST(max({name}) AS VARCHAR) AS max_value FROM ev GROUP BY date"
@@ -95,6 +103,7 @@ QUERIES = {
     ),
     "profile_time_inversions": (inversions, _lag("year") + " SELECT * FROM j"),
     "profile_two_level_lag": (lagged, f"WITH {ORDER_EVENTS} SELECT row_num_in_file, lag(Price) OVER (PARTITION BY date ORDER BY OrderId, row_num_in_file) AS prev_Price FROM ev"),
+    "profile_schema_fingerprints": (fingerprints, None),
     "profile_times": (
         times,
         _lag("date")

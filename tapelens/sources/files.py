@@ -74,3 +74,8 @@ def append_manifest(df: DataFrame, path: str) -> None:
 
 def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
+
+
+def manifest_to_parquet(spark: SparkSession, source: str, schema: str, target: str) -> None:
+    """Make a Parquet table of JSON lines."""
+    read_manifest(spark, source, schema).write.mode("overwrite").option("compression", "zstd").parquet(target)

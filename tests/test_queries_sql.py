@@ -35,13 +35,18 @@ def rows(df):
     return sorted(tuple(map(plain, r)) for r in df[sorted(df.columns)].astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.oracle_sql()))
 def test_equals_sql(spark, db, name):
     got, want = registry.queries()[name](spark, SF).toPandas(), db.sql(registry.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
 
 
+def test_fingerprints_of_the_tables(spark):
+    got = registry.queries()["profile_schema_fingerprints"](spark, SF).collect()
+    assert {r.table_name for r in got} == set(TABLES) and all(r.n_files == 1 for r in got)
+
+
 def test_entry(spark):
     import __spark_entry__
 

@@ -65,6 +65,18 @@ def test_inventory_of_members(spark, archive):
     assert [r.source_file for r in staging.unmapped_members(members, groups).collect()] == ["20250218/Index/a.csv"]
 
 
+def test_member_profiles(spark, archive):
+    profiles = coverage.member_profile(coverage.members_of(read(spark, archive)))
+    got = {r.raw_group: (r.table_hints, r.member_count, r.row_count, r.schema_count) for r in coverage.group_profile(profiles, ["raw_group"]).collect()}
+    assert got == {"OrderAdd": ("orders", 1, 2, 1), "OrderModifyDelete": ("orders", 1, 1, 1), "TradeResumes": ("trades", 1, 1, 1), "Index": ("unknown", 1, 1, 1)}
+
+
+def test_manifest_as_parquet(spark, tmp_path):
+    files.append_manifest(spark.createDataFrame([("a", 1)], "k string, n int"), str(tmp_path / "log"))
+    files.manifest_to_parquet(spark, str(tmp_path / "log"), "k string, n int", str(tmp_path / "table"))
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "table")).collect()] == [("a", 1)]
+
+
 def test_listing_and_seeds(spark, archive):
     (archive / "empty.bin").write_bytes(b"")
     total = coverage.inventory_rollup(coverage.file_inventory(files.listing(spark, str(archive)))).where("is_total").first()
