@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapelens.llm.common import schema_of
+from tapelens.llm.common import schema_of, small_batches
 
 START, END = "<|im_start|>", "<|im_end|>"
 TRAINED = "assistant"
@@ -89,6 +89,7 @@ def format_turns(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     conv, turn, start (code points of the conversation before it), rendered, loss_start and loss_end
     (in rendered; null if the turn is not trained on), attachments, and tokens they expand to.
     """
+    small_batches(messages.sparkSession)
     parts = text_parts() if parts is None else parts
     rows = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"), parts.cast(PARTS).alias("parts"))
     rows = rows.repartition("conv").sortWithinPartitions("conv", F.asc_nulls_last("turn"), "role", "parts")

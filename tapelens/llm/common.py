@@ -8,11 +8,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The characters that end a word; bytes.split() splits at exactly these.
 WHITESPACE = b" \t\n\x0b\x0c\r"
+BATCH = 4 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -56,8 +57,19 @@ def remainder(id_column: str, modulus: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of BATCH bytes, unless the session has a limit of its own.
+
+    Spark's default lets a batch grow to 64 MB, which it holds several times over for each task.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("64MB", "67108864", "67108864b"):
+        spark.conf.set(key, str(BATCH))
+
+
 def slim(docs: DataFrame, *columns: str) -> DataFrame:
     """Only these columns, so that others cannot clash with what an operator adds."""
+    small_batches(docs.sparkSession)
     return docs.select(*[docs[c] for c in columns])
 
 

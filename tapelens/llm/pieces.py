@@ -31,7 +31,7 @@ from tapelens.llm.common import blocks, schema_of, slim
 
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
-CACHED, LONGEST_CACHED = 200_000, 64
+CACHED, LONGEST_CACHED, PAIRS = 200_000, 64, 1 << 19
 #: Stands for a character outside the vocabulary in the prefix table.
 OUTSIDE = -1
 
@@ -60,7 +60,7 @@ class Encoder:
             if self.merge(piece) == [piece]:  # others never come out of merges
                 self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -74,9 +74,11 @@ class Encoder:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
     def fits(self, left: int, right: int) -> bool:
-        key = (left, right)
+        key = left << 20 | right
         known = self.compatible.get(key)
         if known is None:
+            if len(self.compatible) >= PAIRS:
+                self.compatible.clear()
             a, b = self.text[left], self.text[right]
             known = self.compatible[key] = self.merge(a + b) == [a, b]
         return known
@@ -95,7 +97,7 @@ class Encoder:
                     held = last[before] = (OUTSIDE, 1)
                 left = held[0]
                 if left != OUTSIDE:
-                    known = compatible.get((left, token))
+                    known = compatible.get(left << 20 | token)
                     if not (fits(left, token) if known is None else known):
                         continue
             last[end] = (token, length)

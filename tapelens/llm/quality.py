@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapelens.llm.common import WHITESPACE, blocks, bounded, durable, schema_of, utf8
+from tapelens.llm.common import WHITESPACE, blocks, bounded, durable, schema_of, small_batches, utf8
 
 SYMBOLS, CAPITALS = b"#*$%&|<>", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW, MIN_WORDS, MOST_REPEATED = 8, 20, 30
@@ -102,6 +102,7 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stra
             ]
             yield pa.RecordBatch.from_arrays([block.column(id_col), block.column("stratum"), *[pa.array(v, pa.int64()) for v in values]], names=[id_col, "stratum", *names])
 
+    small_batches(docs.sparkSession)
     form = f"{schema_of(docs, id_col)}, stratum string, " + ", ".join(f"{n} long" for n in names)
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum")
     return docs.select(docs[id_col], docs[text_col], stratum).mapInArrow(run, form)
