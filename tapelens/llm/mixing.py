@@ -31,7 +31,7 @@ from tapelens.llm.common import WORD, bounded, by_id, durable, free, schema_of
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
 LARGE = 0.002
-PER_BUCKET, FAN_IN = 20_000, 64
+PER_BUCKET, FAN_IN = 2_000, 64
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
