@@ -9,8 +9,8 @@ from tapelens.functions.columns import instrument_key, order_side
 from tapelens.operators.staging import require_columns
 
 BUCKETS = ("admit_now", "admit_with_explicit_caveat_only", "keep_out_for_now")
-#: Columns a policy may derive: inputs and how.
-DERIVATIONS: dict[str, tuple[list[str], Column | None]] = {"instrument_key": (["source_file"], None), "OrderSideVendor": (["Ext"], None)}
+#: What the columns that a policy may derive are made of.
+DERIVED_FROM = {"instrument_key": "source_file", "OrderSideVendor": "Ext"}
 
 
 def derived(name: str) -> Column:
@@ -35,7 +35,7 @@ def resolve(policy: list[dict], table: str, year: int, caveats: tuple[str, ...]
     in_year = lambda p: (not p.get("admit_years") or year in p["admit_years"]) and year not in (p.get("exclude_years") or ())
     used = [p["field"] for p in rows if p["bucket"] == BUCKETS[1] and p["field"] in caveats and in_year(p)]
     outputs = [p["field"] for p in rows if in_year(p) and (p["bucket"] == BUCKETS[0] or p["field"] in used)]
-    inputs = list(dict.fromkeys(x for f in outputs for x in DERIVATIONS.get(f, ([f], None))[0]))
+    inputs = list(dict.fromkeys(DERIVED_FROM.get(f, f) for f in outputs))
     variant = f"verified_{table}" + (f"__caveat_{'_'.join(sorted(used))}" if used else "")
     return {"inputs": inputs, "outputs": outputs, "excluded": [n for n in names if n not in outputs], "caveats": used, "variant": variant, "skip": bool(caveats) and not used}
 
@@ -48,7 +48,7 @@ def unlisted(df: DataFrame, policy: list[dict], table: str) -> list[str]:
 def project(stage: DataFrame, plan: dict, keys: tuple[str, ...] = ("date",)) -> DataFrame:
     """The admitted columns, derived where the policy says so."""
     require_columns(stage, [*plan["inputs"], *keys])
-    return stage.select(*keys, *[(derived(f) if f in DERIVATIONS else F.col(f)).alias(f) for f in plan["outputs"] if f not in keys])
+    return stage.select(*keys, *[(derived(f) if f in DERIVED_FROM else F.col(f)).alias(f) for f in plan["outputs"] if f not in keys])
 
 
 def write_verified(df: DataFrame, root: str, variant: str) -> None:
