@@ -94,3 +94,19 @@ def by_id(docs: DataFrame, id_col: str, ids: DataFrame, how: str) -> DataFrame:
     """The documents whose id is (left_semi) or is not (left_anti) in a durable table of ids; nulls are equal."""
     key = free(docs, "id_wanted")
     return docs.join(bounded(ids.toDF(key)), docs[id_col].eqNullSafe(F.col(key)), how)
+
+
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of the highest counts `n`, at most so many; rows of nearly equal counts stay or go together.
+
+    Counts are first summed in classes an eighth of an octave wide, a few hundred rows, to find from
+    which class on the rows are few enough, so that a driver-side top-k is not needed.
+    """
+    octave = F.floor(F.log2("n") * 8).cast("int")
+    least, total = None, 0
+    for row in counts.groupBy(octave.alias("octave")).count().orderBy(F.desc("octave")).collect():
+        total += row["count"]
+        if total > most:
+            break
+        least = row["octave"]
+    return counts.where(F.lit(False) if least is None else octave >= least)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapelens.llm.common import blocks, durable, schema_of, small_batches, utf8
+from tapelens.llm.common import blocks, durable, frequent, schema_of, small_batches, utf8
 
 STATES, STEPS, SEGMENT = 8, 5, 256
 CLASSES, FREQUENT = 8192, 1 << 17
@@ -56,22 +56,9 @@ def word_counts(docs: DataFrame, learn: Column, text_col: str = "text") -> tuple
 
 
 def frequent_words(counts: DataFrame, most: int) -> pd.DataFrame:
-    """The words of the highest counts, sorted by count and word, at most so many.
-
-    Counts are first summed in classes an eighth of an octave wide, a few hundred rows, to find from
-    which class on the words are few enough; only these words come to the driver.
-    """
-    octave = F.floor(F.log2("n") * 8).cast("int")
-    sizes = counts.groupBy(octave.alias("octave")).count().orderBy(F.desc("octave")).collect()
-    least, total = None, 0
-    for row in sizes:
-        total += row["count"]
-        if total > most:
-            break
-        least = row["octave"]
-    if least is None:
-        return pd.DataFrame({"word": [], "n": []})
-    return counts.where(octave >= least).toPandas().assign(word=lambda t: [bytes(w) for w in t["word"]]).sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
+    """The words of the highest counts, sorted by count and word, at most so many."""
+    found = frequent(counts, most).toArrow().to_pandas()
+    return found.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
 
 
 @dataclass
@@ -170,7 +157,7 @@ def step(encoded: DataFrame, model: Model, share: np.ndarray) -> Model:
     return Model(start / start.sum(), trans / trans.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, steps: int = STEPS, n_classes: int = CLASSES, frequent: int = FREQUENT) -> DataFrame:
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, steps: int = STEPS, n_classes: int = CLASSES, most_frequent: int = FREQUENT) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every document; scores are log10."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -178,7 +165,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     counts, n_texts = word_counts(rows, F.col("learn"), "t")
     n_words, n_distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     train, distinct = n_words + n_texts, n_distinct + (n_texts > 0)
-    top = frequent_words(counts, frequent)
+    top = frequent_words(counts, most_frequent)
     known = spark.sparkContext.broadcast(({w: i for i, w in enumerate(top["word"])}, top["n"].to_numpy(np.int64)))
     n_own = min(n_classes, len(top))
     other, end = n_own, n_own + 1

@@ -8,7 +8,7 @@ is exact and does not depend on other texts. The language with the shortest code
 its posterior probability with equal priors.
 
 Training fits on a bounded sample of the labelled rows: about ROWS_PER_LANGUAGE whole texts of each
-language, chosen by a hash of the id and text, and the GRAMS most frequent byte strings of them.
+language, chosen by a hash of the id and text, and the most frequent byte strings of them, at most GRAMS.
 The tree is broadcast; GRAMS bounds it.
 
 Defined results: null text, or text without a letter: `und` with score 0. Without training rows all
@@ -22,16 +22,16 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapelens.llm.common import blocks, free, schema_of, slim, small_batches
+from tapelens.llm.common import blocks, durable, free, frequent, schema_of, slim, small_batches
 
 ORDER = 4
 ROWS_PER_LANGUAGE = 2000
-GRAMS = 400_000
+GRAMS = 300_000
 UNKNOWN = "und"
 _LATIN = re.compile("[A-Za-z]")
 
@@ -173,11 +173,11 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str =
                 yield pa.RecordBatch.from_arrays([pa.array([language] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n)], names=["l", "g", "n"])
 
     strings = chosen.select("l", "t").mapInArrow(count, "l string, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n"))
-    found: pd.DataFrame = strings.orderBy(F.desc("n"), "l", "g").limit(max_grams).toPandas()
-    if found.empty:
+    found = frequent(durable(strings), max_grams).toArrow()
+    if not found.num_rows:
         return None
-    languages = sorted(found["l"].unique())
-    number = found["l"].map({x: i for i, x in enumerate(languages)}).to_numpy()
+    languages = sorted(found["l"].unique().to_pylist())
+    number = pc.index_in(found["l"], pa.array(languages)).to_numpy()
     return Tree(languages, found["g"].to_numpy().astype(np.uint64), number, found["n"].to_numpy().astype(float))
 
 

@@ -72,13 +72,13 @@ def test_documents(spark, sf):
     import zlib
 
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    got = hmm.score(docs, remainder("doc_id", 7) != 2, n_classes=50, frequent=300, steps=2).collect()
+    got = hmm.score(docs, remainder("doc_id", 7) != 2, n_classes=50, most_frequent=300, steps=2).collect()
     learn = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 != 2
     check_base([(r.doc_id, r.text) for r in docs.collect()], got, learn)
 
 
 def test_odd_rows(spark, odd, none):
-    got = hmm.score(odd, odd["doc_id"] < 5, n_classes=4, frequent=8, steps=2).collect()
+    got = hmm.score(odd, odd["doc_id"] < 5, n_classes=4, most_frequent=8, steps=2).collect()
     check_base([(r.doc_id, r.text) for r in odd.collect()], got, lambda i: i is not None and i < 5)
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
     assert hmm.score(none, none["doc_id"] < 5).count() == 0
@@ -92,7 +92,7 @@ def test_words_given_their_class_sum_to_one(spark):
     words = ["a", "b", "c", "d", "e", "f", "unseen"]
     more = [(100 + i, f"{x} {y}") for i, (x, y) in enumerate(itertools.product(words, words))]
     df = spark.createDataFrame(rows + more, "doc_id long, text string")
-    got = hmm.score(df, df["doc_id"] < 10, n_classes=2, frequent=3, steps=3)
+    got = hmm.score(df, df["doc_id"] < 10, n_classes=2, most_frequent=3, steps=3)
     assert 0 < sum(10**r.score for r in got.where("doc_id >= 100").collect()) <= 1
 
 
