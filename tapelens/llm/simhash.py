@@ -224,13 +224,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(id_col, "fp", F.when(F.col("group_fp").isNull(), F.col(id_col)).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def with_fingerprint(docs: DataFrame, name: str, text_col: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
+    """The documents with all columns, and their fingerprints in a column of this name."""
+    names = [*docs.columns, name]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text_col, 1 << 20):
+            fps = [simhash(h, np.array([len(h)])) for h in (np.array(shingle_hashes(t, words, seed), np.uint64) for t in utf8(block, text_col))]
+            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(np.concatenate(fps).view(np.int64))], names=names)
+
+    return slim(docs, *docs.columns).mapInArrow(run, ", ".join([*(schema_of(docs, c) for c in docs.columns), f"`{name}` long"]))
+
+
+def keepers(distinct: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, node): the row that stays of each component. Smallest id first, null ids last, then the smallest node.
+
+    distinct: (node, no_id, id), one row a node with its first id; roots: (node, root) of linked nodes but the roots.
+    """
+    linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    named = durable(distinct.join(linked, "node"))
+    best = named.groupBy("root").agg(F.min(F.struct("no_id", "id", "node")).alias("best"))
+    lost = named.select("node").join(best.select(F.col("best.node").alias("node")), "node", "left_anti")
+    return distinct.join(lost, "node", "left_anti").select("id", "node")
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, that with the smallest id, with all columns; of rows that repeat it, one."""
-    found = near_duplicates(docs, id_col, text_col)
-    per_id = found.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("n_rows"), F.bool_and(F.col(id_col).eqNullSafe(F.col("component_id"))).alias("stays"))
-    out = durable(per_id.where("not stays or n_rows > 1"))
+    """One document of each component, that with the smallest id, with all columns; of rows that repeat it, one.
+
+    Judged by (id, fingerprint): rows that share an id, or have none, each go by their own component.
+    """
+    rows = durable(fingerprints(docs, id_col, text_col)).select(F.col(id_col).alias("id"), F.col("fp").alias("node"))
+    distinct = durable(rows.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first")).select("node", "first.*"))
+    roots = components(links(distinct.select(F.col("node").alias("fp")), distinct.count()))
+    kept = durable(keepers(distinct, roots))
+    counted = rows.select("id", F.lit(0).alias("kept")).unionByName(kept.select("id", F.lit(1).alias("kept")))
+    per_id = counted.groupBy("id").agg(F.sum(1 - F.col("kept")).alias("n_rows"), F.sum("kept").alias("n_kept"))
+    out = durable(per_id.where("n_kept = 0 or n_rows > 1"))
     plain = by_id(docs, id_col, out.select("id"), "left_anti")
-    again = by_id(docs, id_col, durable(out.where("stays").select("id")), "left_semi")
-    place = free(docs, "own_place")
-    again = again.withColumn(place, F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())))
-    return plain.unionByName(again.where(F.col(place) == 1).drop(place))
+    # Rows of repeated and null ids take a way of their own.
+    place, node, kept_id, kept_node = (free(docs, x) for x in ("own_place", "own_node", "id_kept", "node_kept"))
+    again = with_fingerprint(by_id(docs, id_col, durable(out.where("n_kept > 0").select("id")), "left_semi"), node, text_col)
+    again = again.join(kept.toDF(kept_id, kept_node), again[id_col].eqNullSafe(F.col(kept_id)) & (F.col(node) == F.col(kept_node)), "left_semi")
+    again = again.withColumn(place, F.row_number().over(Window.partitionBy(id_col, node).orderBy(F.col(text_col).asc_nulls_last())))
+    return plain.unionByName(again.where(F.col(place) == 1).drop(place, node))

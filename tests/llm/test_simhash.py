@@ -86,3 +86,12 @@ def test_drop(odd, none):
     found = {r.component_id for r in simhash.near_duplicates(odd).collect()}
     assert len(rows) > left.count() and sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted(x for x in found if x is not None)
     assert simhash.near_duplicates(none).count() == 0 and simhash.drop_near_copies(none).count() == 0
+
+
+def test_drop_judges_rows_not_ids(spark):
+    """Rows without an id, and rows that share one, go by their own texts."""
+    words = lambda tag: " ".join(f"{tag}{i}" for i in range(40))
+    rows = [(1, words("a")), (None, words("a")), (None, words("b")), (None, words("c")), (None, words("c")), (None, None), (3, ""), (4, words("d")), (4, words("a")), (4, words("e")), (5, words("e")), (5, words("f"))]
+    left = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(1, words("a")), (None, words("b")), (None, words("c")), (3, ""), (4, words("d")), (4, words("e")), (5, words("f"))]
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(want, key=repr)
