@@ -10,6 +10,12 @@ over tasks by a parity code of the variant, which spreads the variants of any cl
 a task the same code bounds how many variants exist at once. Each meeting returns a spanning forest,
 not pairs, and min-label contraction over the forests gives components.
 
+The pipeline's stage has a rule of its own: texts whose sets of five-word shingles have a Jaccard
+similarity of SIMILAR or more are near copies. Such pairs differ in about ten of 64 bits, too many
+for a ball of 64. The stage therefore meets by four fingerprints of 32 bits each, of which a pair
+must agree to four bits in one only, screens what meets by all 128 bits, and verifies each
+candidate by its shingles. Meetings return minimum spanning forests of true pairs by distance.
+
 Defined results: a text without words (or null) has fingerprint zero and links like any other.
 Repeated rows each get their row. A null id never names a component unless all its members are null.
 An empty table gives an empty result. Other columns are not read.
@@ -33,6 +39,8 @@ BITS, RADIUS = 64, 4
 HALF = RADIUS // 2
 #: Fingerprints to a prefix, and variants held at once in a task.
 PER_PREFIX, HELD = 1024, 3_000_000
+#: The stage: words to a shingle, least similarity, fingerprints of 32 bits, bits that may differ in all four, fingerprints to a prefix.
+STAGE_WORDS, SIMILAR, TABLES, SCREEN, STAGE_PER_PREFIX = 5, 0.8, 4, 36, 65536
 
 
 def shingle_hashes(text: bytes, words_per_shingle: int, seed: int) -> list[int]:
@@ -99,9 +107,9 @@ def _syndrome(values: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _patterns(prefix: int, most: int, parity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Masks that flip at most `most` bits below the prefix, ordered by the low `parity` bits of their syndrome; where each syndrome starts."""
-    masks = np.array([m for m, _ in _flips(range(BITS - prefix), most)], np.uint64)
+def _patterns(prefix: int, most: int, parity: int, lowest: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Masks that flip at most `most` bits below the prefix, from the bit `lowest` on, ordered by the low `parity` bits of their syndrome; where each syndrome starts."""
+    masks = np.array([m for m, _ in _flips(range(lowest, BITS - prefix), most)], np.uint64)
     low = (_syndrome(masks) & np.uint64((1 << parity) - 1)).astype(np.int64)
     order = np.argsort(low, kind="stable")
     return masks[order], np.searchsorted(low[order], np.arange((1 << parity) + 1))
@@ -224,16 +232,143 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(id_col, "fp", F.when(F.col("group_fp").isNull(), F.col(id_col)).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def with_fingerprint(docs: DataFrame, name: str, text_col: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
-    """The documents with all columns, and their fingerprints in a column of this name."""
-    names = [*docs.columns, name]
+def _mix(h: np.ndarray) -> np.ndarray:
+    """Further hash bits of shingles (the finalizer of splitmix64)."""
+    h = h + np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return h ^ h >> np.uint64(31)
+
+
+def shingle_sets(docs: DataFrame, carry: list[str], text_col: str = "text", names: tuple[str, ...] = ("node", "a", "b", "shingles")) -> DataFrame:
+    """The columns to carry, the hash of each text's shingle set, its four fingerprints in two longs, and the set's sorted hashes.
+
+    names: which of the four to make, by place, and what they are called.
+    """
+    kinds = ["long", "long", "long", "binary"][: len(names)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text_col, 1 << 20):
-            fps = [simhash(h, np.array([len(h)])) for h in (np.array(shingle_hashes(t, words, seed), np.uint64) for t in utf8(block, text_col))]
-            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(np.concatenate(fps).view(np.int64))], names=names)
+            sets = [np.unique(np.array(shingle_hashes(t, STAGE_WORDS, 42), np.uint64)) for t in utf8(block, text_col)]
+            made = [pa.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], pa.uint64()).view(pa.int64())]
+            if len(names) > 1:
+                hashes, ends = np.concatenate(sets), np.cumsum([len(x) for x in sets])
+                made += [pa.array(simhash(h, ends).view(np.int64)) for h in (hashes, _mix(hashes))]
+                made.append(pa.array([x.tobytes() for x in sets], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in carry), *made], names=[*carry, *names])
+
+    kept = [schema_of(docs, c) for c in carry]
+    return slim(docs, *dict.fromkeys([*carry, text_col])).mapInArrow(run, ", ".join([*kept, *(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True))]))
+
+
+def _forest(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Places of the edges in a minimum spanning forest of n nodes; ties go to the smaller ends."""
+    order = np.lexsort((b, a, weight))
+    a, b = a[order], b[order]
+    root, chosen, open_ = np.arange(n), np.zeros(0, np.int64), np.arange(len(a))
+    while True:
+        open_ = open_[root[a[open_]] != root[b[open_]]]
+        if not len(open_):
+            return order[chosen]
+        best = np.full(n, len(a))
+        np.minimum.at(best, root[a[open_]], open_)
+        np.minimum.at(best, root[b[open_]], open_)
+        chosen = np.union1d(chosen, best[best < len(a)])
+        root = _roots(n, a[chosen], b[chosen])
+
+
+def meet_sets(node: np.ndarray, prints: np.ndarray, table: int, under: int, prefix: int, parity: int, part: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of nodes by the variants of the one fingerprint that they have in one place. prints: both longs of each node."""
+    fps = prints[:, table // 2] << np.uint64(32 * (table % 2)) & np.uint64(0xFFFFFFFF00000000)
+    low, half = np.uint64(BITS - prefix), np.uint64(32)
+    left = HALF - np.bitwise_count(fps >> low ^ np.uint64(under)).astype(np.int64)
+    home = np.uint64(under) << low | (fps & np.uint64((1 << (BITS - prefix)) - 1)) >> half << half
+    inner = min(16, max(parity, math.ceil(math.log2(max(1, len(fps) * len(_flips(range(32, BITS - prefix), HALF)) / HELD)))))
+    own = (_syndrome(home) & np.uint64((1 << inner) - 1)).astype(np.int64)
+    nodes, at = np.unique(node, return_inverse=True)
+    print_of = np.zeros((len(nodes), 2), np.uint64)
+    print_of[at] = prints
+    u, v, w = (np.zeros(0, np.int64) for _ in range(3))
+    for high in range(1 << (inner - parity)):
+        values, owners = [], []
+        for budget in range(HALF + 1):
+            masks, starts = _patterns(prefix, budget, inner, 32)
+            rows = np.flatnonzero(left == budget)
+            syndromes = own[rows] ^ (high << parity | part)
+            counts = starts[syndromes + 1] - starts[syndromes]
+            ends = np.cumsum(counts)
+            if len(rows) and ends[-1]:
+                step = np.arange(ends[-1]) - np.repeat(ends - counts, counts) + np.repeat(starts[syndromes], counts)
+                values.append(np.repeat(home[rows], counts) ^ masks[step])
+                owners.append(np.repeat(at[rows], counts))
+        if not values:
+            continue
+        value, owner = np.concatenate(values), np.concatenate(owners)
+        order = np.argsort(value)
+        value, owner = value[order], owner[order]
+        pairs = []
+        for k in (1, 2, 3):  # a stranger or two may stand between the two of a pair
+            same = np.flatnonzero(value[k:] == value[:-k])
+            x, y = np.minimum(owner[same], owner[same + k]), np.maximum(owner[same], owner[same + k])
+            true = (x != y) & (np.bitwise_count(print_of[x] ^ print_of[y]).sum(1) <= SCREEN)
+            pairs.append(np.unique(x[true] * len(nodes) + y[true]))
+        found = np.unique(np.concatenate([u * len(nodes) + v, *pairs]))
+        u, v = found // len(nodes), found % len(nodes)
+        w = np.bitwise_count(print_of[u] ^ print_of[v]).sum(1)
+        tree = _forest(len(nodes), u, v, w)
+        u, v = u[tree], v[tree]
+    return nodes[u], nodes[v]
+
+
+def candidates(distinct: DataFrame, n: int) -> DataFrame:
+    """(u, v): pairs of nodes that meet in one of the four fingerprints at least.
+
+    distinct: (node, a, b), n of them.
+    """
+    prefix = min(12, max(4, math.ceil(math.log2(max(1, n / STAGE_PER_PREFIX)))))
+    masks = [m << (BITS - prefix) for m, _ in _flips(range(prefix), HALF)]
+    signed = [m - (1 << BITS) if m >= 1 << (BITS - 1) else m for m in masks]
+    quarter = [F.shiftrightunsigned(c, 32) if upper else F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) for c in ("a", "b") for upper in (True, False)]
+    words = [F.struct(F.lit(t).cast("long").alias("t"), F.shiftrightunsigned(F.shiftleft(quarter[t], 32).bitwiseXOR(F.lit(m).cast("long")), BITS - prefix).alias("prefix")) for t in range(TABLES) for m in signed]
+    sent = distinct.select("node", "a", "b", F.explode(F.array(*words)).alias("word"))
+    sent = sent.select("node", "a", "b", F.shiftleft("word.t", 16).bitwiseOR(F.col("word.prefix")).alias("prefix"))
+    heavy = sent.groupBy("prefix").count().where(F.col("count") > 64 * STAGE_PER_PREFIX)
+    heavy = heavy.select("prefix", F.least(F.lit(10), F.ceil(F.log2(F.col("count") / (32 * STAGE_PER_PREFIX)))).cast("int").alias("parity"))
+    dealt = sent.join(F.broadcast(heavy), "prefix", "left").withColumn("parity", F.coalesce("parity", F.lit(0)))
+    dealt = dealt.select("node", "a", "b", F.explode(F.expr("transform(sequence(0, shiftleft(1, parity) - 1), part -> shiftleft(prefix, 32) + shiftleft(parity, 16) + part)")).alias("place"))
+
+    def run(table: pa.Table) -> pa.Table:
+        place = table.column("place")[0].as_py()
+        prints = np.stack([table.column(c).to_numpy().view(np.uint64) for c in ("a", "b")], 1)
+        u, v = meet_sets(table.column("node").to_numpy(), prints, place >> 48, place >> 32 & 0xFFFF, prefix, place >> 16 & 0xFFFF, place & 0xFFFF)
+        return pa.table({"u": u, "v": v})
+
+    return dealt.groupBy("place").applyInArrow(run, "u long, v long").distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """The pairs (u, v) whose shingle sets have at least this Jaccard similarity. sets: (node, shingles), one row a node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column("su"), batch.column("sv"), strict=True):
+                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= similar * (len(x) + len(y) - both) - 1e-9)
+            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u")
+    joined = joined.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v").select("u", "v", "su", "sv")
+    return joined.mapInArrow(run, "u long, v long")
+
 
-    return slim(docs, *docs.columns).mapInArrow(run, ", ".join([*(schema_of(docs, c) for c in docs.columns), f"`{name}` long"]))
+def similar_roots(rows: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(node, root) of nodes that verified pairs link."""
+    pairs = durable(candidates(distinct.select("node", "a", "b"), distinct.count()))
+    wanted = durable(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    sets = durable(rows.join(wanted, "node", "left_semi").select("node", "shingles").dropDuplicates(["node"]))
+    return components(verified(pairs, sets))
 
 
 def keepers(distinct: DataFrame, roots: DataFrame) -> DataFrame:
@@ -251,11 +386,11 @@ def keepers(distinct: DataFrame, roots: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, that with the smallest id, with all columns; of rows that repeat it, one.
 
-    Judged by (id, fingerprint): rows that share an id, or have none, each go by their own component.
+    Judged by (id, shingle set): rows that share an id, or have none, each go by their own component.
     """
-    rows = durable(fingerprints(docs, id_col, text_col)).select(F.col(id_col).alias("id"), F.col("fp").alias("node"))
-    distinct = durable(rows.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first")).select("node", "first.*"))
-    roots = components(links(distinct.select(F.col("node").alias("fp")), distinct.count()))
+    rows = durable(shingle_sets(docs, [id_col], text_col)).withColumnRenamed(id_col, "id")
+    distinct = durable(rows.groupBy("node", "a", "b").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first")).select("node", "a", "b", "first.*"))
+    roots = similar_roots(rows, distinct)
     kept = durable(keepers(distinct, roots))
     counted = rows.select("id", F.lit(0).alias("kept")).unionByName(kept.select("id", F.lit(1).alias("kept")))
     per_id = counted.groupBy("id").agg(F.sum(1 - F.col("kept")).alias("n_rows"), F.sum("kept").alias("n_kept"))
@@ -263,7 +398,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     plain = by_id(docs, id_col, out.select("id"), "left_anti")
     # Rows of repeated and null ids take a way of their own.
     place, node, kept_id, kept_node = (free(docs, x) for x in ("own_place", "own_node", "id_kept", "node_kept"))
-    again = with_fingerprint(by_id(docs, id_col, durable(out.where("n_kept > 0").select("id")), "left_semi"), node, text_col)
+    again = shingle_sets(by_id(docs, id_col, durable(out.where("n_kept > 0").select("id")), "left_semi"), docs.columns, text_col, (node,))
     again = again.join(kept.toDF(kept_id, kept_node), again[id_col].eqNullSafe(F.col(kept_id)) & (F.col(node) == F.col(kept_node)), "left_semi")
     again = again.withColumn(place, F.row_number().over(Window.partitionBy(id_col, node).orderBy(F.col(text_col).asc_nulls_last())))
     return plain.unionByName(again.where(F.col(place) == 1).drop(place, node))

@@ -95,3 +95,32 @@ def test_drop_judges_rows_not_ids(spark):
     left = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
     want = [(1, words("a")), (None, words("b")), (None, words("c")), (3, ""), (4, words("d")), (4, words("e")), (5, words("f"))]
     assert sorted(map(tuple, left.collect()), key=repr) == sorted(want, key=repr)
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_stage_recall_of_similar_texts(spark):
+    """Pairs of five-word similarity 0.8 to 0.95 go in the pipeline's stage, unlike ones all stay."""
+    draw, texts, pairs = random.Random(8), [], []
+    while len(pairs) < 300:
+        words = [f"w{draw.randrange(5000)}" for _ in range(draw.randint(60, 400))]
+        other = [w if draw.random() > 0.02 else "other" + w for w in words]
+        x, y = shingles(" ".join(words)), shingles(" ".join(other))
+        alike = len(x & y) / len(x | y)
+        if 0.8 <= alike <= 0.95 or 0.55 < alike < 0.79:
+            pairs.append((len(texts), len(texts) + 1, alike))
+            texts += [" ".join(words), " ".join(other)]
+    left = {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    alike = [v not in left for _, v, j in pairs if j >= 0.8]
+    assert len(alike) > 100 and sum(alike) / len(alike) > 0.9
+    assert all(u in left for u, _, _ in pairs) and all(v in left for _, v, j in pairs if j < 0.79) and any(j < 0.79 for *_, j in pairs)
+
+
+def test_stage_follows_a_large_cluster(spark):
+    """Many copies of one text, each with a changed word: one stays; a text that shares half of it stays, too."""
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*words[:i], "new", *words[i + 1 :]])) for i in range(200)] + [(500, " ".join(words[:100] + [f"v{i}" for i in range(100)]))]
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [0, 500]
