@@ -15,21 +15,31 @@ from pyspark.sql import functions as F
 WHITESPACE = b" \t\n\x0b\x0c\r"
 BATCH = 4 << 20
 WORD = r"[^\x20\x09-\x0D]+"
+#: A key is hot with more than a SHARE-th of the rows, and LEAST_HOT at least.
+SHARE, LEAST_HOT = 1_000, 1_000
 
 
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the session's shared folder.
 
-    Only a session without spark.checkpoint.dir (a test) gets a folder made here.
+    Only a local session without spark.checkpoint.dir (a test) gets a folder made here. Spark deletes a checkpoint
+    once its DataFrame is gone where spark.cleaner.referenceTracking.cleanCheckpoints is true.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a new local one in a local session that names none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder or tempfile.mkdtemp(prefix="spark-shared-")
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -60,7 +70,8 @@ def remainder(id_column: str, modulus: int) -> Column:
 def small_batches(spark: SparkSession) -> None:
     """Hand texts to Python in batches of BATCH bytes, unless the session has a limit of its own.
 
-    Spark's default lets a batch grow to 64 MB, which it holds several times over for each task.
+    Spark's default lets a batch grow to 64 MB, which it holds several times over for each task. The setting is read
+    when a plan runs, after an operator has returned it, so it stays for the session.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) in ("64MB", "67108864", "67108864b"):
@@ -83,6 +94,19 @@ def bounded(table: DataFrame, rows: int = 500_000) -> DataFrame:
     return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
 
 
+def lookup(rows: DataFrame, table: DataFrame, on: list[str], n_col: str, total: int, how: str = "inner") -> DataFrame:
+    """Join rows with a table of one row a key (inner or left), whose n_col says how many of the `total` rows have the key.
+
+    Keys of more than a SHARE-th of the rows would each fill a task. There are fewer than SHARE of them, so their part
+    of the table is broadcast and their rows stay where they are; the other rows are shuffled. Keys are not null.
+    n_col is left out. Both sides are read twice, so they should be durable.
+    """
+    hot = F.col(n_col) > max(LEAST_HOT, total // SHARE)
+    few = table.where(hot).drop(n_col)
+    rest = rows.join(F.broadcast(few.select(*on)), on, "left_anti")
+    return rows.join(F.broadcast(few), on).unionByName(rest.join(table.where(~hot).drop(n_col), on, how))
+
+
 def free(df: DataFrame, name: str) -> str:
     """`name`, with underscores before it until no column is called so."""
     while name in df.columns:

@@ -87,8 +87,9 @@ def oracle_sql() -> dict[str, str]:
             WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars, sha256({_BARE}) AS text_sha256 FROM documents),
             g AS (SELECT doc_id, text_sha256,
                          first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id) AS keep_id,
-                         count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
-            SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+                         count(*) OVER (PARTITION BY text_sha256) AS group_size,
+                         row_number() OVER (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id) AS place FROM d)
+            SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g""",
         "op7_chat_format": rf"""
             WITH c AS (
                 SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
