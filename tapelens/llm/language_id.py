@@ -7,13 +7,20 @@ asked, down to a uniform 1/256. The statistics are frozen after training, so a t
 is exact and does not depend on other texts. The language with the shortest code wins; the score is
 its posterior probability with equal priors.
 
-Training fits on a bounded sample of the labelled rows: about ROWS_PER_LANGUAGE whole texts of each
-language, chosen by a hash of the id and text, and the most frequent byte strings of them, at most GRAMS.
-The tree is broadcast; GRAMS bounds it.
-
-Defined results: null text, or text without a letter: `und` with score 0. Without training rows all
-texts are `und`. Ties go to the language that sorts first. Null languages teach nothing. Repeated
-rows each get their row. Other columns are not read.
+Training fits on a bounded sample of the labelled rows: whole texts of each language, chosen by a
+hash of the id and text, in number about ROWS_PER_LANGUAGE at most and in size about TRAIN_BYTES
+divided by the number of languages. A language below both bounds is learned from all its texts, and
+no statistics of the sample are dropped. The tree holds only what each language has seen, sorted by
+string with the languages beside it, so its size follows the sample, not strings times languages.
+
+A text is rejected (fits is false) if every learned language codes it in over MARGIN bits more than its
+bytes cost by themselves, under the shares that bytes have over all languages together: knowing a
+language then misleads rather than helps to predict it.
+
+Defined results: null text, or text without a letter: `und` with score 0, and it does not fit.
+Without training rows all texts are `und`, and those with a letter fit, as nothing is known against
+them. Ties go to the language that sorts first. Null languages teach nothing. Repeated rows each get
+their row. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,16 +30,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapelens.llm.common import blocks, durable, free, frequent, schema_of, slim, small_batches
+from tapelens.llm.common import blocks, free, schema_of, slim, small_batches
 
 ORDER = 4
-ROWS_PER_LANGUAGE = 2000
-GRAMS = 300_000
+ROWS_PER_LANGUAGE, TRAIN_BYTES = 2000, 32 << 20
 UNKNOWN = "und"
+#: Bits by which the languages' codes must be longer than that of the bytes alone; a text of a few letters pays as much to begin.
+MARGIN = 32
+#: Bytes whose strings are made at once (2**20 at most), and entries of (string, language) looked at once.
+PIECE, HELD = 1 << 20, 1 << 23
 _LATIN = re.compile("[A-Za-z]")
 
 
@@ -40,149 +49,147 @@ def has_letter(text: str) -> bool:
     return bool(_LATIN.search(text)) or any(map(str.isalpha, text))
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """ORDER context bytes and the byte after them as one number, for each byte of the texts; the texts' ends. Newlines stand before a text."""
+def pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """ORDER context bytes and the byte after them as one number, for each byte of the texts, PIECE at a time; the texts they are of.
+
+    Newlines stand before a text.
+    """
     raw = [b"\n" * ORDER + t.lower().encode("utf-8", "replace") for t in texts]
-    line = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
-    out = np.zeros(max(0, len(line) - ORDER), np.uint64)
-    for k in range(ORDER + 1):
-        out = out << np.uint64(8) | line[k : k + len(out)]
-    lengths = np.array([len(r) for r in raw])
-    starts = np.cumsum(lengths) - lengths
-    inside = np.ones(len(out), bool)  # not the strings that reach from one text into the next
-    for k in range(ORDER):
-        at = starts[1:] - ORDER + k
-        inside[at] = False
-    return out[inside], np.cumsum(lengths - ORDER)
+    line, lengths = np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw])
+    ends = np.cumsum(lengths)
+    for i in range(ORDER, len(line), PIECE):
+        part = line[i - ORDER : i + PIECE].astype(np.uint64)
+        out = np.zeros(len(part) - ORDER, np.uint64)
+        for k in range(ORDER + 1):
+            out = out << np.uint64(8) | part[k : k + len(out)]
+        first, last = np.searchsorted(ends, [i, i + len(out) - 1], "right")
+        of = np.repeat(np.arange(first, last + 1), np.diff(np.clip(ends[first : last + 1], i, i + len(out)), prepend=i))
+        inside = np.arange(i, i + len(out)) - (ends - lengths)[of] >= ORDER  # not the strings that reach from one text into the next
+        yield out[inside], of[inside]
+
+
+class Sparse:
+    """Values of (string, language), for the languages that have the string."""
+
+    def __init__(self, string: np.ndarray, language: np.ndarray, value: np.ndarray):
+        """Sorted by string."""
+        self.own, starts = np.unique(string, return_index=True)
+        self.starts, self.language, self.value = np.append(starts, len(string)).astype(np.int64), language.astype(np.uint16), value.astype(np.float32)
+
+    def find(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in `strings`, language, value) of all entries of these strings."""
+        at = np.searchsorted(self.own, strings).clip(max=max(0, len(self.own) - 1))
+        known = np.flatnonzero(self.own[at] == strings) if len(self.own) else np.zeros(0, np.int64)
+        first = self.starts[at[known]]
+        counts = self.starts[at[known] + 1] - first
+        entry = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
+        return np.repeat(known, counts), self.language[entry], self.value[entry]
 
 
 class Tree:
-    """All languages' context trees as arrays: code lengths by (context, byte) and escapes by context."""
+    """All languages' context trees: by depth, code lengths of strings in their longest context and escapes of contexts."""
 
     def __init__(self, languages: list[str], keys: np.ndarray, language: np.ndarray, counts: np.ndarray):
         """keys: strings of ORDER + 1 bytes; language: number of each one's language."""
-        self.languages, n = languages, len(languages)
-        self.bits: list[tuple[np.ndarray, np.ndarray]] = []
-        self.escapes: list[tuple[np.ndarray, np.ndarray]] = []
-        shorter = np.full((0, n), 8.0)
-        for k in range(ORDER + 1):
-            own, inverse = np.unique(keys & np.uint64((1 << 8 * (k + 1)) - 1), return_inverse=True)
-            seen = np.zeros((len(own), n))
-            np.add.at(seen, (inverse, language), counts)
-            contexts, of = np.unique(own >> np.uint64(8), return_inverse=True)
-            total, different = np.zeros((len(contexts), n)), np.zeros((len(contexts), n))
-            np.add.at(total, of, seen)
-            np.add.at(different, of, seen > 0)
-            with np.errstate(divide="ignore"):
-                escape = np.where(total > 0, -np.log2(different / (total + different).clip(1)), 0.0)
-                direct = -np.log2(seen / (total + different).clip(1)[of])
-            below = shorter[np.searchsorted(before, own & np.uint64((1 << 8 * k) - 1))] if k else np.full((len(own), n), 8.0)
-            code = np.where(seen > 0, direct, escape[of] + below)
-            self.bits.append((own, code))
-            self.escapes.append((contexts, escape))
-            before, shorter = own, code
-        self._hash()
-
-    def _hash(self) -> None:
-        """An open-addressed table of the longest strings; most bytes of a text are found in it."""
-        own, code = self.bits[ORDER]
-        self.shift = np.uint64(64 - max(10, int(len(own) * 4).bit_length()))
-        size = 1 << (64 - int(self.shift))
-        self.slots, self.codes = np.full(size, 1 << 63, np.uint64), np.zeros((size, len(self.languages)), np.float32)
-        at, left = self._slot(own), np.arange(len(own))
-        while len(left):
-            free = self.slots[at] == np.uint64(1 << 63)
-            first = np.unique(at[free], return_index=True)[1]
-            take = np.flatnonzero(free)[first]
-            self.slots[at[take]], self.codes[at[take]] = own[left[take]], code[left[take]]
-            rest = np.ones(len(left), bool)
-            rest[take] = False
-            at, left = (at[rest] + 1) % size, left[rest]
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-
-    def code_bits(self, keys: np.ndarray) -> np.ndarray:
-        """Bits that each language spends on the last byte of each key."""
-        at = self._slot(keys)
-        found = self.slots[at]
-        odd = np.flatnonzero(found != keys)
-        missing = [np.zeros(0, np.int64)]
-        while len(odd):
-            empty = self.slots[at[odd]] == np.uint64(1 << 63)
-            missing.append(odd[empty])
-            odd = odd[~empty]
-            at[odd] = (at[odd] + 1) % len(self.slots)
-            odd = odd[self.slots[at[odd]] != keys[odd]]
-        out = self.codes[at]
-        lost = np.concatenate(missing)
-        if len(lost):
-            out[lost] = self._slow(keys[lost])
-        return out
-
-    def _slow(self, keys: np.ndarray) -> np.ndarray:
-        """The same by search, from the longest context down; for strings that no language has seen."""
-        out, open_ = np.zeros((len(keys), len(self.languages))), np.arange(len(keys))
+        self.languages = languages
+        self.bits: list[Sparse] = []
+        self.escapes: list[Sparse] = []
+        share = np.bincount((keys & np.uint64(255)).astype(np.int64), weights=counts, minlength=256) + 1
+        self.alone = -np.log2(share / share.sum())
         for k in range(ORDER, -1, -1):
-            own, code = self.bits[k]
-            key = keys[open_] & np.uint64((1 << 8 * (k + 1)) - 1)
-            at = np.searchsorted(own, key).clip(max=len(own) - 1)
-            hit = own[at] == key
-            out[open_[hit]] += code[at[hit]]
-            open_, key = open_[~hit], key[~hit] >> np.uint64(8)
-            contexts, escape = self.escapes[k]
-            at = np.searchsorted(contexts, key).clip(max=len(contexts) - 1)
-            known = contexts[at] == key
-            out[open_[known]] += escape[at[known]]
-        out[open_] += 8.0
-        return out
+            # One entry for each string and language: of the strings of k + 1 bytes, then of their contexts.
+            keys = keys & np.uint64((1 << 8 * (k + 1)) - 1)
+            string, of, seen = self._sum(keys, language, counts)
+            context, speaks, total = self._sum(string >> np.uint64(8), of, seen)
+            different = self._sum(string >> np.uint64(8), of, np.ones(len(seen)))[2]
+            # The context of each string, by its place among (context, language).
+            both = lambda c, n: c * np.uint64(len(languages)) + n.astype(np.uint64)
+            at = np.searchsorted(both(context, speaks), both(string >> np.uint64(8), of))
+            self.bits.append(Sparse(string, of, -np.log2(seen / (total + different)[at])))
+            self.escapes.append(Sparse(context, speaks, -np.log2(different / (total + different))))
+            keys, language, counts = string, of, seen
+
+    @staticmethod
+    def _sum(strings: np.ndarray, language: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((language, strings))
+        strings, language, n = strings[order], language[order], n[order]
+        new = np.flatnonzero(np.append(True, (strings[1:] != strings[:-1]) | (language[1:] != language[:-1]))) if len(order) else order
+        return strings[new], language[new], np.add.reduceat(n, new) if len(new) else n
 
-    def lengths(self, texts: list[str]) -> np.ndarray:
-        """The code length in bits of each text in each language."""
-        out = np.zeros((len(texts), len(self.languages)))
-        keys, ends = grams(texts)
-        step, before = 1 << 18, 0
-        ends = np.asarray(ends)
-        for i in range(0, len(keys), step):
-            codes = self.code_bits(keys[i : i + step])
-            first, last = np.searchsorted(ends, [i, i + len(codes) - 1], "right")
-            cuts = np.maximum(ends[first:last] - i, 0)
-            starts = np.concatenate([[0], cuts]).astype(np.int64)
-            rows = np.arange(first, last + 1)
-            some = np.append(starts[1:] > starts[:-1], starts[-1] < len(codes))
-            out[rows[some]] += np.add.reduceat(codes, starts[some], axis=0, dtype=np.float64)
+    def code_bits(self, keys: np.ndarray) -> np.ndarray:
+        """Bits that each language spends on the last byte of each key: from the longest context down, until it has seen the byte there."""
+        out = np.zeros((len(keys), len(self.languages)), np.float32)
+        left = np.ones(out.shape, bool)
+        for k, (bits, escapes) in zip(range(ORDER, -1, -1), zip(self.bits, self.escapes, strict=True), strict=True):
+            open_ = np.flatnonzero(left.any(1))
+            string = keys[open_] & np.uint64((1 << 8 * (k + 1)) - 1)
+            for found, ends in ((bits.find(string), True), (escapes.find(string >> np.uint64(8)), False)):
+                at, language, value = open_[found[0]], found[1], found[2]
+                use = left[at, language]
+                out[at[use], language[use]] += value[use]
+                if ends:
+                    left[at[use], language[use]] = False
+        out[left] += 8.0
         return out
 
-
-def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", rows_per_language: int = ROWS_PER_LANGUAGE, max_grams: int = GRAMS) -> Tree | None:
+    def lengths(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The code length in bits of each text in each language, and by its bytes alone."""
+        n = len(self.languages)
+        out, alone = np.zeros((len(texts), n)), np.zeros(len(texts))
+        step = max(1, HELD // n)
+        for keys, of in pieces(texts):
+            alone += np.bincount(of, weights=self.alone[(keys & np.uint64(255)).astype(np.int64)], minlength=len(texts))
+            # Strings have 40 bits, places in a piece 20: one number sorts both.
+            both = np.sort(keys << np.uint64(20) | np.arange(len(keys), dtype=np.uint64))
+            order, sorted_ = (both & np.uint64((1 << 20) - 1)).astype(np.int64), both >> np.uint64(20)
+            new = np.append(True, sorted_[1:] != sorted_[:-1])
+            different = sorted_[new]
+            number = np.empty(len(keys), np.int64)
+            number[order] = np.cumsum(new) - 1
+            for i in range(0, len(different), step):
+                codes = self.code_bits(different[i : i + step])
+                mine = slice(None) if step >= len(different) else np.flatnonzero((number >= i) & (number < i + step))
+                row, text = number[mine] - i, of[mine]
+                for j in range(0, len(row), step):
+                    starts = np.flatnonzero(np.append(True, text[j + 1 : j + step] != text[j : j + step - 1][: len(text[j + 1 : j + step])]))
+                    out[text[j : j + step][starts]] += np.add.reduceat(codes[row[j : j + step]], starts, axis=0, dtype=np.float64)
+        return out, alone
+
+
+def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", rows_per_language: int = ROWS_PER_LANGUAGE, train_bytes: int = TRAIN_BYTES) -> Tree | None:
     """A tree from rows where `learn` holds; None if there are none.
 
-    Rows per language are counted over all rows, and a hash picks about as many as asked for. The
-    counts of strings are summed in Spark and arrive here as at most max_grams rows.
+    Rows and bytes of each language are counted over all rows, and a hash picks about as many rows as the bounds
+    allow. The counts of strings are summed in Spark and arrive here, at most a string for each byte of the sample.
+    The languages themselves, a row each, are collected, too.
     """
     small_batches(docs.sparkSession)
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"), F.col(id_col).alias("i"))
-    counts = rows.groupBy("l").agg(F.count("*").alias("n"))
-    chosen = rows.join(F.broadcast(counts), "l").where(F.pmod(F.xxhash64("i", "t"), F.lit(1 << 20)) < F.lit(rows_per_language * (1 << 20)) / F.col("n"))
+    sizes = rows.groupBy("l").agg(F.count("*").alias("n"), F.sum(F.octet_length("t")).alias("size")).toArrow().to_pandas()
+    languages = sorted(sizes["l"])
+    if not languages:
+        return None
+    number = {name: i for i, name in enumerate(languages)}
+    most = train_bytes / len(languages)
+    share = {r.l: min(1.0, rows_per_language / r.n, most / max(1, r.size)) for r in sizes.itertuples()}
+    shares = docs.sparkSession.createDataFrame([(name, number[name], share[name]) for name in languages], f"{schema_of(docs, lang_col, 'l')}, number int, share double")
+    chosen = rows.join(F.broadcast(shares), "l").where(F.pmod(F.xxhash64("i", "t"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "t"):
             table = block.to_pandas()
-            for language, part in table.groupby("l"):
-                keys, n = np.unique(grams(part["t"].tolist())[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([language] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n)], names=["l", "g", "n"])
+            for language, part in table.groupby("number"):
+                for strings, _ in pieces(part["t"].tolist()):
+                    keys, n = np.unique(strings, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), language), pa.int32()), pa.array(keys.view(np.int64)), pa.array(n)], names=["l", "g", "n"])
 
-    strings = chosen.select("l", "t").mapInArrow(count, "l string, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n"))
-    found = frequent(durable(strings), max_grams).toArrow()
-    if not found.num_rows:
-        return None
-    languages = sorted(found["l"].unique().to_pylist())
-    number = pc.index_in(found["l"], pa.array(languages)).to_numpy()
-    return Tree(languages, found["g"].to_numpy().astype(np.uint64), number, found["n"].to_numpy().astype(float))
+    strings = chosen.select("number", "t").mapInArrow(count, "l int, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n"))
+    found = strings.toArrow()
+    return Tree(languages, found["g"].to_numpy().astype(np.uint64), found["l"].to_numpy(), found["n"].to_numpy().astype(float))
 
 
-def predict(docs: DataFrame, tree: Tree | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), carry_text: bool = False, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """(id, keep..., lang_pred, score) for every row, with the text if asked; reads only the text for its prediction. out: names for the last two."""
+def predict(docs: DataFrame, tree: Tree | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), carry_text: bool = False, out: tuple[str, str, str] = ("lang_pred", "score", "fits")) -> DataFrame:
+    """(id, keep..., lang_pred, score, fits) for every row, with the text if asked; reads only the text for its prediction. out: names for the last three."""
     shared = docs.sparkSession.sparkContext.broadcast(tree)
     names = [id_col, *keep, *[text_col] * carry_text]
 
@@ -190,23 +197,23 @@ def predict(docs: DataFrame, tree: Tree | None, id_col: str = "doc_id", text_col
         known = shared.value
         for block in blocks(batches, text_col, 1 << 20):
             texts = [t or "" for t in block.column(text_col).to_pylist()]
-            said, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            some = [i for i, t in enumerate(texts) if has_letter(t)] if known else []
+            said, score, fits = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.array([has_letter(t) for t in texts])
+            some = np.flatnonzero(fits).tolist() if known else []
             if some:
-                bits = known.lengths([texts[i] for i in some])
-                best = bits.argmin(1)
+                bits, alone = known.lengths([texts[i] for i in some])
                 score[some] = 1 / np.exp2(np.minimum(bits.min(1, keepdims=True) - bits, 0)).sum(1)
-                for i, b in zip(some, best.tolist(), strict=True):
+                fits[some] = bits.min(1) <= alone + MARGIN
+                for i, b in zip(some, bits.argmin(1).tolist(), strict=True):
                     said[i] = known.languages[b]
-            yield pa.RecordBatch.from_arrays([*[block.column(c) for c in names], pa.array(said, pa.string()), pa.array(score)], names=[*names, *out])
+            yield pa.RecordBatch.from_arrays([*[block.column(c) for c in names], pa.array(said, pa.string()), pa.array(score), pa.array(fits)], names=[*names, *out])
 
     kept = ", ".join(schema_of(docs, c) for c in names)
-    return slim(docs, *dict.fromkeys([*names, text_col])).mapInArrow(run, f"{kept}, `{out[0]}` string, `{out[1]}` double")
+    return slim(docs, *dict.fromkeys([*names, text_col])).mapInArrow(run, f"{kept}, `{out[0]}` string, `{out[1]}` double, `{out[2]}` boolean")
 
 
 def drop_unknown(docs: DataFrame, tree: Tree | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that have a language, with all columns."""
-    said, score = free(docs, "lang_pred"), free(docs, "score")
+    """The documents that fit a learned language, with all columns."""
+    said, score, fits = (free(docs, x) for x in ("lang_pred", "score", "fits"))
     keep = tuple(c for c in docs.columns if c not in (id_col, text_col))
-    found = predict(docs, tree, id_col, text_col, keep, carry_text=True, out=(said, score))
-    return found.where(F.col(said) != UNKNOWN).select(*docs.columns)
+    found = predict(docs, tree, id_col, text_col, keep, carry_text=True, out=(said, score, fits))
+    return found.where(fits).select(*docs.columns)

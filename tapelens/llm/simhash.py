@@ -5,10 +5,13 @@ distinct fingerprint therefore emits all variants within two bits, and fingerpri
 variant are linked; as both are within two bits of it, every such pair is a true one, and it is
 verified. Variants are shuffled by their leading bits: for a prefix of b bits a fingerprint travels
 once for each of the 1 + b + b(b-1)/2 prefixes its variants have, with the number of flips that are
-left, and the variants themselves are made where they meet. A prefix with many fingerprints is dealt
-over tasks by a parity code of the variant, which spreads the variants of any cluster evenly; inside
-a task the same code bounds how many variants exist at once. Each meeting returns a spanning forest,
-not pairs, and min-label contraction over the forests gives components.
+left, and the variants themselves are made where they meet. The prefix grows with the number n of
+fingerprints, so that a place has about PER_PLACE of them at any size. A place with many more is
+dealt over tasks by a parity code of the variant, which spreads the variants of any cluster evenly;
+inside a task the same code bounds how many variants exist at once. Fingerprints of a place with
+more than MOST are shuffled on their variants themselves, of which no one has more than 2,081
+fingerprints. Each meeting returns a spanning forest, not pairs, and min-label contraction over the
+forests gives components.
 
 The pipeline's stage has a rule of its own: texts whose sets of five-word shingles have a Jaccard
 similarity of SIMILAR or more are near copies. Such pairs differ in about ten of 64 bits, too many
@@ -33,14 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapelens.llm.common import blocks, by_id, durable, free, schema_of, slim, utf8
+from tapelens.llm.common import blocks, bounded, by_id, durable, free, lookup, schema_of, slim, utf8
 
 BITS, RADIUS = 64, 4
 HALF = RADIUS // 2
-#: Fingerprints to a prefix, and variants held at once in a task.
-PER_PREFIX, HELD = 1024, 3_000_000
-#: The stage: words to a shingle, least similarity, fingerprints of 32 bits, bits that may differ in all four, fingerprints to a prefix.
-STAGE_WORDS, SIMILAR, TABLES, SCREEN, STAGE_PER_PREFIX = 5, 0.8, 4, 36, 65536
+#: Fingerprints that travel to a place; those beyond which a place is dealt out, and beyond which variants are shuffled; variants held at once in a task.
+PER_PLACE, DEALT, MOST, HELD = 32_768, 65_536, 16_000_000, 3_000_000
+#: The stage: words to a shingle, least similarity, fingerprints of 32 bits, bits that may differ in all four, nodes that travel to a place.
+STAGE_WORDS, SIMILAR, TABLES, SCREEN, STAGE_PER_PLACE = 5, 0.8, 4, 36, 600_000
 
 
 def shingle_hashes(text: bytes, words_per_shingle: int, seed: int) -> list[int]:
@@ -171,65 +174,111 @@ def meet(fps: np.ndarray, left: np.ndarray, home: np.ndarray, prefix: int, parit
     return nodes[found_a[0]], nodes[found_b[0]]
 
 
+def prefix_bits(n: int, per_place: int, most: int) -> int:
+    """The shortest prefix with which n fingerprints, each sent to all prefixes of its variants, come to per_place a place on average."""
+    return next((b for b in range(4, most) if n * len(_flips(range(b), HALF)) <= per_place << b), most)
+
+
+def _signed(value: int) -> int:
+    return value - (1 << BITS) if value >= 1 << (BITS - 1) else value
+
+
+def _places(sent: DataFrame, columns: list[str], per_place: int) -> DataFrame:
+    """The columns and a `place` for each row of `sent`, and for each part of a hot prefix.
+
+    Hot prefixes are counted, not assumed: their table is broadcast if it is small and else shuffled.
+    """
+    hot = sent.groupBy("prefix").count().where(F.col("count") > 2 * per_place)
+    hot = bounded(durable(hot.select("prefix", F.least(F.lit(16), F.ceil(F.log2(F.col("count") / per_place))).cast("int").alias("parity"))))
+    dealt = sent.join(hot, "prefix", "left").withColumn("parity", F.coalesce("parity", F.lit(0)))
+    return dealt.select(*columns, F.explode(F.expr("transform(sequence(0, shiftleft(1, parity) - 1), part -> shiftleft(prefix, 24) + shiftleft(parity, 18) + part)")).alias("place"))
+
+
+def _place(code: int) -> tuple[int, int, int]:
+    """(prefix, parity, part) of a place."""
+    return code >> 24, code >> 18 & 0x3F, code & 0x3FFFF
+
+
+def _by_variant(distinct: DataFrame) -> DataFrame:
+    """(u, v): links of fingerprints through each of their variants, shuffled on the variants; no variant has over 2,081 fingerprints."""
+    masks = np.array([m for m, _ in _flips(range(BITS), HALF)], np.uint64)
+
+    def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = batch.column("fp").to_numpy()
+            for i in range(0, len(fps), 256):
+                some = fps[i : i + 256].view(np.uint64)
+                made = (some[:, None] ^ masks).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(some, len(masks)).view(np.int64)), pa.array(made.view(np.int64))], names=["fp", "variant"])
+
+    met = distinct.mapInArrow(variants, "fp long, variant long")
+    first = met.groupBy("variant").agg(F.min("fp").alias("v"), F.collect_set("fp").alias("all")).where(F.size("all") > 1)
+    pairs = first.select(F.explode("all").alias("u"), "v").where("u <> v")
+    return pairs.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= RADIUS)
+
+
 def links(distinct: DataFrame, n: int) -> DataFrame:
     """(u, v): a spanning forest of the components, from every place where variants meet.
 
-    distinct: the distinct fingerprints, n of them.
+    distinct: the distinct fingerprints, n of them; durable.
     """
-    prefix = min(16, max(4, math.ceil(math.log2(max(1, n / PER_PREFIX)))))
-    masks = [m << (BITS - prefix) for m, _ in _flips(range(prefix), HALF)]
-    signed = [m - (1 << BITS) if m >= 1 << (BITS - 1) else m for m in masks]
-    sent = distinct.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in signed])).alias("mask"))
+    prefix = prefix_bits(n, PER_PLACE, 32)
+    masks = [F.lit(_signed(m << (BITS - prefix))).cast("long") for m, _ in _flips(range(prefix), HALF)]
+    sent = distinct.select("fp", F.explode(F.array(*masks)).alias("mask"))
     sent = sent.select("fp", F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("mask")), BITS - prefix).alias("prefix"))
-    # The prefixes are at most 65,536, so their counts are; how often each is split follows its count.
-    heavy = sent.groupBy("prefix").count().where(F.col("count") > 64 * PER_PREFIX)
-    heavy = heavy.select("prefix", F.least(F.lit(10), F.ceil(F.log2(F.col("count") / (32 * PER_PREFIX)))).cast("int").alias("parity"))
-    dealt = sent.join(F.broadcast(heavy), "prefix", "left").withColumn("parity", F.coalesce("parity", F.lit(0)))
-    dealt = dealt.select("fp", F.explode(F.expr("transform(sequence(0, shiftleft(1, parity) - 1), part -> shiftleft(prefix, 32) + shiftleft(parity, 16) + part)")).alias("place"))
 
     def run(table: pa.Table) -> pa.Table:
-        place, fps = table.column("place")[0].as_py(), table.column("fp").to_numpy().view(np.uint64)
-        under, low = np.uint64(place >> 32), np.uint64(BITS - prefix)
-        left = HALF - np.bitwise_count(fps >> low ^ under).astype(np.int64)
-        home = under << low | fps & np.uint64((1 << (BITS - prefix)) - 1)
-        u, v = meet(fps, left, home, prefix, place >> 16 & 0xFFFF, place & 0xFFFF)
+        (under, parity, part), fps = _place(table.column("place")[0].as_py()), table.column("fp").to_numpy().view(np.uint64)
+        low = np.uint64(BITS - prefix)
+        left = HALF - np.bitwise_count(fps >> low ^ np.uint64(under)).astype(np.int64)
+        home = np.uint64(under) << low | fps & np.uint64((1 << (BITS - prefix)) - 1)
+        u, v = meet(fps, left, home, prefix, parity, part)
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    return dealt.groupBy("place").applyInArrow(run, "u long, v long").distinct()
+    if n <= MOST:
+        return _places(sent, ["fp"], DEALT // 2).groupBy("place").applyInArrow(run, "u long, v long").distinct()
+    vast = bounded(durable(sent.groupBy("prefix").count().where(F.col("count") > MOST).select("prefix")))
+    crowd = durable(sent.join(vast, "prefix", "left_semi").select("fp").distinct())
+    met = _places(sent.join(vast, "prefix", "left_anti"), ["fp"], DEALT // 2).groupBy("place").applyInArrow(run, "u long, v long")
+    return met.unionByName(_by_variant(crowd)).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of the edges reaches.
 
-    Alternates the large-star and small-star steps until the edges stay as they are. A step needs
-    the least neighbour of each node only, so a node of any degree costs one row a task.
+    Alternates the large-star and small-star steps until the edges stay as they are. A step needs the least neighbour
+    of each node only. It is looked up with the node's degree, so that the centre of a large star is no task's alone.
     """
     edges = durable(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
+    least = lambda some: some.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("degree"))
+    before, n = None, edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("low"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "low").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("low"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("low").alias("v"))
+        large = lookup(both, least(both), ["u"], "degree", 2 * n).where("v > u").select(F.col("v").alias("u"), F.least("u", "low").alias("v"))
+        large = durable(large.distinct())
+        small = lookup(large, least(large), ["u"], "degree", n)
+        small = small.select(F.when(F.col("v") == F.col("low"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("low").alias("v"))
         edges = durable(small.where("u <> v").distinct())
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+        before, n = now, now[0]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
     """(id, fp, component_id): the smallest id that each document reaches by links of at most four bits."""
     rows = durable(fingerprints(docs, id_col, text_col, words, seed))
-    distinct = durable(rows.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("n")))
-    roots = components(links(distinct.select("fp"), distinct.count()))
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = named.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("members"))
-    of = durable(named.join(groups, "root").where("members > 1").select(F.col("fp").alias("group_fp"), "component_id"))
+    distinct = durable(rows.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("n_rows")))
+    n = distinct.count()
+    roots = components(links(distinct.select("fp"), n))
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", "n_rows", F.coalesce("root", "fp").alias("root"))
+    named = durable(named)
+    groups = named.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n_rows").alias("members"), F.count("*").alias("n_fps"))
+    of = lookup(named, groups, ["root"], "n_fps", n).where("members > 1")
+    of = durable(of.select("fp", "component_id", F.lit(True).alias("shared"), "n_rows"))
     # A document alone is its own component and is not joined.
-    out = rows.join(of, rows["fp"] == of["group_fp"], "left")
-    return out.select(id_col, "fp", F.when(F.col("group_fp").isNull(), F.col(id_col)).otherwise(F.col("component_id")).alias("component_id"))
+    out = lookup(rows, of, ["fp"], "n_rows", rows.count(), "left")
+    return out.select(id_col, "fp", F.when(F.col("shared"), F.col("component_id")).otherwise(F.col(id_col)).alias("component_id"))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -325,25 +374,21 @@ def candidates(distinct: DataFrame, n: int) -> DataFrame:
 
     distinct: (node, a, b), n of them.
     """
-    prefix = min(12, max(4, math.ceil(math.log2(max(1, n / STAGE_PER_PREFIX)))))
-    masks = [m << (BITS - prefix) for m, _ in _flips(range(prefix), HALF)]
-    signed = [m - (1 << BITS) if m >= 1 << (BITS - 1) else m for m in masks]
+    prefix = prefix_bits(n, STAGE_PER_PLACE, 24)
+    masks = [_signed(m << (BITS - prefix)) for m, _ in _flips(range(prefix), HALF)]
     quarter = [F.shiftrightunsigned(c, 32) if upper else F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) for c in ("a", "b") for upper in (True, False)]
-    words = [F.struct(F.lit(t).cast("long").alias("t"), F.shiftrightunsigned(F.shiftleft(quarter[t], 32).bitwiseXOR(F.lit(m).cast("long")), BITS - prefix).alias("prefix")) for t in range(TABLES) for m in signed]
+    words = [F.struct(F.lit(t).cast("long").alias("t"), F.shiftrightunsigned(F.shiftleft(quarter[t], 32).bitwiseXOR(F.lit(m).cast("long")), BITS - prefix).alias("prefix")) for t in range(TABLES) for m in masks]
     sent = distinct.select("node", "a", "b", F.explode(F.array(*words)).alias("word"))
-    sent = sent.select("node", "a", "b", F.shiftleft("word.t", 16).bitwiseOR(F.col("word.prefix")).alias("prefix"))
-    heavy = sent.groupBy("prefix").count().where(F.col("count") > 64 * STAGE_PER_PREFIX)
-    heavy = heavy.select("prefix", F.least(F.lit(10), F.ceil(F.log2(F.col("count") / (32 * STAGE_PER_PREFIX)))).cast("int").alias("parity"))
-    dealt = sent.join(F.broadcast(heavy), "prefix", "left").withColumn("parity", F.coalesce("parity", F.lit(0)))
-    dealt = dealt.select("node", "a", "b", F.explode(F.expr("transform(sequence(0, shiftleft(1, parity) - 1), part -> shiftleft(prefix, 32) + shiftleft(parity, 16) + part)")).alias("place"))
+    sent = sent.select("node", "a", "b", F.shiftleft("word.t", 32).bitwiseOR(F.col("word.prefix")).alias("prefix"))
 
     def run(table: pa.Table) -> pa.Table:
-        place = table.column("place")[0].as_py()
+        under, parity, part = _place(table.column("place")[0].as_py())
         prints = np.stack([table.column(c).to_numpy().view(np.uint64) for c in ("a", "b")], 1)
-        u, v = meet_sets(table.column("node").to_numpy(), prints, place >> 48, place >> 32 & 0xFFFF, prefix, place >> 16 & 0xFFFF, place & 0xFFFF)
+        u, v = meet_sets(table.column("node").to_numpy(), prints, under >> 32, under & 0xFFFFFFFF, prefix, parity, part)
         return pa.table({"u": u, "v": v})
 
-    return dealt.groupBy("place").applyInArrow(run, "u long, v long").distinct()
+    placed = _places(sent, ["node", "a", "b"], 4 * STAGE_PER_PLACE)
+    return placed.groupBy("place").applyInArrow(run, "u long, v long").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:

@@ -69,9 +69,11 @@ def test_links_of_a_cluster(spark, monkeypatch):
     fps = sorted(set(fps))
     root = reach(fps)
     signed = [f - (1 << 64) if f >= 1 << 63 else f for f in fps]
-    for per in (1, 100_000):
-        monkeypatch.setattr(simhash, "PER_PREFIX", per)
-        monkeypatch.setattr(simhash, "HELD", 5_000 * per)
+    for per, dealt, most in ((20, 40, 1 << 20), (1 << 17, 1 << 18, 1 << 20), (200, 400, 450), (1, 1 << 20, 100)):
+        monkeypatch.setattr(simhash, "PER_PLACE", per)
+        monkeypatch.setattr(simhash, "DEALT", dealt)
+        monkeypatch.setattr(simhash, "MOST", most)
+        monkeypatch.setattr(simhash, "HELD", 50_000 if per < 100 else 3_000_000)
         edges = simhash.links(spark.createDataFrame([(s,) for s in signed], "fp long"), len(fps))
         group = {r.node: r.root for r in simhash.components(edges).collect()}
         label = [group.get(s, s) for s in signed]
@@ -79,6 +81,21 @@ def test_links_of_a_cluster(spark, monkeypatch):
         assert [first.setdefault(x, i) for i, x in enumerate(label)] == root
 
 
+def test_copies_of_a_fingerprint_stay_few():
+    """How often a fingerprint travels: fewer times than it has variants at any size, and a place stays small."""
+    for n, copies in ((10**6, 79), (10**8, 211), (10**10, 407)):
+        b = simhash.prefix_bits(n, simhash.PER_PLACE, 32)
+        own = 1 + b + b * (b - 1) // 2
+        assert own <= copies < 2081 and n * own >> b <= simhash.PER_PLACE
+
+
+def test_hot_centre(spark):
+    """A star of 5,000 and chains keep their smallest node, with the centre looked up apart."""
+    edges = [(i, 7) for i in range(10, 5000)] + [(i, i + 1) for i in range(6000, 6050)] + [(7, 3), (3, 4999)]
+    got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {7: 3} | {i: 3 for i in range(10, 5000)} | {i: 6000 for i in range(6001, 6051)}
+
+
 def test_drop(odd, none):
     left = simhash.drop_near_copies(odd)
     assert left.columns == odd.columns
