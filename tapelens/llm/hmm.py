@@ -1,23 +1,26 @@
 """Language-model scores from a hidden Markov model over words.
 
-Hidden states emit word classes: each of the CLASSES most frequent training words is a class, all
-other words share one, and the end of a text is one. A word of the shared class then has its
-add-one share of that class, from exact counts over all training texts. Baum-Welch counts are
-summed over partitions in Spark, STEPS times, and only the table of states by classes, of a fixed
-size, comes to the driver. The score of a text is exact: the scaled forward recursion over its
-whole length, no cut, plus the shared class's part.
-
-Training reads whole texts in runs of SEGMENT tokens, each of which starts anew; scoring does not.
+Hidden states emit word classes: each of the CLASSES most frequent training words is a class of its
+own, all other words are in one of TAILS classes by their last bytes, and the end of a text is a
+class. A word of a tail class then has its add-one share of that class, from exact counts over all
+training texts, so every word, known or not, has emissions that depend on the state. Baum-Welch
+counts are summed over partitions in Spark, STEPS times, and only the table of states by classes, of
+a fixed size, comes to the driver. Training and scoring read whole texts: the scaled recursions run
+over a text's whole length. Stretches of PIECE tokens of long texts run side by side; how each
+carries a state distribution from its first to its last token is a product of matrices, which gives
+the exact distributions at all stretches' ends first. Memory is a few bytes a token.
+
 Counts of the FREQUENT most frequent words travel to the tasks (that number bounds them). All other
 words are joined with the full counts by a shuffle, so the vocabulary may have any size.
 
 Defined results: a null text is the empty text, whose only token is the end. A null id is never in
-training and not held out. Without training texts all counts are 0 and the score equals the shared
-class's share of each word. Repeated rows each get their row. Other columns are not read.
+training and not held out. Without training texts all counts are 0 and the score is that of the first
+model, whose emissions are nearly even over classes. Repeated rows each get their row. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,8 +34,12 @@ from pyspark.sql import functions as F
 
 from tapelens.llm.common import blocks, durable, frequent, schema_of, small_batches, utf8
 
-STATES, STEPS, SEGMENT = 8, 5, 256
-CLASSES, FREQUENT = 8192, 1 << 17
+STATES, STEPS = 8, 5
+CLASSES, TAILS, FREQUENT = 8192, 2048, 1 << 17
+#: Tokens of a stretch, and stretches that run side by side.
+PIECE, LANES = 256, 1024
+#: Bytes of a word's end that choose its tail class.
+TAIL_BYTES = 3
 #: Words counted in a task before they are handed on.
 HELD = 300_000
 
@@ -61,6 +68,10 @@ def frequent_words(counts: DataFrame, most: int) -> pd.DataFrame:
     return found.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
 
 
+def tail_class(word: bytes, n_tails: int) -> int:
+    return zlib.crc32(word[-TAIL_BYTES:]) % n_tails
+
+
 @dataclass
 class Model:
     """Start (states), trans (states, states) and emit (classes, states) probabilities."""
@@ -78,56 +89,121 @@ def first_model(class_counts: np.ndarray, states: int = STATES, seed: int = 1) -
     return Model(np.full(states, 1 / states), trans, emit / emit.sum(0))
 
 
-def _lanes(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[int], list[np.ndarray]]:
-    """Sequences side by side, longest first: their order, lengths, how many are still going at each step, and the classes of each step."""
-    lengths = np.array([len(s) for s in seqs])
-    order = np.argsort(-lengths, kind="stable")
-    flat, lengths = np.concatenate([seqs[i] for i in order]).astype(np.int64), lengths[order]
-    offsets = np.cumsum(lengths) - lengths
-    going = np.searchsorted(-lengths, -np.arange(lengths[0]), "left").tolist()
-    return order, lengths, going, [flat[offsets[:g] + t] for t, g in enumerate(going)]
+class Stretches:
+    """Sequences cut into stretches of PIECE tokens, with the exact state distributions where they meet.
+
+    ahead: for each stretch the states' distribution at the token before it (unused in the first of a sequence).
+    behind: for each stretch the probability of what follows it, by state, up to a factor.
+    """
+
+    def __init__(self, model: Model, seqs: list[np.ndarray], both: bool):
+        lengths = np.array([len(s) for s in seqs])
+        counts = -(-lengths // PIECE)
+        self.flat = np.concatenate(seqs) if seqs else np.zeros(0, "<u2")
+        self.of = np.repeat(np.arange(len(seqs)), counts)
+        place = np.arange(len(self.of)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.begin = np.repeat(np.cumsum(lengths) - lengths, counts) + place * PIECE
+        self.size = np.minimum(PIECE, lengths[self.of] - place * PIECE)
+        self.first, n = place == 0, len(model.start)
+        self.ahead, self.behind = np.zeros((len(self.of), n)), np.ones((len(self.of), n))
+        if (counts > 1).any():
+            self._meet(model, counts, both)
+
+    def _meet(self, model: Model, counts: np.ndarray, both: bool) -> None:
+        long = np.flatnonzero(counts[self.of] > 1)
+        n = len(model.start)
+        carry = np.zeros((len(self.of), n, n))
+        for some in np.array_split(long, max(1, len(long) // LANES)):
+            # Row s of a stretch: from state s before it (or from s as its first state) to the states at its end.
+            for lanes, t, seen in self._steps(model, some):
+                g = len(lanes)
+                if t:
+                    held[:g] = (held[:g].reshape(-1, n) @ model.trans).reshape(g, n, n) * seen[:, None, :]
+                else:
+                    of = lanes
+                    held = np.where(self.first[lanes, None, None], np.eye(n), model.trans) * seen[:, None, :]
+                if t % 16 == 15:  # often enough for doubles
+                    held[:g] /= held[:g].sum((1, 2), keepdims=True)
+            carry[of] = held / held.sum((1, 2), keepdims=True)
+        now = np.zeros(n)
+        for s in long.tolist():
+            if self.first[s]:
+                now = model.start
+            else:
+                self.ahead[s] = now
+            now = now @ carry[s]
+            now = now / now.sum()
+        for s in long[::-1].tolist() if both else ():
+            if s + 1 == len(self.of) or self.of[s + 1] != self.of[s]:
+                now = np.ones(n)
+            else:
+                now = carry[s + 1] @ now
+                now = now / now.sum()
+                self.behind[s] = now
+
+    def _steps(self, model: Model, some: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """(stretches still going, step, emissions of their tokens), the longest stretches first."""
+        some = some[np.argsort(-self.size[some], kind="stable")]
+        begin, size = self.begin[some], self.size[some]
+        for t in range(int(size[0])):
+            going = int(np.searchsorted(-size, -t, "left"))
+            yield some[:going], t, model.emit[self.flat[begin[:going] + t]]
+
+    def forward(self, model: Model, some: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(stretches, scaled state probabilities, scales, emissions) of each step."""
+        alpha = np.zeros((0, len(model.start)))
+        for lanes, t, seen in self._steps(model, some):
+            into = alpha[: len(lanes)] @ model.trans if t else np.where(self.first[lanes, None], model.start, self.ahead[lanes] @ model.trans)
+            alpha = into * seen
+            scale = alpha.sum(1, keepdims=True)
+            alpha = alpha / scale
+            yield lanes, alpha, scale, seen
+
+    def groups(self) -> list[np.ndarray]:
+        """All stretches, LANES at a time."""
+        return np.array_split(np.arange(len(self.of)), max(1, -(-len(self.of) // LANES))) if len(self.of) else []
 
 
 def log_likelihoods(model: Model, seqs: list[np.ndarray]) -> np.ndarray:
     """Natural log of each sequence's probability by the scaled forward recursion; sequences are not empty."""
-    order, _, going, steps = _lanes(seqs)
-    total = np.zeros(len(seqs))
-    alpha = model.start * model.emit[steps[0]]
-    for t, g in enumerate(going):
-        if t:
-            alpha = (alpha[:g] @ model.trans) * model.emit[steps[t]]
-        scale = alpha.sum(1)
-        total[:g] += np.log(scale)
-        alpha = alpha / scale[:, None]
-    out = np.empty(len(seqs))
-    out[order] = total
-    return out
+    runs = Stretches(model, seqs, both=False)
+    total = np.zeros(len(runs.of))
+    for some in runs.groups():
+        for lanes, _, scale, _ in runs.forward(model, some):
+            total[lanes] += np.log(scale[:, 0])
+    return np.bincount(runs.of, weights=total, minlength=len(seqs))
 
 
 def expected_counts(model: Model, seqs: list[np.ndarray], start: np.ndarray, trans: np.ndarray, emit: np.ndarray) -> None:
     """Add the expected counts of the sequences, by forward and backward recursions."""
-    _, _, going, steps = _lanes(seqs)
-    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for t, g in enumerate(going):
-        seen = model.emit[steps[t]]
-        alpha = model.start * seen if not t else (kept[-1][0][:g] @ model.trans) * seen
-        scale = alpha.sum(1, keepdims=True)
-        kept.append((alpha / scale, scale, seen))
-    beta = np.ones((going[-1], len(start)))
-    gammas, change = [], np.zeros_like(trans)
-    for t in range(len(going) - 1, -1, -1):
-        alpha, scale, seen = kept[t]
-        gammas.append(alpha * beta)
-        if t:
+    runs = Stretches(model, seqs, both=True)
+    for some in runs.groups():
+        kept = list(runs.forward(model, some))
+        change, gammas = np.zeros_like(trans), []
+        last = np.zeros((len(runs.of), len(start)))  # the states' probabilities at each stretch's last token
+        for lanes, alpha, _, _ in kept:
+            last[lanes] = alpha
+        after = runs.behind[some] / (last[some] * runs.behind[some]).sum(1, keepdims=True)
+        tail = np.zeros_like(last)
+        tail[some] = after
+        beta = np.zeros((0, len(start)))
+        for t in range(len(kept) - 1, -1, -1):
+            lanes, alpha, scale, seen = kept[t]
+            # Stretches that end here come in with what follows them.
+            beta = np.concatenate([beta, tail[lanes[len(beta) :]]])
+            gammas.append(alpha * beta)
             ahead = seen * beta / scale
-            change += kept[t - 1][0][: going[t]].T @ ahead
-            beta = np.ones((going[t - 1], len(start)))
-            beta[: going[t]] = ahead @ model.trans.T
-    start += gammas[-1].sum(0)
-    trans += change * model.trans
-    classes, gamma = np.concatenate(steps[::-1]), np.concatenate(gammas)
-    for k in range(emit.shape[1]):
-        emit[:, k] += np.bincount(classes, weights=gamma[:, k], minlength=len(emit))
+            if t:
+                change += kept[t - 1][1][: len(lanes)].T @ ahead
+            else:
+                change += (runs.ahead[lanes] * ~runs.first[lanes, None]).T @ ahead
+            beta = ahead @ model.trans.T
+        start += gammas[-1][runs.first[kept[0][0]]].sum(0)
+        trans += change * model.trans
+        gamma = np.concatenate(gammas)
+        classes = np.concatenate([runs.flat[runs.begin[lanes] + t] for t, (lanes, *_) in reversed(list(enumerate(kept)))])
+        for k in range(emit.shape[1]):
+            emit[:, k] += np.bincount(classes, weights=gamma[:, k], minlength=len(emit))
 
 
 def _unpack(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -144,9 +220,7 @@ def step(encoded: DataFrame, model: Model, share: np.ndarray) -> Model:
         now = shared.value
         start, trans, emit = np.zeros(states), np.zeros((states, states)), np.zeros((n_classes, states))
         for block in blocks(batches, "classes", 1 << 19):
-            seqs = [s[i : i + SEGMENT] for s in _unpack(block) for i in range(0, len(s), SEGMENT)]
-            if seqs:
-                expected_counts(now, seqs, start, trans, emit)
+            expected_counts(now, _unpack(block), start, trans, emit)
         table = np.vstack([emit, trans, start])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(table)), pa.int32()), *[pa.array(table[:, k]) for k in range(states)]], names=["row", *columns])
 
@@ -157,7 +231,7 @@ def step(encoded: DataFrame, model: Model, share: np.ndarray) -> Model:
     return Model(start / start.sum(), trans / trans.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, steps: int = STEPS, n_classes: int = CLASSES, most_frequent: int = FREQUENT) -> DataFrame:
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, steps: int = STEPS, n_classes: int = CLASSES, n_tails: int = TAILS, most_frequent: int = FREQUENT) -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every document; scores are log10."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -166,30 +240,40 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     n_words, n_distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     train, distinct = n_words + n_texts, n_distinct + (n_texts > 0)
     top = frequent_words(counts, most_frequent)
-    known = spark.sparkContext.broadcast(({w: i for i, w in enumerate(top["word"])}, top["n"].to_numpy(np.int64)))
     n_own = min(n_classes, len(top))
-    other, end = n_own, n_own + 1
-    own_words = int(top["n"].iloc[:n_own].sum())
+    end = n_own + n_tails
+    own = spark.createDataFrame(pd.DataFrame({"word": top["word"].iloc[:n_own]}), "word binary")
+    tails = counts.join(F.broadcast(own), "word", "left_anti").groupBy((F.crc32(F.substring("word", -TAIL_BYTES, TAIL_BYTES)) % n_tails).cast("int").alias("tail"))
+    tails = tails.agg(F.sum("n"), F.count("*")).toArrow()  # n_tails rows at most
+    tail_n, tail_words = np.zeros(n_tails), np.zeros(n_tails)
+    tail_n[tails[0].to_numpy()], tail_words[tails[0].to_numpy()] = tails[1].to_numpy(), tails[2].to_numpy()
+    #: Of each tail class: its training tokens and distinct words, plus one for those never seen.
+    rest_scale = np.log10(tail_n + tail_words + 1)
+    number = {w: i for i, w in enumerate(top["word"])}
+    class_of = np.array([*range(n_own), *(n_own + tail_class(w, n_tails) for w in top["word"].iloc[n_own:])], np.uint16)
+    known = spark.sparkContext.broadcast((number, top["n"].to_numpy(np.int64), class_of))
     base_scale = np.log10(train + distinct + 1)
-    #: Of the words outside the classes: their training tokens and distinct words, plus one for those never seen.
-    rest_scale = np.log10(n_words - own_words + n_distinct - n_own + 1)
     end_base = float(np.log10(n_texts + 1) - base_scale)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, n = known.value
+        number, n, class_of = known.value
         find = number.get
-        base, rest = np.log10(n + 1) - base_scale, np.log10(n + 1) - rest_scale
+        base, rest = np.log10(n + 1) - base_scale, np.log10(n + 1)
         key = TaskContext.get().partitionId() << 40
         for block in blocks(batches, "t", 1 << 20):
             out = []
             for text in utf8(block, "t"):
                 words = text.lower().split()
                 ids = np.array([find(w, -1) for w in words], np.int64)
+                lost_at = np.flatnonzero(ids < 0).tolist()
                 seen = ids[ids >= 0]
-                classes = np.where((ids >= 0) & (ids < n_own), ids, other).astype("<u2")
-                packed = np.append(classes, np.uint16(end)).astype("<u2").tobytes()
-                lost = Counter([words[i] for i in np.flatnonzero(ids < 0).tolist()])
-                out.append((key, len(words) + 1, len(seen) + (n_texts > 0), float(base[seen].sum()) + end_base, float(rest[seen[seen >= n_own]].sum()), packed, [{"word": w, "k": k} for w, k in lost.items()]))
+                packed = np.full(len(ids) + 1, end, "<u2")
+                packed[:-1][ids >= 0] = class_of[seen]
+                packed[lost_at] = [n_own + tail_class(words[i], n_tails) for i in lost_at]
+                lost = Counter([words[i] for i in lost_at])
+                tail = packed[packed >= n_own][:-1] - n_own  # all but the end
+                share = float(rest[seen[seen >= n_own]].sum() - rest_scale[tail].sum())
+                out.append((key, len(words) + 1, len(seen) + (n_texts > 0), float(base[seen].sum()) + end_base, share, packed.tobytes(), [{"word": w, "k": k} for w, k in lost.items()]))
                 key += 1
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32())]))]
             names = ["key", "n_tokens", "n_seen", "base", "rest", "classes", "lost"]
@@ -198,9 +282,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     form = f"{schema_of(docs, id_col)}, learn boolean, key long, n_tokens long, n_seen long, base double, rest double, classes binary, lost array<struct<word:binary,k:int>>"
     encoded = durable(rows.mapInArrow(encode, form))
 
-    shares = np.zeros(n_own + 2)
-    shares[:n_own] = top["n"].iloc[:n_own]
-    shares[other], shares[end] = n_words - own_words, n_texts
+    shares = np.concatenate([top["n"].iloc[:n_own], tail_n, [n_texts]]).astype(float)
     model = first_model(shares, states)
     smooth = (shares + 1) / (shares + 1).sum()
     for _ in range(steps if n_texts else 0):
@@ -226,5 +308,5 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         (F.col("n_seen") + get("k_seen")).alias("n_known"),
         F.lit(train).cast("long").alias("train_tokens"),
         (F.col("base") + get("plus") - get("k") * float(base_scale)).alias("base_score"),
-        (F.col("hmm") + F.col("rest") + get("plus") - get("k") * float(rest_scale)).alias("score"),
+        (F.col("hmm") + F.col("rest") + get("plus")).alias("score"),
     )

@@ -29,7 +29,11 @@ def paths(m, seq):
         yield path, p
 
 
-def test_likelihood_and_counts_by_enumeration():
+@pytest.mark.parametrize(("piece", "lanes"), [(256, 1024), (2, 3), (1, 1), (3, 100)])
+def test_likelihood_and_counts_by_enumeration(monkeypatch, piece, lanes):
+    """Also where texts are cut into stretches that meet."""
+    monkeypatch.setattr(hmm, "PIECE", piece)
+    monkeypatch.setattr(hmm, "LANES", lanes)
     m, seqs = model(), [np.array(s) for s in ([1, 0, 4, 2], [3], [2, 2, 2, 1, 0], [0, 4])]
     got = hmm.log_likelihoods(m, seqs)
     assert got == pytest.approx([math.log(sum(p for _, p in paths(m, s))) for s in seqs])
@@ -53,6 +57,36 @@ def test_probabilities_sum_to_one():
     assert sum(math.exp(hmm.log_likelihoods(m, [np.array(s)])[0]) for s in itertools.product(range(5), repeat=3)) == pytest.approx(1)
 
 
+def test_a_text_of_millions_of_tokens():
+    """Memory for a token stays a few bytes, and its likelihood is that of the plain recursion."""
+    import tracemalloc
+
+    m, seq = model(8, 300), np.random.default_rng(2).integers(0, 300, 3_000_000).astype("<u2")
+    tracemalloc.start()
+    got = hmm.log_likelihoods(m, [seq])
+    counts = np.zeros(8), np.zeros((8, 8)), np.zeros((300, 8))
+    hmm.expected_counts(m, [seq], *counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250e6 and counts[2].sum() == pytest.approx(len(seq)) and counts[1].sum() == pytest.approx(len(seq) - 1)
+    short, alpha, total = seq[:20_000], m.start * m.emit[seq[0]], 0.0
+    for x in [None, *short[1:]]:
+        alpha = alpha if x is None else (alpha @ m.trans) * m.emit[x]
+        total += math.log(alpha.sum())
+        alpha = alpha / alpha.sum()
+    assert hmm.log_likelihoods(m, [short, seq[:5]])[0] == pytest.approx(total) and got[0] < total
+
+
+def test_tail_classes_agree(spark):
+    """Spark and Python put a word in the same class."""
+    from pyspark.sql import functions as F
+
+    words = ["a", "ab", "abc", "abcd", "\u00fc\u00df", "x" * 50, "e\u0301t"]
+    df = spark.createDataFrame([(w.encode(),) for w in words], "word binary")
+    rows = df.select("word", (F.crc32(F.substring("word", -hmm.TAIL_BYTES, hmm.TAIL_BYTES)) % 97).alias("c")).collect()
+    assert all(hmm.tail_class(bytes(r.word), 97) == r.c for r in rows)
+
+
 def check_base(docs, got, learn):
     seen = Counter()
     for i, text in docs:
@@ -72,7 +106,7 @@ def test_documents(spark, sf):
     import zlib
 
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    got = hmm.score(docs, remainder("doc_id", 7) != 2, n_classes=50, most_frequent=300, steps=2).collect()
+    got = hmm.score(docs, remainder("doc_id", 7) != 2, n_classes=50, n_tails=7, most_frequent=300, steps=2).collect()
     learn = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 != 2
     check_base([(r.doc_id, r.text) for r in docs.collect()], got, learn)
 
@@ -92,10 +126,34 @@ def test_words_given_their_class_sum_to_one(spark):
     words = ["a", "b", "c", "d", "e", "f", "unseen"]
     more = [(100 + i, f"{x} {y}") for i, (x, y) in enumerate(itertools.product(words, words))]
     df = spark.createDataFrame(rows + more, "doc_id long, text string")
-    got = hmm.score(df, df["doc_id"] < 10, n_classes=2, most_frequent=3, steps=3)
+    got = hmm.score(df, df["doc_id"] < 10, n_classes=2, n_tails=2, most_frequent=3, steps=3)
     assert 0 < sum(10**r.score for r in got.where("doc_id >= 100").collect()) <= 1
 
 
+def test_scores_from_counts_alone(spark):
+    """One state: the score is each class's smoothed share and each tail word's add-one share of its class, by hand."""
+    rows = [(1, "a a a b b c dd"), (2, "a b eé"), (3, "a zz c c")]
+    df = spark.createDataFrame([*rows, (9, "a b zz dd new"), (10, None)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in hmm.score(df, df["doc_id"] < 9, states=1, steps=3, n_classes=2, n_tails=3, most_frequent=4).collect()}
+    seen = Counter(w for _, t in rows for w in t.encode().split())
+    own = sorted(seen, key=lambda w: (-seen[w], w))[:2]
+    cls = lambda w: own.index(w) if w in own else 2 + hmm.tail_class(w, 3)
+    shares = np.zeros(6)
+    for w, n in seen.items():
+        shares[cls(w)] += n
+    shares[5] = len(rows)
+    emit = shares + (shares + 1) / (shares + 1).sum()  # the counts, smoothed by the classes' shares
+    emit /= emit.sum()
+    for i, text in [*rows, (9, "a b zz dd new"), (10, "")]:
+        want = math.log10(emit[5])
+        for w in text.encode().split():
+            want += math.log10(emit[cls(w)])
+            if w not in own:
+                mates = [x for x in seen if x not in own and cls(x) == cls(w)]
+                want += math.log10((seen[w] + 1) / (sum(seen[x] for x in mates) + len(mates) + 1))
+        assert got[i] == pytest.approx(want), i
+
+
 def test_held_out_texts_score_above_the_base(spark):
     got = queries.op8_hmm_score(spark, "/root/testdata/sf0.01").where("held_out").toPandas()
     assert got.score.sum() > got.base_score.sum() and (got.score > got.base_score).mean() > 0.8
