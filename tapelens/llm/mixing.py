@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapelens.llm.common import WORD, bounded, by_id, durable, free, schema_of
+from tapelens.llm.common import WORD, bounded, by_id, durable, free, lookup, schema_of
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
@@ -34,15 +34,30 @@ LARGE = 0.002
 PER_BUCKET, FAN_IN = 2_000, 64
 
 
+def numbered(table: DataFrame, column: str) -> DataFrame:
+    """The table with `place`, the number of each row in the order of the column, nulls last.
+
+    Ranges are sorted each by itself; only how many rows each range has comes to the driver.
+    """
+    dealt = durable(table.repartitionByRange(F.col(column).asc_nulls_last()).withColumn("range", F.spark_partition_id()))
+    before, total = [], 0
+    for row in dealt.groupBy("range").count().orderBy("range").collect():
+        before += [F.lit(row["range"]), F.lit(total)]
+        total += row["count"]
+    inner = F.row_number().over(Window.partitionBy("range").orderBy(F.col(column).asc_nulls_last())) - 1
+    first = F.create_map(*before)[F.col("range")] if before else F.lit(0)
+    return dealt.withColumn("place", inner + first).drop("range")
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """(source, source_size, target): shares of the whole by weight, no more than `most` times the source's size.
 
     sizes: (source, source_size), a row for each source. What a source cannot take is shared anew by
     weight until all fit; every round settles a source at least, and usually all that will be.
     """
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1  # a row for each source, in one task
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (place % len(weights) + 1).cast("int"))
-    table = durable(sizes.select("source", "source_size", weight.alias("weight"), (most * F.col("source_size")).cast("double").alias("cap")))
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    table = numbered(sizes.select("source", "source_size"), "source")
+    table = durable(table.select("source", "source_size", weight.alias("weight"), (most * F.col("source_size")).cast("double").alias("cap")))
     level, full = None, 0
     while True:
         over = F.lit(False) if level is None else F.col("cap") <= level * F.col("weight")
@@ -137,47 +152,51 @@ def _settler(seed: int, last: bool) -> Callable[[pa.Table], pa.Table]:
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
     """(id, source, size, source_size, target, copies, taken) of every document."""
     size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
+    # A null source is looked up by a mark of its own: sources get a letter before them.
+    key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("-")).alias("_source")
     slim = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"))
     slim = durable(slim.withColumn("draw", F.xxhash64("id", "size", F.lit(seed))))
-    per_source = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    per_source = durable(per_source)
+    n_docs = slim.count()
+    per_source = durable(slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")))
     large = F.col("size") > LARGE * F.col("source_size")
     goals = targets(per_source.select("source", "source_size"), weights, most)
-    goals = goals.join(per_source.select(F.col("source").alias("_s"), "n"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    goals = durable(goals.withColumn("copies", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)).withColumn("buckets", F.ceil(F.col("n") / PER_BUCKET).cast("int")))
-    key = [F.col(c) for c in ("source", "source_size", "target", "n", "copies", "buckets")]
-    goals = goals.select(F.col("source").alias("_source"), *key[1:])
-    rows = slim.join(goals, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    rows = rows.withColumn("fraction", F.col("copies") - F.floor("copies")).withColumn("large", large)
+    goals = goals.select(key, "target").join(per_source.select(key, "source_size", "n"), "_source")
+    copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    goals = durable(goals.select("_source", "source_size", "target", "n", copies.alias("copies"), F.ceil(F.col("n") / PER_BUCKET).cast("int").alias("buckets")))
+    # Large sources are broadcast, the rows of the others shuffled to theirs.
+    rows = lookup(slim.select(key, "*"), goals.withColumn("n_rows", F.col("n")), ["_source"], "n_rows", n_docs)
+    rows = durable(rows.withColumn("fraction", F.col("copies") - F.floor("copies")).withColumn("large", large))
+    # From here on a row carries all it needs of its source.
+    base_columns = ["id", "source", "size", "draw", "source_size", "target", "copies"]
 
     parts = rows.groupBy("source").agg(F.sum(F.when(large, 0).otherwise(F.col("size"))).alias("small"))
     big = rows.where("large").join(parts.select(F.col("source").alias("_s"), "small"), F.col("source").eqNullSafe(F.col("_s")))
     kind = schema_of(docs, id_col, "id")
-    base = f"{kind}, source string, size long, draw long"
-    big = big.select("id", "source", "size", "draw", "fraction", "small").groupBy("source")
-    big = durable(big.applyInArrow(lambda t: _settle_large(t, seed), f"{base}, fraction double, small long, up boolean, shift double"))
-    shifts = big.groupBy(F.col("source").alias("_s")).agg(F.first("shift").alias("shift"))
-    small = rows.where("not large").join(shifts, F.col("source").eqNullSafe(F.col("_s")), "left")
+    base = f"{kind}, source {docs.schema[source_col].dataType.simpleString()}, size long, draw long, source_size long, target double, copies double"
+    big = big.select(*base_columns, "_source", "n", "fraction", "small").groupBy("source")
+    big = durable(big.applyInArrow(lambda t: _settle_large(t, seed), f"{base}, _source string, n long, fraction double, small long, up boolean, shift double"))
+    shifts = big.groupBy("_source", "n").agg(F.first("shift").alias("shift"))
+    small = lookup(rows.where("not large").drop("n"), shifts, ["_source"], "n", n_docs, "left")
     chance = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("fraction") + F.coalesce("shift", F.lit(0.0))))
-    small = small.select("id", "source", "size", "draw", (chance * F.col("size")).alias("mass"), F.pmod("draw", "buckets").cast("int").alias("bucket"))
+    small = small.select(*base_columns, (chance * F.col("size")).alias("mass"), F.pmod("draw", "buckets").cast("int").alias("bucket"))
+    kept = ["id", "source", "size", "source_size", "target", "copies", "up"]
     most_buckets = goals.agg(F.max("buckets")).first()[0] or 1
     form = f"{base}, mass double, bucket int, up boolean"
     level = durable(small.groupBy("source", "bucket").applyInArrow(_settler(seed, False), form))
-    settled, still = [big.select("id", "source", "size", "up"), level.where("up is not null").select("id", "source", "size", "up")], level.where("up is null").drop("up")
+    settled, still = [big.select(*kept), level.where("up is not null").select(*kept)], level.where("up is null").drop("up")
     while True:
         last, most_buckets = most_buckets <= FAN_IN, -(-most_buckets // FAN_IN)
         merged = still.withColumn("bucket", F.expr(f"cast(bucket div {FAN_IN} as int)")).groupBy("source", "bucket")
         level = durable(merged.applyInArrow(_settler(seed, last), form))
-        settled.append(level.where("up is not null").select("id", "source", "size", "up"))
+        settled.append(level.where("up is not null").select(*kept))
         if last:
             break
         still = level.where("up is null").drop("up")
     every = settled[0]
     for part in settled[1:]:
         every = every.unionByName(part)
-    out = every.join(goals, F.col("source").eqNullSafe(F.col("_source")))
     copies = (F.floor("copies") + F.col("up").cast("int")).cast("int")
-    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", copies.alias("n_copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return every.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", copies.alias("n_copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 0) -> DataFrame:

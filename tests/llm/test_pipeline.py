@@ -1,7 +1,8 @@
 import posixpath
 from collections import Counter
 
-from tests.llm.test_simhash import fingerprint, reach
+from pyspark.sql import functions as F
+from tests.llm.test_simhash import shingles
 
 import corpus_pipeline
 from tapelens.llm import exact_dedup, language_id
@@ -25,16 +26,27 @@ def test_stages(spark, tmp_path):
         if name != "sentencepiece":
             assert docs.columns == COLUMNS
     given, left = seen["language_id"]
-    assert sorted(left) == sorted(r for r in given if language_id.has_letter(r.text or ""))
+    table = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long")
+    tree = language_id.train(table, F.lit(True))
+    bits, alone = tree.lengths([r.text or "" for r in given])
+    fits = [language_id.has_letter(r.text or "") and min(b) <= a + language_id.MARGIN for r, b, a in zip(given, bits, alone, strict=True)]
+    assert sorted(left) == sorted(r for r, f in zip(given, fits, strict=True) if f)
     given, left = seen["exact_dedup"]
     best = {}
     for r in given:
         best.setdefault(bare(r.text), []).append((-len(r.text or ""), r.doc_id))
     assert sorted(r.doc_id for r in left) == sorted(min(g)[1] for g in best.values())
     given, left = seen["simhash_near_dedup"]
-    given = sorted(given)
-    roots = reach([fingerprint(r.text) for r in given])
-    assert sorted(left) == sorted(given[i] for i in set(roots))
+    sets = {r.doc_id: shingles(r.text) for r in given}
+    stays = {r.doc_id for r in left}
+    holders = {}
+    for i, found in sets.items():
+        for x in found:
+            holders.setdefault(x, []).append(i)
+    alike = {(a, b) for ids in holders.values() if len(ids) < 200 for a in ids for b in ids if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    linked = {i for pair in alike for i in pair}
+    assert stays <= set(sets) and all(i in stays for i in sets if i not in linked and len(sets[i]) > 0)
+    assert sum(a in stays and b in stays for a, b in alike) <= 0.1 * len(alike)
     given, left = seen["mixing"]
     times = Counter(r.doc_id for r in left)
     assert set(left) <= set(given) and max(times.values()) <= 3 and abs(sum(len(r.text.split()) for r in left) - sum(len(r.text.split()) for r in given)) < 0.05 * sum(len(r.text.split()) for r in given)
@@ -52,6 +64,17 @@ def test_run_and_odd_rows(spark, odd):
     assert exact_dedup.exact_groups(docs).count() == docs.count()
 
 
+def test_language_stage_follows_the_prediction(spark):
+    """Noise in known letters goes; known languages, rows without a language, and a corpus without any language stay."""
+    noise = "xqz jvw kkq zzx qvj wxz " * 20
+    rows = [(i, f"the cat and the dog sat on the mat number {'abcdefghij'[i % 10]}" * 3, "en", "a", 1) for i in range(60)]
+    rows += [(100, noise, None, "a", 1), (101, "the dog sat on the cat and the mat", None, "a", 1), (102, None, "en", "a", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stay = lambda d: {r.doc_id for r in corpus_pipeline.identify_language(spark, d, "").collect()}
+    assert stay(df) == {*range(60), 101}
+    assert stay(df.withColumn("lang", F.lit(None).cast("string"))) == {*range(60), 100, 101}
+
+
 def test_empty(spark, none):
     docs = none
     for _, stage in corpus_pipeline.STAGES:
