@@ -21,7 +21,44 @@ def test_gear_hash_by_definition():
         if h >> 15 & 15 == 0:
             want += [i] * (i - before >= chunk_dedup.LEAST)
             before = i
-    assert got.tolist() == want
+    assert set(want) <= set(got.tolist()) and len(got) < 1.1 * len(want)
+    assert set(got.tolist()) - set(want) == set(chunk_cuts(line, want))
+
+
+def chunk_cuts(line, edges):
+    """The further cuts in long chunks, by definition."""
+    out, table, near = [], chunk_dedup.gear(), chunk_dedup.NEAR
+    value = [sum(int(table[b]) << (chunk_dedup.WINDOW - 1 - k) for k, b in enumerate(line[max(0, i - 15) : i + 1])) % (1 << 32) for i in range(len(line))]
+    for a, b in zip(edges, [*edges[1:], len(line)], strict=True):
+        last = a - chunk_dedup.LEAST
+        for i in range(a, b) if b - a > chunk_dedup.LONG else ():
+            if value[i] == min(value[max(a, i - near) : min(b, i + near + 1)]) and i + 1 >= chunk_dedup.WINDOW and i + 1 - last >= chunk_dedup.LEAST and a + chunk_dedup.LEAST <= i + 1 <= b - chunk_dedup.LEAST:
+                out.append(i + 1)
+                last = i + 1
+    return out
+
+
+def test_periodic_stretches_meet(spark):
+    """Stretches that repeat a phrase of one to ten words, of different lengths and among different texts, are found."""
+    draw, rows, texts = random.Random(9), [], []
+    for n in (1, 1, 1, 2, 3, 5, 8, 10):
+        phrase = words(draw, n)
+        for _ in range(2):
+            rows.append((len(rows), " ".join([*words(draw, draw.randint(5, 40)), *(phrase * 80)[: draw.randint(70, 75)], *words(draw, draw.randint(5, 40))])))
+    found = {r.doc_id for r in chunk_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == set(range(len(rows)))
+
+
+def test_a_chunk_that_is_everywhere(spark, monkeypatch):
+    """Hot chunks are dealt over tasks with the same result."""
+    draw = random.Random(11)
+    line = " ".join(words(draw, 60))
+    rows = [(i, " ".join([*words(draw, 20), line, *words(draw, 20)])) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    want = sorted(map(tuple, chunk_dedup.repeated_passages(df).collect()))
+    monkeypatch.setattr(chunk_dedup, "LEAST_HOT", 3)
+    assert sorted(map(tuple, chunk_dedup.repeated_passages(df).collect())) == want and len(want) == 200
+    assert sum(r[4] > 0 for r in want) == 199
 
 
 def test_chunks_cover_texts_and_resist_shifts():
@@ -83,7 +120,7 @@ def test_documents(spark):
     docs = [(r.doc_id, r.text) for r in queries.documents(spark, sf).collect()]
     found = {r.doc_id for r in queries.op9_chunk_dedup(spark, sf).collect()}
     must, may = sharing(docs, 50), sharing(docs, 15)
-    assert len(must - found) <= 0.01 * len(must) and not found - may
+    assert len(must - found) <= 0.01 * len(must) and len(found - may) <= 0.01 * len(found)
 
 
 def test_odd_rows(odd, none):
