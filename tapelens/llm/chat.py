@@ -8,7 +8,8 @@ template; the loss mask covers what assistants say, without the marks.
 Messages are sorted by conversation and turn and rendered in a stream, so a conversation of any
 length needs one turn's memory.
 
-Defined results: a null text is empty, a null role too. Turns are ordered by (turn, role, text),
+Defined results: a null text is empty, a null role too. A part without a type is text, a null part
+nothing, and a part of an unknown type an attachment with a placeholder of its own. Turns are ordered by (turn, role, text),
 null turns last. A null conversation is one of its own. Repeated rows are turns of their own. An
 empty table gives an empty result. Other columns are not read.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tapelens.llm.common import schema_of, small_batches
 
-START, END = "<|im_start|>", "<|im_end|>"
+START, END, OTHER = "<|im_start|>", "<|im_end|>", "<|attachment|>"
 TRAINED = "assistant"
 #: Tokens for one unit of an attachment: an image tile, a second of sound, a page.
 TOKENS = {"image": 256, "audio": 25, "document": 600}
@@ -62,8 +63,10 @@ class PartVisitor:
         self.pieces.append(piece)
         self.length += len(piece)
 
-    def visit(self, part: dict) -> None:
-        getattr(self, f"visit_{part['type'] or 'text'}")(part)
+    def visit(self, part: dict | None) -> None:
+        if part is not None:
+            kind = part["type"] or "text"
+            getattr(self, f"visit_{kind if kind == 'text' or kind in TOKENS else 'other'}")(part)
 
     def visit_text(self, part: dict) -> None:
         self._add(escape(part["text"] or ""))
@@ -76,6 +79,11 @@ class PartVisitor:
 
     visit_image = visit_audio = visit_document = _attach
 
+    def visit_other(self, part: dict) -> None:
+        """A part of an unknown type: its type and reference are kept, and a token for each unit."""
+        self.attachments.append({"offset": self.length, "type": part["type"], "ref": part["ref"], "tokens": max(1, part["units"] or 1)})
+        self._add(OTHER)
+
 
 def text_parts(text_col: str = "text") -> Column:
     """The parts of a message that is one text."""
@@ -120,7 +128,7 @@ def format_turns(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """A row for each conversation, from the rendered text and loss spans of format_turns alone."""
+    """A row for each conversation, from the rendered text and loss spans of format_turns alone, in any order of rows."""
     form = f"{schema_of(formatted, 'conv')}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     names = ["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     kind = next(f for f in formatted.schema if f.name == "conv").dataType
@@ -150,4 +158,5 @@ def read_back(formatted: DataFrame) -> DataFrame:
             last_row = (conv, n, turns.hexdigest(), chars, said.hexdigest(), total)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(last_row, types, strict=True)], names=names)
 
-    return formatted.mapInArrow(run, form)
+    wanted = formatted.select("conv", "start", "rendered", "loss_start", "loss_end")
+    return wanted.repartition("conv").sortWithinPartitions("conv", "start").mapInArrow(run, form)

@@ -4,9 +4,9 @@ Statistics of every text are compared with cutoffs. A cutoff is learned for each
 statistic from labelled documents: of all cutoffs, from the laxest on, those are certified for which
 an exact binomial test rejects "more than the allowed share of good documents falls": P(X <= k) for
 k of n good ones, at a level divided by the number of strata and statistics (Bonferroni), in fixed
-sequence until the first that fails. The allowed share is divided by the number of statistics, so a
-stratum loses no more than RISK of its good documents, with confidence 1 - DELTA over all strata at
-once. Of the certified cutoffs the one that pays best is used (bad documents caught less
+sequence until the first that fails. The allowed share is divided by the number of statistics, so of
+the good documents of a stratum that pass the base rules no more than RISK fall to the cutoffs, with
+confidence 1 - DELTA over all strata at once; base rules are fixed and promise nothing. Of the certified cutoffs the one that pays best is used (bad documents caught less
 GOOD_WEIGHT times good ones lost); where none is certified or pays, nothing is rejected.
 
 Defined results: a null text has no words. Documents without a stratum value share one stratum.

@@ -38,6 +38,24 @@ def test_parts(spark):
     assert got[3].start == len(got[2].rendered) and got[2].loss_start == got[2].loss_end
 
 
+def test_unknown_parts_and_rows_in_any_order(spark):
+    rows = [
+        (1, 0, "user", [("video", None, "a.mp4", 7), ("text", "x", None, None), (None, "y", None, None), None]),
+        (1, 1, "assistant", [("text", "one", None, None), ("hologram", None, None, None), ("image", None, "i.png", None)]),
+        (1, 2, "assistant", [("text", "two", None, None)]),
+    ]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}")
+    formatted = chat.format_turns(df, parts=F.col("parts"))
+    got = sorted(formatted.collect(), key=lambda r: r.turn)
+    assert got[0].rendered == "<|im_start|>user\n<|attachment|>xy<|im_end|>\n"
+    assert [(a.type, a.ref, a.tokens) for r in got for a in r.attachments] == [("video", "a.mp4", 7), ("hologram", None, 1), ("image", "i.png", 256)]
+    assert all(r.rendered[a.offset :].startswith(chat.OTHER if a.type not in chat.TOKENS else f"<|{a.type}|>") for r in got for a in r.attachments)
+    again = spark.createDataFrame(got[::-1], formatted.schema).repartition(3)
+    read = chat.read_back(again).collect()
+    text = "user\n<|attachment|>xy\n" + "assistant\none<|attachment|><|image|>\n" + "assistant\ntwo\n"
+    assert [(r.n_turns, r.turns_sha256, r.loss_sha256) for r in read] == [(3, sha(text), sha("one<|attachment|><|image|>two"))]
+
+
 def test_odd_rows(spark):
     rows = [(None, 1, "user", "x"), (None, None, None, None), (3, 2, "assistant", ""), (3, 1, "assistant", "b\u00e9"), (3, 1, "assistant", "b\u00e9"), (4, 0, "sys\ntem", "y" * 100000), (5, 0, "user", "a"), (5, 0, "assistant", "a")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, rendered string")

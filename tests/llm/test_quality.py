@@ -62,3 +62,39 @@ def test_verdicts_on_labels(spark):
     got = queries.op10_quality_rules(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed").toPandas()
     assert 1 - got[got.quality == 1].kept.mean() <= quality.RISK
     assert got[got.quality == 0].kept.mean() < 0.2
+
+
+def shares(text):
+    """The bins of the four statistics, from the words and lines themselves."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    chars = max(1, sum(map(len, words)))
+    stutters = sum(a == b for a, b in zip(words, words[1:], strict=False))
+    of = [len(re.findall(r"[#*$%&|<>]", text)) / chars, len(re.findall("[A-Z]", text)) / chars, stutters / max(1, len(words)), (len(lines) - len(set(lines))) / max(1, len(lines))]
+    return [min(quality.BINS, math.floor(x * quality.BINS)) for x in of]
+
+
+def test_kept_by_brute_force(spark):
+    """The verdict of every document, with cutoffs found by trying all of them under the exact binomial law."""
+    sf = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r for r in queries.documents(spark, sf).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    base = {i: (b := brute(r.text))[0] < 20 or 100 * b[4] > 30 * b[0] for i, r in docs.items()}
+    bins = {i: shares(r.text) for i, r in docs.items()}
+    held = [i for i in docs if i in labels and not base[i]]
+    strata = sorted({docs[i].lang or "" for i in held})
+    cut = {}
+    for lang in strata:
+        for k in range(4):
+            own = [(bins[i][k], labels[i]) for i in held if (docs[i].lang or "") == lang]
+            n, best = sum(q > 0 for _, q in own), 0
+            for c in range(quality.BINS, -1, -1):
+                lost, caught = sum(b >= c and q > 0 for b, q in own), sum(b >= c and q <= 0 for b, q in own)
+                p = quality.RISK / 4
+                if sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(lost + 1)) > quality.DELTA / (4 * len(strata)):
+                    break
+                if caught - quality.GOOD_WEIGHT * lost > best:
+                    best, cut[lang, k] = caught - quality.GOOD_WEIGHT * lost, c
+    want = {i: not base[i] and all(bins[i][k] < cut.get((r.lang or "", k), math.inf) for k in range(4)) for i, r in docs.items()}
+    assert {r.doc_id: r.kept for r in queries.op10_quality_rules(spark, sf).collect()} == want
