@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapelens.functions.columns import path_date
@@ -107,12 +107,19 @@ def member_profile(members: DataFrame) -> DataFrame:
 
 def group_profile(profiles: DataFrame, by: list[str]) -> DataFrame:
     """Per group of members: members, rows, schema variants, hints, time range, first ten examples."""
-    return profiles.groupBy(*by).agg(
+    place = F.dense_rank().over(Window.partitionBy(*by).orderBy("source_file"))
+    first = profiles.select(*by, "source_file").withColumn("place", place).where("place <= 10").groupBy(*by).agg(F.sort_array(F.collect_set("source_file")).alias("examples"))
+    out = profiles.groupBy(*by).agg(
         F.count("*").alias("member_count"),
         F.sum("row_count").alias("row_count"),
         F.count_distinct("schema_hash").alias("schema_count"),
         F.array_join(F.sort_array(F.collect_set("table_hint")), ",").alias("table_hints"),
         F.min("min_time").alias("min_time"),
         F.max("max_time").alias("max_time"),
-        F.slice(F.sort_array(F.collect_set("source_file")), 1, 10).alias("examples"),
     )
+    return out.join(first, by, "left")
+
+
+def schema_totals(profiles: DataFrame) -> DataFrame:
+    """Per schema, over all groups: its table hint, members, rows and groups."""
+    return profiles.groupBy("schema_hash", "table_hint", "column_count").agg(F.count("*").alias("member_count"), F.sum("row_count").alias("row_count"), F.count_distinct("raw_group").alias("group_count"))

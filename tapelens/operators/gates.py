@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -91,7 +93,7 @@ def method_gate(usage: DataFrame) -> DataFrame:
 
 def term_scan(docs: DataFrame, terms: list[tuple[str, str]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """How often each term of a policy occurs in each text: (id, term, kind, n), where it does. terms: a short fixed list of (term, kind), matched as words."""
-    hits = [F.struct(F.lit(t).alias("term"), F.lit(k).alias("kind"), F.regexp_count(F.lower(text_col), F.lit(rf"(?<![\p{{L}}\p{{N}}_]){t}(?![\p{{L}}\p{{N}}_])")).cast("bigint").alias("n")) for t, k in terms]
+    hits = [F.struct(F.lit(t).alias("term"), F.lit(k).alias("kind"), F.regexp_count(F.lower(text_col), F.lit(rf"(?<![\p{{L}}\p{{N}}_]){re.escape(t)}(?![\p{{L}}\p{{N}}_])")).cast("bigint").alias("n")) for t, k in terms]
     return docs.select(id_col, F.explode(F.filter(F.array(*hits), lambda h: h["n"] > 0)).alias("h")).select(id_col, "h.*")
 
 

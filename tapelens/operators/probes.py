@@ -130,18 +130,47 @@ def tick_moves(trades: DataFrame, by: list[str], chunk: str, order: list[str]) -
     )
 
 
-def direction_contrast(moves: DataFrame, by: list[str]) -> DataFrame:
-    """A row for each direction code of a group: its share, side rates, move rates, sizes. A null code is a group."""
+def exact_percentiles(df: DataFrame, by: list[str], column: str, shares: dict[str, float], bins: int = 4096) -> DataFrame:
+    """(key, a column for each share): interpolated percentiles of a group's values; key is a struct of `by`.
+
+    Values are counted, and the counts summed over equal ranges of values, to find the few ranges that hold the wanted
+    places; only those are sorted. So no task holds all values of a group. The broadcast sides have a row for each
+    group (days by codes), or two for each share.
+    """
+    values = df.where(F.col(column).isNotNull()).groupBy(F.struct(*by).alias("key"), F.col(column).cast("double").alias("value")).agg(F.count("*").alias("n"))
+    whole = values.groupBy("key").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total"))
+    ranged = values.join(F.broadcast(whole), "key")
+    at = F.when(F.col("high") > F.col("low"), F.least(F.lit(bins - 1), F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * bins))).otherwise(0)
+    ranged = ranged.withColumn("bin", at.cast("int"))
+    place = {name: share * (F.col("total") - 1) for name, share in shares.items()}
+    wanted = F.array(*[f(p) for p in place.values() for f in (F.floor, F.ceil)])
+    before = lambda n, window: F.coalesce(F.sum(n).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    held = ranged.groupBy("key", "total", "bin").agg(F.sum("n").alias("rows")).withColumn("first", before("rows", Window.partitionBy("key").orderBy("bin")))
+    held = held.where(F.exists(wanted, lambda p: (p >= F.col("first")) & (p < F.col("first") + F.col("rows")))).select("key", "bin", "first")
+    inside = ranged.join(F.broadcast(held), ["key", "bin"])
+    inside = inside.withColumn("first", F.col("first") + before("n", Window.partitionBy("key", "bin").orderBy("value")))
+    of = lambda p: F.max(F.when((p >= F.col("first")) & (p < F.col("first") + F.col("n")), F.col("value")))
+    found = inside.groupBy("key", "total").agg(*[of(f(p)).alias(f"{name}_{f.__name__}") for name, p in place.items() for f in (F.floor, F.ceil)])
+    return found.select("key", *[(F.col(f"{name}_floor") + (p - F.floor(p)) * (F.col(f"{name}_ceil") - F.col(f"{name}_floor"))).alias(name) for name, p in place.items()])
+
+
+def direction_sizes(trades: DataFrame, by: list[str]) -> DataFrame:
+    """(key, medians and 90th percentiles of volume and turnover) of each direction code of a group; key is a struct of `by` and Dir."""
+    shares = lambda c: {f"{c}_median": 0.5, f"{c}_p90": 0.9}
+    volume = exact_percentiles(trades, [*by, "Dir"], "Volume", shares("volume"))
+    return volume.join(exact_percentiles(trades.withColumn("turnover_proxy", turnover()), [*by, "Dir"], "turnover_proxy", shares("turnover_proxy")), "key", "full")
+
+
+def direction_contrast(moves: DataFrame, by: list[str], sizes: DataFrame | None = None) -> DataFrame:
+    """A row for each direction code of a group: its share, side rates, move rates, and sizes if given (`direction_sizes`). A null code is a group."""
     out = moves.groupBy(*by, "Dir").agg(
         F.count("*").alias("row_count"),
         *[F.avg(F.col(c).cast("int")).alias(f"{c}_rate") for c in PRESENCE_RATES],
         F.count_if("move_tested").alias("move_tested_count"),
         *[F.avg(c).alias(f"{c}_rate") for c in MOVE_RATES],
-        F.median("Volume").alias("volume_median"),
-        F.percentile("Volume", 0.9).alias("volume_p90"),
-        F.median("turnover_proxy").alias("turnover_proxy_median"),
-        F.percentile("turnover_proxy", 0.9).alias("turnover_proxy_p90"),
     )
+    if sizes is not None:
+        out = out.withColumn("key", F.struct(*by, "Dir")).join(sizes, "key", "left").drop("key")
     whole = F.sum("row_count").over(Window.partitionBy(*by))  # a few codes in a group
     return out.withColumn("row_share", rate(F.col("row_count"), whole))
 
@@ -157,7 +186,10 @@ def contrast_gaps(contrast: DataFrame, mix: DataFrame, by: list[str]) -> DataFra
     rates = [f"{c}_rate" for c in (*PRESENCE_RATES, *MOVE_RATES)]
     pick = lambda code, c: F.max(F.when(F.col("Dir") == code, F.col(c))).alias(f"{c}_{code}")
     wide = contrast.groupBy(*by).agg(*[pick(code, c) for code in (0, 1, 2) for c in (*rates, "row_count")])
-    gap = lambda names, left, right: sum((F.abs(left(c) - right(c)) for c in names), F.lit(0.0)) / len(names)
+    # The mean over what is there: a rate that a code lacks is left out.
+    apart = lambda names, left, right: F.filter(F.array(*[F.abs(left(c) - right(c)) for c in names]), F.isnotnull)
+    mean = lambda list_: F.when(F.size(list_) > 0, F.aggregate(list_, F.lit(0.0), lambda a, x: a + x) / F.size(list_))
+    gap = lambda names, left, right: mean(apart(names, left, right))
     of = lambda code: lambda c: F.col(f"{c}_{code}")
     pooled = lambda c: (F.col(f"{c}_1") + F.col(f"{c}_2")) / 2
     sides, moves = [f"{c}_rate" for c in PRESENCE_RATES], [f"{c}_rate" for c in MOVE_RATES]
@@ -173,8 +205,9 @@ def contrast_gaps(contrast: DataFrame, mix: DataFrame, by: list[str]) -> DataFra
         *by,
         *[(F.col(f"{c}_rate_1") - F.col(f"{c}_rate_2")).alias(f"{c}_gap") for c in MOVE_RATES],
         gap(sides, of(1), of(2)).alias("linkage_gap"),
+        gap(moves, of(1), of(2)).alias("price_move_gap"),
         F.coalesce("same", F.lit(False)).alias("bucket_uptick_consistent"),
-        ((gap(sides, of(0), pooled) + gap(moves, of(0), pooled) + F.col("bucket_distance")) / 3).alias("dir0_specialness"),
+        mean(F.filter(F.array(gap(sides, of(0), pooled), gap(moves, of(0), pooled), F.col("bucket_distance")), F.isnotnull)).alias("dir0_specialness"),
     )
 
 
@@ -213,11 +246,11 @@ def trajectories(orders: DataFrame, by: list[str], order: list[str]) -> DataFram
 
 
 def ordertype_probe(orders: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """Event codes per group: rows, codes, orders of one and several codes, patterns, status."""
+    """Event codes per group: rows, codes, orders of one and several codes, patterns and the three most frequent, status."""
     base = orders.groupBy(*by).agg(F.count("*").alias("tested_rows"), F.count("OrderType").alias("nonnull_count"), F.count_distinct("OrderType").alias("distinct_values"))
     paths = trajectories(orders, by, order)
     per = paths.groupBy(*by).agg(F.count("*").alias("distinct_orderids"), F.count_if(F.col("n_types") == 1).alias("single_type_orderids"), F.count_if(F.col("n_types") > 1).alias("multi_type_orderids"), F.count_distinct("pattern").alias("pattern_count"))
-    out = base.join(per, by, "left").join(top_values(orders, by, "OrderType"), by, "left")
+    out = base.join(per, by, "left").join(top_values(orders, by, "OrderType"), by, "left").join(top_values(paths, by, "pattern", 3), by, "left")
     status = F.when((F.col("distinct_values") > 0) & (F.col("multi_type_orderids") > 0), "weak_pass").otherwise("unknown")
     return out.withColumns({"multi_type_rate": rate(F.col("multi_type_orderids"), F.col("distinct_orderids")), "top_pattern_count": F.least(F.lit(3), F.col("pattern_count")).cast("bigint"), "status": status})
 
@@ -239,17 +272,16 @@ def id_space(df: DataFrame, by: list[str], id_col: str) -> DataFrame:
     """The shape of present ids in each group."""
     v = F.col(id_col)
     rows = df.where(present_id(v))
-    return rows.groupBy(*by).agg(
+    out = rows.groupBy(F.struct(*by).alias("key")).agg(
         F.count("*").alias("present_count"),
         F.count_distinct(v).alias("distinct_count"),
         F.min(v).alias("min_id"),
         F.max(v).alias("max_id"),
-        F.percentile(v, 0.5).alias("p50"),
-        F.percentile(v, 0.99).alias("p99"),
         F.mode(F.length(v.cast("string")), True).alias("modal_digits"),
         F.mode(v % 10, True).alias("modal_last_digit"),
         F.avg(v % 2).alias("odd_share"),
     )
+    return out.join(exact_percentiles(rows, by, id_col, {"p50": 0.5, "p99": 0.99}), "key").select("key.*", *[c for c in out.columns if c != "key"], "p50", "p99")
 
 
 def witnesses(sources: dict[str, tuple[DataFrame, str]], by: list[str], order: list[str]) -> DataFrame:
@@ -267,20 +299,28 @@ def witnesses(sources: dict[str, tuple[DataFrame, str]], by: list[str], order: l
     return out.withColumn("n_sources", F.count("*").over(Window.partitionBy(*by))).where("n_sources >= 2")
 
 
+def broker_code(code: Column) -> Column:
+    """A code without white space around it; digits are filled up to four, an empty code is null."""
+    bare = F.trim(code.cast("string"))
+    return F.when(bare.rlike(r"^\d{1,3}$"), F.lpad(bare, 4, "0")).when(bare != "", bare)
+
+
 def broker_profile(df: DataFrame, by: list[str], codes: DataFrame, code_col: str = "BrokerNo") -> DataFrame:
-    """Broker codes per group against a reference list: counts, rates, the ten most frequent unmatched.
+    """Broker codes per group against a reference list: counts, rates, the ten most frequent unmatched as `code:rows`.
 
-    codes: (code); one row per code. Codes are counted before they are joined.
+    codes: (code); one row per code. Codes of both sides are normalised, and counted before they are joined. The zero
+    rate is of all tested rows.
     """
-    base = df.groupBy(*by).agg(F.count("*").alias("tested_rows"), F.count(code_col).alias("nonnull_count"), F.count_if(F.col(code_col).isin("0", "0000")).alias("zero_count"))
-    counts = df.where(F.col(code_col).isNotNull()).groupBy(*by, F.col(code_col).alias("code")).agg(F.count("*").alias("n"))
-    known = counts.join(codes.select("code", F.lit(True).alias("known")).distinct(), "code", "left")
+    rows = df.select(*by, broker_code(F.col(code_col)).alias("code"))
+    base = rows.groupBy(*by).agg(F.count("*").alias("tested_rows"), F.count("code").alias("nonnull_count"), F.count_if(F.col("code").isin("0", "0000")).alias("zero_count"))
+    counts = rows.where("code IS NOT NULL").groupBy(*by, "code").agg(F.count("*").alias("n"))
+    known = counts.join(codes.select(broker_code(F.col("code")).alias("code"), F.lit(True).alias("known")).where("code IS NOT NULL").distinct(), "code", "left")
     per = known.groupBy(*by).agg(F.count("*").alias("distinct_codes"), F.count("known").alias("matched_codes"), F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("matched_rows"))
     unmatched = known.where("known IS NULL").withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "code"))).where("place <= 10")
-    listed = F.array_sort(F.collect_list(F.struct("place", "code")))
-    top = unmatched.groupBy(*by).agg(F.array_join(F.transform(listed, lambda x: x["code"]), ",").alias("unmatched_sample"))
+    listed = F.array_sort(F.collect_list(F.struct("place", F.concat_ws(":", "code", "n").alias("t"))))
+    top = unmatched.groupBy(*by).agg(F.array_join(F.transform(listed, lambda x: x["t"]), ",").alias("unmatched_sample"))
     out = base.join(per, by, "left").join(top, by, "left")
-    return out.withColumns({"zero_rate": rate(F.col("zero_count"), F.col("nonnull_count")), "matched_distinct_rate": rate(F.col("matched_codes"), F.col("distinct_codes"))})
+    return out.withColumns({"zero_rate": rate(F.col("zero_count"), F.col("tested_rows")), "matched_distinct_rate": rate(F.col("matched_codes"), F.col("distinct_codes"))})
 
 
 def broker_decision(profile: DataFrame) -> DataFrame:

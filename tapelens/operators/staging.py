@@ -103,9 +103,10 @@ def partition_manifest(rows: DataFrame) -> DataFrame:
 
 
 def raw_group(source_file: Column, year: Column) -> Column:
-    """The member's group folder: the second part of its path in 2025, else the first."""
+    """The member's group folder: the second part of its path in 2025, else the first; null for a file that is in no such folder."""
     parts = F.split(F.regexp_replace(source_file, r"\\", "/"), "/")
-    return F.when(year == 2025, F.try_element_at(parts, F.lit(2))).otherwise(F.try_element_at(parts, F.lit(1)))
+    at = F.when(year == 2025, 2).otherwise(1)
+    return F.when(F.size(parts) > at, F.try_element_at(parts, at))
 
 
 def group_map(df: DataFrame) -> DataFrame:

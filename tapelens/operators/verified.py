@@ -52,9 +52,9 @@ def project(stage: DataFrame, plan: dict, keys: tuple[str, ...] = ("date",)) ->
 
 
 def write_verified(df: DataFrame, root: str, variant: str) -> None:
-    """One folder a day; days that the table holds are replaced, others stay."""
+    """One folder a day; days that the table holds are replaced, others stay. A heavy day is split over tasks and files."""
     out = df.withColumn("year", F.year("date"))
-    out.repartition("year", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("year", "date").parquet(f"{root}/{variant}")
+    out.hint("rebalance", "year", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("year", "date").parquet(f"{root}/{variant}")
 
 
 def summary(verified: DataFrame, by: list[str]) -> DataFrame:

@@ -92,21 +92,21 @@ ORDER_EVENTS = """ev AS (SELECT CAST(ts AS DATE) AS date, CAST(year(ts) AS INT)
 
 
 def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events of every third user as trades against other users' orders of the same day."""
+    """events as trades against other users' orders of the same day; two in three name no order at all."""
     n = F.col("event_id")
-    return read(spark, sf_dir, "events").where(n % 3 == 0).select(
+    return read(spark, sf_dir, "events").select(
         F.to_date("ts").alias("date"),
         n.alias("row_num_in_file"),
         F.when(n % 2 == 0, n).alias("SeqNum"),
-        F.when(n % 4 != 0, F.col("user_id") + 1).alias("BidOrderID"),
-        (n % 211).alias("AskOrderID"),
+        F.when((n % 3 == 0) & (n % 4 != 0), F.col("user_id") + 1).alias("BidOrderID"),
+        F.when(n % 3 == 0, n % 211).otherwise(0).alias("AskOrderID"),
         F.when(F.hour("ts") < 12, "am").otherwise("pm").alias("Session"),
     )
 
 
 EVENT_TRADES = """deal AS (SELECT CAST(ts AS DATE) AS date, event_id AS row_num_in_file, CASE WHEN event_id % 2 = 0 THEN event_id END AS SeqNum,
-    CASE WHEN event_id % 4 <> 0 THEN user_id + 1 END AS BidOrderID, event_id % 211 AS AskOrderID,
-    CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS Session FROM events WHERE event_id % 3 = 0)"""
+    CASE WHEN event_id % 3 = 0 AND event_id % 4 <> 0 THEN user_id + 1 END AS BidOrderID, CASE WHEN event_id % 3 = 0 THEN event_id % 211 ELSE 0 END AS AskOrderID,
+    CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS Session FROM events)"""
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

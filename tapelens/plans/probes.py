@@ -37,7 +37,8 @@ def moves(spark, sf_dir):
 
 
 def contrast(spark, sf_dir):
-    return rounded(op.direction_contrast(_moves(spark, sf_dir), ["year"]))
+    sizes = op.direction_sizes(trades(spark, sf_dir), ["year"])
+    return rounded(op.direction_contrast(_moves(spark, sf_dir), ["year"], sizes))
 
 
 def mix(spark, sf_dir):
@@ -94,12 +95,19 @@ def _codes(spark, sf_dir):
     return read(spark, sf_dir, "supplier").where("s_nationkey < 20").select(F.lpad(F.col("s_suppkey").cast("string"), 4, "0").alias("code"))
 
 
+def _sold(spark, sf_dir):
+    """Trades whose broker codes are as they are found: unfilled, between spaces, zero, empty or absent."""
+    n = F.col("l_suppkey")
+    code = F.when(F.col("l_returnflag") == "R", F.concat(F.lit(" "), n.cast("string"), F.lit(" "))).when(F.col("l_linestatus") == "O", n.cast("string")).when(F.col("l_tax") == 0, "0").when(F.col("l_discount") == 0, "").when(F.col("l_discount") > 0.02, F.lpad(n.cast("string"), 4, "0"))
+    return read(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"), code.alias("BrokerNo"))
+
+
 def brokers(spark, sf_dir):
-    return rounded(op.broker_profile(trades(spark, sf_dir), ["year"], _codes(spark, sf_dir)))
+    return rounded(op.broker_profile(_sold(spark, sf_dir), ["year"], _codes(spark, sf_dir)))
 
 
 def broker_decision(spark, sf_dir):
-    return op.broker_decision(op.broker_profile(trades(spark, sf_dir), ["year"], _codes(spark, sf_dir)))
+    return op.broker_decision(op.broker_profile(_sold(spark, sf_dir), ["year"], _codes(spark, sf_dir)))
 
 
 def seats(spark, sf_dir):
@@ -129,7 +137,7 @@ _MOVES = f"""WITH {TRADES}, lagged AS (SELECT *, Price - lag(Price) OVER (PARTIT
     max(uptick_rate) FILTER (WHERE Dir = 1) - max(uptick_rate) FILTER (WHERE Dir = 2) AS g
     FROM (SELECT *, sum(bucket_rows) FILTER (WHERE Dir = 0) OVER (PARTITION BY year) AS n0, sum(bucket_rows) FILTER (WHERE Dir IN (1, 2)) OVER (PARTITION BY year) AS n12 FROM bm) GROUP BY ALL),
  td AS (SELECT year, sum(apart) / 2 AS dist, coalesce(min(sign(g)) = max(sign(g)), false) AS same FROM tv GROUP BY year),
- gp AS (SELECT y AS year, ug AS uptick_gap, dg AS downtick_gap, sg AS sameprice_gap, lg AS linkage_gap, same AS bucket_uptick_consistent, (zs + zm + dist) / 3 AS dir0_specialness FROM w JOIN td ON y = year)"""
+ gp AS (SELECT y AS year, ug AS uptick_gap, dg AS downtick_gap, sg AS sameprice_gap, lg AS linkage_gap, same AS bucket_uptick_consistent, pg AS price_move_gap, (zs + zm + dist) / 3 AS dir0_specialness FROM w JOIN td ON y = year)"""
 _SIDES = ["bid_present", "ask_present", "both_present", "bid_only", "ask_only", "neither_side"]
 _MOVED = ["uptick", "downtick", "sameprice"]
 _pooled = lambda names: "(" + " + ".join(f"abs(z.{c}_rate - (l.{c}_rate + r.{c}_rate) / 2)" for c in names) + f") / {len(names)}"
@@ -137,15 +145,18 @@ _MOVES = _MOVES.replace(
     "{pairs}",
     "l.uptick_rate - r.uptick_rate AS ug, l.downtick_rate - r.downtick_rate AS dg, l.sameprice_rate - r.sameprice_rate AS sg, ("
     + " + ".join(f"abs(l.{c}_rate - r.{c}_rate)" for c in _SIDES)
-    + f") / 6 AS lg, {_pooled(_SIDES)} AS zs, {_pooled(_MOVED)} AS zm",
+    + ") / 6 AS lg, ("
+    + " + ".join(f"abs(l.{c}_rate - r.{c}_rate)" for c in _MOVED)
+    + f") / 3 AS pg, {_pooled(_SIDES)} AS zs, {_pooled(_MOVED)} AS zm",
 )
 _DOUBLES = [*(f"{c}_rate" for c in (*_SIDES, *_MOVED)), "volume_median", "volume_p90", "turnover_proxy_median", "turnover_proxy_p90"]
 _KNOWN = "SELECT lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS code FROM supplier WHERE s_nationkey < 20"
-_BROKER = f"""WITH {TRADES}, known AS ({_KNOWN}), k AS (SELECT year, BrokerNo AS code, count(*) AS n, BrokerNo IN (SELECT code FROM known) AS ok FROM trades GROUP BY ALL),
+_BROKER = f"""WITH raw AS (SELECT CAST(year(l_shipdate) AS INT) AS year, trim(CASE WHEN l_returnflag = 'R' THEN ' ' || l_suppkey || ' ' WHEN l_linestatus = 'O' THEN CAST(l_suppkey AS VARCHAR) WHEN l_tax = 0 THEN '0' WHEN l_discount = 0 THEN '' WHEN l_discount > 0.02 THEN lpad(CAST(l_suppkey AS VARCHAR), 4, '0') END) AS c FROM lineitem),
+ sold AS (SELECT year, CASE WHEN c = '' THEN NULL WHEN length(c) < 4 THEN lpad(c, 4, '0') ELSE c END AS BrokerNo FROM raw), known AS ({_KNOWN}), k AS (SELECT year, BrokerNo AS code, count(*) AS n, BrokerNo IN (SELECT code FROM known) AS ok FROM sold WHERE BrokerNo IS NOT NULL GROUP BY ALL),
  p AS (SELECT year, count(*) AS distinct_codes, count(*) FILTER (WHERE ok) AS matched_codes, CAST(sum(CASE WHEN ok THEN n ELSE 0 END) AS BIGINT) AS matched_rows FROM k GROUP BY year),
- u AS (SELECT year, string_agg(code, ',' ORDER BY n DESC, code) AS unmatched_sample FROM (SELECT *, row_number() OVER (PARTITION BY year ORDER BY n DESC, code) AS r FROM k WHERE NOT ok) WHERE r <= 10 GROUP BY year),
- b AS (SELECT year, count(*) AS tested_rows, count(BrokerNo) AS nonnull_count, count(*) FILTER (WHERE BrokerNo IN ('0', '0000')) AS zero_count FROM trades GROUP BY year),
- f AS (SELECT *, zero_count / nonnull_count AS zr, matched_codes / distinct_codes AS mr FROM b JOIN p USING (year) LEFT JOIN u USING (year))"""
+ u AS (SELECT year, string_agg(code || ':' || n, ',' ORDER BY n DESC, code) AS unmatched_sample FROM (SELECT *, row_number() OVER (PARTITION BY year ORDER BY n DESC, code) AS r FROM k WHERE NOT ok) WHERE r <= 10 GROUP BY year),
+ b AS (SELECT year, count(*) AS tested_rows, count(BrokerNo) AS nonnull_count, count(*) FILTER (WHERE BrokerNo IN ('0', '0000')) AS zero_count FROM sold GROUP BY year),
+ f AS (SELECT *, zero_count / tested_rows AS zr, matched_codes / distinct_codes AS mr FROM b JOIN p USING (year) LEFT JOIN u USING (year))"""
 
 QUERIES = {
     "probe_order_groups": (order_groups, f"{_BOTH}, {_GROUPS} SELECT * FROM og"),
@@ -171,7 +182,7 @@ QUERIES = {
     "probe_tick_moves": (moves, f"{_MOVES} SELECT year, count(move) AS tested, CAST(sum(up) AS BIGINT) AS up, CAST(sum(down) AS BIGINT) AS down, CAST(sum(same) AS BIGINT) AS same FROM mv GROUP BY year"),
     "probe_direction_contrast": (contrast, f"{_MOVES} SELECT year, Dir, row_count, move_tested_count, {', '.join(f'round({c}, 6) AS {c}' for c in _DOUBLES)}, round(row_count / sum(row_count) OVER (PARTITION BY year), 6) AS row_share FROM ct"),
     "probe_bucket_mix": (mix, f"{_MOVES} SELECT year, Dir, time_bucket, bucket_rows, round(uptick_rate, 6) AS uptick_rate, round(bucket_share, 6) AS bucket_share FROM bm"),
-    "probe_contrast_gaps": (gaps, f"{_MOVES} SELECT year, bucket_uptick_consistent, {', '.join(f'round({c}, 6) AS {c}' for c in ('uptick_gap', 'downtick_gap', 'sameprice_gap', 'linkage_gap', 'dir0_specialness'))} FROM gp"),
+    "probe_contrast_gaps": (gaps, f"{_MOVES} SELECT year, bucket_uptick_consistent, {', '.join(f'round({c}, 6) AS {c}' for c in ('uptick_gap', 'downtick_gap', 'sameprice_gap', 'linkage_gap', 'price_move_gap', 'dir0_specialness'))} FROM gp"),
     "probe_contrast_yearly": (
         yearly,
         f"""{_MOVES}, s AS (SELECT 'all' AS period, count(*) AS days_run, {", ".join(f"round(avg({c}_gap), 6) AS {c}_gap_avg" for c in (*_MOVED, "linkage"))}, round(avg(dir0_specialness), 6) AS dir0_specialness_score,
@@ -185,9 +196,11 @@ QUERIES = {
             b AS (SELECT date, count(*) AS tested_rows, count(OrderType) AS nonnull_count, count(DISTINCT OrderType) AS distinct_values FROM ev GROUP BY date),
             p AS (SELECT date, count(*) AS distinct_orderids, count(*) FILTER (WHERE k = 1) AS single_type_orderids, count(*) FILTER (WHERE k > 1) AS multi_type_orderids, count(DISTINCT pattern) AS pattern_count FROM t GROUP BY date),
             c AS (SELECT date, OrderType, count(*) AS n FROM ev WHERE OrderType IS NOT NULL GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY n DESC, OrderType) AS p FROM c),
-            v AS (SELECT date, string_agg(OrderType || ':' || n, ',' ORDER BY p) AS "top_OrderType" FROM r WHERE p <= 5 GROUP BY date)
+            v AS (SELECT date, string_agg(OrderType || ':' || n, ',' ORDER BY p) AS "top_OrderType" FROM r WHERE p <= 5 GROUP BY date),
+            q AS (SELECT date, pattern, count(*) AS n, row_number() OVER (PARTITION BY date ORDER BY count(*) DESC, pattern) AS p FROM t GROUP BY date, pattern),
+            w AS (SELECT date, string_agg(pattern || ':' || n, ',' ORDER BY p) AS top_pattern FROM q WHERE p <= 3 GROUP BY date)
             SELECT *, round(multi_type_orderids / distinct_orderids, 6) AS multi_type_rate, least(3, pattern_count) AS top_pattern_count, CASE WHEN distinct_values > 0 AND multi_type_orderids > 0 THEN 'weak_pass' ELSE 'unknown' END AS status
-            FROM b JOIN p USING (date) JOIN v USING (date)""",
+            FROM b JOIN p USING (date) JOIN v USING (date) JOIN w USING (date)""",
     ),
     "probe_patterns": (patterns, f"WITH {ORDER_EVENTS}, t AS (SELECT date, OrderId, string_agg(CAST(OrderType AS VARCHAR), ',' ORDER BY row_num_in_file) AS pattern FROM ev WHERE OrderId <> 0 AND OrderType IS NOT NULL GROUP BY ALL) SELECT date, pattern, count(*) AS orders FROM t GROUP BY ALL"),
     "probe_sessions": (

@@ -61,7 +61,7 @@ def spans(spark, sf_dir):
 
 def _seed_rows(spark, sf_dir):
     n = F.col("p_partkey")
-    return read(spark, sf_dir, "part").where("p_partkey % 3 = 0").select(
+    return read(spark, sf_dir, "part").select(
         F.concat((n * 37 % 100000).cast("string"), F.lit(".HK")).alias("instrument_key"),
         F.when(n % 2 == 0, "1970-01-01").otherwise("2001-02-03").alias("listing_date"),
         F.when(n % 5 == 0, "N/A").otherwise((n * 2).cast("string")).alias("float_mktcap_hkd"),
@@ -76,10 +76,10 @@ def seeds(spark, sf_dir):
 
 
 def merged(spark, sf_dir):
-    """Suppliers before customers, by nation and segment of the key space."""
-    key = lambda c: F.lpad((F.col(c) % 60).cast("string"), 5, "0").alias("instrument_key")
-    first = read(spark, sf_dir, "supplier").where("s_suppkey < 40").select(key("s_suppkey"), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name")).alias("source_label"), F.col("s_acctbal").alias("value"))
-    second = read(spark, sf_dir, "customer").where("c_custkey < 60").select(key("c_custkey"), F.col("c_name").alias("source_label"), F.when(F.col("c_custkey") % 2 > 0, F.col("c_acctbal")).alias("value"))
+    """Suppliers before customers, each key one of both."""
+    key = lambda c: F.lpad(F.col(c).cast("string"), 12, "0").alias("instrument_key")
+    first = read(spark, sf_dir, "supplier").select(key("s_suppkey"), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name")).alias("source_label"), F.col("s_acctbal").alias("value"))
+    second = read(spark, sf_dir, "customer").select(key("c_custkey"), F.col("c_name").alias("source_label"), F.when(F.col("c_custkey") % 2 > 0, F.col("c_acctbal")).alias("value"))
     return universe.merge_seeds([first, second], ["source_label", "value"])
 
 
@@ -166,7 +166,9 @@ def first_dates(spark, sf_dir):
 
 
 def shared_dates(spark, sf_dir):
-    return common_dates(order_events(spark, sf_dir).where("OrderId % 2 = 0"), event_trades(spark, sf_dir).where("AskOrderID < 40"))
+    """Days of events that are also days on which an order was placed."""
+    placed = read(spark, sf_dir, "orders").select(F.add_months(F.to_date("o_orderdate"), 324).alias("date"))
+    return common_dates(order_events(spark, sf_dir), placed)
 
 
 def codes(spark, sf_dir):
@@ -178,7 +180,7 @@ _KEY = "regexp_extract(source_file, '([^/]+)\\.csv$', 1)"
 _PROJECT = f"SELECT date, TickID, Time, Price, {_KEY} AS instrument_key"
 _SEED = """seed AS (SELECT instrument_key, CASE WHEN n % 2 <> 0 THEN DATE '2001-02-03' END AS listing_date, CASE WHEN n % 5 <> 0 THEN CAST(n * 2 AS DOUBLE) END AS float_mktcap_hkd,
     CASE n % 4 WHEN 0 THEN true WHEN 1 THEN false END AS southbound_eligible, CASE WHEN n % 7 = 0 THEN 'reit' END AS instrument_family
-    FROM (SELECT lpad(CAST(p_partkey * 37 % 100000 AS VARCHAR), 5, '0') AS instrument_key, p_partkey AS n, row_number() OVER (PARTITION BY p_partkey * 37 % 100000 ORDER BY p_partkey DESC) AS r FROM part WHERE p_partkey % 3 = 0) WHERE r = 1)"""
+    FROM (SELECT lpad(CAST(p_partkey * 37 % 100000 AS VARCHAR), 5, '0') AS instrument_key, p_partkey AS n, row_number() OVER (PARTITION BY p_partkey * 37 % 100000 ORDER BY p_partkey DESC) AS r FROM part) WHERE r = 1)"""
 _FAMILY = "CASE " + " ".join(f"WHEN TRY_CAST(k.instrument_key AS INT) BETWEEN {lo} AND {hi} THEN '{f}'" for f, lo, hi in CODE_RANGES) + " END"
 _PROFILE = f"""WITH {TRADES}, seen AS (SELECT *, {_KEY} AS instrument_key FROM trades), {_SEED},
  k AS (SELECT instrument_key FROM seen UNION SELECT instrument_key FROM seed),
@@ -212,8 +214,8 @@ QUERIES = {
     "universe_seeds": (seeds, f"WITH {_SEED} SELECT * FROM seed"),
     "universe_merge": (
         merged,
-        """WITH u AS (SELECT lpad(CAST(s_suppkey % 60 AS VARCHAR), 5, '0') AS instrument_key, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS source_label, s_acctbal AS value, 0 AS p FROM supplier WHERE s_suppkey < 40
-             UNION ALL SELECT lpad(CAST(c_custkey % 60 AS VARCHAR), 5, '0'), c_name, CASE WHEN c_custkey % 2 > 0 THEN c_acctbal END, 1 FROM customer WHERE c_custkey < 60)
+        """WITH u AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 12, '0') AS instrument_key, CASE WHEN s_suppkey % 3 > 0 THEN s_name END AS source_label, s_acctbal AS value, 0 AS p FROM supplier
+             UNION ALL SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0'), c_name, CASE WHEN c_custkey % 2 > 0 THEN c_acctbal END, 1 FROM customer)
            SELECT instrument_key, arg_min(source_label, p) FILTER (WHERE source_label IS NOT NULL) AS source_label, arg_min(value, p) FILTER (WHERE value IS NOT NULL) AS value FROM u GROUP BY 1""",
     ),
     "universe_snapshot": (
@@ -256,6 +258,6 @@ QUERIES = {
            SELECT doc_id, a + b + c AS hits, b AS avoid_hits FROM t WHERE a + b + c > 0""",
     ),
     "select_date_batch": (first_dates, f"WITH {ORDER_EVENTS}, d AS (SELECT DISTINCT date FROM ev ORDER BY date LIMIT 7 OFFSET 7) SELECT date, count(*) AS row_count FROM ev SEMI JOIN d USING (date) GROUP BY date"),
-    "select_common_dates": (shared_dates, f"WITH {ORDER_EVENTS}, {EVENT_TRADES} SELECT date FROM ev WHERE OrderId % 2 = 0 INTERSECT SELECT date FROM deal WHERE AskOrderID < 40"),
+    "select_common_dates": (shared_dates, f"WITH {ORDER_EVENTS} SELECT date FROM ev INTERSECT SELECT CAST(CAST(o_orderdate AS DATE) + INTERVAL 324 MONTH AS DATE) FROM orders"),
     "source_code_list": (codes, "SELECT DISTINCT lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS code FROM supplier"),
 }

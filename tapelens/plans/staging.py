@@ -43,11 +43,11 @@ def manifest(spark, sf_dir):
 
 
 def _members(spark, sf_dir):
-    """Raw members of parts: a group folder each, of which some feed no table."""
+    """Raw members of parts: a group folder each, of which some feed no table; small parts lie outside any group folder."""
     n = F.col("p_partkey")
     year = F.when(n % 2 == 0, 2025).otherwise(2026)
     groups = F.when(n % 10 == 0, "OrderAdd").when(n % 10 == 2, "TradeResumes").when(n % 10 == 4, "Index").when(n % 10 < 6, "order").otherwise("trade")
-    file = F.concat(F.when(n % 2 == 0, F.lit("20250218\\")).otherwise(""), groups, F.lit("/"), F.lpad(n.cast("string"), 7, "0"), F.lit(".csv"))
+    file = F.concat(F.when(n % 2 == 0, F.lit("20250218\\")).otherwise(""), F.when(F.col("p_size") > 4, F.concat(groups, F.lit("/"))).otherwise(""), F.lpad(n.cast("string"), 7, "0"), F.lit(".csv"))
     rows = read(spark, sf_dir, "part").select(year.alias("year"), F.date_add(F.lit("2025-02-01").cast("date"), (n % 5).cast("int")).alias("date"), F.regexp_replace(file, r"\\", "/").alias("source_file"))
     return rows.withColumn("raw_group", op.raw_group(F.col("source_file"), F.col("year")))
 
@@ -123,11 +123,11 @@ def member_groups(spark, sf_dir):
 
 
 def manifest_states(spark, sf_dir):
-    """Nations as tasks, suppliers' nations as manifest rows, customers' nations as outputs."""
-    tasks = read(spark, sf_dir, "nation").where("n_nationkey < 22").select(F.col("n_nationkey").alias("task"))
-    n = F.col("s_suppkey")
-    rows = read(spark, sf_dir, "supplier").where((F.col("s_nationkey") < 15) & (n < 30)).select(F.col("s_nationkey").alias("task"), F.lit(1).alias("row_count"))
-    outputs = read(spark, sf_dir, "customer").where("c_nationkey % 3 > 0 AND c_custkey < 200").groupBy(F.col("c_nationkey").alias("task")).agg((F.count("*") % 2).cast("int").alias("row_count"))
+    """Customers as tasks; a manifest row for each of their finished orders, an output of the orders that are not pending, empty where their number is even."""
+    tasks = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("task"))
+    sold = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("task"), F.col("o_orderstatus").alias("s"))
+    rows = sold.where("s = 'F'").select("task", F.lit(1).alias("row_count"))
+    outputs = sold.where("s <> 'P'").groupBy("task").agg((F.count("*") % 2).cast("int").alias("row_count"))
     return gates.manifest_state(tasks, rows, outputs, ["task"]).select("task", "is_task", "state")
 
 
@@ -144,8 +144,8 @@ _MANIFEST = """man AS (SELECT date, 'orders' AS table_name, count(*) AS raw_row_
    max(SendTime) FILTER (WHERE len(reasons) = 0) AS max_sendtime, count(*) FILTER (WHERE SendTime IS NULL) AS send_time_parse_failure_count,
    CASE WHEN count(*) FILTER (WHERE len(reasons) = 0) > 0 THEN 'completed' ELSE 'empty' END AS status FROM judged GROUP BY date)"""
 _MEMBERS = """mem0 AS (SELECT p_partkey AS n, CASE WHEN p_partkey % 2 = 0 THEN 2025 ELSE 2026 END AS year, DATE '2025-02-01' + CAST(p_partkey % 5 AS INT) AS date,
-    CASE WHEN p_partkey % 10 = 0 THEN 'OrderAdd' WHEN p_partkey % 10 = 2 THEN 'TradeResumes' WHEN p_partkey % 10 = 4 THEN 'Index' WHEN p_partkey % 10 < 6 THEN 'order' ELSE 'trade' END AS raw_group FROM part),
- mem AS (SELECT *, CASE WHEN n % 2 = 0 THEN '20250218/' ELSE '' END || raw_group || '/' || lpad(CAST(n AS VARCHAR), 7, '0') || '.csv' AS source_file FROM mem0),
+    CASE WHEN p_size <= 4 THEN NULL WHEN p_partkey % 10 = 0 THEN 'OrderAdd' WHEN p_partkey % 10 = 2 THEN 'TradeResumes' WHEN p_partkey % 10 = 4 THEN 'Index' WHEN p_partkey % 10 < 6 THEN 'order' ELSE 'trade' END AS raw_group FROM part),
+ mem AS (SELECT *, CASE WHEN n % 2 = 0 THEN '20250218/' ELSE '' END || coalesce(raw_group || '/', '') || lpad(CAST(n AS VARCHAR), 7, '0') || '.csv' AS source_file FROM mem0),
  gm AS (SELECT * FROM (VALUES (2025, 'TradeResumes', 'trades'), (2026, 'trade', 'trades'), (2025, 'OrderAdd', 'orders'), (2025, 'OrderModifyDelete', 'orders'), (2026, 'order', 'orders')) t(year, raw_group, table_name)),
  inv AS (SELECT mem.year, date, mem.raw_group, count(*) AS csv_member_count, min(source_file) AS example_member, max(table_name) AS table_name FROM mem LEFT JOIN gm ON mem.year = gm.year AND mem.raw_group = gm.raw_group GROUP BY ALL)"""
 _KINDS = "CASE WHEN reason LIKE 'missing_required_column:%' OR reason LIKE 'null_required_input:%' THEN 'required_missing' ELSE 'cast_failed' END"
@@ -197,8 +197,8 @@ QUERIES = {
     ),
     "manifest_states": (
         manifest_states,
-        """WITH t AS (SELECT n_nationkey AS task FROM nation WHERE n_nationkey < 22), m AS (SELECT s_nationkey AS task, count(*) AS k FROM supplier WHERE s_nationkey < 15 AND s_suppkey < 30 GROUP BY 1),
-              o AS (SELECT c_nationkey AS task, CAST(count(*) % 2 AS INT) AS n FROM customer WHERE c_nationkey % 3 > 0 AND c_custkey < 200 GROUP BY 1)
+        """WITH t AS (SELECT c_custkey AS task FROM customer), m AS (SELECT o_custkey AS task, count(*) AS k FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+              o AS (SELECT o_custkey AS task, CAST(count(*) % 2 AS INT) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1)
            SELECT coalesce(t.task, m.task, o.task) AS task, t.task IS NOT NULL AS is_task, CASE WHEN k > 1 THEN 'duplicate' WHEN k IS NULL AND n IS NOT NULL THEN 'orphan' WHEN k IS NOT NULL AND (n IS NULL OR n <> 1) THEN 'stale' WHEN k IS NULL THEN 'todo' ELSE 'done' END AS state
            FROM t FULL JOIN m ON t.task = m.task FULL JOIN o ON coalesce(t.task, m.task) = o.task""",
     ),

@@ -64,8 +64,11 @@ def common_dates(left: DataFrame, right: DataFrame, column: str = "date") -> Dat
 
 
 def write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Replace the partitions that df has; others stay. Spark commits a write as a whole."""
-    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
+    """Replace the partitions that df has; others stay. Spark commits a write as a whole.
+
+    Rows are rebalanced by partition: small ones share a task, a heavy one is split over tasks and files.
+    """
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
 
 
 def append_manifest(df: DataFrame, path: str) -> None:

@@ -77,15 +77,16 @@ class ZipCsvReader(DataSourceReader):
             for raw_name in partition.names:
                 name = original_name(z.getinfo(raw_name))
                 head = (day, name, group_of(name, day.year if day else None))
-                number = 0
                 try:
                     with z.open(raw_name) as stream:
-                        for number, cells in enumerate(csv.DictReader(io.TextIOWrapper(stream, "utf-8-sig", newline="")), 1):
-                            if None in cells:
-                                raise ValueError(f"row {number} has more cells than the header")
-                            yield (*head, number, cells, None)
-                except Exception as e:  # a member that fails is a row that says so; the others are read
+                        rows = list(csv.DictReader(io.TextIOWrapper(stream, "utf-8-sig", newline="")))
+                    if any(None in cells for cells in rows):
+                        raise ValueError(f"row {next(n for n, cells in enumerate(rows, 1) if None in cells)} has more cells than the header")
+                except Exception as e:  # nothing is taken from a member that fails: it is one row that says so
                     yield (*head, None, None, f"{type(e).__name__}: {e}")
+                    continue
+                for number, cells in enumerate(rows, 1):
+                    yield (*head, number, cells, None)
 
 
 class ZipCsv(DataSource):
