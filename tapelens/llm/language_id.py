@@ -41,7 +41,7 @@ UNKNOWN = "und"
 #: Bits by which the languages' codes must be longer than that of the bytes alone; a text of a few letters pays as much to begin.
 MARGIN = 32
 #: Bytes whose strings are made at once (2**20 at most), and entries of (string, language) looked at once.
-PIECE, HELD = 1 << 20, 1 << 23
+PIECE, HELD = 1 << 18, 1 << 21
 _LATIN = re.compile("[A-Za-z]")
 
 
