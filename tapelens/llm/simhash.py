@@ -303,6 +303,7 @@ def shingle_sets(docs: DataFrame, carry: list[str], text_col: str = "text", name
             if len(names) > 1:
                 hashes, ends = np.concatenate(sets), np.cumsum([len(x) for x in sets])
                 made += [pa.array(simhash(h, ends).view(np.int64)) for h in (hashes, _mix(hashes))]
+            if len(names) > 3:
                 made.append(pa.array([x.tobytes() for x in sets], pa.binary()))
             yield pa.RecordBatch.from_arrays([*(block.column(c) for c in carry), *made], names=[*carry, *names])
 
@@ -408,12 +409,16 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> Dat
     return joined.mapInArrow(run, "u long, v long")
 
 
-def similar_roots(rows: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(node, root) of nodes that verified pairs link."""
+def similar_roots(docs: DataFrame, distinct: DataFrame, text_col: str = "text") -> DataFrame:
+    """(node, root) of nodes that verified pairs link.
+
+    Shingles are made anew for texts of candidate pairs, so that those of all texts are never stored or shuffled where
+    the candidates are few enough to be broadcast.
+    """
     pairs = durable(candidates(distinct.select("node", "a", "b"), distinct.count()))
-    wanted = durable(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    sets = durable(rows.join(wanted, "node", "left_semi").select("node", "shingles").dropDuplicates(["node"]))
-    return components(verified(pairs, sets))
+    wanted = bounded(durable(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()))
+    sets = shingle_sets(docs, [], text_col).select("node", "shingles").join(wanted, "node", "left_semi")
+    return components(verified(pairs, durable(sets.dropDuplicates(["node"]))))
 
 
 def keepers(distinct: DataFrame, roots: DataFrame) -> DataFrame:
@@ -433,9 +438,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Judged by (id, shingle set): rows that share an id, or have none, each go by their own component.
     """
-    rows = durable(shingle_sets(docs, [id_col], text_col)).withColumnRenamed(id_col, "id")
+    rows = durable(shingle_sets(docs, [id_col], text_col, ("node", "a", "b"))).withColumnRenamed(id_col, "id")
     distinct = durable(rows.groupBy("node", "a", "b").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first")).select("node", "a", "b", "first.*"))
-    roots = similar_roots(rows, distinct)
+    roots = similar_roots(docs, distinct, text_col)
     kept = durable(keepers(distinct, roots))
     counted = rows.select("id", F.lit(0).alias("kept")).unionByName(kept.select("id", F.lit(1).alias("kept")))
     per_id = counted.groupBy("id").agg(F.sum(1 - F.col("kept")).alias("n_rows"), F.sum("kept").alias("n_kept"))
