@@ -41,7 +41,7 @@ from tapelens.llm.common import blocks, bounded, by_id, durable, free, lookup, s
 BITS, RADIUS = 64, 4
 HALF = RADIUS // 2
 #: Fingerprints that travel to a place; those beyond which a place is dealt out, and beyond which variants are shuffled; variants held at once in a task.
-PER_PLACE, DEALT, MOST, HELD = 32_768, 65_536, 16_000_000, 3_000_000
+PER_PLACE, DEALT, MOST, HELD = 32_768, 65_536, 16_000_000, 1_000_000
 #: The stage: words to a shingle, least similarity, fingerprints of 32 bits, bits that may differ in all four, nodes that travel to a place.
 STAGE_WORDS, SIMILAR, TABLES, SCREEN, STAGE_PER_PLACE = 5, 0.8, 4, 36, 600_000
 
