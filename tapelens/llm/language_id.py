@@ -13,9 +13,10 @@ divided by the number of languages. A language below both bounds is learned from
 no statistics of the sample are dropped. The tree holds only what each language has seen, sorted by
 string with the languages beside it, so its size follows the sample, not strings times languages.
 
-A text is rejected (fits is false) if every learned language codes it in over MARGIN bits more than its
-bytes cost by themselves, under the shares that bytes have over all languages together: knowing a
-language then misleads rather than helps to predict it.
+A text is rejected (fits is false) if its stretches of STRETCH bytes, each in the language that codes it
+best, take over MARGIN bits more than its bytes cost by themselves, under the shares that bytes have
+over all languages together: knowing languages then misleads rather than helps to predict it. A text
+of several learned languages fits.
 
 Defined results: null text, or text without a letter: `und` with score 0, and it does not fit.
 Without training rows all texts are `und`, and those with a letter fit, as nothing is known against
@@ -39,7 +40,7 @@ ORDER = 4
 ROWS_PER_LANGUAGE, TRAIN_BYTES = 2000, 32 << 20
 UNKNOWN = "und"
 #: Bits by which the languages' codes must be longer than that of the bytes alone; a text of a few letters pays as much to begin.
-MARGIN = 32
+MARGIN, STRETCH = 32, 64
 #: Bytes whose strings are made at once (2**20 at most), and entries of (string, language) looked at once.
 PIECE, HELD = 1 << 18, 1 << 21
 _LATIN = re.compile("[A-Za-z]")
@@ -49,12 +50,13 @@ def has_letter(text: str) -> bool:
     return bool(_LATIN.search(text)) or any(map(str.isalpha, text))
 
 
-def pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """ORDER context bytes and the byte after them as one number, for each byte of the texts, PIECE at a time; the texts they are of.
+def encoded(texts: list[str]) -> list[bytes]:
+    """The bytes of the texts; newlines stand before each."""
+    return [b"\n" * ORDER + t.lower().encode("utf-8", "replace") for t in texts]
 
-    Newlines stand before a text.
-    """
-    raw = [b"\n" * ORDER + t.lower().encode("utf-8", "replace") for t in texts]
+
+def pieces(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """ORDER context bytes and the byte after them as one number, for each byte of `encoded` texts, PIECE at a time; the texts they are of, and where."""
     line, lengths = np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw])
     ends = np.cumsum(lengths)
     for i in range(ORDER, len(line), PIECE):
@@ -64,8 +66,9 @@ def pieces(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             out = out << np.uint64(8) | part[k : k + len(out)]
         first, last = np.searchsorted(ends, [i, i + len(out) - 1], "right")
         of = np.repeat(np.arange(first, last + 1), np.diff(np.clip(ends[first : last + 1], i, i + len(out)), prepend=i))
-        inside = np.arange(i, i + len(out)) - (ends - lengths)[of] >= ORDER  # not the strings that reach from one text into the next
-        yield out[inside], of[inside]
+        at = np.arange(i, i + len(out)) - (ends - lengths)[of] - ORDER
+        inside = at >= 0  # not the strings that reach from one text into the next
+        yield out[inside], of[inside], at[inside]
 
 
 class Sparse:
@@ -132,12 +135,14 @@ class Tree:
         out[left] += 8.0
         return out
 
-    def lengths(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The code length in bits of each text in each language, and by its bytes alone."""
-        n = len(self.languages)
-        out, alone = np.zeros((len(texts), n)), np.zeros(len(texts))
+    def lengths(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The code length in bits of each text in each language, with each stretch in its best language, and by its bytes alone."""
+        n, raw = len(self.languages), encoded(texts)
+        stretches = -(-np.array([len(r) - ORDER for r in raw], np.int64) // STRETCH)
+        first = np.cumsum(stretches) - stretches
+        out, alone = np.zeros((int(stretches.sum()), n)), np.zeros(len(texts))
         step = max(1, HELD // n)
-        for keys, of in pieces(texts):
+        for keys, of, at in pieces(raw):
             alone += np.bincount(of, weights=self.alone[(keys & np.uint64(255)).astype(np.int64)], minlength=len(texts))
             # Strings have 40 bits, places in a piece 20: one number sorts both.
             both = np.sort(keys << np.uint64(20) | np.arange(len(keys), dtype=np.uint64))
@@ -149,11 +154,13 @@ class Tree:
             for i in range(0, len(different), step):
                 codes = self.code_bits(different[i : i + step])
                 mine = slice(None) if step >= len(different) else np.flatnonzero((number >= i) & (number < i + step))
-                row, text = number[mine] - i, of[mine]
+                row, text = number[mine] - i, (first[of] + at // STRETCH)[mine]
                 for j in range(0, len(row), step):
                     starts = np.flatnonzero(np.append(True, text[j + 1 : j + step] != text[j : j + step - 1][: len(text[j + 1 : j + step])]))
                     out[text[j : j + step][starts]] += np.add.reduceat(codes[row[j : j + step]], starts, axis=0, dtype=np.float64)
-        return out, alone
+        owner = np.repeat(np.arange(len(texts)), stretches)
+        whole = np.stack([np.bincount(owner, weights=out[:, k], minlength=len(texts)) for k in range(n)], 1)
+        return whole, np.bincount(owner, weights=out.min(1), minlength=len(texts)), alone
 
 
 def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", rows_per_language: int = ROWS_PER_LANGUAGE, train_bytes: int = TRAIN_BYTES) -> Tree | None:
@@ -179,7 +186,7 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str =
         for block in blocks(batches, "t"):
             table = block.to_pandas()
             for language, part in table.groupby("number"):
-                for strings, _ in pieces(part["t"].tolist()):
+                for strings, _, _ in pieces(encoded(part["t"].tolist())):
                     keys, n = np.unique(strings, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), language), pa.int32()), pa.array(keys.view(np.int64)), pa.array(n)], names=["l", "g", "n"])
 
@@ -200,9 +207,9 @@ def predict(docs: DataFrame, tree: Tree | None, id_col: str = "doc_id", text_col
             said, score, fits = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.array([has_letter(t) for t in texts])
             some = np.flatnonzero(fits).tolist() if known else []
             if some:
-                bits, alone = known.lengths([texts[i] for i in some])
+                bits, mixed, alone = known.lengths([texts[i] for i in some])
                 score[some] = 1 / np.exp2(np.minimum(bits.min(1, keepdims=True) - bits, 0)).sum(1)
-                fits[some] = bits.min(1) <= alone + MARGIN
+                fits[some] = mixed <= alone + MARGIN
                 for i, b in zip(some, bits.argmin(1).tolist(), strict=True):
                     said[i] = known.languages[b]
             yield pa.RecordBatch.from_arrays([*[block.column(c) for c in names], pa.array(said, pa.string()), pa.array(score), pa.array(fits)], names=[*names, *out])

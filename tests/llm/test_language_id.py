@@ -36,7 +36,7 @@ def brute_length(text, training):
 def tree_of(samples):
     languages, keys, numbers, counts = sorted(samples), [], [], []
     for i, name in enumerate(languages):
-        k, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *[x for x, _ in language_id.pieces(samples[name])]]), return_counts=True)
+        k, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *[x for x, _, _ in language_id.pieces(language_id.encoded(samples[name]))]]), return_counts=True)
         keys.append(k)
         numbers.append(np.full(len(k), i))
         counts.append(n)
@@ -52,8 +52,8 @@ def test_code_lengths_by_definition(monkeypatch, piece, held):
     monkeypatch.setattr(language_id, "PIECE", piece)
     monkeypatch.setattr(language_id, "HELD", held)
     texts = ["", "abc", make("abc", 40), make("abcdéfz ", 300), "ZZZ", "\n\n", make("qrst", 50)]
-    got, alone = tree.lengths(texts)
-    assert alone[0] == 0 and all(alone[1:] > 0)
+    got, mixed, alone = tree.lengths(texts)
+    assert alone[0] == 0 and all(alone[1:] > 0) and all(mixed <= got.min(1) + 1e-3)
     for i, t in enumerate(texts):
         for j, name in enumerate(("x", "y")):
             assert abs(got[i, j] - brute_length(t, samples[name])) < 1e-3 * (1 + got[i, j])
@@ -82,7 +82,7 @@ def test_train_keeps_all_of_a_small_language(spark):
     tree = language_id.train(df, F.lit(True))
     assert tree.languages == ["en", "ru"]
     tries = [text(cyrillic), text(latin), "да нет", "mixed да text"]
-    got, _ = tree.lengths(tries)
+    got, _, _ = tree.lengths(tries)
     for i, t in enumerate(tries):
         assert abs(got[i, 1] - brute_length(t, [r[1] for r in rows if r[2] == "ru"])) < 1e-3 * (1 + got[i, 1])
         assert abs(got[i, 0] - brute_length(t, [r[1] for r in rows if r[2] == "en"])) < 1e-3 * (1 + got[i, 0])
@@ -98,7 +98,7 @@ def test_many_languages_stay_sparse():
     samples = {f"l{i:03}": ["".join(draw.choice([chr(0x4E00 + 10 * i + k) for k in range(10)]) for _ in range(60))] for i in range(200)}
     tree = tree_of(samples)
     assert sum(len(s.value) for s in [*tree.bits, *tree.escapes]) < 10 * 200 * 180
-    got, _ = tree.lengths([samples["l007"][0], samples["l150"][0]])
+    got, _, _ = tree.lengths([samples["l007"][0], samples["l150"][0]])
     assert got.argmin(1).tolist() == [7, 150]
 
 
@@ -106,11 +106,12 @@ def test_texts_that_no_language_helps_to_predict_do_not_fit(spark):
     draw = random.Random(5)
     make = lambda: " ".join(draw.choice(["the", "cat", "sat", "on", "a", "mat", "and", "dog"]) for _ in range(60))
     noise = "".join(draw.choice("etaonshdcg mi") for _ in range(400))
-    rows = [(i, make(), "en") for i in range(50)] + [(100, noise, None), (101, make(), None), (102, "123 !!", "en"), (103, None, "en")]
+    rows = [(i, make(), "en") for i in range(50)] + [(100, noise, None), (101, make(), None), (102, "123 !!", "en"), (103, None, "en"), (104, "der hund und die katze auf dem haus " * 8, "de")]
+    rows += [(110, "the cat sat on a mat and the dog sat on the cat and a dog. der hund und die katze auf dem haus und der hund auf dem haus. " * 5, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     left = {r.doc_id for r in language_id.drop_unknown(df, language_id.train(df, F.lit(True))).collect()}
-    assert left == {*range(50), 101}
-    assert {r.doc_id for r in language_id.drop_unknown(df, language_id.train(df.withColumn("lang", F.lit(None).cast("string")), F.lit(True))).collect()} == {*range(50), 100, 101}
+    assert left == {*range(50), 101, 104, 110}
+    assert {r.doc_id for r in language_id.drop_unknown(df, language_id.train(df.withColumn("lang", F.lit(None).cast("string")), F.lit(True))).collect()} == {*range(50), 100, 101, 104, 110}
 
 
 def test_held_out_accuracy(spark):
