@@ -55,6 +55,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()  # the worker stays for other stages
 
 
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
