@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tapelens.contracts import ORDER_RULES
-from tapelens.operators import coverage, gates, linkage, probes, profile, universe, verified
+from tapelens.operators import coverage, gates, linkage, probes, profile, staging, universe, verified
 
 T0 = dt.datetime(2026, 1, 5, 9, 30)
 ORDER = "date string, OrderId bigint, SeqNum bigint, OrderType int, SendTime timestamp, Time string, row bigint"
@@ -176,3 +176,31 @@ def test_results_do_not_depend_on_partitions(spark):
     sf = "/root/testdata/sf0.001"
     one, many = (linkage.day_record(trades(spark, sf).repartition(n), orders(spark, sf).repartition(n), ["year"], []) for n in (1, 17))
     assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+
+
+def test_exact_percentiles(spark):
+    """Against numpy, over ties, single values, null groups and values far apart."""
+    import numpy as np
+
+    draw = np.random.default_rng(6)
+    groups = {"a": draw.normal(size=501).round(1).tolist(), "b": [5.0], "c": [1.0, 1e12, 2.0, 2.0], None: [3.0, 3.0, 3.0, 7.0]}
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("a", None), ("d", None)]
+    got = {r.key.g: r for r in probes.exact_percentiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", {"p50": 0.5, "p90": 0.9, "p99": 0.99}).collect()}
+    assert set(got) == set(groups)
+    for g, values in groups.items():
+        for name, share in (("p50", 0.5), ("p90", 0.9), ("p99", 0.99)):
+            assert abs(got[g][name] - np.quantile(values, share)) <= 1e-9 * max(1, abs(np.quantile(values, share)))
+
+
+def test_broker_codes_are_normalised(spark):
+    rows = [(1, " 7 "), (1, "0007"), (1, "12345"), (1, ""), (1, None), (1, "0"), (1, "x")]
+    codes = spark.createDataFrame([("7",), ("12345",)], "code string")
+    r = probes.broker_profile(spark.createDataFrame(rows, "year int, BrokerNo string"), ["year"], codes).first()
+    assert (r.tested_rows, r.nonnull_count, r.zero_count, r.distinct_codes, r.matched_codes, r.matched_rows) == (7, 5, 1, 4, 2, 3)
+    assert r.unmatched_sample == "0000:1,x:1" and r.zero_rate == 1 / 7
+
+
+def test_members_outside_a_group_folder_have_no_group(spark):
+    rows = [("20250218/OrderAdd/1.csv", 2025), ("20250218/1.csv", 2025), ("order/1.csv", 2026), ("1.csv", 2026)]
+    got = spark.createDataFrame(rows, "f string, y int").select(staging.raw_group(F.col("f"), F.col("y")).alias("g")).collect()
+    assert [r.g for r in got] == ["OrderAdd", None, "order", None]
