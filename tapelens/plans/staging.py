@@ -112,14 +112,21 @@ def raw_files(spark, sf_dir):
     return coverage.inventory_rollup(coverage.file_inventory(listing))
 
 
-def member_groups(spark, sf_dir):
+def _profiles(spark, sf_dir):
     """Members of suppliers: one header for orders, one for trades, one for neither."""
     n = F.col("s_suppkey")
     head = lambda *c: F.array(*map(F.lit, c))
     columns = F.when(n % 3 == 0, head("SeqNum", "OrderId", "OrderType", "Time", "Level")).when(n % 3 == 1, head("TickID", "Dir", "Time", "BidOrderID")).otherwise(head("Code", "Price"))
     rows = read(spark, sf_dir, "supplier").select(F.concat(F.lit("g"), (F.col("s_nationkey") % 4).cast("string")).alias("raw_group"), F.concat(F.lit("m"), F.lpad(n.cast("string"), 6, "0")).alias("source_file"), columns.alias("columns"), (n % 13).alias("row_count"), F.lpad((n % 24).cast("string"), 2, "0").alias("min_time"), F.lpad((n * 7 % 24).cast("string"), 2, "0").alias("max_time"))
-    out = coverage.group_profile(coverage.member_profile(rows), ["raw_group"])
-    return out.withColumn("examples", F.array_join("examples", ","))
+    return coverage.member_profile(rows)
+
+
+def member_groups(spark, sf_dir):
+    return coverage.group_profile(_profiles(spark, sf_dir), ["raw_group"]).withColumn("examples", F.array_join("examples", ","))
+
+
+def schema_totals(spark, sf_dir):
+    return coverage.schema_totals(_profiles(spark, sf_dir)).drop("schema_hash")
 
 
 def manifest_states(spark, sf_dir):
@@ -195,6 +202,11 @@ QUERIES = {
               min(lpad(CAST(s_suppkey % 24 AS VARCHAR), 2, '0')) AS min_time, max(lpad(CAST(s_suppkey * 7 % 24 AS VARCHAR), 2, '0')) AS max_time,
               array_to_string(list_slice(list_sort(list(DISTINCT 'm' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0'))), 1, 10), ',') AS examples FROM supplier GROUP BY 1""",
     ),
+    "source_schema_totals": (
+        schema_totals,
+        """SELECT CASE s_suppkey % 3 WHEN 0 THEN 'orders' WHEN 1 THEN 'trades' ELSE 'unknown' END AS table_hint, CAST(CASE s_suppkey % 3 WHEN 0 THEN 5 WHEN 1 THEN 4 ELSE 2 END AS INT) AS column_count,
+              count(*) AS member_count, CAST(sum(s_suppkey % 13) AS BIGINT) AS row_count, count(DISTINCT s_nationkey % 4) AS group_count FROM supplier GROUP BY 1, 2""",
+    ),
     "manifest_states": (
         manifest_states,
         """WITH t AS (SELECT c_custkey AS task FROM customer), m AS (SELECT o_custkey AS task, count(*) AS k FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
