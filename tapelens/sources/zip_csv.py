@@ -2,10 +2,13 @@
 
 Every member is rows of text: trade_date, source_file, raw_group, row_num_in_file (from 1, before
 any rejection), the cells by column name as a map, and an error instead where a member cannot be
-read. One input partition takes a batch of members; a task opens the archive where it runs, so the
-path must be one that all executors can open.
+read. The driver lists the archives and opens none: an input partition is one of an archive's slices,
+every k-th of its members by name, and its task reads the archive's directory itself. A member is read
+twice, first to see that all of it can be read and then for Arrow batches of a bounded number of rows,
+so that a task never holds a member.
 
-Options: path (a zip, or a folder of zips named YYYYMMDD.zip), members_per_partition (default 8).
+Options: path (a zip, or a folder of zips named YYYYMMDD.zip; a URI of any file system that pyarrow
+opens, such as hdfs:// or s3://, else a path that all executors see), slices_per_archive (default 8).
 """
 
 from __future__ import annotations
@@ -15,15 +18,21 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
-from pathlib import Path
+from itertools import batched
+from pathlib import Path, PurePosixPath
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 SCHEMA = "trade_date date, source_file string, raw_group string, row_num_in_file bigint, cells map<string,string>, error string"
+ARROW = pa.schema([("trade_date", pa.date32()), ("source_file", pa.string()), ("raw_group", pa.string()), ("row_num_in_file", pa.int64()), ("cells", pa.map_(pa.string(), pa.string())), ("error", pa.string())])
+BATCH_ROWS = 10_000
 
 
 def original_name(info: zipfile.ZipInfo) -> str:
@@ -38,7 +47,7 @@ def original_name(info: zipfile.ZipInfo) -> str:
 
 
 def archive_date(path: str) -> date | None:
-    found = re.search(r"(?<!\d)(\d{4})(\d{2})(\d{2})(?!\d)", Path(path).name)
+    found = re.search(r"(?<!\d)(\d{4})(\d{2})(\d{2})(?!\d)", PurePosixPath(path).name)
     try:
         return date(*map(int, found.groups())) if found else None
     except ValueError:
@@ -52,41 +61,103 @@ def group_of(name: str, year: int | None) -> str | None:
     return parts[at] if len(parts) > at + 1 else None
 
 
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI or of a local path, and the path in it."""
+    return fs.FileSystem.from_uri(path if re.match(r"[a-z0-9+.-]+:", path) else str(Path(path).absolute()))
+
+
+def archives(path: str) -> list[str]:
+    """The path itself if it is a file, else all zips below it, each as a URI or a path like the one given."""
+    system, root = located(path)
+    if system.get_file_info(root).type == fs.FileType.File:
+        return [path]
+    found = system.get_file_info(fs.FileSelector(root, recursive=True))
+    below = sorted(f.path for f in found if f.type == fs.FileType.File and f.extension == "zip")
+    return [path.rstrip("/") + p.removeprefix(root.rstrip("/")) for p in below]
+
+
+class Stream(io.RawIOBase):
+    """A pyarrow file as zipfile wants it: a seek before the start, as in an archive without members, is an OSError."""
+
+    def __init__(self, file: pa.NativeFile):
+        self.file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        try:
+            return self.file.seek(offset, whence)
+        except pa.ArrowInvalid as e:
+            raise OSError(str(e)) from e
+
+    def readinto(self, into: memoryview) -> int:
+        some = self.file.read(len(into))
+        into[: len(some)] = some
+        return len(some)
+
+
+@contextmanager
+def opened(path: str) -> Iterator[zipfile.ZipFile]:
+    system, inside = located(path)
+    with system.open_input_file(inside) as file, zipfile.ZipFile(io.BufferedReader(Stream(file))) as z:
+        yield z
+
+
+def cells_of(z: zipfile.ZipFile, member: zipfile.ZipInfo) -> Iterator[dict[str, str | None]]:
+    with z.open(member) as stream:
+        for number, cells in enumerate(csv.DictReader(io.TextIOWrapper(stream, "utf-8-sig", newline="")), 1):
+            if None in cells:
+                raise ValueError(f"row {number} has more cells than the header")
+            yield cells
+
+
+def failure(z: zipfile.ZipFile, member: zipfile.ZipInfo) -> str | None:
+    """Why the member cannot be read to its end, if so."""
+    try:
+        for _ in cells_of(z, member):
+            pass
+    except Exception as e:  # whatever ails a member is told in its row
+        return f"{type(e).__name__}: {e}"
+    return None
+
+
+def as_batch(head: tuple[date | None, str, str | None], numbers: list[int | None], cells: list[dict | None], error: str | None) -> pa.RecordBatch:
+    n = len(numbers)
+    columns = [*([x] * n for x in head), numbers, [None if c is None else list(c.items()) for c in cells], [error] * n]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ARROW, strict=True)], schema=ARROW)
+
+
 @dataclass
-class Members(InputPartition):
+class Slice(InputPartition):
     path: str
-    names: list[str]
+    number: int
 
 
 class ZipCsvReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.path, self.batch = options["path"].removeprefix("file://"), int(options.get("members_per_partition", 8))
+        self.path, self.slices = options["path"], int(options.get("slices_per_archive", 8))
 
     def partitions(self) -> list[InputPartition]:
-        root = Path(self.path)
-        out: list[InputPartition] = []
-        for archive in sorted(root.rglob("*.zip")) if root.is_dir() else [root]:
-            with zipfile.ZipFile(archive) as z:
-                names = sorted(i.filename for i in z.infolist() if i.filename.lower().endswith(".csv"))
-            out += [Members(str(archive), names[i : i + self.batch]) for i in range(0, len(names), self.batch)]
-        return out
-
-    def read(self, partition: Members) -> Iterator[tuple]:
+        return [Slice(archive, i) for archive in archives(self.path) for i in range(self.slices)]
+
+    def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         day = archive_date(partition.path)
-        with zipfile.ZipFile(partition.path) as z:
-            for raw_name in partition.names:
-                name = original_name(z.getinfo(raw_name))
+        with opened(partition.path) as z:
+            members = sorted((i for i in z.infolist() if i.filename.lower().endswith(".csv")), key=lambda i: i.filename)
+            for member in members[partition.number :: self.slices]:
+                name = original_name(member)
                 head = (day, name, group_of(name, day.year if day else None))
-                try:
-                    with z.open(raw_name) as stream:
-                        rows = list(csv.DictReader(io.TextIOWrapper(stream, "utf-8-sig", newline="")))
-                    if any(None in cells for cells in rows):
-                        raise ValueError(f"row {next(n for n, cells in enumerate(rows, 1) if None in cells)} has more cells than the header")
-                except Exception as e:  # nothing is taken from a member that fails: it is one row that says so
-                    yield (*head, None, None, f"{type(e).__name__}: {e}")
+                error = failure(z, member)
+                if error:  # nothing is taken from a member that fails: it is one row that says so
+                    yield as_batch(head, [None], [None], error)
                     continue
-                for number, cells in enumerate(rows, 1):
-                    yield (*head, number, cells, None)
+                for some in batched(enumerate(cells_of(z, member), 1), BATCH_ROWS):
+                    numbers, cells = zip(*some, strict=True)
+                    yield as_batch(head, list(numbers), list(cells), None)
 
 
 class ZipCsv(DataSource):

@@ -27,7 +27,7 @@ def archive(tmp_path):
 
 def read(spark, folder):
     zip_csv.register(spark)
-    return spark.read.format("zipcsv").option("members_per_partition", 2).load(str(folder))
+    return spark.read.format("zipcsv").option("slices_per_archive", 3).load(str(folder))
 
 
 def test_zip_members_as_rows(spark, archive):
@@ -38,6 +38,25 @@ def test_zip_members_as_rows(spark, archive):
     assert {r.raw_group for r in rows} == {"OrderAdd", "OrderModifyDelete", "TradeResumes", "Index"} and {r.trade_date for r in rows} == {dt.date(2025, 2, 18)}
 
 
+def test_zip_members_in_batches(spark, tmp_path):
+    """Each member whole and once, however many slices and batches, by a URI too; a late error takes all of its member."""
+    n = zip_csv.BATCH_ROWS + 5
+    (tmp_path / "below").mkdir()
+    with zipfile.ZipFile(tmp_path / "below" / "20240102.zip", "w") as z:
+        z.writestr("G/long.csv", "a,b\n" + "".join(f"{i},\n" for i in range(n)))
+        z.writestr("G/late.csv", "a\n" + "1\n" * n + "1,2\n")
+        z.writestr("G/short.CSV", "a,b\n1\n")
+        z.writestr("G/empty.csv", "")
+        z.writestr("G/head.csv", "a,b\n")
+    zipfile.ZipFile(tmp_path / "20240103.zip", "w").close()
+    zip_csv.register(spark)
+    for path in (str(tmp_path), f"file://{tmp_path}", f"{tmp_path}/below/20240102.zip"):
+        rows = spark.read.format("zipcsv").load(path)
+        got = {(r.source_file, r.error): (r.n, r.least, r.most, r.total) for r in rows.groupBy("source_file", "error").agg(F.count("*").alias("n"), F.min("row_num_in_file").alias("least"), F.max("row_num_in_file").alias("most"), F.sum(F.col("cells")["a"]).alias("total")).collect()}
+        assert got == {("G/long.csv", None): (n, 1, n, n * (n - 1) / 2), ("G/late.csv", f"ValueError: row {n + 1} has more cells than the header"): (1, None, None, None), ("G/short.CSV", None): (1, 1, 1, 1.0)}
+        assert rows.where("source_file = 'G/short.CSV'").first().cells == {"a": "1", "b": None}
+
+
 def staged(spark, folder, contract, names):
     rows = read(spark, folder).where(F.col("error").isNull() & F.col("raw_group").isin(list(contract.groups["2025"])))
     text = rows.select(F.col("trade_date").alias("date"), "source_file", "row_num_in_file", *[F.col("cells")[n].alias(n) for n in names])
