@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelens.llm import chat, chunk_dedup, exact_dedup, hmm, language_id, licenses, mixing, pieces, quality, simhash
+from tapelens.llm import chat, chunk_dedup, exact_dedup, fill_middle, hmm, language_id, licenses, mixing, pieces, quality, simhash, spot_signatures, whitening
 from tapelens.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,8 +73,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), labels)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.store(documents(spark, sf_dir)))
+
+
+def op13_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.compare_next(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    every = (op1_simhash_near_dedup, op2_license_scan, op3_sentencepiece, op4_mixing, op5_language_id, op6_exact_dedup, op7_chat_format, op8_hmm_score, op9_chunk_dedup, op10_quality_rules)
+    every = (
+        *(op1_simhash_near_dedup, op2_license_scan, op3_sentencepiece, op4_mixing, op5_language_id, op6_exact_dedup, op7_chat_format),
+        *(op8_hmm_score, op9_chunk_dedup, op10_quality_rules, op11_embedding_whitening, op12_fill_in_middle, op13_spot_signatures),
+    )
     return {f.__name__: f for f in every}
 
 
@@ -102,4 +117,21 @@ def oracle_sql() -> dict[str, str]:
                    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                    CAST(sum(length('<|im_start|>' || r || chr(10) || t || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
             FROM e GROUP BY conv_id""",
+        "op12_fill_in_middle": """
+            WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+            u AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units,
+                         CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+                         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+            c AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+                         greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b FROM u),
+            f AS (SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                                 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+                         coalesce(array_to_string(units[1:a], ''), '') AS prefix, coalesce(array_to_string(units[a + 1:b], ''), '') AS middle,
+                         coalesce(array_to_string(units[b + 1:n], ''), '') AS suffix FROM c)
+            SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+                   CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+                   CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+                   sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                          ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+                   sha256(text) AS restored_sha256 FROM f""",
     }
