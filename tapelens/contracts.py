@@ -50,6 +50,23 @@ ORDERS = Contract(
 )
 CONTRACTS = {c.name: c for c in (TRADES, ORDERS)}
 
+#: Audit tables: what staging and publishing record for each partition they write.
+MEMBER_FAILURES = "array<struct<source_file:string,error:string>>"
+STAGE_MANIFEST = (
+    "year int, date date, table_name string, batch bigint, replaces boolean, status string, error string, raw_row_count bigint, row_count bigint, rejected_row_count bigint, "
+    f"source_member_count bigint, failed_member_count bigint, failed_member_examples {MEMBER_FAILURES}, required_null_counts map<string,bigint>, rejection_reason_counts map<string,bigint>, "
+    "send_time_parse_failure_count bigint, min_send_time timestamp, max_send_time timestamp, min_time string, max_time string, output_files bigint, output_bytes bigint, version string, generated_at timestamp"
+)
+STAGE_RUNS = "run bigint, table_name string, selected_dates array<date>, version string, status string, updated_at timestamp"
+VERIFIED_MANIFEST = (
+    "year int, date date, table_name string, verified_table_name string, input_row_count bigint, output_row_count bigint, output_files bigint, output_bytes bigint, "
+    "included_columns array<string>, included_caveat_columns array<string>, excluded_columns array<string>, verified_policy_version string, source_layer string, admission_rule string, "
+    "contains_caveat_fields boolean, reference_join_applied boolean, research_time_grade string, generated_at timestamp"
+)
+#: Labels of published layers.
+SOURCE_LAYER, POLICY_VERSION = "candidate_cleaned", "2026-03-15"
+FINE_YEARS = (2026,)
+
 
 @dataclass(frozen=True)
 class Rule:

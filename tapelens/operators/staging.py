@@ -31,31 +31,45 @@ def _typed(name: str, kind: str, present: set[str]) -> Column:
     return null_tokens(raw).try_cast(kind)
 
 
-def typed(rows: DataFrame, contract: Contract, present: list[str] | None = None) -> DataFrame:
+def text_columns(contract: Contract) -> list[str]:
+    """The columns of a member that the contract is made of."""
+    return list(dict.fromkeys(_source(n) for n, _ in contract.columns))
+
+
+def typed(rows: DataFrame, contract: Contract, present: list[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """All contract columns, leniently cast from text; columns that rows lack are typed nulls.
 
     The text columns stay together in `raw`, for rejection reasons. Rows bring date, source_file and
-    row_num_in_file.
+    row_num_in_file; columns to keep come last, as they are.
     """
     present = present if present is not None else [c for c in rows.columns if c not in ("date", "source_file", "row_num_in_file", "raw_group")]
     have = set(present)
     raw = F.struct(*[F.col(c).cast("string").alias(c) for c in present]) if present else F.struct(F.lit(None).alias("none"))
-    held = rows.select(raw.alias("raw"), "date", "source_file", "row_num_in_file")
+    held = rows.select(raw.alias("raw"), "date", "source_file", "row_num_in_file", *keep)
     technical = [F.col("date").cast("date").alias("date"), F.lit(contract.name).alias("table_name"), "source_file", F.current_timestamp().alias("ingest_ts"), F.col("row_num_in_file").cast("bigint").alias("row_num_in_file")]
-    return held.select("raw", *[_typed(n, t, have).cast(t).alias(n) for n, t in contract.columns], *technical)
+    return held.select("raw", *[_typed(n, t, have).cast(t).alias(n) for n, t in contract.columns], *technical, *keep)
+
 
+def reasons_of(name: str) -> dict[str, str]:
+    """Why a required column may be null: it is not in the member, it has no value, its value is no such thing."""
+    return {"missing": f"missing_required_column:{name}", "null": f"null_required_input:{name}", "bad": f"invalid_required_format:{name}" if name == "Time" else f"cast_failed_required:{name}"}
 
-def with_reasons(rows: DataFrame, contract: Contract) -> DataFrame:
-    """Adds `reasons`: one for each required column that is null; a row may have several."""
+
+def with_reasons(rows: DataFrame, contract: Contract, header: str | None = None) -> DataFrame:
+    """Adds `reasons`: one for each required column that is null; a row may have several.
+
+    header: a column with the column names of the row's member, where members differ.
+    """
     raw_columns = set(rows.schema["raw"].dataType.names)
     reasons = []
     for name in contract.required:
+        why = reasons_of(name)
         if name not in raw_columns:
-            reasons.append(F.when(F.col(name).isNull(), F.lit(f"missing_required_column:{name}")))
+            reasons.append(F.when(F.col(name).isNull(), F.lit(why["missing"])))
             continue
         empty = null_tokens(F.col(f"raw.{name}")).isNull()
-        bad = f"invalid_required_format:{name}" if name == "Time" else f"cast_failed_required:{name}"
-        reasons.append(F.when(F.col(name).isNull(), F.when(empty, F.lit(f"null_required_input:{name}")).otherwise(F.lit(bad))))
+        absent = ~F.array_contains(header, name) if header else F.lit(False)
+        reasons.append(F.when(F.col(name).isNull(), F.when(absent, F.lit(why["missing"])).when(empty, F.lit(why["null"])).otherwise(F.lit(why["bad"]))))
     return rows.withColumn("reasons", F.array_compact(F.array(*reasons)))
 
 

@@ -25,6 +25,12 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, in the path's own file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def text_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """CSV with all cells as text and null tokens as nulls. Without a stable row number; the zip source has one."""
     reader = spark.read.option("header", True).option("inferSchema", False)
