@@ -120,27 +120,28 @@ def following(docs: DataFrame) -> DataFrame:
     return looked.join(F.broadcast(ahead), "part").select("key", "n_chars", F.coalesce("next_key", "head_key").alias("next_key"))
 
 
-def spotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, id, text, n_chars, found): every row with its signatures; key: a digest of id and text."""
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(key, id, text, n_chars) of every row; key: a digest of id and text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     source = slim(docs, id_col, text_col).toDF("id", "text").select("id", text.alias("text"))
     key = F.md5(F.concat(F.coalesce(F.concat(F.lit("="), F.col("id").cast("string")), F.lit("")), F.lit("\n"), F.col("text")).cast("binary"))
-    return source.select(key.alias("key"), "id", "text", F.length("text").cast("long").alias("n_chars"), signatures(F.col("text")).alias("found"))
+    return source.select(F.unhex(key).alias("key"), "id", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def compare_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row.
 
     The edited text has the next document's beginning for its last quarter. A document sends only that much of its
-    text, and its signatures, to the one before it; whole texts move once.
+    text, and its signatures, to the one before it; whole texts move once, without signatures, which are made again
+    where they arrive: that takes less than moving them.
     """
-    rows = spotted(docs, id_col, text_col)
+    rows = keyed(docs, id_col, text_col)
     order = following(rows.select("key", "id", "n_chars").distinct())
     before = order.select(F.col("next_key").alias("key"), F.col("key").alias("to"), F.floor(F.col("n_chars") / 4).cast("int").alias("room"))
-    sent = rows.join(before, "key").select("to", F.substring("text", F.lit(1), F.least("room", F.col("n_chars").cast("int"))).alias("head"), F.col("found").alias("next_found"), F.col("id").alias("next_id"))
+    sent = rows.join(before, "key").select("to", F.substring("text", F.lit(1), F.least("room", F.col("n_chars").cast("int"))).alias("head"), signatures(F.col("text")).alias("next_found"), F.col("id").alias("next_id"))
     sent = sent.groupBy(F.col("to").alias("key")).agg(F.first(F.struct("head", "next_found", "next_id")).alias("next"))
     kept = F.substring("text", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int"))
-    edited = rows.join(sent, "key").select("id", "n_chars", "found", "next.next_found", F.concat(kept, "next.head").alias("edited"))
+    edited = rows.join(sent, "key").select("id", "n_chars", signatures(F.col("text")).alias("found"), "next.next_found", F.concat(kept, "next.head").alias("edited"))
     edited = edited.select("id", "n_chars", "found", "next_found", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), signatures(F.col("edited")).alias("edited_found"))
     return edited.select(
         F.col("id").alias(id_col),
