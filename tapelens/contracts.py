@@ -59,7 +59,7 @@ STAGE_MANIFEST = (
 )
 STAGE_RUNS = "run bigint, table_name string, selected_dates array<date>, version string, status string, updated_at timestamp"
 VERIFIED_MANIFEST = (
-    "year int, date date, table_name string, verified_table_name string, input_row_count bigint, output_row_count bigint, output_files bigint, output_bytes bigint, "
+    "year int, date date, table_name string, verified_table_name string, batch bigint, input_row_count bigint, output_row_count bigint, output_files bigint, output_bytes bigint, "
     "included_columns array<string>, included_caveat_columns array<string>, excluded_columns array<string>, verified_policy_version string, source_layer string, admission_rule string, "
     "contains_caveat_fields boolean, reference_join_applied boolean, research_time_grade string, generated_at timestamp"
 )

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tapelens.contracts import FINE_YEARS, POLICY_VERSION, SOURCE_LAYER, VERIFIED_MANIFEST
 from tapelens.functions.columns import instrument_key, order_side
 from tapelens.operators.staging import require_columns
+from tapelens.sources.files import exists, file_totals
 
 BUCKETS = ("admit_now", "admit_with_explicit_caveat_only", "keep_out_for_now")
 #: What the columns that a policy may derive are made of.
@@ -57,6 +62,82 @@ def write_verified(df: DataFrame, root: str, variant: str) -> None:
     out.hint("rebalance", "year", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("year", "date").parquet(f"{root}/{variant}")
 
 
+def time_grade(year: Column) -> Column:
+    """What a year's times are good for."""
+    return F.when(year.isin(*FINE_YEARS), "fine_ok").otherwise("coarse_only")
+
+
+def metadata(counts: DataFrame, plan: dict, table: str, version: str = POLICY_VERSION) -> DataFrame:
+    """VERIFIED_MANIFEST rows of partitions. counts: date, batch, input_row_count, output_rows, output_files, output_bytes."""
+    names = lambda some: F.array(*map(F.lit, some)).cast("array<string>")
+    known = {
+        "year": F.year("date"),
+        "table_name": F.lit(table),
+        "verified_table_name": F.lit(plan["variant"]),
+        "output_row_count": F.col("output_rows"),
+        "included_columns": names(plan["outputs"]),
+        "included_caveat_columns": names(plan["caveats"]),
+        "excluded_columns": names(plan["excluded"]),
+        "verified_policy_version": F.lit(version),
+        "source_layer": F.lit(SOURCE_LAYER),
+        "admission_rule": F.lit("admit_now_plus_caveat_only" if plan["caveats"] else "admit_now_only"),
+        "contains_caveat_fields": F.lit(bool(plan["caveats"])),
+        "reference_join_applied": F.lit(False),
+        "research_time_grade": time_grade(F.year("date")),
+        "generated_at": F.current_timestamp(),
+    }
+    return counts.withColumns(known).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(VERIFIED_MANIFEST)])
+
+
+def read_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Metadata of the last batch of each table and date."""
+    path = f"{root}/manifest"
+    if not exists(spark, path):
+        return spark.createDataFrame([], VERIFIED_MANIFEST)
+    rows = spark.read.schema(VERIFIED_MANIFEST).parquet(path).select(*StructType.fromDDL(VERIFIED_MANIFEST).names)
+    last = F.max("batch").over(Window.partitionBy("verified_table_name", "date"))
+    return rows.withColumn("last", last).where("batch = last").drop("last")
+
+
+def output_states(spark: SparkSession, root: str, variant: str) -> DataFrame:
+    """(date, state) of a verified table's days: done, stale (outputs gone, or not as recorded) or orphan (no metadata row)."""
+    path, rows = f"{root}/{variant}", read_manifest(spark, root).where(F.col("verified_table_name") == variant).select("date", "output_row_count")
+    out = file_totals(spark.read.parquet(path), ["date"]) if exists(spark, path) else spark.createDataFrame([], "date date, output_rows bigint")
+    both = rows.withColumn("recorded", F.lit(True)).join(out.select("date", "output_rows"), "date", "full_outer")
+    same = F.coalesce("output_row_count", F.lit(0)) == F.coalesce("output_rows", F.lit(0))
+    return both.select("date", F.when(F.col("recorded").isNull(), "orphan").when(same, "done").otherwise("stale").alias("state"))
+
+
+def publish(stage: DataFrame, root: str, table: str, plan: dict, days: list[dt.date] | None = None, overwrite: bool = False, version: str = POLICY_VERSION) -> DataFrame:
+    """Project days of a stage table (all, if none are named) that are not published yet, and record them; returns their metadata.
+
+    Metadata are made of the written files; the input's rows are counted by date alone. Raises where days have outputs
+    but no metadata row, as a run that was killed leaves them; not with overwrite, which publishes all days anew. Days
+    whose outputs are gone, or not as recorded, are published anew.
+    """
+    spark = stage.sparkSession
+    chosen = stage if days is None else stage.where(F.col("date").isin(days))
+    inputs = {r["date"]: r["n"] for r in chosen.where("date IS NOT NULL").groupBy("date").agg(F.count("*").alias("n")).collect()}  # a row a day
+    states = {r["date"]: r["state"] for r in output_states(spark, root, plan["variant"]).collect()}
+    if not overwrite and (orphans := sorted(str(d) for d in inputs if states.get(d) == "orphan")):
+        raise ValueError(f"outputs without a metadata row: {', '.join(orphans[:10])}")
+    todo = sorted(d for d in inputs if overwrite or states.get(d) != "done")
+    if not todo:
+        return read_manifest(spark, root).limit(0)
+    batch = (read_manifest(spark, root).agg(F.max("batch")).first()[0] or 0) + 1
+    write_verified(project(chosen.where(F.col("date").isin(todo)), plan), root, plan["variant"])
+    counts = spark.createDataFrame([(d, inputs[d], batch) for d in todo], "date date, input_row_count bigint, batch bigint")
+    written = file_totals(spark.read.parquet(f"{root}/{plan['variant']}").where(F.col("date").isin(todo)), ["date"])
+    made = metadata(counts.join(written, "date", "left"), plan, table, version)
+    made.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("verified_table_name", "batch").parquet(f"{root}/manifest")
+    return read_manifest(spark, root).where((F.col("batch") == batch) & (F.col("verified_table_name") == plan["variant"]))
+
+
+def totals(manifest: DataFrame) -> DataFrame:
+    """Per verified table: days, rows, bytes, first and last day."""
+    return manifest.groupBy("verified_table_name").agg(F.count("*").alias("partition_count"), F.sum("output_row_count").alias("output_row_count"), F.sum("output_bytes").alias("output_bytes"), F.min("date").alias("min_date"), F.max("date").alias("max_date"))
+
+
 def summary(verified: DataFrame, by: list[str]) -> DataFrame:
     """Measured rows and dates of verified tables."""
     return verified.groupBy(*by).agg(F.count("*").alias("output_row_count"), F.count_distinct("date").alias("partition_count"), F.min("date").alias("min_date"), F.max("date").alias("max_date"))

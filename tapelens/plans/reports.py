@@ -10,7 +10,7 @@ from tapelens.operators import gates, probes, universe, verified
 from tapelens.plans.adapters import EVENT_TRADES, ORDER_EVENTS, TRADES, event_trades, order_events, read, trades
 from tapelens.plans.common import rounded
 from tapelens.plans.probes import _BOTH, _GROUPS
-from tapelens.sources.files import code_list, common_dates, select_dates
+from tapelens.sources.files import code_list, common_dates, scratch, select_dates
 
 #: A policy over the adapted trades.
 POLICY = [
@@ -38,6 +38,16 @@ def verified_summary(spark, sf_dir):
     return verified.summary(trades(spark, sf_dir), ["year"])
 
 
+def verified_manifest(spark, sf_dir):
+    """Metadata of two published variants, by day: what is in them, and whether the files have bytes."""
+    root, rows = scratch(spark, "verified"), trades(spark, sf_dir)
+    for caveats in ((), ("Dir",)):
+        verified.publish(rows, root, "trades", verified.resolve(POLICY, "trades", 2025, caveats))
+    out = verified.read_manifest(spark, root)
+    lists = {c: F.array_join(c, ",") for c in ("included_columns", "included_caveat_columns", "excluded_columns")}
+    return out.withColumns(lists).withColumn("has_bytes", (F.col("output_bytes") > 0) & (F.col("output_files") > 0)).drop("batch", "output_files", "output_bytes", "generated_at")
+
+
 def published(spark, sf_dir):
     out = verified.published(verified.project(trades(spark, sf_dir), verified.resolve(POLICY, "trades", 2025)), "verified", "trades", 2025, "coarse_only")
     return out.groupBy("source_layer", "table_name", "year", "research_time_grade", "readonly").agg(F.count("*").alias("row_count"), F.count("query_generated_at").alias("stamped"))
@@ -208,6 +218,14 @@ QUERIES = {
     "verified_projection": (projected, f"WITH {TRADES} {_PROJECT} FROM trades"),
     "verified_caveat_variant": (caveat, f"WITH {TRADES} SELECT 'verified_trades__caveat_Dir' AS variant, Dir, count(*) AS row_count, count(DISTINCT {_KEY}) AS instruments FROM trades GROUP BY Dir"),
     "verified_summary": (verified_summary, f"WITH {TRADES} SELECT year, count(*) AS output_row_count, count(DISTINCT date) AS partition_count, min(date) AS min_date, max(date) AS max_date FROM trades GROUP BY year"),
+    "verified_manifest": (
+        verified_manifest,
+        f"""WITH {TRADES} SELECT CAST(year AS INT) AS year, date, 'trades' AS table_name, v.name AS verified_table_name, count(*) AS input_row_count, count(*) AS output_row_count, v.cols AS included_columns,
+              v.caveats AS included_caveat_columns, v.out AS excluded_columns, '2026-03-15' AS verified_policy_version, 'candidate_cleaned' AS source_layer, v.rule AS admission_rule, v.caveats <> '' AS contains_caveat_fields,
+              false AS reference_join_applied, CASE WHEN year = 2026 THEN 'fine_ok' ELSE 'coarse_only' END AS research_time_grade, true AS has_bytes
+            FROM trades, (VALUES ('verified_trades', 'TickID,Time,Price,instrument_key', '', 'SendTime,Dir,BrokerNo', 'admit_now_only'),
+              ('verified_trades__caveat_Dir', 'TickID,Time,Price,instrument_key,Dir', 'Dir', 'SendTime,BrokerNo', 'admit_now_plus_caveat_only')) v(name, cols, caveats, out, rule) GROUP BY ALL""",
+    ),
     "verified_published": (published, f"WITH {TRADES} SELECT 'verified' AS source_layer, 'trades' AS table_name, 2025 AS year, 'coarse_only' AS research_time_grade, true AS readonly, count(*) AS row_count, count(*) AS stamped FROM trades"),
     "verified_lookup": (lookup, f"WITH {TRADES} SELECT BrokerNo, s_name AS broker_name, 'reference_lookup' AS enrichment, count(*) AS row_count FROM trades LEFT JOIN supplier ON BrokerNo = lpad(CAST(s_suppkey AS VARCHAR), 4, '0') GROUP BY ALL"),
     "universe_spans": (spans, f"WITH {TRADES} SELECT {_KEY} AS instrument_key, min(date) AS trades_first_seen_date, max(date) AS trades_last_seen_date, count(DISTINCT date) AS observed_trades_days FROM trades WHERE Dir <> 1 GROUP BY 1"),

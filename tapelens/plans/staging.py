@@ -8,6 +8,8 @@ from tapelens.contracts import ORDERS as ORDER_CONTRACT
 from tapelens.operators import coverage, gates
 from tapelens.operators import staging as op
 from tapelens.plans.adapters import RAW_ORDERS, raw_orders, read
+from tapelens.sources.files import scratch
+from tapelens.streaming import ingest
 from tapelens.streaming.incremental import open_tasks
 
 _TEXT = ["SeqNum", "OrderId", "OrderType", "Time", "Price", "Volume", "SendTime"]
@@ -42,6 +44,32 @@ def manifest(spark, sf_dir):
     return op.partition_manifest(_staged(spark, sf_dir))
 
 
+def _zip_rows(spark, sf_dir):
+    """Rows as the zip source has them, two years later; every user who signed up on a day has a broken member there."""
+    later = lambda day: F.add_months(day, 24)
+    head = F.array(*map(F.lit, _TEXT))
+    raw = raw_orders(spark, sf_dir).withColumns({"trade_date": later("date"), "raw_group": F.lit("order"), "header": head, "error": F.lit(None).cast("string")}).drop("date")
+    broken = read(spark, sf_dir, "events").where("event_type = 'signup'").select(later(F.to_date("ts")).alias("trade_date"), F.concat(F.lit("order/signup"), F.lpad(F.col("user_id").cast("string"), 5, "0"), F.lit(".csv")).alias("source_file")).distinct()
+    rows = raw.unionByName(broken.withColumns({"raw_group": F.lit("order"), "error": F.lit("broken")}), allowMissingColumns=True)
+    return rows.withColumns({c: F.lit(None).cast("string") for c in op.text_columns(ORDER_CONTRACT) if c not in rows.columns})
+
+
+def ingest_manifest(spark, sf_dir):
+    """What the manifest says of a written batch."""
+    made = ingest.write_batch(_zip_rows(spark, sf_dir), ORDER_CONTRACT, scratch(spark, "stage"), 1, "v1")
+    pairs = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    files = F.array_join(F.transform("failed_member_examples", lambda e: e["source_file"]), ",")
+    out = made.withColumns({"required_null_counts": pairs("required_null_counts"), "rejection_reason_counts": pairs("rejection_reason_counts"), "failed_member_examples": files, "has_bytes": (F.col("output_bytes") > 0) & (F.col("output_files") > 0)})
+    return out.drop("output_files", "output_bytes", "generated_at", "error")
+
+
+def ingest_quarantine(spark, sf_dir):
+    """Rejected rows as the stage's quarantine keeps them, with one cell of their raw text."""
+    root = scratch(spark, "stage")
+    ingest.write_batch(_zip_rows(spark, sf_dir), ORDER_CONTRACT, root, 1, "v1")
+    return ingest.quarantine_table(spark, root, ORDER_CONTRACT).select("date", "row_num_in_file", F.array_join("reasons", ",").alias("reasons"), F.get_json_object("raw", "$.Time").alias("raw_time"))
+
+
 def _members(spark, sf_dir):
     """Raw members of parts: a group folder each, of which some feed no table; small parts lie outside any group folder."""
     n = F.col("p_partkey")
@@ -164,6 +192,20 @@ QUERIES = {
     "stage_rejections": (rejections, f"{_WITH} SELECT date, 'orders' AS table_name, reason, count(*) AS n FROM (SELECT date, unnest(reasons) AS reason FROM judged) GROUP BY ALL"),
     "stage_null_counts": (nulls, f"{_WITH} " + " UNION ALL ".join(f"SELECT date, 'orders' AS table_name, '{c}' AS field, count(*) - count({c}) AS n_null FROM judged GROUP BY date" for c in ORDER_CONTRACT.required)),
     "stage_manifest": (manifest, f"{_WITH}, {_MANIFEST} SELECT * FROM man"),
+    "ingest_manifest": (
+        ingest_manifest,
+        f"""{_WITH}, f AS (SELECT DISTINCT CAST(ts AS DATE) AS date, 'order/signup' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '.csv' AS file FROM events WHERE event_type = 'signup'),
+            g AS (SELECT date, count(*) AS k, array_to_string(list_slice(list(file ORDER BY file), 1, 10), ',') AS files FROM f GROUP BY date),
+            w AS (SELECT date, string_agg(reason || '=' || n, ',' ORDER BY reason) AS whys FROM (SELECT date, reason, count(*) AS n FROM (SELECT date, unnest(reasons) AS reason FROM judged) GROUP BY ALL) GROUP BY date),
+            m AS (SELECT date, count(*) AS n, count(*) FILTER (WHERE len(reasons) = 0) AS kept, count(DISTINCT source_file) AS members, count(*) FILTER (WHERE SendTime IS NULL) AS bad_time,
+              min(SendTime) FILTER (WHERE len(reasons) = 0) AS s0, max(SendTime) FILTER (WHERE len(reasons) = 0) AS s1, min(Time) FILTER (WHERE len(reasons) = 0) AS t0, max(Time) FILTER (WHERE len(reasons) = 0) AS t1,
+              'OrderId=' || count(*) FILTER (WHERE OrderId IS NULL) || ',Price=' || count(*) FILTER (WHERE Price IS NULL) || ',SeqNum=' || count(*) FILTER (WHERE SeqNum IS NULL) || ',Time=' || count(*) FILTER (WHERE Time IS NULL) || ',Volume=0' AS nulls FROM judged GROUP BY date)
+            SELECT CAST(year(date) + 2 AS INT) AS year, CAST(date + INTERVAL 2 YEAR AS DATE) AS date, 'orders' AS table_name, CAST(1 AS BIGINT) AS batch, false AS replaces,
+              CASE WHEN k > 0 THEN 'completed_with_member_errors' ELSE 'completed' END AS status, n AS raw_row_count, kept AS row_count, n - kept AS rejected_row_count, members AS source_member_count,
+              coalesce(k, 0) AS failed_member_count, coalesce(files, '') AS failed_member_examples, nulls AS required_null_counts, coalesce(whys, '') AS rejection_reason_counts, bad_time AS send_time_parse_failure_count,
+              s0 AS min_send_time, s1 AS max_send_time, t0 AS min_time, t1 AS max_time, 'v1' AS version, true AS has_bytes FROM m LEFT JOIN g USING (date) LEFT JOIN w USING (date)""",
+    ),
+    "ingest_quarantine": (ingest_quarantine, f"{_WITH} SELECT CAST(date + INTERVAL 2 YEAR AS DATE) AS date, row_num_in_file, array_to_string(reasons, ',') AS reasons, judged.Time0 AS raw_time FROM (SELECT judged.*, raw.Time AS Time0 FROM judged JOIN raw USING (row_num_in_file)) judged WHERE len(reasons) > 0"),
     "source_inventory": (inventory, f"WITH {_MEMBERS} SELECT year, date, raw_group, csv_member_count, example_member, coalesce(table_name, '') AS mapped_tables, CASE WHEN table_name IS NULL THEN 'unmapped_source_group' END AS skip_reason FROM inv"),
     "source_unmapped": (unmapped, f"WITH {_MEMBERS} SELECT year, date, source_file, raw_group FROM mem ANTI JOIN gm ON mem.year = gm.year AND mem.raw_group = gm.raw_group"),
     "source_routing": (routed, f"WITH {_MEMBERS} SELECT mem.year, mem.raw_group, table_name, count(*) AS members FROM mem LEFT JOIN gm ON mem.year = gm.year AND mem.raw_group = gm.raw_group GROUP BY ALL"),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import posixpath
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -31,6 +35,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the folder that driver and executors share; a local one in a local session that names none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return posixpath.join(folder or tempfile.mkdtemp(prefix="spark-shared-"), f"{name}-{uuid.uuid4().hex}")
+
+
 def text_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """CSV with all cells as text and null tokens as nulls. Without a stable row number; the zip source has one."""
     reader = spark.read.option("header", True).option("inferSchema", False)
@@ -69,6 +81,12 @@ def common_dates(left: DataFrame, right: DataFrame, column: str = "date") -> Dat
     return left.select(column).intersect(right.select(column))
 
 
+def file_totals(rows: DataFrame, by: list[str]) -> DataFrame:
+    """(by, output_rows, output_files, output_bytes) of rows as they are read from files; only the columns of `by` are read."""
+    files = rows.groupBy(*by, F.col("_metadata.file_path").alias("file")).agg(F.max("_metadata.file_size").alias("bytes"), F.count("*").alias("n"))
+    return files.groupBy(*by).agg(F.sum("n").alias("output_rows"), F.count("*").alias("output_files"), F.sum("bytes").alias("output_bytes"))
+
+
 def write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     """Replace the partitions that df has; others stay. Spark commits a write as a whole.
 

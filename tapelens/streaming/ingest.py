@@ -28,7 +28,7 @@ from pyspark.sql.types import StructType
 from tapelens.contracts import STAGE_MANIFEST, STAGE_RUNS, Contract
 from tapelens.operators.staging import reasons_of, text_columns, typed, with_reasons
 from tapelens.sources import zip_csv
-from tapelens.sources.files import exists, write_partitions
+from tapelens.sources.files import exists, file_totals, write_partitions
 
 KEPT, REJECTED, FAILED = "kept", "rejected", "failed"
 EXAMPLES = 10
@@ -77,12 +77,6 @@ def read_manifest(spark: SparkSession, root: str, form: str = STAGE_MANIFEST, na
     return spark.read.schema(form).parquet(f"{root}/{name}").select(*StructType.fromDDL(form).names)
 
 
-def file_totals(rows: DataFrame, by: list[str]) -> DataFrame:
-    """(by, output_files, output_bytes) of rows just read from files; no column of theirs is read."""
-    files = rows.groupBy(*by, F.col("_metadata.file_path").alias("file")).agg(F.max("_metadata.file_size").alias("bytes"))
-    return files.groupBy(*by).agg(F.count("*").alias("output_files"), F.sum("bytes").alias("output_bytes"))
-
-
 def counts_of(rows: DataFrame, contract: Contract) -> DataFrame:
     """Per (date, table_name): rows by outcome, members, failures with examples, null and reason counts, ranges of times. rows: in stored form."""
     kept, rejected = F.col("outcome") == KEPT, F.col("outcome") == REJECTED
