@@ -6,11 +6,17 @@ Lookups are reduced to a row for each order before they are joined.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapelens.functions.columns import day_seconds, present_id, rate
 
+#: An order id is hot with more than a HOT_SHARE-th of all edges, and LEAST_HOT at least.
+HOT_SHARE, LEAST_HOT = 1_000, 1_000
+
 
 def edges(trades: DataFrame, keep: list[str]) -> DataFrame:
     """Up to two rows for each trade, (side, trade_order_id), in one scan."""
@@ -98,7 +104,11 @@ def day_record(trades: DataFrame, orders: DataFrame, by: list[str], on: list[str
     Orders are matched by `on` and the id; where the grain is not among `on`, their anchor rates are
     those of all orders.
     """
-    out = trades.groupBy(*by).agg(F.count("*").alias("trade_rows")).join(edge_metrics(linked_edges(trades, orders, by, on), by), by, "left").join(both_sides(trades, orders, by, on), by, "left")
+    return _record(trades, orders, by, on, edge_metrics(linked_edges(trades, orders, by, on), by), both_sides(trades, orders, by, on))
+
+
+def _record(trades: DataFrame, orders: DataFrame, by: list[str], on: list[str], metrics: DataFrame, both: DataFrame) -> DataFrame:
+    out = trades.groupBy(*by).agg(F.count("*").alias("trade_rows")).join(metrics, by, "left").join(both, by, "left")
     grain = [c for c in by if c in on]
     anchors = anchor_availability(orders, grain, "orders")
     out = out.join(anchors, grain, "left") if grain else out.crossJoin(F.broadcast(anchors))  # one row
@@ -130,6 +140,64 @@ def day_record(trades: DataFrame, orders: DataFrame, by: list[str], on: list[str
     )
 
 
+@dataclass(frozen=True)
+class Colocated:
+    """Edges and order lookups as tables bucketed alike by (on, order id), and the few hot ids' edges beside them.
+
+    Names are those of tables in the session's catalog: <name>_edges, <name>_orders, <name>_hot_edges, <name>_hot_orders.
+    """
+
+    name: str
+    on: tuple[str, ...]
+
+    def linked(self, spark: SparkSession) -> DataFrame:
+        """`linked_edges`, with both order ids of each edge's trade, read without a shuffle."""
+        keys, table = [*self.on, "trade_order_id"], lambda kind: spark.table(f"{self.name}_{kind}")
+        cold = table("edges").join(table("orders").hint("merge"), keys, "left")
+        hot = table("hot_edges").join(F.broadcast(table("hot_orders")), keys, "left")  # under HOT_SHARE ids
+        return cold.unionByName(hot)
+
+    def drop(self, spark: SparkSession) -> None:
+        for kind in ("edges", "orders", "hot_edges", "hot_orders"):
+            spark.sql(f"DROP TABLE IF EXISTS {self.name}_{kind}")
+
+
+def write_colocated(trades: DataFrame, orders: DataFrame, by: list[str], on: list[str], name: str, folder: str, buckets: int) -> Colocated:
+    """Write edges and lookups once, for any number of linkage queries over them, into tables below the folder.
+
+    Ids with more than a HOT_SHARE-th of all edges, fewer than HOT_SHARE of them, would each fill a bucket: their edges lie
+    apart, unbucketed, and their lookups are broadcast. Edges without an order keep their place; edges of null `on` match none.
+    """
+    spark = trades.sparkSession
+    keys = [*on, "trade_order_id"]
+    every = edges(trades, list(dict.fromkeys([*by, *on, "SendTime", "Time", "BidOrderID", "AskOrderID"])))
+    sizes = every.groupBy(*keys).agg(F.count("*").alias("n"))
+    total = trades.select(F.sum(sum(F.when(present_id(F.col(c)), 1).otherwise(0) for c in ("BidOrderID", "AskOrderID")))).first()[0] or 0
+    hot = spark.createDataFrame(sizes.where(F.col("n") > max(LEAST_HOT, total // HOT_SHARE)).select(*keys).collect(), sizes.select(*keys).schema)  # under HOT_SHARE rows
+    same = lambda df: reduce(lambda x, y: x & y, [df[k].eqNullSafe(F.col(f"{k}__hot")) for k in keys])
+    few = F.broadcast(hot.withColumnsRenamed({k: f"{k}__hot" for k in keys}))
+    lookups = order_lookup(orders, on)
+
+    def save(rows: DataFrame, kind: str, bucketed: bool) -> None:
+        # One file a bucket: rows are dealt out by the hash that buckets have.
+        out = (rows.repartition(buckets, *keys) if bucketed else rows).write.mode("overwrite").format("parquet").option("path", f"{folder}/{name}_{kind}").option("compression", "zstd")
+        (out.bucketBy(buckets, *keys).sortBy(*keys) if bucketed else out).saveAsTable(f"{name}_{kind}")
+
+    for kind, rows in (("edges", every), ("orders", lookups)):
+        save(rows.join(few, same(rows), "left_anti"), kind, True)
+        save(rows.join(few, same(rows), "left_semi"), f"hot_{kind}", False)
+    return Colocated(name, tuple(on))
+
+
+def colocated_record(tables: Colocated, trades: DataFrame, orders: DataFrame, by: list[str]) -> DataFrame:
+    """`day_record` from co-located tables: edges meet orders where they lie. Only pairs of orders that trades name are shuffled, counted before."""
+    linked = tables.linked(trades.sparkSession)
+    paired = linked.where(present_id(F.col("BidOrderID")) & present_id(F.col("AskOrderID")))
+    pairs = paired.groupBy(*dict.fromkeys([*by, *tables.on]), "BidOrderID", "AskOrderID").agg(F.count_if(F.col("side") == "bid").alias("n"), F.bool_and(F.col("order_events").isNotNull()).alias("known"))
+    both = pairs.groupBy(*by).agg(F.sum("n").alias("both_present_count"), F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("both_id_equal_count"))
+    return _record(trades, orders, by, list(tables.on), edge_metrics(linked, by), both)
+
+
 def time_anchor(trades: DataFrame, orders: DataFrame, by: list[str], on: list[str]) -> DataFrame:
     """Time-of-day agreement of edges with their orders.
 

@@ -15,6 +15,8 @@ from tapelens.operators.profile import chunked_lag
 PRESENCE_RATES = ["bid_present", "ask_present", "both_present", "bid_only", "ask_only", "neither_side"]
 MOVE_RATES = ["uptick", "downtick", "sameprice"]
 UPTICK_GAP = 0.02
+#: Ranks at which percentiles are bracketed; events up to which an order's pattern is spelt out.
+SPLITS, LONG = 2048, 10_000
 
 
 def order_groups(orders: DataFrame, by: list[str], order: list[str]) -> DataFrame:
@@ -130,28 +132,58 @@ def tick_moves(trades: DataFrame, by: list[str], chunk: str, order: list[str]) -
     )
 
 
-def exact_percentiles(df: DataFrame, by: list[str], column: str, shares: dict[str, float], bins: int = 4096) -> DataFrame:
+def brackets(df: DataFrame, by: list[str], column: str, shares: dict[str, float]) -> DataFrame:
+    """(key, total, numbers, share): a row for each group; share, for each wanted share, is where its places lie.
+
+    A share's struct has the two places it is interpolated between, and a low and a high value around them (null:
+    unbounded), taken from a mergeable sketch of the group's values at SPLITS + 1 even ranks. Its error is a quarter of
+    their distance, and two of them are added on either side, so between low and high are at most six SPLITS-ths of the
+    group's numbers, repeats of one value and two rows aside. NaN is above all numbers.
+    """
+    value = F.col(column).cast("double")
+    number = F.when(~F.isnan(value), value)
+    grid = F.percentile_approx(number, [i / SPLITS for i in range(SPLITS + 1)], 4 * SPLITS)
+    out = df.where(F.col(column).isNotNull()).groupBy(F.struct(*by).alias("key")).agg(F.count("*").alias("total"), F.count(number).alias("numbers"), grid.alias("grid"))
+
+    def around(name: str, share: float) -> Column:
+        place = F.lit(share) * (F.col("total") - 1)
+        rank = lambda p: F.try_divide(p, "numbers") * SPLITS
+        low, high = F.floor(rank(F.floor(place))) - 2, F.ceil(rank(F.ceil(place) + 1)) + 2
+        at = lambda i: F.get("grid", i.cast("int"))
+        return F.struct(F.lit(name).alias("name"), place.alias("place"), F.when(low > 0, at(low)).alias("low"), F.when(high < SPLITS, at(high)).alias("high"))
+
+    return out.select("key", "total", "numbers", F.array(*[around(n, s) for n, s in shares.items()]).alias("share"))
+
+
+def held_values(df: DataFrame, by: list[str], column: str, shares: dict[str, float]) -> DataFrame:
+    """(key, numbers, share, value, n): the distinct values between a share's low and high with their rows; value null: all rows below."""
+    value = F.col(column).cast("double")
+    values = df.where(F.col(column).isNotNull() & ~F.isnan(value)).select(F.struct(*by).alias("key"), value.alias("value"))
+    each = values.join(brackets(df, by, column, shares), "key").select("key", "numbers", "value", F.explode("share").alias("share"))
+    low, high = F.col("share.low"), F.col("share.high")
+    kept = each.where(high.isNull() | (F.col("value") <= high))
+    return kept.groupBy("key", "numbers", "share", F.when(low.isNull() | (F.col("value") >= low), F.col("value")).alias("value")).agg(F.count("*").alias("n"))
+
+
+def exact_percentiles(df: DataFrame, by: list[str], column: str, shares: dict[str, float]) -> DataFrame:
     """(key, a column for each share): interpolated percentiles of a group's values; key is a struct of `by`.
 
-    Values are counted, and the counts summed over equal ranges of values, to find the few ranges that hold the wanted
-    places; only those are sorted. So no task holds all values of a group. The broadcast sides have a row for each
-    group (days by codes), or two for each share.
+    Places are first bracketed by a sketch (`brackets`), rows below a bracket counted, and only the values inside
+    sorted, so that the values of a group are in no one task, however they lie. Null values do not count; NaN is above all
+    numbers; columns of any name may be in the table.
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(F.struct(*by).alias("key"), F.col(column).cast("double").alias("value")).agg(F.count("*").alias("n"))
-    whole = values.groupBy("key").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total"))
-    ranged = values.join(F.broadcast(whole), "key")
-    at = F.when(F.col("high") > F.col("low"), F.least(F.lit(bins - 1), F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * bins))).otherwise(0)
-    ranged = ranged.withColumn("bin", at.cast("int"))
-    place = {name: share * (F.col("total") - 1) for name, share in shares.items()}
-    wanted = F.array(*[f(p) for p in place.values() for f in (F.floor, F.ceil)])
-    before = lambda n, window: F.coalesce(F.sum(n).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    held = ranged.groupBy("key", "total", "bin").agg(F.sum("n").alias("rows")).withColumn("first", before("rows", Window.partitionBy("key").orderBy("bin")))
-    held = held.where(F.exists(wanted, lambda p: (p >= F.col("first")) & (p < F.col("first") + F.col("rows")))).select("key", "bin", "first")
-    inside = ranged.join(F.broadcast(held), ["key", "bin"])
-    inside = inside.withColumn("first", F.col("first") + before("n", Window.partitionBy("key", "bin").orderBy("value")))
+    inside = held_values(df, by, column, shares)
+    ordered = Window.partitionBy("key", "share").orderBy(F.asc_nulls_first("value"))
+    inside = inside.withColumn("first", F.coalesce(F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     of = lambda p: F.max(F.when((p >= F.col("first")) & (p < F.col("first") + F.col("n")), F.col("value")))
-    found = inside.groupBy("key", "total").agg(*[of(f(p)).alias(f"{name}_{f.__name__}") for name, p in place.items() for f in (F.floor, F.ceil)])
-    return found.select("key", *[(F.col(f"{name}_floor") + (p - F.floor(p)) * (F.col(f"{name}_ceil") - F.col(f"{name}_floor"))).alias(name) for name, p in place.items()])
+    place = F.col("share.place")
+    found = inside.groupBy("key", F.col("share.name").alias("name")).agg(of(F.floor(place)).alias("lower"), of(F.ceil(place)).alias("upper"))
+    asked = brackets(df, by, column, shares).select("key", "numbers", F.explode("share").alias("share")).select("key", "numbers", F.col("share.name").alias("name"), F.col("share.place").alias("place"))
+    known = asked.join(found, ["key", "name"], "left")
+    end = lambda c, p: F.when(p >= F.col("numbers"), F.lit(float("nan"))).otherwise(F.col(c))
+    lower, upper = end("lower", F.floor("place")), end("upper", F.ceil("place"))
+    exact = F.when((F.col("place") == F.floor("place")) | (lower == upper), lower).otherwise(lower + (F.col("place") - F.floor("place")) * (upper - lower))
+    return known.groupBy("key").agg(*[F.max(F.when(F.col("name") == name, exact)).alias(name) for name in shares])
 
 
 def direction_sizes(trades: DataFrame, by: list[str]) -> DataFrame:
@@ -237,12 +269,32 @@ def top_values(df: DataFrame, by: list[str], column: str, most: int = 5) -> Data
     return top.groupBy(*by).agg(F.array_join(F.transform(listed, lambda x: x["t"]), ",").alias(f"top_{column}"))
 
 
-def trajectories(orders: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """A row for each order: its event codes in order, as text. An order has few events."""
-    rows = orders.where(present_id(F.col("OrderId")) & F.col("OrderType").isNotNull())
-    listed = F.array_sort(F.collect_list(F.struct(*order, "OrderType")))
-    pattern = F.array_join(F.transform(listed, lambda x: x["OrderType"].cast("string")), ",")
-    return rows.groupBy(*by, "OrderId").agg(F.count_distinct("OrderType").alias("n_types"), pattern.alias("pattern"))
+def trajectories(orders: DataFrame, by: list[str], order: list[str], chunk: Column | None = None, long: int = LONG) -> DataFrame:
+    """A row for each order: its distinct event codes, and the codes in order, as text.
+
+    The pattern of an order with more than `long` events is the text `<events>:<digest>`: its codes are numbered and cut in
+    blocks of `long`, and the digest is the SHA-256 of the blocks' SHA-256 digests in order; so equal sequences have
+    equal patterns, and others do not. To number them without one task for an order, events are dealt out by `chunk`, which
+    must not fall as the order rises; else by the first order column in steps of `long`, where that is an integer.
+    """
+    if chunk is None:
+        integer = dict(orders.dtypes)[order[0]] in ("tinyint", "smallint", "int", "bigint")
+        chunk = F.floor(F.col(order[0]) / long) if integer else F.lit(0)
+    # Keys are structs, in which nulls are equal.
+    rows = orders.where(present_id(F.col("OrderId")) & F.col("OrderType").isNotNull()).select(F.struct(*by, "OrderId").alias("key"), F.struct(chunk.alias("at")).alias("chunk"), F.struct(*order, "OrderType").alias("event"))
+    sizes = rows.groupBy("key", "chunk").agg(F.count("*").alias("n"), F.collect_set("event.OrderType").alias("codes"))
+    many = sizes.groupBy("key").agg(F.sum("n").alias("events"), F.size(F.array_distinct(F.flatten(F.collect_list("codes")))).cast("bigint").alias("n_types")).where(F.col("events") > long)
+    text = lambda listed: F.array_join(F.transform(F.array_sort(listed), lambda x: x["OrderType"].cast("string")), ",")
+    short = rows.join(many, "key", "left_anti").groupBy("key").agg(F.count_distinct("event.OrderType").alias("n_types"), text(F.collect_list("event")).alias("pattern"))
+    before = F.sum("n").over(Window.partitionBy("key").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.join(many, "key").select("key", "chunk", "events", "n_types", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = Window.partitionBy("key", "chunk").orderBy("event")
+    placed = rows.join(starts, ["key", "chunk"]).withColumn("place", F.col("before") + F.row_number().over(inside) - 1)
+    blocks = placed.groupBy("key", "events", "n_types", F.floor(F.col("place") / long).alias("block")).agg(text(F.collect_list(F.struct("place", "event.OrderType"))).alias("codes"))
+    digests = F.transform(F.array_sort(F.collect_list(F.struct("block", F.sha2("codes", 256).alias("digest")))), lambda x: x["digest"])
+    longer = blocks.groupBy("key", "events", "n_types").agg(F.sha2(F.array_join(digests, ""), 256).alias("digest"))
+    longer = longer.select("key", "n_types", F.concat_ws(":", F.col("events").cast("string"), "digest").alias("pattern"))
+    return short.unionByName(longer).select("key.*", "n_types", "pattern")
 
 
 def ordertype_probe(orders: DataFrame, by: list[str], order: list[str]) -> DataFrame:

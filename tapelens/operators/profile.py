@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 from tapelens.contracts import Contract, Rule
 from tapelens.functions.columns import rate
 
+#: Chunks that one window looks through; a power of two.
+FAN = 4096
+
 
 def field_profile(df: DataFrame, by: list[str], fields: list[str]) -> DataFrame:
     """A row for each group and field: nulls, blanks, least and greatest value, status; one pass over the rows."""
@@ -63,21 +67,48 @@ def hour_map(histogram: DataFrame, by: list[str]) -> DataFrame:
     return histogram.where("hour IS NOT NULL").groupBy(*by).agg(F.to_json(F.map_from_entries(entries)).alias("hour_bucket_profile"))
 
 
+def _on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be null; nulls are equal."""
+    other = right.withColumnsRenamed({k: f"{k}__of" for k in keys})
+    same = reduce(lambda x, y: x & y, [left[k].eqNullSafe(other[f"{k}__of"]) for k in keys])
+    return left.join(other, same, "left").drop(*[f"{k}__of" for k in keys])
+
+
+def _chunk_before(ends: DataFrame, by: list[str], chunk: str, widest: int | None) -> DataFrame:
+    """Adds `before__`: `at_end__` of the group's chunk before; a row for each chunk.
+
+    Integer chunks are gathered FAN to one and look back among themselves; the first of them takes from the last chunk
+    of the gathering before, found the same way one level up. So no window holds more than FAN chunks.
+    """
+    if widest is None or widest < FAN:
+        return ends.withColumn("before__", F.lag("at_end__").over(Window.partitionBy(*by).orderBy(chunk)))
+    shift, up = FAN.bit_length() - 1, f"{chunk}__up"
+    inside = Window.partitionBy(*by, up).orderBy(chunk)
+    rows = ends.withColumn(up, F.shiftright(chunk, shift))
+    above = _chunk_before(rows.groupBy(*by, up).agg(F.max_by("at_end__", F.struct(chunk)).alias("at_end__")), by, up, widest >> shift)
+    rows = rows.withColumns({"before__": F.lag("at_end__").over(inside), "first__": F.row_number().over(inside) == 1})
+    joined = _on(rows, above.select(*by, up, F.col("before__").alias("above__")), [*by, up])
+    return joined.select(*by, chunk, "at_end__", F.when(F.col("first__"), F.col("above__")).otherwise(F.col("before__")).alias("before__"))
+
+
 def chunked_lag(df: DataFrame, by: list[str], chunk: str, order: list[str], columns: list[str]) -> DataFrame:
     """Adds prev_<column>: the value in the row before, in (chunk, order), without one task for a whole group.
 
-    chunk must not fall as the order rises. Rows lag within their chunk; a chunk's first row takes
-    from the last row of the chunk before, found in a window over one row per chunk.
+    chunk must not fall as the order rises; a null chunk comes first. Rows lag within their chunk; a chunk's first row
+    takes from the last row of the chunk before. Chunks may be as many as order ids: integers, whose greatest is asked
+    of the table first, are looked through level by level, others in one window over a row for each chunk. Null groups are
+    groups. Columns whose names end in two underscores are the operator's own.
     """
+    widest = None
+    if dict(df.dtypes)[chunk] in ("tinyint", "smallint", "int", "bigint"):
+        low, high = df.agg(F.min(chunk), F.max(chunk)).first()
+        widest = max(high or 0, -1 - (low or 0))
     inside = Window.partitionBy(*by, chunk).orderBy(*order)
-    rows = df.withColumn("first_in_chunk", F.row_number().over(inside) == 1)
-    rows = rows.withColumns({f"prev_{c}": F.lag(c).over(inside) for c in columns})
-    key, values = F.struct(*order), F.struct(*columns)
-    ends = df.groupBy(*by, chunk).agg(F.max_by(values, key).alias("at_end"))
-    ends = ends.withColumn("before", F.lag("at_end").over(Window.partitionBy(*by).orderBy(chunk))).drop("at_end")
-    out = rows.join(ends, [*by, chunk], "left")
-    seams = {f"prev_{c}": F.when(F.col("first_in_chunk"), F.col(f"before.{c}")).otherwise(F.col(f"prev_{c}")) for c in columns}
-    return out.withColumns(seams).drop("before", "first_in_chunk")
+    rows = df.withColumns({"first_in_chunk__": F.row_number().over(inside) == 1, **{f"prev_{c}": F.lag(c).over(inside) for c in columns}})
+    ends = df.groupBy(*by, chunk).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("at_end__"))
+    out = _on(rows, _chunk_before(ends, by, chunk, widest).drop("at_end__"), [*by, chunk])
+    seams = {f"prev_{c}": F.when(F.col("first_in_chunk__"), F.col(f"before__.{c}")).otherwise(F.col(f"prev_{c}")) for c in columns}
+    return out.withColumns(seams).drop("before__", "first_in_chunk__")
 
 
 def time_inversions(df: DataFrame, by: list[str], chunk: str, order: list[str]) -> DataFrame:

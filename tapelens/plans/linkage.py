@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tapelens.functions.columns import rate
 from tapelens.operators import linkage as op
 from tapelens.plans.adapters import ORDERS, TRADES, orders, trades
 from tapelens.plans.common import rounded
+from tapelens.sources.files import scratch
 
 _LOOKUP = f"""{TRADES}, {ORDERS},
  secs AS (SELECT *, CAST(substr(Time, 1, 2) AS INT) * 3600 + CAST(substr(Time, 3, 2) AS INT) * 60 + CAST(substr(Time, 5, 2) AS INT) AS sec FROM book),
@@ -52,6 +55,14 @@ def day_record(spark, sf_dir):
     return rounded(op.day_record(trades(spark, sf_dir), orders(spark, sf_dir), ["year"], []))
 
 
+def colocated_record(spark, sf_dir):
+    """The same record from tables bucketed by order id. They are external tables in the shared folder."""
+    deals, book = trades(spark, sf_dir), orders(spark, sf_dir)
+    name = f"linkage_{uuid.uuid4().hex}"
+    tables = op.write_colocated(deals, book, ["year"], [], name, scratch(spark, "linkage"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rounded(op.colocated_record(tables, deals, book, ["year"]))
+
+
 def time_anchor(spark, sf_dir):
     return rounded(op.time_anchor(trades(spark, sf_dir), orders(spark, sf_dir), ["year"], []))
 
@@ -136,3 +147,4 @@ QUERIES = {
             SELECT date, round(bk / nullif(b, 0), 6) AS bid_rate, round(ak / nullif(a, 0), 6) AS ask_rate FROM g""",
     ),
 }
+QUERIES["linkage_colocated_record"] = (colocated_record, QUERIES["linkage_day_record"][1])
