@@ -145,6 +145,33 @@ CODE_RANGES = [
     ("cbbc", 49500, 69999),
     ("stock_connect_security", 90000, 99999),
 ]
+#: What a code range's note says, by family; one family has a range with a note of its own.
+RANGE_NOTES = {
+    "exchange_traded_fund": "HKEX Stock Code Allocation Plan ETF range: 02800-02849 / 03000-03199 / 03400-03499.",
+    "leveraged_and_inverse_product": "HKEX Stock Code Allocation Plan leveraged/inverse product range.",
+    "temporary_counter": "HKEX Stock Code Allocation Plan temporary counter range.",
+    "exchange_fund_note": "HKEX Stock Code Allocation Plan Exchange Fund Note range.",
+    "government_bond": "HKEX Stock Code Allocation Plan HKSAR Government Bond range.",
+    "debt_security_professional_only": "HKEX Stock Code Allocation Plan debt securities for professional investors only range.",
+    "debt_security_public": "HKEX Stock Code Allocation Plan debt securities for the public range.",
+    "spac_warrant": "HKEX Stock Code Allocation Plan SPAC warrant range.",
+    "hdr": "HKEX Stock Code Allocation Plan Hong Kong Depositary Receipt range.",
+    "restricted_security_or_hdr": "HKEX Stock Code Allocation Plan restricted security / HDR range.",
+    "reit_or_unit_trust_non_etf": "HKEX REIT stock code allocation range: 87000-87099.",
+    "prc_mof_bond": "HKEX Stock Code Allocation Plan PRC Ministry of Finance bond range.",
+    "derivative_warrant": "HKEX structured products stock code allocation range for derivative warrants: 10000-29999.",
+    "inline_warrant": "HKEX structured products stock code allocation range for inline warrants: 47000-48999.",
+    "cbbc": "HKEX structured products stock code allocation range for CBBCs: 49500-69999.",
+    "stock_connect_security": "HKEX Stock Code Allocation Plan Stock Connect range: 90000-99999.",
+}
+RANGE_NOTES_BY_START = {89200: "HKEX Stock Code Allocation Plan RMB derivative warrant range: 89200-89599."}
+#: What a profile says of where a family and a candidate status come from.
+RANGE_SOURCE, NO_SOURCE = "hkex_stock_code_allocation_plan", "raw_universe_only_unclassified"
+UNCLASSIFIED_NOTE = "Current upstream can prove this instrument exists in the raw universe, but cannot yet safely separate it as ordinary equity vs fund/REIT/other listed security."
+CANDIDATE = ("candidate_from_low_code_listed_security_unclassified", "Conservative stock research candidate lane: low-code listed security not yet classified as ETF/REIT/structured product/debt by current upstream references. This is not pure common-equity proof.")
+NO_CANDIDATE = ("not_in_stock_research_candidate_lane", "Either already classified as non-stock/special product, or not in the current low-code candidate lane.")
+PROFILE_SOURCE_LAYER, PROFILE_LAYER, SEED_LABEL = "raw_zip_member_universe", "instrument_profile_sidecar", "instrument_profile_seed"
+
 #: Security types of reference snapshots and the family each names.
 TYPE_FAMILIES = {"ETF": "exchange_traded_fund", "WARRANT": "derivative_warrant", "CBBC": "cbbc", "BOND": "debt_security_public"}
 

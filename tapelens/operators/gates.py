@@ -6,6 +6,9 @@ import re
 
 from functools import reduce
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,6 +100,56 @@ def term_scan(docs: DataFrame, terms: list[tuple[str, str]], id_col: str = "doc_
     return docs.select(id_col, F.explode(F.filter(F.array(*hits), lambda h: h["n"] > 0)).alias("h")).select(id_col, "h.*")
 
 
+@dataclass(frozen=True)
+class TextPolicy:
+    """What is looked for in a text; a few dozen names and phrases.
+
+    fields: (table, field, statuses). buckets: (field, bucket). Phrases may have underscores for spaces.
+    """
+
+    fields: tuple[tuple[str, str, tuple[str, ...]], ...]
+    buckets: tuple[tuple[str, str], ...]
+    avoid: tuple[str, ...]
+    avoid_labels: tuple[str, ...]
+    prefer_labels: tuple[str, ...]
+
+
+def policy_check(texts: DataFrame, policy: TextPolicy, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each text: which fields it mentions how often, what it should not say, which caveats it has or lacks.
+
+    A text is cut into names once, and the policy's are kept by a hash set; a field is met where it is a whole name, in
+    its own case, in back quotes or not. Phrases are met anywhere in the text in lower case with single white space. A null text is
+    empty. Fields are in order of table and name, phrases in the policy's.
+    """
+    names = sorted({f for _, f, _ in policy.fields} | {f for f, _ in policy.buckets})
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    met = F.filter(F.regexp_extract_all(text, F.lit("[A-Za-z0-9_]+"), F.lit(0)), lambda w: w.isin(*names))
+    rows = texts.select(F.col(id_col).alias("id"), met.alias("met"), F.lower(F.regexp_replace(text, r"(?U)\s+", " ")).alias("said"))
+    says = lambda *phrases: reduce(lambda a, b: a | b, [F.contains("said", F.lit(p)) for p in phrases], F.lit(False))
+    listed = lambda some: F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in some], F.lit(None).cast("string")))
+    phrases = lambda some: listed([(p, says(p.replace("_", " "))) for p in some])
+    ordered = sorted(policy.fields)
+    times = lambda f: F.size(F.filter("met", lambda w: w == f)).cast("bigint")
+    mentions = F.filter(F.array(*[F.struct(F.lit(t).alias("table"), F.lit(f).alias("field"), times(f).alias("count"), F.array(*map(F.lit, s)).cast("array<string>").alias("statuses")) for t, f, s in ordered]), lambda m: m["count"] > 0)
+    of_status = lambda status: listed([(f, F.array_contains("met", f)) for _, f, s in ordered if status in s])
+    of_bucket = lambda bucket: listed([(f, F.array_contains("met", f)) for f in sorted({f for f, b in policy.buckets if b == bucket})])
+    out = rows.select(
+        F.col("id").alias(id_col),
+        mentions.alias("field_mentions"),
+        phrases(policy.avoid).alias("avoid_phrase_hits"),
+        phrases(policy.avoid_labels).alias("reference_avoid_label_hits"),
+        of_status("unverified-semantic").alias("mentioned_unverified_fields"),
+        of_status("vendor-defined").alias("mentioned_vendor_defined_fields"),
+        of_bucket("keep_out_for_now").alias("mentioned_keep_out_fields"),
+        of_bucket("admit_with_explicit_caveat_only").alias("mentioned_caveat_only_fields"),
+        says("omd-c family").alias("has_provenance_phrase"),
+        says("source_layer", "candidate_cleaned", "verified").alias("has_source_layer_phrase"),
+        says(*[p.replace("_", " ") for p in policy.prefer_labels]).alias("has_reference_label"),
+        says("vendor-defined", "vendor defined", "unverified", "not research-verified").alias("has_unverified_caveat"),
+    )
+    return out.withColumn("missing_keep_out_caveat", (F.size("mentioned_keep_out_fields") > 0) & ~F.col("has_unverified_caveat"))
+
+
 def manifest_state(tasks: DataFrame, manifest: DataFrame, outputs: DataFrame, key: list[str]) -> DataFrame:
     """Tasks, manifest rows and outputs against each other: done, duplicate, stale, orphan or todo. outputs: key, row_count."""
     m = manifest.groupBy(*key).agg(F.count("*").alias("manifest_rows"), F.max("row_count").alias("manifest_row_count"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tapelens.contracts import CODE_RANGES
+from tapelens.contracts import CANDIDATE, CODE_RANGES, NO_CANDIDATE, NO_SOURCE, RANGE_NOTES, RANGE_NOTES_BY_START, RANGE_SOURCE, UNCLASSIFIED_NOTE
 from tapelens.functions.columns import zero_pad
 from tapelens.operators import gates, probes, universe, verified
 from tapelens.plans.adapters import EVENT_TRADES, ORDER_EVENTS, TRADES, event_trades, order_events, read, trades
@@ -77,6 +77,9 @@ def _seed_rows(spark, sf_dir):
         F.when(n % 5 == 0, "N/A").otherwise((n * 2).cast("string")).alias("float_mktcap_hkd"),
         F.when(n % 4 == 0, "Yes").when(n % 4 == 1, " 0 ").otherwise("?").alias("southbound_eligible"),
         F.when(n % 7 == 0, "reit").otherwise("").alias("instrument_family"),
+        F.when(n % 7 == 0, F.col("p_brand")).otherwise("NULL").alias("instrument_family_source"),
+        F.when(n % 3 == 0, F.col("p_name")).alias("instrument_family_note"),
+        F.when(n % 2 == 0, "2026-03-15").otherwise("never").alias("as_of_date"),
         n.alias("line"),
     )
 
@@ -93,6 +96,16 @@ def merged(spark, sf_dir):
     return universe.merge_seeds([first, second], ["source_label", "value"])
 
 
+def merged_with_sources(spark, sf_dir):
+    """Suppliers, customers and parts, none of which has all columns; every value with its source, label and date."""
+    key = lambda c: F.lpad(F.col(c).cast("string"), 12, "0").alias("instrument_key")
+    first = read(spark, sf_dir, "supplier").select(key("s_suppkey"), F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("value"), F.col("s_name").alias("source_label"))
+    second = read(spark, sf_dir, "customer").select(key("c_custkey"), F.col("c_acctbal").alias("value"), F.col("c_mktsegment").alias("kind"), F.lit("2026-01-02").cast("date").alias("as_of_date"))
+    third = read(spark, sf_dir, "part").select(key("p_partkey"), F.col("p_type").alias("kind"), F.col("p_brand").alias("source_label"), F.lit("2026-01-03").cast("date").alias("as_of_date"))
+    out = universe.merge_seeds([first, second, third], ["value", "kind", "as_of_date"], provenance=True)
+    return out.select("instrument_key", "value", "kind", "as_of_date", *[F.col(f"{c}_from.{f}").alias(f"{c}_{f}") for c in ("value", "kind") for f in ("source", "source_label", "as_of_date")])
+
+
 def snapshot(spark, sf_dir):
     n = F.col("p_partkey")
     kind = F.when(n % 5 == 0, "ETF").when(n % 5 == 1, "WARRANT").when(n % 5 == 2, "STOCK")
@@ -171,6 +184,23 @@ def terms(spark, sf_dir):
     return found.groupBy("doc_id").agg(F.sum("n").alias("hits"), F.sum(F.when(F.col("kind") == "avoid", F.col("n")).otherwise(0)).alias("avoid_hits"))
 
 
+TEXT_POLICY = gates.TextPolicy(
+    fields=(("orders", "License", ("vendor-defined",)), ("orders", "the", ("official-family-compatible",)), ("trades", "The", ("unverified-semantic", "vendor-defined")), ("trades", "Version", ())),
+    buckets=(("License", "keep_out_for_now"), ("in", "keep_out_for_now"), ("and", "admit_with_explicit_caveat_only"), ("the", "admit_now")),
+    avoid=("licensed_under", "of the"),
+    avoid_labels=("in the", "released_under the mit"),
+    prefer_labels=("public_license",),
+)
+
+
+def policy_check(spark, sf_dir):
+    """All documents against a policy of words that they have; lists as text."""
+    out = gates.policy_check(read(spark, sf_dir, "documents"), TEXT_POLICY)
+    mention = F.transform("field_mentions", lambda m: F.concat_ws(":", m["table"], m["field"], m["count"].cast("string"), F.array_join(m["statuses"], "+")))
+    lists = [c for c, kind in out.dtypes if kind == "array<string>"]
+    return out.withColumns({"field_mentions": F.array_join(mention, ","), **{c: F.array_join(c, ",") for c in lists}})
+
+
 def first_dates(spark, sf_dir):
     return select_dates(order_events(spark, sf_dir), batch=(2, 7)).groupBy("date").agg(F.count("*").alias("row_count"))
 
@@ -189,18 +219,24 @@ def codes(spark, sf_dir):
 _KEY = "regexp_extract(source_file, '([^/]+)\\.csv$', 1)"
 _PROJECT = f"SELECT date, TickID, Time, Price, {_KEY} AS instrument_key"
 _SEED = """seed AS (SELECT instrument_key, CASE WHEN n % 2 <> 0 THEN DATE '2001-02-03' END AS listing_date, CASE WHEN n % 5 <> 0 THEN CAST(n * 2 AS DOUBLE) END AS float_mktcap_hkd,
-    CASE n % 4 WHEN 0 THEN true WHEN 1 THEN false END AS southbound_eligible, CASE WHEN n % 7 = 0 THEN 'reit' END AS instrument_family
-    FROM (SELECT lpad(CAST(p_partkey * 37 % 100000 AS VARCHAR), 5, '0') AS instrument_key, p_partkey AS n, row_number() OVER (PARTITION BY p_partkey * 37 % 100000 ORDER BY p_partkey DESC) AS r FROM part) WHERE r = 1)"""
+    CASE n % 4 WHEN 0 THEN true WHEN 1 THEN false END AS southbound_eligible, CASE WHEN n % 7 = 0 THEN 'reit' END AS instrument_family,
+    CASE WHEN n % 7 = 0 THEN p_brand END AS instrument_family_source, CASE WHEN n % 3 = 0 THEN p_name END AS instrument_family_note, CASE WHEN n % 2 = 0 THEN DATE '2026-03-15' END AS as_of_date, 'instrument_profile_seed' AS source_label
+    FROM (SELECT p_brand, p_name, lpad(CAST(p_partkey * 37 % 100000 AS VARCHAR), 5, '0') AS instrument_key, p_partkey AS n, row_number() OVER (PARTITION BY p_partkey * 37 % 100000 ORDER BY p_partkey DESC) AS r FROM part) WHERE r = 1)"""
 _FAMILY = "CASE " + " ".join(f"WHEN TRY_CAST(k.instrument_key AS INT) BETWEEN {lo} AND {hi} THEN '{f}'" for f, lo, hi in CODE_RANGES) + " END"
+_NOTE = "CASE " + " ".join(f"WHEN TRY_CAST(k.instrument_key AS INT) BETWEEN {lo} AND {hi} THEN '{RANGE_NOTES_BY_START.get(lo, RANGE_NOTES[f])}'" for f, lo, hi in CODE_RANGES) + " END"
 _PROFILE = f"""WITH {TRADES}, seen AS (SELECT *, {_KEY} AS instrument_key FROM trades), {_SEED},
  k AS (SELECT instrument_key FROM seen UNION SELECT instrument_key FROM seed),
  o AS (SELECT instrument_key, min(date) AS f, max(date) AS l, count(DISTINCT date) AS d FROM seen WHERE Dir = 1 GROUP BY 1), t AS (SELECT instrument_key, min(date) AS f, max(date) AS l, count(DISTINCT date) AS d FROM seen WHERE Dir <> 1 GROUP BY 1),
  j AS (SELECT k.instrument_key, least(o.f, t.f) AS observed_first_date, greatest(o.l, t.l) AS observed_last_date, coalesce(o.d, 0) AS observed_orders_days, coalesce(t.d, 0) AS observed_trades_days,
-    listing_date, float_mktcap_hkd, southbound_eligible, seed.instrument_family AS own, {_FAMILY} AS rf FROM k LEFT JOIN o ON k.instrument_key = o.instrument_key LEFT JOIN t ON k.instrument_key = t.instrument_key LEFT JOIN seed ON k.instrument_key = seed.instrument_key),
+    listing_date, float_mktcap_hkd, southbound_eligible, seed.instrument_family AS own, {_FAMILY} AS rf, {_NOTE} AS rn, instrument_family_source AS fs, instrument_family_note AS fn, as_of_date, source_label FROM k LEFT JOIN o ON k.instrument_key = o.instrument_key LEFT JOIN t ON k.instrument_key = t.instrument_key LEFT JOIN seed ON k.instrument_key = seed.instrument_key),
  pr AS (SELECT instrument_key, observed_first_date, observed_last_date, observed_orders_days, observed_trades_days, listing_date, float_mktcap_hkd, southbound_eligible, coalesce(own, rf, 'listed_security_unclassified') AS instrument_family,
     CASE WHEN own IS NOT NULL THEN 'seed_classified' WHEN rf IS NOT NULL THEN 'official_range_classified' ELSE 'listed_security_unclassified' END AS instrument_family_status,
     CASE WHEN listing_date IS NOT NULL OR float_mktcap_hkd IS NOT NULL OR southbound_eligible IS NOT NULL OR own IS NOT NULL THEN 'seed_enriched' WHEN rf IS NOT NULL THEN 'official_range_classified' ELSE 'universe_only' END AS profile_status,
-    coalesce(own, rf) IS NULL AND CAST(instrument_key AS INT) < 10000 AS stock_research_candidate FROM j)"""
+    coalesce(own, rf) IS NULL AND CAST(instrument_key AS INT) < 10000 AS stock_research_candidate, coalesce(fs, CASE WHEN rf IS NOT NULL THEN '{RANGE_SOURCE}' END, '{NO_SOURCE}') AS instrument_family_source,
+    CASE WHEN own IS NOT NULL THEN fn WHEN rf IS NOT NULL THEN rn ELSE '{UNCLASSIFIED_NOTE}' END AS instrument_family_note,
+    CASE WHEN coalesce(own, rf) IS NULL AND CAST(instrument_key AS INT) < 10000 THEN '{CANDIDATE[0]}' ELSE '{NO_CANDIDATE[0]}' END AS stock_research_candidate_status,
+    CASE WHEN coalesce(own, rf) IS NULL AND CAST(instrument_key AS INT) < 10000 THEN '{CANDIDATE[1]}' ELSE '{NO_CANDIDATE[1]}' END AS stock_research_candidate_note,
+    as_of_date, source_label, 'raw_zip_member_universe' AS source_layer, (SELECT count(*) > 0 FROM seed) AS reference_join_applied, 'instrument_profile_sidecar' AS profile_layer FROM j)"""
 _LIFE = "CASE WHEN count(trade_match_count) / count(*) >= 0.02 AND count(*) FILTER (WHERE event_count > 1) / count(*) >= 0.5 THEN 'weak_pass' ELSE 'unknown' END"
 _YEARLY = f"""{_BOTH}, {_GROUPS}, ot AS (SELECT date, OrderId, count(DISTINCT OrderType) AS k FROM ev WHERE OrderId <> 0 AND OrderType IS NOT NULL GROUP BY ALL),
  daily AS (SELECT 'order_lifecycle' AS semantic_area, og.date, {_LIFE} AS status, 'blocking' AS blocking_level, count(*) AS tested_rows, count(trade_match_count) / count(*) AS share FROM og LEFT JOIN tg ON og.date = tg.date AND og.OrderId = tg.OrderId GROUP BY og.date
@@ -236,6 +272,15 @@ QUERIES = {
              UNION ALL SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0'), c_name, CASE WHEN c_custkey % 2 > 0 THEN c_acctbal END, 1 FROM customer)
            SELECT instrument_key, arg_min(source_label, p) FILTER (WHERE source_label IS NOT NULL) AS source_label, arg_min(value, p) FILTER (WHERE value IS NOT NULL) AS value FROM u GROUP BY 1""",
     ),
+    "universe_merge_sources": (
+        merged_with_sources,
+        """WITH u AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 12, '0') AS instrument_key, 0 AS p, CASE WHEN s_acctbal > 0 THEN s_acctbal END AS value, NULL AS kind, NULL::DATE AS d, s_name AS l FROM supplier
+             UNION ALL SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0'), 1, c_acctbal, c_mktsegment, DATE '2026-01-02', NULL FROM customer
+             UNION ALL SELECT lpad(CAST(p_partkey AS VARCHAR), 12, '0'), 2, NULL, p_type, DATE '2026-01-03', p_brand FROM part),
+           g AS (SELECT instrument_key, min(p) FILTER (WHERE value IS NOT NULL) AS pv, min(p) FILTER (WHERE kind IS NOT NULL) AS pk, arg_min(d, p) FILTER (WHERE d IS NOT NULL) AS as_of_date FROM u GROUP BY 1)
+           SELECT g.instrument_key, v.value, k.kind, g.as_of_date, CAST(pv AS INT) AS value_source, v.l AS value_source_label, v.d AS value_as_of_date, CAST(pk AS INT) AS kind_source, k.l AS kind_source_label, k.d AS kind_as_of_date
+           FROM g LEFT JOIN u v ON v.instrument_key = g.instrument_key AND v.p = pv LEFT JOIN u k ON k.instrument_key = g.instrument_key AND k.p = pk""",
+    ),
     "universe_snapshot": (
         snapshot,
         """WITH u AS (SELECT lpad(CAST(p_partkey % 700 AS VARCHAR), 5, '0') AS instrument_key, CASE p_partkey % 5 WHEN 0 THEN 'ETF' WHEN 1 THEN 'WARRANT' WHEN 2 THEN 'STOCK' END AS stock_type, CASE WHEN p_partkey % 3 > 0 THEN DATE '1999-09-09' END AS listing_date, p_partkey AS n FROM part),
@@ -269,6 +314,21 @@ QUERIES = {
                CAST(f = 'BrokerNo' AS BIGINT) AS blocked_fields, CAST(f IN ('Dir', 'Other') AS BIGINT) AS caveat_fields FROM u)
            SELECT use_id, grade, method, method_status, blocked_fields, caveat_fields, CASE WHEN method_status = 'blocked' OR blocked_fields > 0 THEN 'blocked' WHEN method_status = 'allowed_with_caveat' OR caveat_fields > 0 THEN 'allowed_with_caveat' ELSE 'allowed' END AS status FROM r""",
     ),
+    "gate_policy_check": (
+        policy_check,
+        r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9_]+') AS w, lower(regexp_replace(coalesce(text, ''), '[\s\p{Z}\x1c-\x1f\x85\x0b]+', ' ', 'g')) AS s FROM documents),
+           n AS (SELECT doc_id, s, len(list_filter(w, lambda x: x = 'License')) AS li, len(list_filter(w, lambda x: x = 'the')) AS th, len(list_filter(w, lambda x: x = 'The')) AS ti, len(list_filter(w, lambda x: x = 'Version')) AS ve,
+                   len(list_filter(w, lambda x: x = 'in')) AS i, len(list_filter(w, lambda x: x = 'and')) AS a FROM d)
+           SELECT doc_id, concat_ws(',', CASE WHEN li > 0 THEN 'orders:License:' || li || ':vendor-defined' END, CASE WHEN th > 0 THEN 'orders:the:' || th || ':official-family-compatible' END,
+                    CASE WHEN ti > 0 THEN 'trades:The:' || ti || ':unverified-semantic+vendor-defined' END, CASE WHEN ve > 0 THEN 'trades:Version:' || ve || ':' END) AS field_mentions,
+             concat_ws(',', CASE WHEN contains(s, 'licensed under') THEN 'licensed_under' END, CASE WHEN contains(s, 'of the') THEN 'of the' END) AS avoid_phrase_hits,
+             concat_ws(',', CASE WHEN contains(s, 'in the') THEN 'in the' END, CASE WHEN contains(s, 'released under the mit') THEN 'released_under the mit' END) AS reference_avoid_label_hits,
+             CASE WHEN ti > 0 THEN 'The' ELSE '' END AS mentioned_unverified_fields, concat_ws(',', CASE WHEN li > 0 THEN 'License' END, CASE WHEN ti > 0 THEN 'The' END) AS mentioned_vendor_defined_fields,
+             concat_ws(',', CASE WHEN li > 0 THEN 'License' END, CASE WHEN i > 0 THEN 'in' END) AS mentioned_keep_out_fields, CASE WHEN a > 0 THEN 'and' ELSE '' END AS mentioned_caveat_only_fields,
+             contains(s, 'omd-c family') AS has_provenance_phrase, contains(s, 'source_layer') OR contains(s, 'candidate_cleaned') OR contains(s, 'verified') AS has_source_layer_phrase, contains(s, 'public license') AS has_reference_label,
+             contains(s, 'vendor-defined') OR contains(s, 'vendor defined') OR contains(s, 'unverified') OR contains(s, 'not research-verified') AS has_unverified_caveat,
+             (li > 0 OR i > 0) AND NOT (contains(s, 'vendor-defined') OR contains(s, 'vendor defined') OR contains(s, 'unverified') OR contains(s, 'not research-verified')) AS missing_keep_out_caveat FROM n""",
+    ),
     "gate_term_scan": (
         terms,
         """WITH w AS (SELECT doc_id, regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+') AS w FROM documents),

@@ -150,6 +150,45 @@ def test_seed_merge_keeps_the_first_values(spark):
     assert sorted(map(tuple, universe.merge_seeds([merged, merged], ["listing_date", "source_label"]).collect())) == got
 
 
+def test_seeds_of_different_columns(spark):
+    """A source may lack columns, or all may; values keep the label and date of the row they are from."""
+    base = spark.createDataFrame([("00823", 1.5, "base"), ("00823", 1.5, "base"), (None, 2.0, "base")], "instrument_key string, float_mktcap_hkd double, source_label string")
+    more = spark.createDataFrame([("00823", "reit", dt.date(2026, 1, 2)), ("00001", None, dt.date(2026, 1, 3))], "instrument_key string, instrument_family string, as_of_date date")
+    got = {r.instrument_key: r for r in universe.merge_seeds([base, more], ["float_mktcap_hkd", "instrument_family", "southbound_eligible"], provenance=True).collect()}
+    assert set(got) == {"00823", "00001", None}
+    r = got["00823"]
+    assert (r.float_mktcap_hkd, tuple(r.float_mktcap_hkd_from), r.instrument_family, tuple(r.instrument_family_from)) == (1.5, (0, "base", None), "reit", (1, None, dt.date(2026, 1, 2)))
+    assert got["00001"].instrument_family is None and got["00001"].instrument_family_from is None and got[None].float_mktcap_hkd == 2.0
+    assert universe.merge_seeds([base.limit(0), more.limit(0)], ["instrument_family"]).count() == 0
+    bare = universe.normalise_seed(spark.createDataFrame([("1.HK", "a"), ("HK.00001", "b")], "instrument_key string, line string"), ["line"]).collect()
+    assert [(r.instrument_key, r.source_label, r.listing_date) for r in bare] == [("00001", "instrument_profile_seed", None)]
+
+
+def test_profile_says_where_it_is_from(spark):
+    seen = spark.createDataFrame([(k, dt.date(2026, 1, 2)) for k in ("00001", "02800", "89300", "00823", "77777")], "instrument_key string, date date")
+    seed = spark.createDataFrame([("00823", "reit", "curated", "A note.", "label")], "instrument_key string, instrument_family string, instrument_family_source string, instrument_family_note string, source_label string")
+    keys = universe.universe(seen)
+    got = {r.instrument_key: r for r in universe.instrument_profile(keys, seen, seen.limit(0), seed).collect()}
+    assert len(got["00001"]) == 21
+    assert (got["00823"].instrument_family_source, got["00823"].instrument_family_note, got["00823"].source_label, got["00823"].reference_join_applied) == ("curated", "A note.", "label", True)
+    assert (got["02800"].instrument_family_source, got["02800"].instrument_family_note[:45]) == ("hkex_stock_code_allocation_plan", "HKEX Stock Code Allocation Plan ETF range: 02")
+    assert got["89300"].instrument_family_note.endswith("RMB derivative warrant range: 89200-89599.") and got["77777"].instrument_family_source == "raw_universe_only_unclassified"
+    assert (got["00001"].stock_research_candidate_status, got["77777"].stock_research_candidate_status) == ("candidate_from_low_code_listed_security_unclassified", "not_in_stock_research_candidate_lane")
+    assert not universe.instrument_profile(keys, seen, seen, seed.limit(0)).first().reference_join_applied
+
+
+def test_policy_check(spark):
+    policy = gates.TextPolicy((("trades", "Dir", ("vendor-defined", "unverified-semantic")), ("orders", "Level", ("vendor-defined",)), ("orders", "OrderId", ("official-family-compatible",))), (("Level", "keep_out_for_now"), ("Dir", "admit_with_explicit_caveat_only")), ("signed_flow", "true direction"), ("broker_identity",), ("reference_lookup",))
+    texts = ["The `Dir` and Dir, not Direction or xDir or Dir_2; dir.", "Signed\n\u3000 flow by Level is not research-verified; source_layer: a reference\tlookup.", "`Level`", None, "Broker IDENTITY of the OMD-C  family: OrderId1 (OrderId)"]
+    got = {r.doc_id: r for r in gates.policy_check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), policy).collect()}
+    assert [tuple(m) for m in got[0].field_mentions] == [("trades", "Dir", 2, ["vendor-defined", "unverified-semantic"])] and got[0].mentioned_caveat_only_fields == ["Dir"] and not got[0].missing_keep_out_caveat
+    assert got[0].mentioned_unverified_fields == got[0].mentioned_vendor_defined_fields == ["Dir"]
+    assert got[1].avoid_phrase_hits == ["signed_flow"] and got[1].has_unverified_caveat and got[1].has_source_layer_phrase and got[1].has_reference_label and not got[1].missing_keep_out_caveat
+    assert got[2].mentioned_keep_out_fields == ["Level"] and got[2].missing_keep_out_caveat and got[2].mentioned_unverified_fields == []
+    assert got[3].field_mentions == [] and not got[3].has_source_layer_phrase
+    assert got[4].reference_avoid_label_hits == ["broker_identity"] and got[4].has_provenance_phrase and [m.field for m in got[4].field_mentions] == ["OrderId"]
+
+
 def test_snapshot_and_ranges(spark):
     rows = spark.createDataFrame([("HK.02800", "ETF", None, 1), ("HK.00001", "STOCK", "1970-01-01", 2)], "code string, stock_type string, listing_date string, line int")
     got = {r.instrument_key: (r.instrument_family, r.listing_date) for r in universe.collapse_snapshot(rows, ["line"]).collect()}
