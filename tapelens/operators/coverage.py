@@ -20,6 +20,21 @@ def inventory_rollup(files: DataFrame) -> DataFrame:
     return out.select("trade_date", (F.col("g") == 1).alias("is_total"), "file_count", "total_bytes", "zero_byte_files", "undated_files", "suffixes")
 
 
+def inventory_summary(files: DataFrame) -> DataFrame:
+    """One row: files and bytes scanned, empty and undated files, the first and last date and how many, files by suffix."""
+    whole = files.agg(
+        F.count("*").alias("files_scanned"),
+        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes_scanned"),
+        F.count_if(F.col("size_bytes") == 0).alias("zero_byte_files"),
+        F.count_if(F.col("trade_date").isNull()).alias("unknown_date_files"),
+        F.min("trade_date").alias("date_coverage_start"),
+        F.max("trade_date").alias("date_coverage_end"),
+        F.count_distinct("trade_date").alias("distinct_trade_dates"),
+    )
+    suffixes = files.groupBy("suffix").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("suffix", "n")))).alias("suffix_counts"))
+    return whole.crossJoin(F.broadcast(suffixes))  # one row each
+
+
 def reconciliation_status(diff: Column, failed: Column, unmapped: Column, rejected: Column) -> Column:
     return F.when((diff != 0) | (failed > 0) | (unmapped > 0), "fail").when(rejected > 0, "warn").otherwise("pass")
 

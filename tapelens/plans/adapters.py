@@ -79,6 +79,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("Price"),
         (n % 7 - 1).alias("Volume"),
         F.when(n % 3 != 0, (n % 11 - 1).cast("int")).alias("Level"),
+        F.when(n % 5 != 0, n % 9 - 1).alias("VolumePre"),
         F.concat(F.lit("order/"), F.lpad(F.col("user_id").cast("string"), 5, "0"), F.lit(".csv")).alias("source_file"),
         F.when(F.hour("ts") < 12, "am").otherwise("pm").alias("Session"),
     )
@@ -87,7 +88,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDER_EVENTS = """ev AS (SELECT CAST(ts AS DATE) AS date, CAST(year(ts) AS INT) AS year, CASE WHEN event_id % 25 <> 0 THEN event_id END AS SeqNum, event_id AS row_num_in_file, user_id AS OrderId,
     CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'purchase' THEN 4 END AS OrderType,
     CASE WHEN event_id % 31 <> 0 THEN ts END AS SendTime, strftime(ts, '%H%M%S') AS Time, value AS Price, event_id % 7 - 1 AS Volume,
-    CASE WHEN event_id % 3 <> 0 THEN CAST(event_id % 11 - 1 AS INT) END AS Level, 'order/' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '.csv' AS source_file,
+    CASE WHEN event_id % 3 <> 0 THEN CAST(event_id % 11 - 1 AS INT) END AS Level, CASE WHEN event_id % 5 <> 0 THEN event_id % 9 - 1 END AS VolumePre, 'order/' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '.csv' AS source_file,
     CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS Session FROM events)"""
 
 

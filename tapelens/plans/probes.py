@@ -45,18 +45,18 @@ def mix(spark, sf_dir):
     return rounded(op.bucket_mix(_moves(spark, sf_dir), ["year"]))
 
 
-def _gaps(spark, sf_dir):
+def year_gaps(spark, sf_dir):
     found = _moves(spark, sf_dir)
     return op.contrast_gaps(op.direction_contrast(found, ["year"]), op.bucket_mix(found, ["year"]), ["year"])
 
 
 def gaps(spark, sf_dir):
-    return rounded(_gaps(spark, sf_dir))
+    return rounded(year_gaps(spark, sf_dir))
 
 
 def yearly(spark, sf_dir):
     """The years as the days of one period."""
-    found = _gaps(spark, sf_dir).withColumn("period", F.lit("all"))
+    found = year_gaps(spark, sf_dir).withColumn("period", F.lit("all"))
     return rounded(op.contrast_yearly(found, ["period"]))
 
 
@@ -92,7 +92,7 @@ def witness(spark, sf_dir):
 
 
 def _codes(spark, sf_dir):
-    return read(spark, sf_dir, "supplier").where("s_nationkey < 20").select(F.lpad(F.col("s_suppkey").cast("string"), 4, "0").alias("code"))
+    return read(spark, sf_dir, "supplier").where("s_acctbal > 0").select(F.lpad(F.col("s_suppkey").cast("string"), 4, "0").alias("code"))
 
 
 def _sold(spark, sf_dir):
@@ -150,7 +150,7 @@ _MOVES = _MOVES.replace(
     + f") / 3 AS pg, {_pooled(_SIDES)} AS zs, {_pooled(_MOVED)} AS zm",
 )
 _DOUBLES = [*(f"{c}_rate" for c in (*_SIDES, *_MOVED)), "volume_median", "volume_p90", "turnover_proxy_median", "turnover_proxy_p90"]
-_KNOWN = "SELECT lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS code FROM supplier WHERE s_nationkey < 20"
+_KNOWN = "SELECT lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS code FROM supplier WHERE s_acctbal > 0"
 _BROKER = f"""WITH raw AS (SELECT CAST(year(l_shipdate) AS INT) AS year, trim(CASE WHEN l_returnflag = 'R' THEN ' ' || l_suppkey || ' ' WHEN l_linestatus = 'O' THEN CAST(l_suppkey AS VARCHAR) WHEN l_tax = 0 THEN '0' WHEN l_discount = 0 THEN '' WHEN l_discount > 0.02 THEN lpad(CAST(l_suppkey AS VARCHAR), 4, '0') END) AS c FROM lineitem),
  sold AS (SELECT year, CASE WHEN c = '' THEN NULL WHEN length(c) < 4 THEN lpad(c, 4, '0') ELSE c END AS BrokerNo FROM raw), known AS ({_KNOWN}), k AS (SELECT year, BrokerNo AS code, count(*) AS n, BrokerNo IN (SELECT code FROM known) AS ok FROM sold WHERE BrokerNo IS NOT NULL GROUP BY ALL),
  p AS (SELECT year, count(*) AS distinct_codes, count(*) FILTER (WHERE ok) AS matched_codes, CAST(sum(CASE WHEN ok THEN n ELSE 0 END) AS BIGINT) AS matched_rows FROM k GROUP BY year),

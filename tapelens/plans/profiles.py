@@ -10,7 +10,7 @@ from tapelens.plans.adapters import ORDER_EVENTS, TRADES, order_events, trades
 from tapelens.plans.common import rounded
 from tapelens.sources.files import listing
 
-_RULES = [r for r in ORDER_RULES if r.name != "volumepre_ge_0"]
+_RULES = ORDER_RULES
 _FIELDS = ["SeqNum", "OrderType", "Level", "Volume", "Time"]
 
 

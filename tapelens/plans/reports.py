@@ -9,7 +9,7 @@ from tapelens.functions.columns import zero_pad
 from tapelens.operators import gates, probes, universe, verified
 from tapelens.plans.adapters import EVENT_TRADES, ORDER_EVENTS, TRADES, event_trades, order_events, read, trades
 from tapelens.plans.common import rounded
-from tapelens.plans.probes import _BOTH, _GROUPS
+from tapelens.plans.probes import _BOTH, _GROUPS, _MOVES, year_gaps
 from tapelens.sources.files import code_list, common_dates, scratch, select_dates
 
 #: A policy over the adapted trades.
@@ -62,11 +62,12 @@ def _observed(spark, sf_dir):
     from tapelens.functions.columns import instrument_key
 
     rows = trades(spark, sf_dir).withColumn("instrument_key", instrument_key(F.col("source_file")))
-    return rows.where("Dir = 1"), rows.where("Dir <> 1")
+    return rows.where("Dir = 1"), rows.where("Dir IS DISTINCT FROM 1")
 
 
 def spans(spark, sf_dir):
-    return universe.observed_span(_observed(spark, sf_dir)[1], "trades")
+    first, second = _observed(spark, sf_dir)
+    return universe.observed_span(first.unionByName(second), "trades")
 
 
 def _seed_rows(spark, sf_dir):
@@ -158,16 +159,16 @@ def bridge(spark, sf_dir):
 
 
 def impacts(spark, sf_dir):
-    """The impact of all areas and statuses, by nation and region as areas and levels."""
-    area = F.element_at(F.array(*map(F.lit, ("order_lifecycle", "trade_dir", "order_type", "session"))), (F.col("n_nationkey") % 4 + 1).cast("int"))
-    status = F.element_at(F.array(*map(F.lit, ("pass", "weak_pass", "fail", "unknown", "not_run", "not_applicable"))), (F.col("n_nationkey") % 6 + 1).cast("int"))
-    level = F.when(F.col("n_regionkey") < 3, "blocking").otherwise("context_only")
-    return read(spark, sf_dir, "nation").select("n_nationkey", gates.impact(area, status, level).alias("impact"))
+    """The impact of all areas and statuses, by supplier and nation as areas and levels."""
+    area = F.element_at(F.array(*map(F.lit, ("order_lifecycle", "trade_dir", "order_type", "session"))), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    status = F.element_at(F.array(*map(F.lit, ("pass", "weak_pass", "fail", "unknown", "not_run", "not_applicable"))), (F.col("s_suppkey") % 6 + 1).cast("int"))
+    level = F.when(F.col("s_nationkey") % 2 == 0, "blocking").otherwise("context_only")
+    return read(spark, sf_dir, "supplier").select("s_suppkey", gates.impact(area, status, level).alias("impact"))
 
 
 def readiness(spark, sf_dir):
     found = probes.direction_distribution(trades(spark, sf_dir), ["year"]).select("year", "status", F.col("nonnull_rate").alias("nonnull_rate_avg"))
-    contrast = found.select("year", F.when(F.col("year") % 2 == 0, "candidate_directional_signal").otherwise("no_stable_contrast").alias("status"))
+    contrast = probes.contrast_yearly(year_gaps(spark, sf_dir), ["year"])  # a year is its own day
     return rounded(gates.direction_readiness(found, contrast, ["year"]))
 
 
@@ -264,7 +265,7 @@ QUERIES = {
     ),
     "verified_published": (published, f"WITH {TRADES} SELECT 'verified' AS source_layer, 'trades' AS table_name, 2025 AS year, 'coarse_only' AS research_time_grade, true AS readonly, count(*) AS row_count, count(*) AS stamped FROM trades"),
     "verified_lookup": (lookup, f"WITH {TRADES} SELECT BrokerNo, s_name AS broker_name, 'reference_lookup' AS enrichment, count(*) AS row_count FROM trades LEFT JOIN supplier ON BrokerNo = lpad(CAST(s_suppkey AS VARCHAR), 4, '0') GROUP BY ALL"),
-    "universe_spans": (spans, f"WITH {TRADES} SELECT {_KEY} AS instrument_key, min(date) AS trades_first_seen_date, max(date) AS trades_last_seen_date, count(DISTINCT date) AS observed_trades_days FROM trades WHERE Dir <> 1 GROUP BY 1"),
+    "universe_spans": (spans, f"WITH {TRADES} SELECT {_KEY} AS instrument_key, min(date) AS trades_first_seen_date, max(date) AS trades_last_seen_date, count(DISTINCT date) AS observed_trades_days FROM trades GROUP BY 1"),
     "universe_seeds": (seeds, f"WITH {_SEED} SELECT * FROM seed"),
     "universe_merge": (
         merged,
@@ -299,13 +300,15 @@ QUERIES = {
     ),
     "gate_impacts": (
         impacts,
-        f"""WITH x AS (SELECT n_nationkey, ['order_lifecycle', 'trade_dir', 'order_type', 'session'][n_nationkey % 4 + 1] AS a, ['pass', 'weak_pass', 'fail', 'unknown', 'not_run', 'not_applicable'][n_nationkey % 6 + 1] AS s,
-              CASE WHEN n_regionkey < 3 THEN 'blocking' ELSE 'context_only' END AS b FROM nation) SELECT n_nationkey, {_IMPACT.format(s="s", a="a", b="b")} AS impact FROM x""",
+        f"""WITH x AS (SELECT s_suppkey, ['order_lifecycle', 'trade_dir', 'order_type', 'session'][s_suppkey % 4 + 1] AS a, ['pass', 'weak_pass', 'fail', 'unknown', 'not_run', 'not_applicable'][s_suppkey % 6 + 1] AS s,
+              CASE WHEN s_nationkey % 2 = 0 THEN 'blocking' ELSE 'context_only' END AS b FROM supplier) SELECT s_suppkey, {_IMPACT.format(s="s", a="a", b="b")} AS impact FROM x""",
     ),
     "gate_direction_readiness": (
         readiness,
-        f"""WITH {TRADES} SELECT year, 'weak_pass' AS probe_status, 1.0 AS nonnull_rate_avg, CASE WHEN year % 2 = 0 THEN 'candidate_directional_signal' ELSE 'no_stable_contrast' END AS contrast_status,
-            CASE WHEN year % 2 = 0 THEN 'candidate_signal_only' ELSE 'structure_only' END AS decision FROM trades GROUP BY year HAVING count(Dir) = count(*) AND count(DISTINCT Dir) <= 3""",
+        f"""{_MOVES}, p AS (SELECT year, CASE WHEN count(Dir) = count(*) AND count(DISTINCT Dir) BETWEEN 1 AND 3 THEN 'weak_pass' ELSE 'unknown' END AS probe_status, round(count(Dir) / count(*), 6) AS nonnull_rate_avg FROM trades GROUP BY year),
+              c AS (SELECT year, CASE WHEN abs(uptick_gap) >= 0.02 AND bucket_uptick_consistent THEN 'candidate_directional_signal' ELSE 'no_stable_contrast' END AS contrast_status FROM gp)
+            SELECT p.year, probe_status, nonnull_rate_avg, contrast_status, CASE WHEN probe_status <> 'weak_pass' OR nonnull_rate_avg < 1 THEN 'not_ready' WHEN contrast_status = 'candidate_directional_signal' THEN 'candidate_signal_only' ELSE 'structure_only' END AS decision
+            FROM p LEFT JOIN c USING (year)""",
     ),
     "gate_methods": (
         methods,

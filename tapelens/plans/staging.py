@@ -8,7 +8,7 @@ from tapelens.contracts import ORDERS as ORDER_CONTRACT
 from tapelens.operators import coverage, gates
 from tapelens.operators import staging as op
 from tapelens.plans.adapters import RAW_ORDERS, raw_orders, read
-from tapelens.sources.files import scratch
+from tapelens.sources.files import scratch, tree
 from tapelens.streaming import ingest
 from tapelens.streaming.incremental import open_tasks
 
@@ -101,25 +101,26 @@ def flattened(spark, sf_dir):
     return coverage.flatten_groups(op.source_inventory(members, op.group_map(members)))
 
 
-def _partitions(spark, sf_dir):
-    out = manifest(spark, sf_dir)
-    return out.withColumns({"year": F.year("date"), "failed_member_count": F.when(F.dayofmonth("date") % 9 == 0, 2).otherwise(0)})
+def _large(spark, sf_dir, kind, least):
+    """Events of a type with at least such a value, by day and member."""
+    file = F.concat(F.lit("order/"), F.lpad(F.col("user_id").cast("string"), 5, "0"), F.lit(".csv"))
+    return read(spark, sf_dir, "events").where((F.col("event_type") == kind) & (F.col("value") >= least)).select(F.to_date("ts").alias("date"), file.alias("source_file"))
 
 
 def reconciliation(spark, sf_dir):
-    parts = _partitions(spark, sf_dir)
-    failures = parts.where(F.dayofmonth("date") % 7 == 0).select("year", "date", "table_name")
-    lost = raw_orders(spark, sf_dir).where((F.col("row_num_in_file") % 1500 == 3)).select("date")
-    return coverage.reconcile(parts, failures, lost)
+    """Signups with large values as failed members, purchases as failed tasks, views as members without a table."""
+    failed = _large(spark, sf_dir, "signup", 200).groupBy("date").agg(F.count("*").alias("failed_member_count"))
+    parts = manifest(spark, sf_dir).join(failed, "date", "left").withColumns({"year": F.year("date"), "failed_member_count": F.coalesce("failed_member_count", F.lit(0))})
+    tasks = _large(spark, sf_dir, "purchase", 220).select(F.year("date").alias("year"), "date", F.lit("orders").alias("table_name"))
+    return coverage.reconcile(parts, tasks, _large(spark, sf_dir, "view", 210).select("date"))
 
 
 def ledger(spark, sf_dir):
     staged = _staged(spark, sf_dir)
     parse = op.partition_manifest(staged).select("date", "table_name", F.col("send_time_parse_failure_count").alias("n"))
-    raw = raw_orders(spark, sf_dir)
-    member = raw.where("row_num_in_file % 2000 = 1").select("date", F.lit("orders").alias("table_name"), "source_file", F.lit("broken").alias("error"))
-    task = raw.where("row_num_in_file % 5000 = 2").select("date", F.lit("orders").alias("table_name"), F.lit("lost").alias("error"))
-    unmapped_rows = raw.where("row_num_in_file % 3000 = 4").select("date", "source_file", F.lit("Index").alias("raw_group"))
+    member = _large(spark, sf_dir, "signup", 150).select("date", F.lit("orders").alias("table_name"), "source_file", F.lit("broken").alias("error"))
+    task = _large(spark, sf_dir, "purchase", 200).select("date", F.lit("orders").alias("table_name"), F.lit("lost").alias("error"))
+    unmapped_rows = _large(spark, sf_dir, "view", 100).select("date", "source_file", F.lit("Index").alias("raw_group"))
     out = coverage.failure_ledger(op.rejection_counts(staged), parse, member, task, unmapped_rows)
     return out.groupBy("date", "failure_type").agg(F.sum("failure_count").alias("failures"), F.count("*").alias("entries"), F.count("source_file").alias("with_file"))
 
@@ -131,13 +132,29 @@ def audit(spark, sf_dir):
     return coverage.partition_audit(parts, groups).withColumn("source_groups", F.array_join("source_groups", ","))
 
 
-def raw_files(spark, sf_dir):
-    """An inventory of files named after parts, some of them dated and some empty."""
+def _raw_listing(spark, sf_dir):
     n = F.col("p_partkey")
     day = F.date_add(F.lit("2025-01-01").cast("date"), (n % 40).cast("int"))
     name = F.when(n % 11 == 0, "readme.txt").when(n % 11 == 1, F.concat(F.lit("99999999/"), n.cast("string"), F.lit(".zip"))).when(n % 2 == 0, F.concat(F.date_format(day, "yyyyMMdd"), F.lit(".zip"))).otherwise(F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("/a.csv")))
     listing = read(spark, sf_dir, "part").select(F.concat(F.lit("raw/"), name).alias("path"), F.when(n % 17 == 0, 0).otherwise(F.col("p_size") * 1000).cast("bigint").alias("length"), F.lit("2025-03-01").cast("timestamp").alias("modificationTime"))
-    return coverage.inventory_rollup(coverage.file_inventory(listing))
+    return coverage.file_inventory(listing)
+
+
+def raw_files(spark, sf_dir):
+    """An inventory of files named after parts, some of them dated and some empty."""
+    return coverage.inventory_rollup(_raw_listing(spark, sf_dir))
+
+
+def raw_summary(spark, sf_dir):
+    """The same files in one row; suffixes as text."""
+    counts = F.array_join(F.transform(F.array_sort(F.map_entries("suffix_counts")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    return coverage.inventory_summary(_raw_listing(spark, sf_dir)).withColumn("suffix_counts", counts)
+
+
+def own_files(spark, sf_dir):
+    """The tables' own files, listed in tasks, by suffix; DuckDB has no view of files, so there is no SQL."""
+    found = coverage.file_inventory(tree(spark, sf_dir))
+    return found.groupBy("suffix").agg(F.count("*").alias("file_count"), F.sum("size_bytes").alias("total_bytes"), F.count_if(F.col("size_bytes") == 0).alias("zero_byte_files"))
 
 
 def _profiles(spark, sf_dir):
@@ -213,9 +230,10 @@ QUERIES = {
     "coverage_partition_audit": (audit, f"WITH {_MEMBERS} SELECT d.date, t.table_name, string_agg(DISTINCT inv.raw_group, ',' ORDER BY inv.raw_group) AS source_groups FROM (SELECT DISTINCT date FROM mem) d CROSS JOIN (VALUES ('orders'), ('trades')) t(table_name) LEFT JOIN inv ON inv.date = d.date AND inv.table_name = t.table_name GROUP BY ALL"),
     "coverage_reconciliation": (
         reconciliation,
-        f"""{_WITH}, {_MANIFEST}, u AS (SELECT date, count(*) AS k FROM raw WHERE row_num_in_file % 1500 = 3 GROUP BY date),
+        f"""{_WITH}, {_MANIFEST}, e AS (SELECT CAST(ts AS DATE) AS date, count(*) FILTER (WHERE event_type = 'view' AND value >= 210) AS k, count(*) FILTER (WHERE event_type = 'signup' AND value >= 200) AS m,
+                count(*) FILTER (WHERE event_type = 'purchase' AND value >= 220) AS t FROM events GROUP BY 1),
             x AS (SELECT CAST(year(date) AS INT) AS year, man.date, table_name, raw_row_count AS raw_rows_total, row_count AS stage_rows_total, rejected_row_count AS rejected_rows_total,
-                    CAST(CASE WHEN day(date) % 9 = 0 THEN 2 ELSE 0 END + CASE WHEN day(date) % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) AS failed_member_count, coalesce(k, 0) AS unmapped_member_count FROM man LEFT JOIN u USING (date))
+                    m + t AS failed_member_count, k AS unmapped_member_count FROM man JOIN e USING (date))
             SELECT *, raw_rows_total - stage_rows_total - rejected_rows_total AS row_diff, CASE WHEN unmapped_member_count > 0 THEN 'date_level' END AS unmapped_scope,
               CASE WHEN raw_rows_total <> stage_rows_total + rejected_rows_total OR failed_member_count > 0 OR unmapped_member_count > 0 THEN 'fail' WHEN rejected_rows_total > 0 THEN 'warn' ELSE 'pass' END AS reconciliation_status FROM x""",
     ),
@@ -224,9 +242,9 @@ QUERIES = {
         f"""{_WITH}, {_MANIFEST}, x AS (
               SELECT date, {_KINDS} AS failure_type, n, NULL AS f FROM (SELECT date, reason, count(*) AS n FROM (SELECT date, unnest(reasons) AS reason FROM judged) GROUP BY ALL)
               UNION ALL SELECT date, 'sendtime_parse_failed', send_time_parse_failure_count, NULL FROM man WHERE send_time_parse_failure_count > 0
-              UNION ALL SELECT date, 'member_failed', 1, source_file FROM raw WHERE row_num_in_file % 2000 = 1
-              UNION ALL SELECT date, 'task_failed', 1, NULL FROM raw WHERE row_num_in_file % 5000 = 2
-              UNION ALL SELECT date, 'unmapped_source_member', 1, source_file FROM raw WHERE row_num_in_file % 3000 = 4)
+              UNION ALL SELECT CAST(ts AS DATE), 'member_failed', 1, 'order/' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '.csv' FROM events WHERE event_type = 'signup' AND value >= 150
+              UNION ALL SELECT CAST(ts AS DATE), 'task_failed', 1, NULL FROM events WHERE event_type = 'purchase' AND value >= 200
+              UNION ALL SELECT CAST(ts AS DATE), 'unmapped_source_member', 1, 'order/' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '.csv' FROM events WHERE event_type = 'view' AND value >= 100)
             SELECT date, failure_type, CAST(sum(n) AS BIGINT) AS failures, count(*) AS entries, count(f) AS with_file FROM x GROUP BY ALL""",
     ),
     "inventory_raw_files": (
@@ -235,8 +253,18 @@ QUERIES = {
               CASE WHEN n % 11 > 1 THEN d END AS trade_date, CASE WHEN n % 17 = 0 THEN 0 ELSE p_size * 1000 END AS bytes
               FROM (SELECT p_partkey AS n, p_size, DATE '2025-01-01' + CAST(p_partkey % 40 AS INT) AS d FROM part))
            SELECT trade_date, grouping(trade_date) = 1 AS is_total, count(*) AS file_count, CAST(sum(bytes) AS BIGINT) AS total_bytes, count(*) FILTER (WHERE bytes = 0) AS zero_byte_files,
-              count(*) - count(trade_date) AS undated_files, count(DISTINCT regexp_extract(path, '\\.[^./]+$')) AS suffixes FROM f GROUP BY ROLLUP (trade_date)""",
+              count(*) - count(trade_date) AS undated_files, count(DISTINCT regexp_extract(path, '[.][^./]+$')) AS suffixes FROM f GROUP BY ROLLUP (trade_date)""",
+    ),
+    "inventory_summary": (
+        raw_summary,
+        """WITH f AS (SELECT 'raw/' || CASE WHEN n % 11 = 0 THEN 'readme.txt' WHEN n % 11 = 1 THEN '99999999/' || n || '.zip' WHEN n % 2 = 0 THEN strftime(d, '%Y%m%d') || '.zip' ELSE strftime(d, '%Y-%m-%d') || '/a.csv' END AS path,
+              CASE WHEN n % 11 > 1 THEN d END AS trade_date, CASE WHEN n % 17 = 0 THEN 0 ELSE p_size * 1000 END AS bytes
+              FROM (SELECT p_partkey AS n, p_size, DATE '2025-01-01' + CAST(p_partkey % 40 AS INT) AS d FROM part)),
+            s AS (SELECT string_agg(suffix || '=' || k, ',' ORDER BY suffix) AS suffix_counts FROM (SELECT regexp_extract(path, '[.][^./]+$') AS suffix, count(*) AS k FROM f GROUP BY 1))
+           SELECT count(*) AS files_scanned, CAST(sum(bytes) AS BIGINT) AS bytes_scanned, count(*) FILTER (WHERE bytes = 0) AS zero_byte_files, count(*) - count(trade_date) AS unknown_date_files,
+              min(trade_date) AS date_coverage_start, max(trade_date) AS date_coverage_end, count(DISTINCT trade_date) AS distinct_trade_dates, (SELECT suffix_counts FROM s) AS suffix_counts FROM f""",
     ),
+    "inventory_own_files": (own_files, None),
     "source_member_groups": (
         member_groups,
         """SELECT 'g' || s_nationkey % 4 AS raw_group, count(*) AS member_count, CAST(sum(s_suppkey % 13) AS BIGINT) AS row_count, count(DISTINCT s_suppkey % 3) AS schema_count,

@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import posixpath
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from pathlib import Path
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -29,6 +34,29 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
 
 
+def tree(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length, modificationTime) of all files below a folder, empty ones too; contents are not read.
+
+    The driver asks for the folder's own entries and holds a row for each folder among them; each is listed, with all
+    below it, in a task, and so are the folder's own files. root: a URI of any file system that pyarrow opens, else a path
+    that all executors see; paths are named as root is. A folder that is not there is an error.
+    """
+    system, inside = fs.FileSystem.from_uri(root if re.match(r"[a-z0-9+.-]+:", root) else str(Path(root).absolute()))
+    folders = [f.path for f in system.get_file_info(fs.FileSelector(inside)) if f.type == fs.FileType.Directory]
+    jobs = spark.createDataFrame([(inside, False), *[(f, True) for f in folders]], "folder string, below boolean").repartition(min(1 + len(folders), 10_000))
+    prefix, bare = root.rstrip("/"), inside.rstrip("/")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = fs.FileSystem.from_uri(root if re.match(r"[a-z0-9+.-]+:", root) else bare)[0]
+        for batch in batches:
+            for job in batch.to_pylist():
+                found = [f for f in here.get_file_info(fs.FileSelector(job["folder"], recursive=job["below"])) if f.type == fs.FileType.File]
+                times = pa.array([(f.mtime_ns or 0) // 1000 for f in found], pa.timestamp("us", "UTC"))
+                yield pa.RecordBatch.from_arrays([pa.array([prefix + f.path.removeprefix(bare) for f in found], pa.string()), pa.array([f.size for f in found], pa.int64()), times], names=["path", "length", "modificationTime"])
+
+    return jobs.mapInArrow(listed, "path string, length bigint, modificationTime timestamp")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is such a file or folder, in the path's own file system."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

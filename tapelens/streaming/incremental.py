@@ -17,11 +17,11 @@ def open_tasks(tasks: DataFrame, manifest: DataFrame, key: list[str]) -> DataFra
 
 
 def refuse_mismatch(tasks: DataFrame, manifest: DataFrame, key: list[str], version: str) -> None:
-    """Raise if finished rows were made by other code or for tasks that are not asked for any more."""
+    """Raise if rows were made by other code, or if tasks that are not selected now did not finish; finished ones may be followed by others."""
     other = manifest.where(F.col("version") != version).limit(1).count()
-    gone = manifest.join(tasks.select(*key).distinct(), key, "left_anti").limit(1).count()
-    if other or gone:
-        raise ValueError("the manifest is of another run: " + ("its version differs" if other else "it has rows for tasks that are not selected"))
+    unfinished = manifest.where(~F.col("status").startswith("completed")).join(tasks.select(*key).distinct(), key, "left_anti").limit(1).count()
+    if other or unfinished:
+        raise ValueError("the manifest is of another run: " + ("its version differs" if other else "it has unfinished tasks that are not selected"))
 
 
 def stage_batch(rows: DataFrame, manifest: DataFrame | None, data_path: str, manifest_path: str, by: list[str], version: str) -> int:

@@ -106,6 +106,31 @@ def test_listing_and_seeds(spark, archive):
     assert sorted(r.code for r in files.code_list(spark.read.text(str(archive / "codes.txt"))).collect()) == ["0012", "AB"]
 
 
+def test_tree_in_tasks(spark, tmp_path, monkeypatch):
+    """A real tree: nested, empty and undated files; the driver asks for one level only."""
+    for name, size in (("20250102.zip", 3), ("empty.txt", 0), ("2025/20250103/a.csv", 5), ("2025/20250104/deep/b.csv", 7), ("2026/readme", 0), ("none/below/.keep", 1)):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * size)
+    (tmp_path / "bare").mkdir()
+    asked = []
+    selector = files.fs.FileSelector
+    monkeypatch.setattr(files.fs, "FileSelector", lambda path, **k: asked.append((path, k)) or selector(path, **k))
+    for root in (str(tmp_path), f"{tmp_path}/", tmp_path.as_uri()):
+        asked.clear()
+        found = files.tree(spark, root)
+        assert asked == [(str(tmp_path), {})] or asked == [(f"{tmp_path}/", {})]
+        got = {(r.path.removeprefix(root.rstrip("/")), r.length) for r in found.collect()}
+        assert got == {("/20250102.zip", 3), ("/empty.txt", 0), ("/2025/20250103/a.csv", 5), ("/2025/20250104/deep/b.csv", 7), ("/2026/readme", 0), ("/none/below/.keep", 1)}
+    r = coverage.inventory_summary(coverage.file_inventory(found)).first()
+    assert (r.files_scanned, r.bytes_scanned, r.zero_byte_files, r.unknown_date_files, r.distinct_trade_dates) == (6, 16, 2, 3, 3)
+    assert (r.date_coverage_start, r.date_coverage_end) == (dt.date(2025, 1, 2), dt.date(2025, 1, 4)) and r.suffix_counts == {"": 1, ".csv": 2, ".keep": 1, ".txt": 1, ".zip": 1}
+    assert found.where("path LIKE '%deep%'").first().modificationTime is not None
+    none = coverage.inventory_summary(coverage.file_inventory(found).limit(0)).first()
+    assert (none.files_scanned, none.bytes_scanned, none.date_coverage_start, none.suffix_counts) == (0, 0, None, {})
+    with pytest.raises(Exception, match="missing|not exist|Cannot list"):
+        files.tree(spark, str(tmp_path / "nowhere"))
+
+
 def test_date_selection(spark):
     days = spark.createDataFrame([(dt.date(2025, 1, d),) for d in (2, 5, 6, 7, 8, 9)], "date date")
     pick = lambda **k: sorted(r.date.day for r in files.select_dates(days, **k).collect())
@@ -124,8 +149,9 @@ def test_incremental_batches(spark, tmp_path):
     incremental.refuse_mismatch(tasks, manifest, ["date"], "1")
     with pytest.raises(ValueError, match="version"):
         incremental.refuse_mismatch(tasks, manifest, ["date"], "2")
+    incremental.refuse_mismatch(tasks.where("date = 'a'"), manifest, ["date"], "1")  # finished: others may follow
     with pytest.raises(ValueError, match="not selected"):
-        incremental.refuse_mismatch(tasks.where("date = 'a'"), manifest, ["date"], "1")
+        incremental.refuse_mismatch(tasks.where("date = 'a'"), manifest.withColumn("status", F.lit("running")), ["date"], "1")
 
 
 def test_incremental_stream(spark, tmp_path):
