@@ -9,7 +9,8 @@ its posterior probability with equal priors.
 
 Training fits on a bounded sample of the labelled rows: whole texts of each language, chosen by a
 hash of the id and text, in number about ROWS_PER_LANGUAGE at most and in size about TRAIN_BYTES
-divided by the number of languages. A language below both bounds is learned from all its texts, and
+divided by the number of languages, but the text of the least hash at least, so that no language is
+lost. A language below both bounds is learned from all its texts, a row that repeats counts once, and
 no statistics of the sample are dropped. The tree holds only what each language has seen, sorted by
 string with the languages beside it, so its size follows the sample, not strings times languages.
 
@@ -172,15 +173,17 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str =
     """
     small_batches(docs.sparkSession)
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"), F.col(id_col).alias("i"))
-    sizes = rows.groupBy("l").agg(F.count("*").alias("n"), F.sum(F.octet_length("t")).alias("size")).toArrow().to_pandas()
+    rows = rows.withColumn("h", F.xxhash64("i", "t"))
+    sizes = rows.groupBy("l").agg(F.count("*").alias("n"), F.sum(F.octet_length("t")).alias("size"), F.min("h").alias("least")).toArrow().to_pandas()
     languages = sorted(sizes["l"])
     if not languages:
         return None
     number = {name: i for i, name in enumerate(languages)}
     most = train_bytes / len(languages)
     share = {r.l: min(1.0, rows_per_language / r.n, most / max(1, r.size)) for r in sizes.itertuples()}
-    shares = docs.sparkSession.createDataFrame([(name, number[name], share[name]) for name in languages], f"{schema_of(docs, lang_col, 'l')}, number int, share double")
-    chosen = rows.join(F.broadcast(shares), "l").where(F.pmod(F.xxhash64("i", "t"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    shares = docs.sparkSession.createDataFrame([(r.l, number[r.l], share[r.l], r.least) for r in sizes.itertuples()], f"{schema_of(docs, lang_col, 'l')}, number int, share double, least long")
+    picked = (F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20)) | (F.col("h") == F.col("least"))
+    chosen = rows.join(F.broadcast(shares), "l").where(picked).dropDuplicates(["l", "h"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "t"):

@@ -10,8 +10,10 @@ confidence 1 - DELTA over all strata at once; base rules are fixed and promise n
 GOOD_WEIGHT times good ones lost); where none is certified or pays, nothing is rejected.
 
 Defined results: a null text has no words. Documents without a stratum value share one stratum.
-Labels that contradict each other for an id, and null labels, are not used. Repeated rows each get
-their row. An empty table gives an empty result; without labels only base rules reject.
+A labelled text is one trial of the test in its stratum, however many rows and ids it has, as its
+copies say nothing new. Labels that contradict each other for an id or for a text, and null labels, are
+not used. Repeated rows each get their row; columns other than id, text and stratum are not read. An empty
+table gives an empty result; without labels only base rules reject.
 """
 
 from __future__ import annotations
@@ -79,7 +81,7 @@ def repeated_words(ids: np.ndarray, of: np.ndarray, n_texts: int) -> np.ndarray:
 
 
 def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """(id, stratum, n_words, word_chars, n_symbols, n_capitals, n_lines, n_dup_lines, n_repeat_words, n_stutters) of every whole text."""
+    """(id, stratum, digest, n_words, word_chars, n_symbols, n_capitals, n_lines, n_dup_lines, n_repeat_words, n_stutters) of every whole text."""
     names = ["n_words", "word_chars", "n_symbols", "n_capitals", "n_lines", "n_dup_lines", "n_repeat_words", "n_stutters"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,27 +102,35 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stra
                 repeated_words(ids, of, len(texts)),
                 stuttered_words(ids, of, len(texts)),
             ]
-            yield pa.RecordBatch.from_arrays([block.column(id_col), block.column("stratum"), *[pa.array(v, pa.int64()) for v in values]], names=[id_col, "stratum", *names])
+            yield pa.RecordBatch.from_arrays([block.column(id_col), block.column("stratum"), block.column("digest"), *[pa.array(v, pa.int64()) for v in values]], names=[id_col, "stratum", "digest", *names])
 
     small_batches(docs.sparkSession)
-    form = f"{schema_of(docs, id_col)}, stratum string, " + ", ".join(f"{n} long" for n in names)
+    form = f"{schema_of(docs, id_col)}, stratum string, digest long, " + ", ".join(f"{n} long" for n in names)
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum")
-    return docs.select(docs[id_col], docs[text_col], stratum).mapInArrow(run, form)
+    return docs.select(docs[id_col], docs[text_col], stratum, F.xxhash64(docs[text_col]).alias("digest")).mapInArrow(run, form)
+
+
+def log_chance(i: int, n: int, p: float) -> float:
+    """The logarithm of P(X = i) of a binomial distribution."""
+    return math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
 
 
 def at_most(k: int, n: int, p: float) -> float:
     """P(X <= k) of a binomial distribution, exactly summed."""
-    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)]
-    return math.fsum(map(math.exp, logs))
+    return math.fsum(math.exp(log_chance(i, n, p)) for i in range(k + 1))
 
 
 def certified_cutoff(good: np.ndarray, bad: np.ndarray, risk: float, level: float) -> int | None:
     """The bin from which on documents are rejected; good and bad: labelled documents in each bin."""
     n, best, cutoff = int(good.sum()), 0.0, None
     lost = caught = 0
+    below, summed = 0.0, -1  # P(X <= summed): terms are added as losses grow, and no more once the level is passed
     for b in range(len(good) - 1, -1, -1):
         lost, caught = lost + int(good[b]), caught + int(bad[b])
-        if at_most(lost, n, risk) > level:
+        while summed < lost and below <= level:
+            summed += 1
+            below += math.exp(log_chance(summed, n, risk))
+        if below > level:
             break
         if caught - GOOD_WEIGHT * lost > best:
             best, cutoff = caught - GOOD_WEIGHT * lost, b
@@ -131,6 +141,8 @@ def cutoffs(counted: DataFrame, labels: DataFrame, id_col: str = "doc_id", label
     """(stratum, a bin for each statistic): learned cutoffs; null where none is certified."""
     agreed = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("labelled")).agg(F.min(label_col).alias("low"), F.max(label_col).alias("high"))
     rows = counted.where("not base_failed").join(agreed.where("low = high"), counted[id_col] == F.col("labelled"))
+    # A text and its copies are one trial; equal texts have equal bins.
+    rows = rows.groupBy("stratum", "digest", "n_words", "word_chars", *STATISTICS).agg(F.min("low").alias("low"), F.max("low").alias("high")).where("low = high")
     long = rows.select("stratum", F.col("low").alias("good"), F.explode(F.map_from_arrays(F.array(*map(F.lit, STATISTICS)), F.array(*[F.col(s) for s in STATISTICS]))).alias("statistic", "bin"))
     bins = long.groupBy("stratum", "statistic", "bin").agg(F.count_if(F.col("good") > 0).alias("n_good"), F.count_if(F.col("good") <= 0).alias("n_bad"))
     bins = durable(bins)

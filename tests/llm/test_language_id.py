@@ -120,3 +120,15 @@ def test_held_out_accuracy(spark):
     got = queries.op5_language_id(spark, sf).join(docs.select("doc_id", "lang", (remainder("doc_id", 3) == 1).alias("out")), "doc_id").toPandas()
     assert (got.held_out == got.out).all()
     assert (got.lang_pred == got.lang)[got.held_out].mean() > 0.98
+
+
+def test_no_language_is_lost(spark):
+    """A language of one text beyond its share of the sample is learned, whatever its id; repeats count once."""
+    small = [(i, "der die und das ist nicht mit sich " * 3, "de") for i in range(20)]
+    for i in range(6):
+        table = spark.createDataFrame([*small, (1000 + i, "le chat est sur la table et il dort " * 2000, "fr")], "doc_id long, text string, lang string")
+        tree = language_id.train(table, F.lit(True), train_bytes=4096)
+        assert {r.lang_pred for r in language_id.predict(table.where("lang = 'fr'"), tree).collect()} == {"fr"}
+    again = spark.createDataFrame([*small, *small, *small], "doc_id long, text string, lang string")
+    one, many = (language_id.train(spark.createDataFrame(small, again.schema) if df is None else df, F.lit(True)) for df in (None, again))
+    assert one.lengths(["der hund"])[0].tolist() == many.lengths(["der hund"])[0].tolist()

@@ -57,6 +57,31 @@ def test_false_rejections_stay_under_the_risk():
     assert quality.certified_cutoff(np.array([2000, 0, 0, 0]), np.array([0, 0, 9, 1]), 0.01, 0.05) == 2
 
 
+def test_repeats_change_no_cutoff(spark):
+    """Rows and copies of labelled texts are no further trials."""
+    prose = [f"w{i} is one of the plain words that a text about thing {i} may have in it , said here in a row of twenty or more words today" for i in range(400)]
+    junk = [f"{t} $$$$$$$$$$$$$$$$$$ ### %%%" for t in prose[:60]]
+    form = "doc_id long, text string, lang string"
+    few = [(i, t, "en") for i, t in enumerate(prose[:60] + junk[:30])]
+    label = [(i, int(i < 60)) for i in range(90)]
+    kept = lambda rows, labels: {(r.doc_id, r.kept) for r in quality.judge(spark.createDataFrame(rows, form), spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    plain = kept(few, label)
+    assert all(k for _, k in plain)  # sixty good texts certify nothing
+    assert kept(few * 20, label * 3) == plain
+    copies = [(i + 1000 * k, t, lang) for k in range(20) for i, t, lang in few]
+    assert all(k for _, k in kept(copies, [(i + 1000 * k, q) for k in range(20) for i, q in label]))
+    many = [(i, t, "en") for i, t in enumerate(prose + junk)]
+    verdicts = dict(kept(many, [(i, int(i < 400)) for i in range(460)]))
+    assert all(verdicts[i] for i in range(400)) and not any(verdicts[i] for i in range(400, 460))
+
+
+def test_tails_stop_at_the_level():
+    good = np.zeros(257, np.int64)
+    good[:200], good[200:] = 10**4, 10**3
+    assert quality.at_most(50 * 10**3, int(good.sum()), 0.025) <= 0.001 < quality.at_most(51 * 10**3, int(good.sum()), 0.025)
+    assert quality.certified_cutoff(good, np.full(257, 10**5), 0.025, 0.001) == 257 - 50
+
+
 def test_verdicts_on_labels(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.op10_quality_rules(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed").toPandas()
@@ -84,10 +109,12 @@ def test_kept_by_brute_force(spark):
     bins = {i: shares(r.text) for i, r in docs.items()}
     held = [i for i in docs if i in labels and not base[i]]
     strata = sorted({docs[i].lang or "" for i in held})
-    cut = {}
+    cut, said = {}, {}
+    for i in held:  # a text and its copies are one trial
+        said.setdefault((docs[i].lang or "", docs[i].text), []).append(i)
     for lang in strata:
         for k in range(4):
-            own = [(bins[i][k], labels[i]) for i in held if (docs[i].lang or "") == lang]
+            own = [(bins[ids[0]][k], labels[ids[0]]) for (of, _), ids in said.items() if of == lang and len({labels[i] for i in ids}) == 1]
             n, best = sum(q > 0 for _, q in own), 0
             for c in range(quality.BINS, -1, -1):
                 lost, caught = sum(b >= c and q > 0 for b, q in own), sum(b >= c and q <= 0 for b, q in own)
