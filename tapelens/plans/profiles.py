@@ -28,7 +28,9 @@ def trade_rules(spark, sf_dir):
 
 def samples(spark, sf_dir):
     out = op.violation_samples(order_events(spark, sf_dir), ["date"], tuple(_RULES), ["row_num_in_file"], ["OrderId", "Level", "Volume"])
-    return out.select("date", "rule_name", F.size(F.from_json("samples", "array<struct<OrderId:bigint>>")).cast("bigint").alias("n_samples"), F.get_json_object("samples", "$[0].OrderId").cast("bigint").alias("first_order_id"))
+    rows = F.from_json("samples", "array<struct<OrderId:bigint,Level:int,Volume:bigint>>")
+    text = F.transform(rows, lambda r: F.concat_ws(":", *[F.coalesce(r[c].cast("string"), F.lit("-")) for c in ("OrderId", "Level", "Volume")]))
+    return out.select("date", "rule_name", F.array_join(text, ",").alias("samples"))
 
 
 def hours(spark, sf_dir):
@@ -48,7 +50,7 @@ def lagged(spark, sf_dir):
 
 def times(spark, sf_dir):
     out = op.time_profile(order_events(spark, sf_dir), ["date"], "OrderId", ["OrderId", "row_num_in_file"])
-    return rounded(out.drop("hour_bucket_profile"))
+    return rounded(out)
 
 
 def fingerprints(spark, sf_dir):
@@ -83,7 +85,7 @@ def _lag(by: str) -> str:
    count(*) FILTER (WHERE SendTime IS NOT NULL AND ps IS NOT NULL AND SeqNum IS NOT NULL AND pq IS NOT NULL) AS seq_comparable_count,
    count(*) FILTER (WHERE SendTime < ps AND SeqNum > pq) AS seq_time_disagreement_count FROM l GROUP BY 1),
  j AS (SELECT *, round(inversion_count / nullif(comparable_count, 0), 6) AS inversion_rate, round(seq_time_disagreement_count / nullif(seq_comparable_count, 0), 6) AS seq_time_disagreement_rate FROM i)"""
-_CHECKS = " UNION ALL ".join(f"SELECT date, '{r.name}' AS rule_name, row_num_in_file, OrderId FROM ev WHERE ({r.tested}) AND ({r.violating})" for r in _RULES)
+_CHECKS = " UNION ALL ".join(f"SELECT date, '{r.name}' AS rule_name, row_num_in_file, OrderId, Level, Volume FROM ev WHERE ({r.tested}) AND ({r.violating})" for r in _RULES)
 
 QUERIES = {
     "profile_fields": (
@@ -95,7 +97,7 @@ QUERIES = {
     "profile_trade_rules": (trade_rules, _rules(TRADES, TRADE_RULES, "trades", "year")),
     "profile_violation_samples": (
         samples,
-        f"""WITH {ORDER_EVENTS}, x AS ({_CHECKS}) SELECT date, rule_name, least(count(*), 5) AS n_samples, arg_min(OrderId, row_num_in_file) AS first_order_id FROM x GROUP BY ALL""",
+        f"""WITH {ORDER_EVENTS}, x AS ({_CHECKS}) SELECT date, rule_name, array_to_string(list_slice(list(coalesce(CAST(OrderId AS VARCHAR), '-') || ':' || coalesce(CAST(Level AS VARCHAR), '-') || ':' || coalesce(CAST(Volume AS VARCHAR), '-') ORDER BY row_num_in_file), 1, 5), ',') AS samples FROM x GROUP BY ALL""",
     ),
     "profile_hours": (
         hours,
@@ -107,7 +109,9 @@ QUERIES = {
     "profile_times": (
         times,
         _lag("date")
-        + """, t AS (SELECT date, count(*) AS row_count, count(*) - count(SendTime) AS sendtime_null_count, count(*) - count(Time) AS time_null_count, min(SendTime) AS min_sendtime, max(SendTime) AS max_sendtime, min(Time) AS min_time, max(Time) AS max_time FROM ev GROUP BY date)
-            SELECT * FROM t JOIN j USING (date)""",
+        + """, t AS (SELECT date, count(*) AS row_count, count(*) - count(SendTime) AS sendtime_null_count, count(*) - count(Time) AS time_null_count, min(SendTime) AS min_sendtime, max(SendTime) AS max_sendtime, min(Time) AS min_time, max(Time) AS max_time FROM ev GROUP BY date),
+            h AS (SELECT date, lpad(CAST(coalesce(hour(SendTime + INTERVAL 8 HOUR), CAST(substr(Time, 1, 2) AS INT)) AS VARCHAR), 2, '0') AS hh, count(*) AS n FROM ev GROUP BY ALL),
+            m AS (SELECT date, '{' || string_agg('"' || hh || '":' || n, ',' ORDER BY hh) || '}' AS hour_bucket_profile FROM h GROUP BY date)
+            SELECT * FROM t JOIN j USING (date) JOIN m USING (date)""",
     ),
 }

@@ -171,7 +171,7 @@ def member_groups(spark, sf_dir):
 
 
 def schema_totals(spark, sf_dir):
-    return coverage.schema_totals(_profiles(spark, sf_dir)).drop("schema_hash")
+    return coverage.schema_totals(_profiles(spark, sf_dir))
 
 
 def manifest_states(spark, sf_dir):
@@ -275,7 +275,8 @@ QUERIES = {
     "source_schema_totals": (
         schema_totals,
         """SELECT CASE s_suppkey % 3 WHEN 0 THEN 'orders' WHEN 1 THEN 'trades' ELSE 'unknown' END AS table_hint, CAST(CASE s_suppkey % 3 WHEN 0 THEN 5 WHEN 1 THEN 4 ELSE 2 END AS INT) AS column_count,
-              count(*) AS member_count, CAST(sum(s_suppkey % 13) AS BIGINT) AS row_count, count(DISTINCT s_nationkey % 4) AS group_count FROM supplier GROUP BY 1, 2""",
+              sha1(CASE s_suppkey % 3 WHEN 0 THEN 'SeqNum,OrderId,OrderType,Time,Level' WHEN 1 THEN 'TickID,Dir,Time,BidOrderID' ELSE 'Code,Price' END) AS schema_hash,
+              count(*) AS member_count, CAST(sum(s_suppkey % 13) AS BIGINT) AS row_count, count(DISTINCT s_nationkey % 4) AS group_count FROM supplier GROUP BY 1, 2, 3""",
     ),
     "manifest_states": (
         manifest_states,
