@@ -149,13 +149,18 @@ def _settler(seed: int, last: bool) -> Callable[[pa.Table], pa.Table]:
     return lambda table: _settle(table, seed, last)
 
 
+def drawn(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 0) -> DataFrame:
+    """(id, source, size, draw) of every document. The draw depends on the text too, so that rows without an id of their own are dealt over all buckets."""
+    size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), F.xxhash64(text_col).alias("said"))
+    return rows.select("id", "source", "size", F.xxhash64("id", "size", "said", F.lit(seed)).alias("draw"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
     """(id, source, size, source_size, target, copies, taken) of every document."""
-    size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
     # A null source is looked up by a mark of its own: sources get a letter before them.
     key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("-")).alias("_source")
-    slim = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"))
-    slim = durable(slim.withColumn("draw", F.xxhash64("id", "size", F.lit(seed))))
+    slim = durable(drawn(docs, id_col, source_col, text_col, seed))
     n_docs = slim.count()
     per_source = durable(slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")))
     large = F.col("size") > LARGE * F.col("source_size")

@@ -42,8 +42,8 @@ BITS, RADIUS = 64, 4
 HALF = RADIUS // 2
 #: Fingerprints that travel to a place; those beyond which a place is dealt out, and beyond which variants are shuffled; variants held at once in a task.
 PER_PLACE, DEALT, MOST, HELD = 32_768, 65_536, 16_000_000, 1_000_000
-#: The stage: words to a shingle, least similarity, fingerprints of 32 bits, bits that may differ in all four, nodes that travel to a place.
-STAGE_WORDS, SIMILAR, TABLES, SCREEN, STAGE_PER_PLACE = 5, 0.8, 4, 36, 600_000
+#: The stage: words to a shingle, least similarity, fingerprints of 32 bits, bits that may differ in all four, nodes that travel to a place, variants held at once in a task.
+STAGE_WORDS, SIMILAR, TABLES, SCREEN, STAGE_PER_PLACE, STAGE_HELD = 5, 0.8, 4, 36, 600_000, 400_000
 
 
 def shingle_hashes(text: bytes, words_per_shingle: int, seed: int) -> list[int]:
@@ -333,7 +333,7 @@ def meet_sets(node: np.ndarray, prints: np.ndarray, table: int, under: int, pref
     low, half = np.uint64(BITS - prefix), np.uint64(32)
     left = HALF - np.bitwise_count(fps >> low ^ np.uint64(under)).astype(np.int64)
     home = np.uint64(under) << low | (fps & np.uint64((1 << (BITS - prefix)) - 1)) >> half << half
-    inner = min(16, max(parity, math.ceil(math.log2(max(1, len(fps) * len(_flips(range(32, BITS - prefix), HALF)) / HELD)))))
+    inner = min(16, max(parity, math.ceil(math.log2(max(1, len(fps) * len(_flips(range(32, BITS - prefix), HALF)) / STAGE_HELD)))))
     own = (_syndrome(home) & np.uint64((1 << inner) - 1)).astype(np.int64)
     nodes, at = np.unique(node, return_inverse=True)
     print_of = np.zeros((len(nodes), 2), np.uint64)

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tapelens.llm import mixing, queries
 
@@ -67,5 +68,14 @@ def test_odd_rows(odd, none):
     assert mixed.columns == odd.columns and mixed.count() == sum(r.n_copies for r in got)
 
 
+def test_rows_without_ids_spread(spark):
+    """Null ids of one size lie in all buckets alike, in every order of the rows."""
+    docs = spark.range(30_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("two w"), F.col("id").cast("string")).alias("text"), F.lit("a").alias("source"))
+    buckets = {r.b: r["count"] for r in mixing.drawn(docs).groupBy(F.pmod("draw", F.lit(15)).alias("b")).count().collect()}
+    assert len(buckets) == 15 and max(buckets.values()) < 2_300
+    got, again = (sorted((r.taken, r["count"]) for r in mixing.mix(df).groupBy("taken").count().collect()) for df in (docs, docs.repartition(5)))
+    assert got == again and sum(n for _, n in got) == 30_000
+
+
 def test_query(spark, sf):
     assert queries.op4_mixing(spark, sf).columns == ["doc_id", "size", "source_size", "target", "taken"]
