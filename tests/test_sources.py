@@ -136,6 +136,19 @@ def test_date_selection(spark):
     pick = lambda **k: sorted(r.date.day for r in files.select_dates(days, **k).collect())
     assert pick(between=("2025-01-05", "2025-01-09"), batch=(2, 2)) == [7, 8]
     assert pick(dates=["2025-01-02", "2025-01-03"]) == [2] and pick(first=2) == [2, 5] and pick(latest=2) == [8, 9]
+    assert files.select_dates(days.unionByName(days.select(F.lit(None).cast("date").alias("date"))), first=99).count() == 6
+
+
+def test_dates_prune_partitions(spark, tmp_path):
+    """Of a table partitioned by date, only the chosen dates' files are opened."""
+    days = [dt.date(2025, 1, d) for d in (2, 5, 6)]
+    files.write_partitions(spark.createDataFrame([(d, i) for d in days for i in range(5)], "date date, i int"), str(tmp_path), ["date"])
+    chosen = files.select_dates(spark.read.parquet(str(tmp_path)), latest=1)
+    for old in tmp_path.glob("date=2025-01-0[25]/*.parquet"):
+        old.write_bytes(b"not opened")
+    assert chosen.count() == 5 and {r.date for r in chosen.collect()} == {days[2]}
+    scan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in scan or "PartitionFilters: [(date" in scan or "PartitionFilters: [date" in scan
 
 
 def test_incremental_batches(spark, tmp_path):
