@@ -141,29 +141,3 @@ def test_stage_follows_a_large_cluster(spark):
     words = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join([*words[:i], "new", *words[i + 1 :]])) for i in range(200)] + [(500, " ".join(words[:100] + [f"v{i}" for i in range(100)]))]
     assert sorted(r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [0, 500]
-
-
-def test_stage_recall_inside_a_family(spark):
-    """Pairs of similarity 0.8 to 0.9 among 2,000 texts of one template, of which no two are so much alike."""
-    draw, fresh = random.Random(7), iter(range(10**6))
-
-    def changed(words, n):
-        out = list(words)
-        for i in draw.sample(range(len(out)), n):
-            out[i] = f"x{next(fresh)}"
-        return out
-
-    template = [f"w{i}" for i in range(120)]
-    texts, planted = [changed(template, 3) for _ in range(2_000)], []
-    while len(planted) < 200:
-        one = changed(template, 3)
-        two = changed(one, 2)
-        x, y = shingles(" ".join(one)), shingles(" ".join(two))
-        if 0.8 <= len(x & y) / len(x | y) <= 0.9:
-            planted.append((len(texts), len(texts) + 1))
-            texts += [one, two]
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    left = {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
-    assert sum(not (u in left and v in left) for u, v in planted) >= 0.9 * len(planted)
-    # What goes is like something that stays before it, by links over 0.8: strangers of the family stay.
-    assert len(left) > 0.85 * len(texts)
