@@ -39,8 +39,8 @@ def verified_summary(spark, sf_dir):
 
 
 def verified_manifest(spark, sf_dir):
-    """Metadata of two published variants, by day: what is in them, and whether the files have bytes."""
-    root, rows = scratch(spark, "verified"), trades(spark, sf_dir)
+    """Metadata of two published variants, with months for days: what is in them, and whether the files have bytes."""
+    root, rows = scratch(spark, "verified"), trades(spark, sf_dir).withColumn("date", F.trunc("date", "month"))
     for caveats in ((), ("Dir",)):
         verified.publish(rows, root, "trades", verified.resolve(POLICY, "trades", 2025, caveats))
     out = verified.read_manifest(spark, root)
@@ -257,7 +257,7 @@ QUERIES = {
     "verified_summary": (verified_summary, f"WITH {TRADES} SELECT year, count(*) AS output_row_count, count(DISTINCT date) AS partition_count, min(date) AS min_date, max(date) AS max_date FROM trades GROUP BY year"),
     "verified_manifest": (
         verified_manifest,
-        f"""WITH {TRADES} SELECT CAST(year AS INT) AS year, date, 'trades' AS table_name, v.name AS verified_table_name, count(*) AS input_row_count, count(*) AS output_row_count, v.cols AS included_columns,
+        f"""WITH {TRADES} SELECT CAST(year AS INT) AS year, CAST(date_trunc('month', date) AS DATE) AS date, 'trades' AS table_name, v.name AS verified_table_name, count(*) AS input_row_count, count(*) AS output_row_count, v.cols AS included_columns,
               v.caveats AS included_caveat_columns, v.out AS excluded_columns, '2026-03-15' AS verified_policy_version, 'candidate_cleaned' AS source_layer, v.rule AS admission_rule, v.caveats <> '' AS contains_caveat_fields,
               false AS reference_join_applied, CASE WHEN year = 2026 THEN 'fine_ok' ELSE 'coarse_only' END AS research_time_grade, true AS has_bytes
             FROM trades, (VALUES ('verified_trades', 'TickID,Time,Price,instrument_key', '', 'SendTime,Dir,BrokerNo', 'admit_now_only'),
