@@ -15,8 +15,8 @@ A text is aligned only where it can reach the coverage c. Of n template words at
 missed, so one of any few more than that must be in the text: the longest words are looked for. And
 with at most (1/c - 1) m unmatched words on both sides beside m matched ones, at least
 (2 - 1/c) c n - 1 pairs of words in a row are common to a stretch of n/c words: windows with fewer are
-passed by. Neither bound loses a stretch that reaches the coverage. Of the windows that are left only
-those that hold most pairs within half a template are aligned; that choice is tested, not proven.
+passed by. Neither bound loses a stretch that reaches the coverage. All other windows are aligned, so
+that the hits are those of every template at every place.
 
 Defined results: a null or empty text holds no licence. A notice that occurs twice has two rows.
 Where one place suits several templates, those with the most matched words win and the others that
@@ -143,6 +143,15 @@ class Template:
         return self.name, len(kept) / (len(self.words) + last - first + 1 - len(kept)), len(kept), first, last
 
 
+def select(hits: set[tuple[str, float, int, int, int]]) -> list[tuple[str, float, int, int, int]]:
+    """Of hits that overlap, those with the most matched words, in order of place."""
+    out: list[tuple[str, float, int, int, int]] = []
+    for hit in sorted(hits, key=lambda h: (-h[2], -h[1], h[0], h[3])):
+        if all(hit[4] < x[3] or x[4] < hit[3] for x in out):
+            out.append(hit)
+    return sorted(out, key=lambda x: x[3])
+
+
 class Scanner:
     """Templates, and what finds the places worth an alignment."""
 
@@ -158,7 +167,7 @@ class Scanner:
         self.triggers.make_automaton()
 
     def starts(self, words: list[str]) -> Iterator[tuple[Template, int]]:
-        """Windows that hold enough of a template's word pairs, where no window half a template away holds more; the first, middle and last of such."""
+        """All windows that hold enough of a template's word pairs to reach the coverage."""
         found: dict[int, list[int]] = defaultdict(list)
         for i, pair in enumerate(zip(words, words[1:], strict=False)):
             for number in self.pairs.get(pair, ()):
@@ -171,18 +180,10 @@ class Scanner:
                 first = (template.words[0], template.words[1])
                 yield from ((template, i) for i in places if (words[i], words[i + 1]) == first)
                 continue
-            # Windows that begin at a pair's place are enough: sliding one to its first pair loses none.
             at = np.array(places)
-            held = np.searchsorted(at, at + template.window - 1) - np.arange(len(at))
-            near = len(template.words) // 2
-            left, right = np.searchsorted(at, at - near), np.searchsorted(at, at + near, "right")
-            top = [i for i in np.flatnonzero(held >= template.least_pairs).tolist() if held[i] == held[left[i] : right[i]].max()]
-            runs = np.split(np.array(top, np.int64), np.flatnonzero(np.diff(at[top]) > near) + 1) if top else []
-            for run in runs:
-                # A matched word alone may stand before the first pair.
-                for i in sorted({int(run[0]), int(run[len(run) // 2]), int(run[-1])}):
-                    for before in (0, near // 4):
-                        yield template, max(0, int(at[i]) - before)
+            near = np.arange(max(0, at[0] - template.window + 1), at[-1] + 1)
+            held = np.searchsorted(at, near + template.window - 1) - np.searchsorted(at, near)
+            yield from ((template, i) for i in near[held >= template.least_pairs].tolist())
 
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """(template, coverage, matched words, first word, last word), of places that do not overlap."""
@@ -191,12 +192,7 @@ class Scanner:
             return []
         words = TOKEN.findall(lower)
         decides = deciding(words)
-        hits = {hit for template, start in self.starts(words) if (hit := template.hit(words, decides, start))}
-        out: list[tuple[str, float, int, int, int]] = []
-        for hit in sorted(hits, key=lambda h: (-h[2], -h[1], h[0], h[3])):
-            if all(hit[4] < x[3] or x[4] < hit[3] for x in out):
-                out.append(hit)
-        return sorted(out, key=lambda x: x[3])
+        return select({hit for template, start in self.starts(words) if (hit := template.hit(words, decides, start))})
 
 
 def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:

@@ -91,6 +91,29 @@ def test_no_hit_is_lost_by_looking_at_likely_places_only():
     assert 20 < found < 60
 
 
+def test_several_changed_notices_in_a_text_are_those_of_every_place():
+    """Names and spans of one to three changed notices with loose template words between them."""
+    chosen = {k: TEMPLATES[k] for k in ("MIT-notice", "Apache-2.0-header", "GPL-3.0-header", "LGPL-3.0-header", "ISC", "CC-BY-4.0-notice-long")}
+    scanner, found = licenses.Scanner(chosen), 0
+    for seed in range(40):
+        draw = random.Random(seed)
+        parts = [noise(draw, draw.randint(0, 20))]
+        for _ in range(draw.randint(1, 3)):
+            rate, own = draw.choice([0.02, 0.06, 0.1, 0.15]), chosen[draw.choice(list(chosen))].split()
+            for w in own:
+                x = draw.random()
+                parts += [] if x < rate / 2 else [w, noise(draw, 1)] if x < rate else [w]
+            parts += draw.choices(own, k=draw.randint(0, 25))
+        text = " ".join(parts)
+        words = licenses.tokens(text)
+        decides = licenses.deciding(words)
+        hits = {h for t in scanner.templates for start in range(len(words)) if (h := t.hit(words, decides, start))}
+        want = licenses.select(hits)
+        assert scanner.scan(text) == want, (seed, want, scanner.scan(text))
+        found += len(want)
+    assert found > 40
+
+
 def test_odd_rows(spark, odd, none):
     assert licenses.find_licenses(odd).count() == 0 and licenses.find_licenses(none).count() == 0
     rows = [(1, "Released under the MIT License."), (1, "Released under the MIT License."), (None, "x " * 50000 + "Licensed under CC BY-NC 4.0."), (2, "Licensed under CC BY-NC 4.0. Licensed under CC BY-NC 4.0."), (3, None)]
