@@ -16,9 +16,9 @@ forests gives components.
 
 The pipeline's stage has a rule of its own: texts whose sets of five-word shingles have a Jaccard
 similarity of SIMILAR or more are near copies. Such pairs differ in about ten of 64 bits, too many
-for a ball of 64. The stage therefore meets by four fingerprints of 32 bits each, of which a pair
-must agree to four bits in one only, screens what meets by all 128 bits, and verifies each
-candidate by its shingles. Meetings return minimum spanning forests of true pairs by distance.
+for a ball of 64. Links of fingerprints therefore only come first. All other pairs that can be similar
+share one of either text's rarest shingles, a fifth of them, and meet there; pairs that links have
+joined already are left out. Each pair is verified by its shingles, so that no similar pair is lost.
 
 Defined results: a text without words (or null) has fingerprint zero and links like any other.
 Repeated rows each get their row. A null id never names a component unless all its members are null.
@@ -43,8 +43,8 @@ BITS, RADIUS = 64, 4
 HALF = RADIUS // 2
 #: Least bits of a prefix; fingerprints that travel to a place; those beyond which a place is dealt out, if they are twice the average too, and beyond which variants are shuffled; variants held at once in a task.
 LEAST_PREFIX, PER_PLACE, DEALT, MOST, HELD = 10, 1_000_000, 65_536, 16_000_000, 1_000_000
-#: The stage: words to a shingle, least similarity, fingerprints of 32 bits, bits that may differ in all four, nodes that travel to a place, variants held at once in a task.
-STAGE_WORDS, SIMILAR, TABLES, SCREEN, STAGE_PER_PLACE, STAGE_HELD = 5, 0.8, 4, 36, 600_000, 400_000
+#: The stage: words to a shingle, least similarity, texts of which common shingles are counted, and most of these shingles.
+STAGE_WORDS, SIMILAR, SAMPLE, COMMON = 5, 0.8, 20_000, 1 << 17
 
 
 def shingle_hashes(text: bytes, words_per_shingle: int, seed: int) -> list[int]:
@@ -111,9 +111,9 @@ def _syndrome(values: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _patterns(prefix: int, most: int, parity: int, lowest: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Masks that flip at most `most` bits below the prefix, from the bit `lowest` on, ordered by the low `parity` bits of their syndrome; where each syndrome starts."""
-    masks = np.array([m for m, _ in _flips(range(lowest, BITS - prefix), most)], np.uint64)
+def _patterns(prefix: int, most: int, parity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Masks that flip at most `most` bits below the prefix, ordered by the low `parity` bits of their syndrome; where each syndrome starts."""
+    masks = np.array([m for m, _ in _flips(range(BITS - prefix), most)], np.uint64)
     low = (_syndrome(masks) & np.uint64((1 << parity) - 1)).astype(np.int64)
     order = np.argsort(low, kind="stable")
     return masks[order], np.searchsorted(low[order], np.arange((1 << parity) + 1))
@@ -283,29 +283,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(id_col, "fp", F.when(F.col("shared"), F.col("component_id")).otherwise(F.col(id_col)).alias("component_id"))
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    """Further hash bits of shingles (the finalizer of splitmix64)."""
-    h = h + np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return h ^ h >> np.uint64(31)
+def shingle_sets(docs: DataFrame, carry: list[str], text_col: str = "text", names: tuple[str, ...] = ("node", "a", "shingles")) -> DataFrame:
+    """The columns to carry, the hash of each text's shingle set, its fingerprint, and the set's sorted hashes.
 
-
-def shingle_sets(docs: DataFrame, carry: list[str], text_col: str = "text", names: tuple[str, ...] = ("node", "a", "b", "shingles")) -> DataFrame:
-    """The columns to carry, the hash of each text's shingle set, its four fingerprints in two longs, and the set's sorted hashes.
-
-    names: which of the four to make, by place, and what they are called.
+    names: which of the three to make, by place, and what they are called.
     """
-    kinds = ["long", "long", "long", "binary"][: len(names)]
+    kinds = ["long", "long", "binary"][: len(names)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text_col, 1 << 20):
             sets = [np.unique(np.array(shingle_hashes(t, STAGE_WORDS, 42), np.uint64)) for t in utf8(block, text_col)]
             made = [pa.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], pa.uint64()).view(pa.int64())]
             if len(names) > 1:
-                hashes, ends = np.concatenate(sets), np.cumsum([len(x) for x in sets])
-                made += [pa.array(simhash(h, ends).view(np.int64)) for h in (hashes, _mix(hashes))]
-            if len(names) > 3:
+                made.append(pa.array(simhash(np.concatenate(sets), np.cumsum([len(x) for x in sets])).view(np.int64)))
+            if len(names) > 2:
                 made.append(pa.array([x.tobytes() for x in sets], pa.binary()))
             yield pa.RecordBatch.from_arrays([*(block.column(c) for c in carry), *made], names=[*carry, *names])
 
@@ -313,85 +304,53 @@ def shingle_sets(docs: DataFrame, carry: list[str], text_col: str = "text", name
     return slim(docs, *dict.fromkeys([*carry, text_col])).mapInArrow(run, ", ".join([*kept, *(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True))]))
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Places of the edges in a minimum spanning forest of n nodes; ties go to the smaller ends."""
-    order = np.lexsort((b, a, weight))
-    a, b = a[order], b[order]
-    root, chosen, open_ = np.arange(n), np.zeros(0, np.int64), np.arange(len(a))
-    while True:
-        open_ = open_[root[a[open_]] != root[b[open_]]]
-        if not len(open_):
-            return order[chosen]
-        best = np.full(n, len(a))
-        np.minimum.at(best, root[a[open_]], open_)
-        np.minimum.at(best, root[b[open_]], open_)
-        chosen = np.union1d(chosen, best[best < len(a)])
-        root = _roots(n, a[chosen], b[chosen])
-
-
-def meet_sets(node: np.ndarray, prints: np.ndarray, table: int, under: int, prefix: int, parity: int, part: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of nodes by the variants of the one fingerprint that they have in one place. prints: both longs of each node."""
-    fps = prints[:, table // 2] << np.uint64(32 * (table % 2)) & np.uint64(0xFFFFFFFF00000000)
-    low, half = np.uint64(BITS - prefix), np.uint64(32)
-    left = HALF - np.bitwise_count(fps >> low ^ np.uint64(under)).astype(np.int64)
-    home = np.uint64(under) << low | (fps & np.uint64((1 << (BITS - prefix)) - 1)) >> half << half
-    inner = min(16, max(parity, math.ceil(math.log2(max(1, len(fps) * len(_flips(range(32, BITS - prefix), HALF)) / STAGE_HELD)))))
-    own = (_syndrome(home) & np.uint64((1 << inner) - 1)).astype(np.int64)
-    nodes, at = np.unique(node, return_inverse=True)
-    print_of = np.zeros((len(nodes), 2), np.uint64)
-    print_of[at] = prints
-    u, v, w = (np.zeros(0, np.int64) for _ in range(3))
-    for high in range(1 << (inner - parity)):
-        values, owners = [], []
-        for budget in range(HALF + 1):
-            masks, starts = _patterns(prefix, budget, inner, 32)
-            rows = np.flatnonzero(left == budget)
-            syndromes = own[rows] ^ (high << parity | part)
-            counts = starts[syndromes + 1] - starts[syndromes]
-            ends = np.cumsum(counts)
-            if len(rows) and ends[-1]:
-                step = np.arange(ends[-1]) - np.repeat(ends - counts, counts) + np.repeat(starts[syndromes], counts)
-                values.append(np.repeat(home[rows], counts) ^ masks[step])
-                owners.append(np.repeat(at[rows], counts))
-        if not values:
-            continue
-        value, owner = np.concatenate(values), np.concatenate(owners)
-        order = np.argsort(value)
-        value, owner = value[order], owner[order]
-        pairs = []
-        for k in (1, 2, 3):  # a stranger or two may stand between the two of a pair
-            same = np.flatnonzero(value[k:] == value[:-k])
-            x, y = np.minimum(owner[same], owner[same + k]), np.maximum(owner[same], owner[same + k])
-            true = (x != y) & (np.bitwise_count(print_of[x] ^ print_of[y]).sum(1) <= SCREEN)
-            pairs.append(np.unique(x[true] * len(nodes) + y[true]))
-        found = np.unique(np.concatenate([u * len(nodes) + v, *pairs]))
-        u, v = found // len(nodes), found % len(nodes)
-        w = np.bitwise_count(print_of[u] ^ print_of[v]).sum(1)
-        tree = _forest(len(nodes), u, v, w)
-        u, v = u[tree], v[tree]
-    return nodes[u], nodes[v]
-
-
-def candidates(distinct: DataFrame, n: int) -> DataFrame:
-    """(u, v): pairs of nodes that meet in one of the four fingerprints at least.
-
-    distinct: (node, a, b), n of them.
+def common_shingles(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, sorted; how frequent each is) of shingles that many texts share, from about SAMPLE texts by their hash.
+
+    They only order shingles, so that a text's rarest ones are looked up: any order gives the same pairs.
     """
-    prefix = prefix_bits(n, STAGE_PER_PLACE, 24)
-    masks = [_signed(m << (BITS - prefix)) for m, _ in _flips(range(prefix), HALF)]
-    quarter = [F.shiftrightunsigned(c, 32) if upper else F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) for c in ("a", "b") for upper in (True, False)]
-    words = [F.struct(F.lit(t).cast("long").alias("t"), F.shiftrightunsigned(F.shiftleft(quarter[t], 32).bitwiseXOR(F.lit(m).cast("long")), BITS - prefix).alias("prefix")) for t in range(TABLES) for m in masks]
-    sent = distinct.select("node", "a", "b", F.explode(F.array(*words)).alias("word"))
-    sent = sent.select("node", "a", "b", F.shiftleft("word.t", 32).bitwiseOR(F.col("word.prefix")).alias("prefix"))
+    n = docs.count()
+    some = docs.where(F.pmod(F.xxhash64(text_col), F.lit(1_000_000)) < math.ceil(1_000_000 * min(1, SAMPLE / max(1, n))))
 
-    def run(table: pa.Table) -> pa.Table:
-        under, parity, part = _place(table.column("place")[0].as_py())
-        prints = np.stack([table.column(c).to_numpy().view(np.uint64) for c in ("a", "b")], 1)
-        u, v = meet_sets(table.column("node").to_numpy(), prints, under >> 32, under & 0xFFFFFFFF, prefix, parity, part)
-        return pa.table({"u": u, "v": v})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text_col, 1 << 20):
+            sets = [np.unique(np.array(shingle_hashes(t, STAGE_WORDS, 42), np.uint64)) for t in utf8(block, text_col)]
+            hashes, counts = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["shingle", "n"])
+
+    counts = slim(some, text_col).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n >= 4")
+    found = counts.orderBy(F.desc("n"), "shingle").limit(COMMON).toArrow()  # COMMON rows of two numbers at most
+    hashes, n_of = found.column("shingle").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], n_of[order]
 
-    placed = _places(sent, ["node", "a", "b"], 4 * STAGE_PER_PLACE)
-    return placed.groupBy("place").applyInArrow(run, "u long, v long").distinct()
+
+def prefixes(docs: DataFrame, similar: float = SIMILAR, text_col: str = "text") -> DataFrame:
+    """(shingle, node, n, place): of each set of n shingles, ordered from rare to common, the first, of which similar sets share one.
+
+    Sets that are similar share at least similar * n shingles of either, so that they share one of the first n - similar * n + 1.
+    """
+    common, n_of = common_shingles(docs, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text_col, 1 << 20):
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for text in utf8(block, text_col):
+                own = np.unique(np.array(shingle_hashes(text, STAGE_WORDS, 42), np.uint64))
+                if not len(own):
+                    continue
+                node = np.uint64(xxhash.xxh64_intdigest(own.tobytes()))
+                rank = np.zeros(len(own), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                    rank = np.where(common[at] == own, n_of[at], 0)
+                first = np.lexsort((own, rank))[: len(own) - math.ceil(similar * len(own) - 1e-9) + 1]
+                for x, made in zip(out, (own[first].view(np.int64), np.full(len(first), node).view(np.int64), np.full(len(first), len(own)), np.arange(len(first))), strict=True):
+                    x.append(made)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], names=["shingle", "node", "n", "place"])
+
+    return slim(docs, text_col).mapInArrow(run, "shingle long, node long, n long, place long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -411,16 +370,56 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> Dat
     return joined.mapInArrow(run, "u long, v long")
 
 
-def similar_roots(docs: DataFrame, distinct: DataFrame, text_col: str = "text") -> DataFrame:
-    """(node, root) of nodes that verified pairs link.
+def true_links(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
+    """The pairs (u, v) that their shingles verify; durable.
 
-    Shingles are made anew for texts of candidate pairs, so that those of all texts are never stored or shuffled where
-    the candidates are few enough to be broadcast.
+    Shingles are made anew for texts of the pairs, so that those of all texts are never stored or shuffled where
+    these texts are few enough to be broadcast.
     """
-    pairs = durable(candidates(distinct.select("node", "a", "b"), distinct.count()))
+    pairs = durable(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct())
     wanted = bounded(durable(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()))
     sets = shingle_sets(docs, [], text_col).select("node", "shingles").join(wanted, "node", "left_semi")
-    return components(verified(pairs, durable(sets.dropDuplicates(["node"]))))
+    return durable(verified(pairs, durable(sets.dropDuplicates(["node"]))))
+
+
+def nearest(distinct: DataFrame) -> DataFrame:
+    """(u, v): pairs of nodes whose fingerprints are linked, or equal. distinct: (node, a), one row a node."""
+    firsts = durable(distinct.groupBy("a").agg(F.min("node").alias("first")))
+    met = links(firsts.select(F.col("a").alias("fp")), firsts.count())
+    u, v = (firsts.select(F.col("a").alias(x), F.col("first").alias(f"{x}_first")) for x in ("u", "v"))
+    apart = met.join(u, "u").join(v, "v").select(F.col("u_first").alias("u"), F.col("v_first").alias("v"))
+    return apart.unionByName(distinct.join(firsts, "a").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")))
+
+
+def able(met: DataFrame) -> DataFrame:
+    """(u, v): pairs that can be similar by how many prefix shingles they share, of rows for each such shingle.
+
+    What a pair shares up to the last of these lies in both prefixes, and after it there is no more than the rest of either
+    set. The prefix that ends first holds all of its own that are shared, so no more than one set without its prefix adds.
+    """
+    pairs = met.groupBy("node_x", "node_y", "n_x", "n_y").agg(F.count("*").alias("same"), F.max("place_x").alias("last_x"), F.max("place_y").alias("last_y"))
+    after = F.least(F.col("n_x") - F.col("last_x") - 1, F.col("n_y") - F.col("last_y") - 1, F.ceil(SIMILAR * F.greatest("n_x", "n_y") - 1e-9) - 1)
+    can = (1 + SIMILAR) * (F.col("same") + after) >= SIMILAR * (F.col("n_x") + F.col("n_y")) - 1e-6
+    return pairs.where(can).select(F.col("node_x").alias("u"), F.col("node_y").alias("v"))
+
+
+def similar_roots(docs: DataFrame, distinct: DataFrame, text_col: str = "text") -> DataFrame:
+    """(node, root) of nodes that verified pairs link: the components of all pairs that are similar.
+
+    First the links of fingerprints, and of each text with one that shares a rare shingle, which make up most of a component.
+    Then every other pair that can be similar and is not in one component already.
+    """
+    of_shingle = Window.partitionBy("shingle")
+    rows = prefixes(docs, SIMILAR, text_col).repartition("shingle").distinct()
+    shared = durable(rows.withColumn("texts", F.count("*").over(of_shingle)).where("texts > 1").drop("texts"))
+    before = lambda c: F.lag(c).over(of_shingle.orderBy("n", "node"))
+    chains = shared.select(*[F.col(c).alias(f"{c}_x") for c in ("node", "n", "place")], *[before(c).alias(f"{c}_y") for c in ("node", "n", "place")])
+    first = true_links(docs, nearest(distinct).unionByName(able(chains.where("node_y is not null"))), text_col)
+    split = shared.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = durable(split.withColumns({"least": F.min("root").over(of_shingle), "most": F.max("root").over(of_shingle)}).where("least < most").drop("least", "most"))
+    x, y = (split.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "place", "root")]) for side in "xy")
+    others = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y")) & (F.least("n_x", "n_y") >= SIMILAR * F.greatest("n_x", "n_y") - 1e-6))
+    return components(first.unionByName(true_links(docs, able(others), text_col)))
 
 
 def keepers(distinct: DataFrame, roots: DataFrame) -> DataFrame:
@@ -440,9 +439,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Judged by (id, shingle set): rows that share an id, or have none, each go by their own component.
     """
-    rows = durable(shingle_sets(docs, [id_col], text_col, ("node", "a", "b"))).withColumnRenamed(id_col, "id")
-    distinct = durable(rows.groupBy("node", "a", "b").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first")).select("node", "a", "b", "first.*"))
-    roots = similar_roots(docs, distinct, text_col)
+    rows = durable(shingle_sets(docs, [id_col], text_col, ("node", "a"))).withColumnRenamed(id_col, "id")
+    distinct = durable(rows.groupBy("node", "a").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first")).select("node", "a", "first.*"))
+    roots = similar_roots(docs, distinct.select("node", "a"), text_col)
     kept = durable(keepers(distinct, roots))
     counted = rows.select("id", F.lit(0).alias("kept")).unionByName(kept.select("id", F.lit(1).alias("kept")))
     per_id = counted.groupBy("id").agg(F.sum(1 - F.col("kept")).alias("n_rows"), F.sum("kept").alias("n_kept"))

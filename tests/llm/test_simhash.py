@@ -152,3 +152,24 @@ def test_stage_follows_a_large_cluster(spark):
     words = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join([*words[:i], "new", *words[i + 1 :]])) for i in range(200)] + [(500, " ".join(words[:100] + [f"v{i}" for i in range(100)]))]
     assert sorted(r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [0, 500]
+
+
+def test_stage_loses_no_pair_in_a_family(spark):
+    """Planted pairs among 1,500 texts of one template: the stage's components are those of all pairs."""
+    draw = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    vary = lambda words, k: [w if i not in k else f"{w}x{draw.randrange(10**6)}" for i, w in enumerate(words)]
+    texts = [vary(base, set(draw.sample(range(120), 6))) for _ in range(1_500)]
+    texts += [vary(t, set(draw.sample(range(120), 2))) for t in texts[:100]]
+    sets = [shingles(" ".join(t)) for t in texts]
+    ids = {x: k for k, x in enumerate(set().union(*sets))}
+    dense = np.zeros((len(sets), len(ids)), np.float32)
+    for i, own in enumerate(sets):
+        dense[i, [ids[x] for x in own]] = 1
+    both = dense @ dense.T
+    size = dense.sum(1)
+    u, v = np.nonzero(np.triu(both >= 0.8 * (size[:, None] + size - both) - 1e-6, 1))
+    root = simhash._roots(len(sets), u, v)
+    assert 80 < len(u)
+    left = [r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()]
+    assert sorted(left) == sorted(set(root.tolist()))
