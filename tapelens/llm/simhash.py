@@ -18,7 +18,8 @@ The pipeline's stage has a rule of its own: texts whose sets of five-word shingl
 similarity of SIMILAR or more are near copies. Such pairs differ in about ten of 64 bits, too many
 for a ball of 64. Links of fingerprints therefore only come first. All other pairs that can be similar
 share one of either text's rarest shingles, a fifth of them, and meet there; pairs that links have
-joined already are left out. Each pair is verified by its shingles, so that no similar pair is lost.
+joined already are left out, and so are pairs that differ in more bits of SKETCH than similar ones can.
+Each pair left is verified by its shingles, so that no similar pair is lost.
 
 Defined results: a text without words (or null) has fingerprint zero and links like any other.
 Repeated rows each get their row. A null id never names a component unless all its members are null.
@@ -29,12 +30,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapelens.llm.common import blocks, bounded, by_id, durable, free, lookup, schema_of, slim, utf8
@@ -45,6 +46,8 @@ HALF = RADIUS // 2
 LEAST_PREFIX, PER_PLACE, DEALT, MOST, HELD = 10, 1_000_000, 65_536, 16_000_000, 1_000_000
 #: The stage: words to a shingle, least similarity, texts of which common shingles are counted, and most of these shingles.
 STAGE_WORDS, SIMILAR, SAMPLE, COMMON = 5, 0.8, 20_000, 1 << 17
+#: Bits of a shingle set's sketch; orders in which texts of a shingle are linked to the next one.
+SKETCH, ORDERS = 512, 4
 
 
 def shingle_hashes(text: bytes, words_per_shingle: int, seed: int) -> list[int]:
@@ -250,21 +253,22 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates the large-star and small-star steps until the edges stay as they are. A step needs the least neighbour
     of each node only. It is looked up with the node's degree, so that the centre of a large star is no task's alone.
+    It ends where all edges are stars, so that edges that come as stars take no step.
     """
     edges = durable(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     least = lambda some: some.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("degree"))
-    before, n = None, edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        ends = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        n, odd = ends.agg(F.coalesce(F.sum("up"), F.lit(0)), F.count_if((F.col("up") > 1) | (F.col("up") > 0) & (F.col("down") > 0))).first()
+        if not odd:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         large = lookup(both, least(both), ["u"], "degree", 2 * n).where("v > u").select(F.col("v").alias("u"), F.least("u", "low").alias("v"))
         large = durable(large.distinct())
         small = lookup(large, least(large), ["u"], "degree", n)
         small = small.select(F.when(F.col("v") == F.col("low"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("low").alias("v"))
         edges = durable(small.where("u <> v").distinct())
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before, n = now, now[0]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
@@ -283,21 +287,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(id_col, "fp", F.when(F.col("shared"), F.col("component_id")).otherwise(F.col(id_col)).alias("component_id"))
 
 
-def shingle_sets(docs: DataFrame, carry: list[str], text_col: str = "text", names: tuple[str, ...] = ("node", "a", "shingles")) -> DataFrame:
+def sketch(own: np.ndarray) -> np.ndarray:
+    """SKETCH bits of a set, as longs: bit i tells whether an odd number of its hashes fall on i.
+
+    Sketches of two sets differ in no more bits than there are hashes in one set only.
+    """
+    odd = np.bincount((own % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def shingle_sets(docs: DataFrame, carry: list[str], text_col: str = "text", names: tuple[str, ...] = ("node", "a", "shingles"), sketched: bool = False) -> DataFrame:
     """The columns to carry, the hash of each text's shingle set, its fingerprint, and the set's sorted hashes.
 
-    names: which of the three to make, by place, and what they are called.
+    names: which of the three to make, by place, and what they are called. sketched: add the set's sketch, `bits`.
     """
     kinds = ["long", "long", "binary"][: len(names)]
+    if sketched:
+        names, kinds = (*names, "bits"), [*kinds, "array<long>"]
+    made_of = len(names) - sketched
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text_col, 1 << 20):
             sets = [np.unique(np.array(shingle_hashes(t, STAGE_WORDS, 42), np.uint64)) for t in utf8(block, text_col)]
             made = [pa.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], pa.uint64()).view(pa.int64())]
-            if len(names) > 1:
+            if made_of > 1:
                 made.append(pa.array(simhash(np.concatenate(sets), np.cumsum([len(x) for x in sets])).view(np.int64)))
-            if len(names) > 2:
+            if made_of > 2:
                 made.append(pa.array([x.tobytes() for x in sets], pa.binary()))
+            if sketched:
+                made.append(pa.array([sketch(x) for x in sets], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays([*(block.column(c) for c in carry), *made], names=[*carry, *names])
 
     kept = [schema_of(docs, c) for c in carry]
@@ -318,7 +336,7 @@ def common_shingles(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray
             hashes, counts = np.unique(np.concatenate(sets), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["shingle", "n"])
 
-    counts = slim(some, text_col).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n >= 4")
+    counts = slim(some, text_col).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
     found = counts.orderBy(F.desc("n"), "shingle").limit(COMMON).toArrow()  # COMMON rows of two numbers at most
     hashes, n_of = found.column("shingle").to_numpy().view(np.uint64), found.column("n").to_numpy()
     order = np.argsort(hashes)
@@ -391,35 +409,57 @@ def nearest(distinct: DataFrame) -> DataFrame:
     return apart.unionByName(distinct.join(firsts, "a").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")))
 
 
-def able(met: DataFrame) -> DataFrame:
-    """(u, v): pairs that can be similar by how many prefix shingles they share, of rows for each such shingle.
+def first_may_be_shared() -> Column:
+    """Whether a shingle that sets x and y share, at these places, can be the first that they share, if they are similar.
 
-    What a pair shares up to the last of these lies in both prefixes, and after it there is no more than the rest of either
-    set. The prefix that ends first holds all of its own that are shared, so no more than one set without its prefix adds.
+    Similar sets share SIMILAR / (1 + SIMILAR) of n_x + n_y hashes at least: none before the first, and no more than the
+    rest of either set from there on.
     """
-    pairs = met.groupBy("node_x", "node_y", "n_x", "n_y").agg(F.count("*").alias("same"), F.max("place_x").alias("last_x"), F.max("place_y").alias("last_y"))
-    after = F.least(F.col("n_x") - F.col("last_x") - 1, F.col("n_y") - F.col("last_y") - 1, F.ceil(SIMILAR * F.greatest("n_x", "n_y") - 1e-9) - 1)
-    can = (1 + SIMILAR) * (F.col("same") + after) >= SIMILAR * (F.col("n_x") + F.col("n_y")) - 1e-6
-    return pairs.where(can).select(F.col("node_x").alias("u"), F.col("node_y").alias("v"))
+    rest = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    return (1 + SIMILAR) * rest >= SIMILAR * (F.col("n_x") + F.col("n_y")) - 1e-6
+
+
+def sketches_are_near() -> Column:
+    """Whether sets x and y can be similar by their sketches, which differ in no more bits than there are hashes in one set only."""
+    differ = reduce(Column.__add__, [F.bit_count(F.col("bits_x")[i].bitwiseXOR(F.col("bits_y")[i])) for i in range(SKETCH // 64)])
+    return (1 + SIMILAR) * differ <= (1 - SIMILAR) * (F.col("n_x") + F.col("n_y")) + 1e-6
 
 
 def similar_roots(docs: DataFrame, distinct: DataFrame, text_col: str = "text") -> DataFrame:
     """(node, root) of nodes that verified pairs link: the components of all pairs that are similar.
 
-    First the links of fingerprints, and of each text with one that shares a rare shingle, which make up most of a component.
-    Then every other pair that can be similar and is not in one component already.
+    distinct: (node, a, bits), one row a node. First the links of fingerprints, and of each text with the next one that
+    shares a rare shingle, in a few orders, which make up most of a component. Then every other pair that can be similar and
+    is not in one component already; a pair is met at the first shingle it shares, at least.
     """
     of_shingle = Window.partitionBy("shingle")
+    bits = distinct.select("node", "bits")
+    named = lambda df, side: df.select(*[F.col(c).alias(c if c == "shingle" else f"{c}_{side}") for c in df.columns])
     rows = prefixes(docs, SIMILAR, text_col).repartition("shingle").distinct()
     shared = durable(rows.withColumn("texts", F.count("*").over(of_shingle)).where("texts > 1").drop("texts"))
-    before = lambda c: F.lag(c).over(of_shingle.orderBy("n", "node"))
+    mixed = F.xxhash64("node", F.pmod("shingle", F.lit(ORDERS)))
+    before = lambda c: F.lag(c).over(of_shingle.orderBy(mixed, "node"))
     chains = shared.select(*[F.col(c).alias(f"{c}_x") for c in ("node", "n", "place")], *[before(c).alias(f"{c}_y") for c in ("node", "n", "place")])
-    first = true_links(docs, nearest(distinct).unionByName(able(chains.where("node_y is not null"))), text_col)
-    split = shared.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = durable(split.withColumns({"least": F.min("root").over(of_shingle), "most": F.max("root").over(of_shingle)}).where("least < most").drop("least", "most"))
-    x, y = (split.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "place", "root")]) for side in "xy")
-    others = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y")) & (F.least("n_x", "n_y") >= SIMILAR * F.greatest("n_x", "n_y") - 1e-6))
-    return components(first.unionByName(true_links(docs, able(others), text_col)))
+    chains = chains.where(F.col("node_y").isNotNull() & first_may_be_shared()).select("node_x", "node_y", "n_x", "n_y").distinct()
+    chains = chains.join(named(bits, "x"), "node_x").join(named(bits, "y"), "node_y").where(sketches_are_near())
+    pair = [F.col("node_x").alias("u"), F.col("node_y").alias("v")]
+    roots = durable(components(true_links(docs, nearest(distinct).unionByName(chains.select(*pair)), text_col)))
+    split = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = split.withColumns({"least": F.min("root").over(of_shingle), "most": F.max("root").over(of_shingle)}).where("least < most").drop("least", "most")
+    split = durable(split.join(bits, "node"))
+    x, y = named(split, "x"), named(split, "y")
+    apart = (F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y"))
+    others = x.join(y, (x["shingle"] == y["shingle"]) & apart & first_may_be_shared() & sketches_are_near()).select(*pair)
+    more = true_links(docs, others, text_col)
+    if more.isEmpty():
+        return roots
+    # The new links join components, each by its root; roots of roots are then those of all their nodes.
+    for side in "uv":
+        of = roots.select(F.col("node").alias(side), F.col("root").alias("of"))
+        more = more.join(of, side, "left").withColumn(side, F.coalesce("of", side)).drop("of")
+    above = durable(components(more))
+    joined = roots.join(above.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return joined.unionByName(above)
 
 
 def keepers(distinct: DataFrame, roots: DataFrame) -> DataFrame:
@@ -439,10 +479,11 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Judged by (id, shingle set): rows that share an id, or have none, each go by their own component.
     """
-    rows = durable(shingle_sets(docs, [id_col], text_col, ("node", "a"))).withColumnRenamed(id_col, "id")
-    distinct = durable(rows.groupBy("node", "a").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first")).select("node", "a", "first.*"))
-    roots = similar_roots(docs, distinct.select("node", "a"), text_col)
-    kept = durable(keepers(distinct, roots))
+    rows = durable(shingle_sets(docs, [id_col], text_col, ("node", "a"), sketched=True)).withColumnRenamed(id_col, "id")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first")
+    distinct = durable(rows.groupBy("node", "a").agg(first, F.first("bits").alias("bits")).select("node", "a", "bits", "first.*"))
+    roots = similar_roots(docs, distinct.select("node", "a", "bits"), text_col)
+    kept = durable(keepers(distinct.drop("bits"), roots))
     counted = rows.select("id", F.lit(0).alias("kept")).unionByName(kept.select("id", F.lit(1).alias("kept")))
     per_id = counted.groupBy("id").agg(F.sum(1 - F.col("kept")).alias("n_rows"), F.sum("kept").alias("n_kept"))
     out = durable(per_id.where("n_kept = 0 or n_rows > 1"))

@@ -173,3 +173,39 @@ def test_stage_loses_no_pair_in_a_family(spark):
     assert 80 < len(u)
     left = [r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()]
     assert sorted(left) == sorted(set(root.tolist()))
+
+
+def test_sketches_and_places_lose_no_similar_pair(spark):
+    """Sketches of similar sets pass at the first shingle that the sets share; unlike sets that share rare ones do not."""
+    draw, rows = np.random.default_rng(3), []
+    for k in range(400):
+        n = int(draw.integers(5, 600))
+        x = np.unique(draw.integers(0, 1 << 63, n).astype(np.uint64))
+        keep = draw.random(len(x)) < draw.uniform(0.7, 1)
+        y = np.unique(np.concatenate([x[keep], draw.integers(0, 1 << 63, int(draw.integers(0, n // 10 + 2))).astype(np.uint64)]))
+        both = np.intersect1d(x, y)
+        if len(both):
+            first = [int(np.searchsorted(s, both[0])) for s in (x, y)]
+            rows.append((len(both) / (len(x) + len(y) - len(both)), len(x), len(y), *first, simhash.sketch(x).tolist(), simhash.sketch(y).tolist()))
+    df = spark.createDataFrame(rows, "j double, n_x long, n_y long, place_x long, place_y long, bits_x array<long>, bits_y array<long>")
+    got = df.select("j", (simhash.first_may_be_shared() & simhash.sketches_are_near()).alias("passes")).collect()
+    assert sum(r.j >= 0.8 for r in got) > 50 and all(r.passes for r in got if r.j >= 0.8)
+    assert sum(not r.passes for r in got if r.j < 0.7) > 0.8 * sum(r.j < 0.7 for r in got) > 20
+
+
+def test_stage_makes_few_rows_of_a_family_that_is_not_similar(spark, monkeypatch):
+    """400 texts that share 70 % of their shingles, none of them similar to another: pairs of them are not verified, and all texts stay."""
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(w if k not in own else f"{w}x{i}" for k, w in enumerate(base))) for i in range(400) for own in [set(draw.sample(range(400), 16))]]
+    pairs, links = [], simhash.true_links
+    monkeypatch.setattr(simhash, "true_links", lambda docs, some, text: pairs.append(some.count()) or links(docs, some, text))
+    assert simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).count() == 400
+    assert sum(pairs) < 4_000
+
+
+def test_stars_take_no_step(spark, monkeypatch):
+    steps, lookup = [], simhash.lookup
+    monkeypatch.setattr(simhash, "lookup", lambda *a, **k: steps.append(1) or lookup(*a, **k))
+    edges = spark.createDataFrame([(5, 1), (6, 1), (1, 7), (9, 8)], "u long, v long")
+    assert {r.node: r.root for r in simhash.components(edges).collect()} == {5: 1, 6: 1, 7: 1, 9: 8} and not steps
