@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
 
@@ -55,7 +56,17 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
-    pa.default_memory_pool().release_unused()  # the worker stays for other stages
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a Python worker stays for other stages, and its memory with it.
+
+    Numpy's arrays come from the C library, which keeps what is freed in the middle of its heap until it is asked.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        trim(0)
 
 
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapelens.llm.common import WHITESPACE, blocks, by_id, durable, free, lookup, schema_of, slim, utf8
+from tapelens.llm.common import WHITESPACE, blocks, by_id, durable, free, lookup, release, schema_of, slim, utf8
 
 #: SHA-256 of the text without white space, then its length in bytes, so that keys sort as bytes do.
 KEY = 40
@@ -128,6 +128,8 @@ def merge_runs(rows: DataFrame, id_col: str = "doc_id", fan_in: int = 8, slice_s
                 held.append(part)
         if held:
             yield close()
+        del held
+        release()
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [opened(batch.column("entries").slice(i, 1)) for batch in batches for i in range(batch.num_rows)]

@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
-from tapelens.llm.common import blocks, schema_of, slim
+from tapelens.llm.common import blocks, release, schema_of, slim
 
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
@@ -134,6 +134,13 @@ class Encoder:
         return b"".join(out)
 
 
+    def forget(self) -> None:
+        """Empty what is remembered of texts, after a task: the worker stays for other stages."""
+        self.compatible.clear()
+        self.cache.clear()
+        release()
+
+
 _loaded: dict[str, tuple[Encoder, sentencepiece.SentencePieceProcessor]] = {}
 
 
@@ -153,6 +160,7 @@ def tokenize(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str
         for block in blocks(batches, text_col):
             packed = [begin + encoder.encode(t or "") + end for t in block.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([block.column(id_col), _lists(packed)], names=[id_col, "token_ids"])
+        encoder.forget()
 
     return slim(docs, id_col, text_col).mapInArrow(run, f"{schema_of(docs, id_col)}, token_ids array<int>")
 
@@ -181,6 +189,7 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
                 ],
                 names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * with_ids],
             )
+        encoder.forget()
 
     form = f"{schema_of(docs, id_col)}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids
     return slim(docs, id_col, text_col).mapInArrow(run, form)

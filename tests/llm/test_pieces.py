@@ -1,11 +1,16 @@
 import hashlib
+import re
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tapelens.llm import pieces, queries
+from tapelens.llm.common import release
 
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=queries.MODEL)
 ENCODER = pieces.Encoder(queries.MODEL)
@@ -44,3 +49,26 @@ def test_documents(spark, sf):
     for r in docs.collect():
         same(r.text)
     assert queries.op3_sentencepiece(spark, sf).count() == docs.count()
+
+
+def test_a_worker_keeps_nothing_of_the_texts(spark):
+    """Workers stay for other stages, so what they remember of texts goes with the task."""
+
+    def held(batches):
+        list(batches)
+        yield pa.RecordBatch.from_pydict({"n": [sum(len(e.cache) + len(e.compatible) for e, _ in pieces._loaded.values())]})
+
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words of text "), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    assert pieces.round_trip(docs, queries.MODEL).count() == 2000
+    assert spark.range(0, 64, 1, 64).mapInArrow(held, "n long").agg(F.max("n")).first()[0] == 0
+
+
+def test_freed_memory_goes_back():
+    def held() -> int:
+        return sum(map(int, re.findall(r"\nAnonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())))
+
+    blocks = [np.ones(8_000) for _ in range(3_000)]  # 192 MB in blocks too small for a mapping of their own
+    top, blocks = np.ones(8_000), None
+    before = held()
+    release()
+    assert len(top) and before - held() > 100_000
