@@ -21,11 +21,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tapelens.contracts import STAGE_MANIFEST, STAGE_RUNS, Contract
+from tapelens.contracts import MEMBER_FAILURES, STAGE_MANIFEST, STAGE_RUNS, Contract
 from tapelens.operators.staging import reasons_of, text_columns, typed, with_reasons
 from tapelens.sources import zip_csv
 from tapelens.sources.files import exists, file_totals, write_partitions
@@ -82,32 +82,30 @@ def counts_of(rows: DataFrame, contract: Contract) -> DataFrame:
     kept, rejected = F.col("outcome") == KEPT, F.col("outcome") == REJECTED
     reasons = [r for c in contract.required for r in reasons_of(c).values()]
     at = ["date", "table_name"]
-    some = lambda names, of: F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.sum(of(n)) for n in names]))
-    # By member first: a day has many rows, few members.
-    parts: dict[str, Column] = {
-        "row_count": F.count_if(kept),
-        "rejected_row_count": F.count_if(rejected),
-        "failed": F.max((F.col("outcome") == FAILED).cast("int")),
-        "error": F.min("error"),
-        "send_time_parse_failure_count": F.count_if((F.col("outcome") != FAILED) & F.col("SendTimeRaw").isNotNull() & F.col("SendTime").isNull()),
-        **{f: g(F.when(kept, F.col(c))) for f, g, c in (("min_send_time", F.min, "SendTime"), ("max_send_time", F.max, "SendTime"), ("min_time", F.min, "Time"), ("max_time", F.max, "Time"))},
-        **{f"null_{c}": F.count_if(rejected & F.col(c).isNull()) for c in contract.required},
-        **{f"why_{r}": F.count_if(F.array_contains("reasons", r)) for r in reasons},
-    }
-    members = rows.groupBy(*at, "source_file").agg(*[c.alias(n) for n, c in parts.items()])
-    of_day = Window.partitionBy(*at)
-    place = F.row_number().over(of_day.orderBy(F.col("failed").desc(), "source_file"))
-    example = F.when((F.col("failed") == 1) & (F.col("place") <= EXAMPLES), F.struct("source_file", "error"))
-    out = members.withColumn("place", place).groupBy(*at).agg(
-        (F.sum("row_count") + F.sum("rejected_row_count")).alias("raw_row_count"),
-        *[F.sum(c).alias(c) for c in ("row_count", "rejected_row_count", "send_time_parse_failure_count")],
-        F.count_if(F.col("failed") == 0).alias("source_member_count"),
-        F.sum("failed").alias("failed_member_count"),
-        F.sort_array(F.collect_list(example)).alias("failed_member_examples"),
-        some(contract.required, lambda c: F.col(f"null_{c}")).alias("required_null_counts"),
-        F.map_filter(some(reasons, lambda r: F.col(f"`why_{r}`")), lambda _, n: n > 0).alias("rejection_reason_counts"),
-        *[g(c).alias(c) for c, g in (("min_send_time", F.min), ("max_send_time", F.max), ("min_time", F.min), ("max_time", F.max))],
+    counted = lambda names, of: F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.count_if(of(n)) for n in names]))
+    # Numbers only, which Spark keeps in a hash table of a row a day; for minima of texts it would sort all rows of a task.
+    time = F.when(kept, F.col("Time").cast("int"))
+    digits = lambda c: F.lpad(c.cast("string"), 6, "0")
+    days = rows.groupBy(*at).agg(
+        F.count_if(kept | rejected).alias("raw_row_count"),
+        F.count_if(kept).alias("row_count"),
+        F.count_if(rejected).alias("rejected_row_count"),
+        F.count_if((F.col("outcome") != FAILED) & F.col("SendTimeRaw").isNotNull() & F.col("SendTime").isNull()).alias("send_time_parse_failure_count"),
+        counted(contract.required, lambda c: rejected & F.col(c).isNull()).alias("required_null_counts"),
+        F.map_filter(counted(reasons, lambda r: F.array_contains("reasons", r)), lambda _, n: n > 0).alias("rejection_reason_counts"),
+        *[g(F.when(kept, F.col("SendTime"))).alias(c) for c, g in (("min_send_time", F.min), ("max_send_time", F.max))],
+        *[digits(g(time)).alias(c) for c, g in (("min_time", F.min), ("max_time", F.max))],
     )
+    failed = F.col("outcome") == FAILED
+    members = rows.groupBy(*at, "source_file").agg(F.max(failed.cast("int")).alias("failed"))
+    members = members.groupBy(*at).agg(F.count_if(F.col("failed") == 0).alias("source_member_count"), F.sum("failed").alias("failed_member_count"))
+    # The window's places are limited before its shuffle.
+    place = F.dense_rank().over(Window.partitionBy(*at).orderBy("source_file"))
+    first = rows.where(failed).select(*at, "source_file", "error").distinct().withColumn("place", place).where(F.col("place") <= EXAMPLES)
+    first = first.groupBy(*at, "source_file").agg(F.min("error").alias("error"))
+    first = first.groupBy(*at).agg(F.sort_array(F.collect_list(F.struct("source_file", "error"))).alias("failed_member_examples"))
+    out = days.join(members, at).join(first, at, "left")
+    out = out.withColumn("failed_member_examples", F.coalesce("failed_member_examples", F.array().cast(MEMBER_FAILURES)))
     none = (F.col("row_count") == 0) & (F.col("failed_member_count") > 0)
     status = F.when(none, "failed").when(F.col("failed_member_count") > 0, "completed_with_member_errors").otherwise("completed")
     return out.withColumns({"status": status, "error": F.when(none, F.concat(F.lit("all source members failed; first: "), F.get("failed_member_examples", 0)["error"]))})
@@ -127,8 +125,8 @@ def write_batch(rows: DataFrame, contract: Contract, root: str, batch: int, vers
         found = asked.join(found, "date", "left").withColumns({"error": F.when(F.col("status").isNull(), "no source members").otherwise(F.col("error")), "status": F.coalesce("status", F.lit("failed"))})
     known = {"year": F.year("date"), "table_name": F.lit(contract.name), "batch": F.lit(batch), "replaces": F.lit(replaces), "version": F.lit(version), "generated_at": F.current_timestamp()}
     made = found.withColumns(known).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(STAGE_MANIFEST)])
-    # One row a date: a file is enough.
-    made.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("table_name", "batch").parquet(f"{root}/manifest")
+    # One row a date: a file is enough. Its task only gathers them; coalesce would put all work since the last shuffle into it.
+    made.repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("table_name", "batch").parquet(f"{root}/manifest")
     return read_manifest(spark, root).where((F.col("table_name") == contract.name) & (F.col("batch") == batch))
 
 

@@ -137,3 +137,22 @@ def test_stream_with_manifest(spark, source, tmp_path, monkeypatch):
     states = ingest.day_states(ingest.read_manifest(spark, root))
     assert rows(states, "date", "row_count", "batches", "reopened", "status") == [(D2, 6, 2, True, "completed"), (D5, 2, 1, False, "completed_with_member_errors"), (D6, 2, 1, False, "completed")]
     assert ingest.stage_table(spark, root, ORDERS).count() == 10
+
+
+def test_counts_sort_no_rows_of_a_day(spark):
+    """Neither rows nor members of a day are sorted whole, and first failures are those of all members."""
+    form = ingest.stored_schema(ORDERS)
+    row = lambda **x: tuple(({"date": D2, "table_name": "orders", "outcome": "kept", "batch": 1} | x).get(c) for c in form.names)
+    made = [row(source_file=f"m{i:02}", Time=f"{90000 + i:06}", SeqNum=i, SendTimeRaw="x") for i in range(40)]
+    made += [row(source_file=f"m{i:02}", outcome="failed", error=e) for i in range(12, 30) for e in ("late", "early")]
+    made += [row(source_file="m50", outcome="rejected", Time="000001", reasons=["null_required_input:SeqNum"]), row(date=D5, source_file="m01", outcome="failed", error="broken")]
+    counts = ingest.counts_of(spark.createDataFrame(made, form), ORDERS)
+    two, five = (r for r in counts.orderBy("date").collect())
+    assert (two.raw_row_count, two.row_count, two.rejected_row_count, two.source_member_count, two.failed_member_count) == (41, 40, 1, 23, 18)
+    assert [tuple(x) for x in two.failed_member_examples] == [(f"m{i:02}", "early") for i in range(12, 22)]
+    assert (two.min_time, two.max_time, two.send_time_parse_failure_count, two.status, two.error) == ("090000", "090039", 40, "completed_with_member_errors", None)
+    assert two.required_null_counts == {"SeqNum": 1, "OrderId": 1, "Time": 0, "Price": 1, "Volume": 1} and two.rejection_reason_counts == {"null_required_input:SeqNum": 1}
+    assert (five.raw_row_count, five.source_member_count, five.min_time, five.status, five.rejection_reason_counts) == (0, 0, None, "failed", {})
+    assert five.error == "all source members failed; first: broken"
+    plan = counts._jdf.queryExecution().sparkPlan().toString()
+    assert all("min(error" in x for x in plan.splitlines() if "SortAggregate" in x) and plan.count("Window [") <= plan.count("WindowGroupLimit")
