@@ -16,6 +16,8 @@ from tapelens.functions.columns import day_seconds, present_id, rate
 
 #: An order id is hot with more than a HOT_SHARE-th of all edges, and LEAST_HOT at least.
 HOT_SHARE, LEAST_HOT = 1_000, 1_000
+#: Ids are counted by so many classes first, and one by one only in classes that can have a hot one.
+CLASSES = 1 << 14
 
 
 def edges(trades: DataFrame, keep: list[str]) -> DataFrame:
@@ -162,6 +164,20 @@ class Colocated:
             spark.sql(f"DROP TABLE IF EXISTS {self.name}_{kind}")
 
 
+def hot_keys(every: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of more than a HOT_SHARE-th of the edges, and LEAST_HOT at least: fewer than HOT_SHARE rows.
+
+    A hot key's class, by its hash, has as many edges as the key at least, so that keys of the other classes, nearly all, are
+    neither kept in a table of all keys nor shuffled.
+    """
+    own = F.pmod(F.xxhash64(*keys), F.lit(CLASSES))
+    sizes = every.groupBy(own.alias("own")).agg(F.count("*").alias("n")).collect()  # CLASSES rows at most
+    least = max(LEAST_HOT, sum(r.n for r in sizes) // HOT_SHARE)
+    large = [r.own for r in sizes if r.n > least]  # under HOT_SHARE
+    found = every.where(own.isin(large)).groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > least).select(*keys)
+    return every.sparkSession.createDataFrame(found.collect() if large else [], found.schema)
+
+
 def write_colocated(trades: DataFrame, orders: DataFrame, by: list[str], on: list[str], name: str, folder: str, buckets: int) -> Colocated:
     """Write edges and lookups once, for any number of linkage queries over them, into tables below the folder.
 
@@ -171,9 +187,7 @@ def write_colocated(trades: DataFrame, orders: DataFrame, by: list[str], on: lis
     spark = trades.sparkSession
     keys = [*on, "trade_order_id"]
     every = edges(trades, list(dict.fromkeys([*by, *on, "SendTime", "Time", "BidOrderID", "AskOrderID"])))
-    sizes = every.groupBy(*keys).agg(F.count("*").alias("n"))
-    total = trades.select(F.sum(sum(F.when(present_id(F.col(c)), 1).otherwise(0) for c in ("BidOrderID", "AskOrderID")))).first()[0] or 0
-    hot = spark.createDataFrame(sizes.where(F.col("n") > max(LEAST_HOT, total // HOT_SHARE)).select(*keys).collect(), sizes.select(*keys).schema)  # under HOT_SHARE rows
+    hot = hot_keys(every, keys)
     same = lambda df: reduce(lambda x, y: x & y, [df[k].eqNullSafe(F.col(f"{k}__hot")) for k in keys])
     few = F.broadcast(hot.withColumnsRenamed({k: f"{k}__hot" for k in keys}))
     lookups = order_lookup(orders, on)

@@ -51,6 +51,22 @@ def test_colocated_record(spark, books, tmp_path, on):
         tables.drop(spark)
 
 
+@pytest.mark.parametrize("on", [["date"], []])
+def test_hot_keys_are_counted_by_classes(spark, books, monkeypatch, on):
+    """The same keys as by counting all, whatever shares their class; keys of small classes are not counted one by one."""
+    monkeypatch.setattr(linkage, "LEAST_HOT", 90)
+    monkeypatch.setattr(linkage, "HOT_SHARE", 400)
+    every, keys = linkage.edges(books[0], ["date"]), [*on, "trade_order_id"]
+    least = max(90, every.count() // 400)
+    want = rows(every.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > least).select(*keys))
+    assert 0 < len(want) < 400
+    for classes in (1, 16, 1 << 14):
+        monkeypatch.setattr(linkage, "CLASSES", classes)
+        assert rows(linkage.hot_keys(every, keys)) == want
+    monkeypatch.setattr(linkage, "LEAST_HOT", 1_000_000)
+    assert linkage.hot_keys(every, keys).count() == 0 and linkage.hot_keys(every.limit(0), keys).count() == 0
+
+
 # Percentiles
 
 
