@@ -24,6 +24,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,8 +37,10 @@ from tapelens.llm.common import blocks, durable, frequent, schema_of, small_batc
 
 STATES, STEPS = 8, 5
 CLASSES, TAILS, FREQUENT = 8192, 2048, 1 << 17
-#: Tokens of a stretch, and stretches that run side by side.
+#: Tokens of a stretch of both recursions, and stretches that run side by side.
 PIECE, LANES = 256, 1024
+#: Tokens from one scaling of probabilities to the next: doubles hold the product of far more.
+SCALED = 4
 #: Bytes of a word's end that choose its tail class.
 TAIL_BYTES = 3
 #: Words counted in a task before they are handed on.
@@ -97,13 +100,14 @@ class Stretches:
     """
 
     def __init__(self, model: Model, seqs: list[np.ndarray], both: bool):
+        piece = PIECE if both else 4 * PIECE  # forward alone more sequences run at once, and fewer need be cut
         lengths = np.array([len(s) for s in seqs])
-        counts = -(-lengths // PIECE)
+        counts = -(-lengths // piece)
         self.flat = np.concatenate(seqs) if seqs else np.zeros(0, "<u2")
         self.of = np.repeat(np.arange(len(seqs)), counts)
         place = np.arange(len(self.of)) - np.repeat(np.cumsum(counts) - counts, counts)
-        self.begin = np.repeat(np.cumsum(lengths) - lengths, counts) + place * PIECE
-        self.size = np.minimum(PIECE, lengths[self.of] - place * PIECE)
+        self.begin = np.repeat(np.cumsum(lengths) - lengths, counts) + place * piece
+        self.size = np.minimum(piece, lengths[self.of] - place * piece)
         self.first, n = place == 0, len(model.start)
         self.ahead, self.behind = np.zeros((len(self.of), n)), np.ones((len(self.of), n))
         if (counts > 1).any():
@@ -115,16 +119,19 @@ class Stretches:
         carry = np.zeros((len(self.of), n, n))
         for some in np.array_split(long, max(1, len(long) // LANES)):
             # Row s of a stretch: from state s before it (or from s as its first state) to the states at its end.
+            # Stretches come last here, side by side in memory: products over the few states would be slow.
             for lanes, t, seen in self._steps(model, some):
-                g = len(lanes)
+                seen = np.ascontiguousarray(seen.T)
                 if t:
-                    held[:g] = (held[:g].reshape(-1, n) @ model.trans).reshape(g, n, n) * seen[:, None, :]
+                    going = held[:, :, : len(lanes)]
+                    np.multiply(model.trans.T @ going, seen, out=going)
                 else:
                     of = lanes
-                    held = np.where(self.first[lanes, None, None], np.eye(n), model.trans) * seen[:, None, :]
-                if t % 16 == 15:  # often enough for doubles
-                    held[:g] /= held[:g].sum((1, 2), keepdims=True)
-            carry[of] = held / held.sum((1, 2), keepdims=True)
+                    held = np.where(self.first[lanes], np.eye(n)[:, :, None], model.trans[:, :, None]) * seen
+                    going = held
+                if t % SCALED == SCALED - 1:
+                    going /= going.sum((0, 1))
+            carry[of] = np.moveaxis(held / held.sum((0, 1)), 2, 0)
         now = np.zeros(n)
         for s in long.tolist():
             if self.first[s]:
@@ -145,18 +152,19 @@ class Stretches:
         """(stretches still going, step, emissions of their tokens), the longest stretches first."""
         some = some[np.argsort(-self.size[some], kind="stable")]
         begin, size = self.begin[some], self.size[some]
-        for t in range(int(size[0])):
-            going = int(np.searchsorted(-size, -t, "left"))
-            yield some[:going], t, model.emit[self.flat[begin[:going] + t]]
+        goings = np.searchsorted(-size, -np.arange(size[0]), "left").tolist()
+        for t, going in enumerate(goings):
+            yield some[:going], t, model.emit.take(self.flat.take(begin[:going] + t), axis=0)
 
-    def forward(self, model: Model, some: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(stretches, scaled state probabilities, scales, emissions) of each step."""
-        alpha = np.zeros((0, len(model.start)))
+    def forward(self, model: Model, some: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray]]:
+        """(stretches, state probabilities since the last scaling, scales where it is a step to scale, emissions) of each step."""
+        alpha, ones = np.zeros((0, len(model.start))), np.ones((len(model.start), 1))
         for lanes, t, seen in self._steps(model, some):
             into = alpha[: len(lanes)] @ model.trans if t else np.where(self.first[lanes, None], model.start, self.ahead[lanes] @ model.trans)
-            alpha = into * seen
-            scale = alpha.sum(1, keepdims=True)
-            alpha = alpha / scale
+            alpha, scale = into * seen, None
+            if t % SCALED == SCALED - 1:
+                scale = alpha @ ones
+                alpha = alpha / scale
             yield lanes, alpha, scale, seen
 
     def groups(self) -> list[np.ndarray]:
@@ -169,8 +177,13 @@ def log_likelihoods(model: Model, seqs: list[np.ndarray]) -> np.ndarray:
     runs = Stretches(model, seqs, both=False)
     total = np.zeros(len(runs.of))
     for some in runs.groups():
-        for lanes, _, scale, _ in runs.forward(model, some):
-            total[lanes] += np.log(scale[:, 0])
+        before, last = some[:0], np.zeros((0, len(model.start)))
+        for lanes, alpha, scale, _ in runs.forward(model, some):
+            total[before[len(lanes) :]] += np.log(last[len(lanes) :].sum(1))
+            if scale is not None:
+                total[lanes] += np.log(scale[:, 0])
+            before, last = lanes, alpha
+        total[before] += np.log(last.sum(1))
     return np.bincount(runs.of, weights=total, minlength=len(seqs))
 
 
@@ -181,8 +194,8 @@ def expected_counts(model: Model, seqs: list[np.ndarray], start: np.ndarray, tra
         kept = list(runs.forward(model, some))
         change, gammas = np.zeros_like(trans), []
         last = np.zeros((len(runs.of), len(start)))  # the states' probabilities at each stretch's last token
-        for lanes, alpha, _, _ in kept:
-            last[lanes] = alpha
+        for (lanes, alpha, _, _), going in zip(kept, [*(len(x[0]) for x in kept[1:]), 0], strict=True):
+            last[lanes[going:]] = alpha[going:]
         after = runs.behind[some] / (last[some] * runs.behind[some]).sum(1, keepdims=True)
         tail = np.zeros_like(last)
         tail[some] = after
@@ -192,7 +205,7 @@ def expected_counts(model: Model, seqs: list[np.ndarray], start: np.ndarray, tra
             # Stretches that end here come in with what follows them.
             beta = np.concatenate([beta, tail[lanes[len(beta) :]]])
             gammas.append(alpha * beta)
-            ahead = seen * beta / scale
+            ahead = seen * beta if scale is None else seen * beta / scale
             if t:
                 change += kept[t - 1][1][: len(lanes)].T @ ahead
             else:
@@ -219,7 +232,7 @@ def step(encoded: DataFrame, model: Model, share: np.ndarray) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = shared.value
         start, trans, emit = np.zeros(states), np.zeros((states, states)), np.zeros((n_classes, states))
-        for block in blocks(batches, "classes", 1 << 19):
+        for block in blocks(batches, "classes", 1 << 20):
             expected_counts(now, _unpack(block), start, trans, emit)
         table = np.vstack([emit, trans, start])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(table)), pa.int32()), *[pa.array(table[:, k]) for k in range(states)]], names=["row", *columns])
@@ -264,7 +277,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
             out = []
             for text in utf8(block, "t"):
                 words = text.lower().split()
-                ids = np.array([find(w, -1) for w in words], np.int64)
+                ids = np.fromiter(map(find, words, repeat(-1)), np.int64, len(words))
                 lost_at = np.flatnonzero(ids < 0).tolist()
                 seen = ids[ids >= 0]
                 packed = np.full(len(ids) + 1, end, "<u2")

@@ -52,6 +52,30 @@ def test_likelihood_and_counts_by_enumeration(monkeypatch, piece, lanes):
         assert a == pytest.approx(b)
 
 
+def test_scaled_now_and_then_it_is_the_plain_recursion():
+    """Lengths about the steps to scale, and about the cuts; tokens that are very unlikely do not vanish in between."""
+    m, draw = model(8, 40), np.random.default_rng(3)
+    m.emit[30:] *= 1e-20
+    lengths = [*range(1, 2 * hmm.SCALED + 2), hmm.PIECE - 1, hmm.PIECE, hmm.PIECE + 1, 4 * hmm.PIECE, 4 * hmm.PIECE + 1, 3_000]
+    seqs = [draw.integers(0, 40, n) for n in lengths] + [np.full(2_500, 35)]
+    runs = hmm.Stretches(m, seqs, both=False)
+    scales = [scale is not None for some in runs.groups() for *_, scale, _ in runs.forward(m, some)]
+    assert sum(scales) == len(scales) // hmm.SCALED  # not in every step
+    want = []
+    for seq in seqs:
+        alpha, total = m.start * m.emit[seq[0]], 0.0
+        for x in [None, *seq[1:]]:
+            alpha = alpha if x is None else (alpha @ m.trans) * m.emit[x]
+            total += math.log(alpha.sum())
+            alpha = alpha / alpha.sum()
+        want.append(total)
+    assert hmm.log_likelihoods(m, seqs) == pytest.approx(want, rel=1e-12)
+    counts = np.zeros(8), np.zeros((8, 8)), np.zeros((40, 8))
+    hmm.expected_counts(m, seqs, *counts)
+    assert counts[0].sum() == pytest.approx(len(seqs)) and counts[1].sum() == pytest.approx(sum(len(x) - 1 for x in seqs))
+    assert counts[2].sum(1) == pytest.approx(np.bincount(np.concatenate(seqs), minlength=40))
+
+
 def test_probabilities_sum_to_one():
     m = model()
     assert sum(math.exp(hmm.log_likelihoods(m, [np.array(s)])[0]) for s in itertools.product(range(5), repeat=3)) == pytest.approx(1)
