@@ -48,6 +48,8 @@ LEAST_PREFIX, PER_PLACE, DEALT, MOST, HELD = 10, 1_000_000, 65_536, 16_000_000,
 STAGE_WORDS, SIMILAR, SAMPLE, COMMON = 5, 0.8, 20_000, 1 << 17
 #: Bits of a shingle set's sketch; orders in which texts of a shingle are linked to the next one.
 SKETCH, ORDERS = 512, 4
+#: Hashes of texts that are broadcast, at most: one long each.
+WANTED = 2_000_000
 
 
 def shingle_hashes(text: bytes, words_per_shingle: int, seed: int) -> list[int]:
@@ -392,12 +394,13 @@ def true_links(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
     """The pairs (u, v) that their shingles verify; durable.
 
     Shingles are made anew for texts of the pairs, so that those of all texts are never stored or shuffled where
-    these texts are few enough to be broadcast.
+    the hashes of these texts are few enough to be broadcast. One shuffle by text serves both ends of the pairs, and
+    nothing but the first end's shingles moves again: a checkpoint between would write and shuffle all of them anew.
     """
     pairs = durable(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct())
-    wanted = bounded(durable(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()))
+    wanted = bounded(durable(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()), WANTED)
     sets = shingle_sets(docs, [], text_col).select("node", "shingles").join(wanted, "node", "left_semi")
-    return durable(verified(pairs, durable(sets.dropDuplicates(["node"]))))
+    return durable(verified(bounded(pairs), sets.dropDuplicates(["node"])))
 
 
 def nearest(distinct: DataFrame) -> DataFrame:

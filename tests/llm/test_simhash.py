@@ -209,3 +209,22 @@ def test_stars_take_no_step(spark, monkeypatch):
     monkeypatch.setattr(simhash, "lookup", lambda *a, **k: steps.append(1) or lookup(*a, **k))
     edges = spark.createDataFrame([(5, 1), (6, 1), (1, 7), (9, 8)], "u long, v long")
     assert {r.node: r.root for r in simhash.components(edges).collect()} == {5: 1, 6: 1, 7: 1, 9: 8} and not steps
+
+
+def test_shingle_sets_of_pairs_move_once(spark, monkeypatch):
+    """They are in no checkpoint, and both ends of the pairs read one shuffle; links are the same where tables are too large to broadcast."""
+    draw, stored = random.Random(8), []
+    words = lambda n: [f"w{draw.randrange(10_000)}" for _ in range(n)]
+    families = [(base, [*base[:-2], *words(2)], [*base[:40], *words(60)]) for base in (words(100) for _ in range(20))]
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(x for f in families for x in f)] * 2, "doc_id long, text string")
+    nodes = {r.doc_id: r.node for r in simhash.shingle_sets(docs, ["doc_id"], names=("node",)).collect()}
+    pairs = spark.createDataFrame([(nodes[3 * f], nodes[3 * f + k]) for f in range(20) for k in (1, 2)], "u long, v long")
+    want = {tuple(sorted((nodes[3 * f], nodes[3 * f + 1]))) for f in range(20)}
+    durable = simhash.durable
+    monkeypatch.setattr(simhash, "durable", lambda df: stored.append(df) or durable(df))
+    assert {tuple(r) for r in simhash.true_links(docs, pairs, "text").collect()} == want
+    assert not [c for df in stored for c in df.columns if "shingles" in c]
+    plan = stored[-1]._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+    monkeypatch.setattr(simhash, "bounded", lambda table, rows=0: table.hint("shuffle_hash"))
+    assert {tuple(r) for r in simhash.true_links(docs, pairs, "text").collect()} == want
