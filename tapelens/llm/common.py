@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -33,6 +34,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def reclaim(spark: SparkSession) -> None:
+    """Have Spark delete shuffles and checkpoints that nothing uses any more.
+
+    It deletes them once the driver has collected their plans as garbage, which can take until its heap is full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; a new local one in a local session that names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -19,7 +19,10 @@ similarity of SIMILAR or more are near copies. Such pairs differ in about ten of
 for a ball of 64. Links of fingerprints therefore only come first. All other pairs that can be similar
 share one of either text's rarest shingles, a fifth of them, and meet there; pairs that links have
 joined already are left out, and so are pairs that differ in more bits of SKETCH than similar ones can.
-Each pair left is verified by its shingles, so that no similar pair is lost.
+Each pair left is verified by its shingles, so that no similar pair is lost. Pairs grow with the square of a
+family of texts, their shingles must not: pairs must pass sketches as wide as their sets first, texts that
+pairs connect are put into blocks of bounded size, and a set of shingles travels once to each two blocks
+that it has a pair in, not once a pair.
 
 Defined results: a text without words (or null) has fingerprint zero and links like any other.
 Repeated rows each get their row. A null id never names a component unless all its members are null.
@@ -38,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapelens.llm.common import blocks, bounded, by_id, durable, free, lookup, schema_of, slim, utf8
+from tapelens.llm.common import blocks, bounded, by_id, durable, free, lookup, reclaim, schema_of, slim, utf8
 
 BITS, RADIUS = 64, 4
 HALF = RADIUS // 2
@@ -46,10 +49,12 @@ HALF = RADIUS // 2
 LEAST_PREFIX, PER_PLACE, DEALT, MOST, HELD = 10, 1_000_000, 65_536, 16_000_000, 1_000_000
 #: The stage: words to a shingle, least similarity, texts of which common shingles are counted, and most of these shingles.
 STAGE_WORDS, SIMILAR, SAMPLE, COMMON = 5, 0.8, 20_000, 1 << 17
-#: Bits of a shingle set's sketch; orders in which texts of a shingle are linked to the next one.
-SKETCH, ORDERS = 512, 4
-#: Hashes of texts that are broadcast, at most: one long each.
+#: Bits of a shingle set's sketch; bits a shingle that a wide sketch has at least; orders in which texts of a shingle are linked to the next one.
+SKETCH, WIDE, ORDERS = 512, 2, 4
+#: Hashes of texts that are broadcast, at most, each with a place: two longs.
 WANTED = 2_000_000
+#: Sets of a block whose pairs are verified at once, and bytes of their shingles, at most (a larger set is a block of its own).
+BLOCK_SETS, BLOCK_BYTES = 1_024, 4 << 20
 
 
 def shingle_hashes(text: bytes, words_per_shingle: int, seed: int) -> list[int]:
@@ -289,35 +294,56 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(id_col, "fp", F.when(F.col("shared"), F.col("component_id")).otherwise(F.col(id_col)).alias("component_id"))
 
 
-def sketch(own: np.ndarray) -> np.ndarray:
-    """SKETCH bits of a set, as longs: bit i tells whether an odd number of its hashes fall on i.
+def sketch(own: np.ndarray, bits: int = SKETCH) -> np.ndarray:
+    """So many bits of a set, as longs: bit i tells whether an odd number of its hashes fall on i.
 
     Sketches of two sets differ in no more bits than there are hashes in one set only.
     """
-    odd = np.bincount((own % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    odd = np.bincount((own % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def shingle_sets(docs: DataFrame, carry: list[str], text_col: str = "text", names: tuple[str, ...] = ("node", "a", "shingles"), sketched: bool = False) -> DataFrame:
+def wide_sketch(own: np.ndarray) -> bytes | None:
+    """A sketch of WIDE bits a hash at least, a power of two, so that it tells large sets apart as well; None if that is SKETCH or less."""
+    bits = 1 << math.ceil(math.log2(max(1, WIDE * len(own))))
+    return sketch(own, bits).tobytes() if bits > SKETCH else None
+
+
+def differing(x: np.ndarray, y: np.ndarray) -> int:
+    """In how many bits two sketches differ; the longer one is folded to the other's length first."""
+    few = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(z.reshape(-1, few), axis=0) for z in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def shingle_sets(docs: DataFrame, carry: list[str], text_col: str = "text", names: tuple[str, ...] = ("node", "a", "shingles"), sketched: bool = False, once: bool = False) -> DataFrame:
     """The columns to carry, the hash of each text's shingle set, its fingerprint, and the set's sorted hashes.
 
-    names: which of the three to make, by place, and what they are called. sketched: add the set's sketch, `bits`.
+    names: which of the three to make, by place, and what they are called. sketched: add the set's sketch, `bits`,
+    its size, `n`, and its wide sketch, `wide`. once: a task gives a set only once.
     """
     kinds = ["long", "long", "binary"][: len(names)]
+    made_of = len(names)
     if sketched:
-        names, kinds = (*names, "bits"), [*kinds, "array<long>"]
-    made_of = len(names) - sketched
+        names, kinds = (*names, "bits", "n", "wide"), [*kinds, "array<long>", "long", "binary"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for block in blocks(batches, text_col, 1 << 20):
             sets = [np.unique(np.array(shingle_hashes(t, STAGE_WORDS, 42), np.uint64)) for t in utf8(block, text_col)]
-            made = [pa.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], pa.uint64()).view(pa.int64())]
+            nodes = [xxhash.xxh64_intdigest(x.tobytes()) for x in sets]
+            if once:
+                new = [i for i, x in enumerate(nodes) if not (x in given or given.add(x))]
+                block, sets, nodes = block.take(pa.array(new, pa.int64())), [sets[i] for i in new], [nodes[i] for i in new]
+                if not new:
+                    continue
+            made = [pa.array(nodes, pa.uint64()).view(pa.int64())]
             if made_of > 1:
                 made.append(pa.array(simhash(np.concatenate(sets), np.cumsum([len(x) for x in sets])).view(np.int64)))
             if made_of > 2:
                 made.append(pa.array([x.tobytes() for x in sets], pa.binary()))
             if sketched:
-                made.append(pa.array([sketch(x) for x in sets], pa.list_(pa.int64())))
+                made += [pa.array([sketch(x) for x in sets], pa.list_(pa.int64())), pa.array([len(x) for x in sets], pa.int64()), pa.array([wide_sketch(x) for x in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays([*(block.column(c) for c in carry), *made], names=[*carry, *names])
 
     kept = [schema_of(docs, c) for c in carry]
@@ -373,43 +399,86 @@ def prefixes(docs: DataFrame, similar: float = SIMILAR, text_col: str = "text")
     return slim(docs, text_col).mapInArrow(run, "shingle long, node long, n long, place long")
 
 
+def tiles(pairs: DataFrame, each: float) -> tuple[DataFrame, DataFrame]:
+    """The pairs (u, v, n_u, n_v) with a `tile`, and the (node, tile) that the tiles want, durable. each: bytes of a shingle.
+
+    Nodes lie in blocks of BLOCK_SETS of them and BLOCK_BYTES on average, at most, and pairs of two blocks make a tile. Each
+    node points to the least of its neighbours, if it is less, and to what that one points to; nodes that point to one are
+    a group. Most pairs of a family of texts are in one group. Any grouping gives the same links: it only decides how
+    often a node is wanted. A large group is dealt over blocks, small ones share a block.
+    """
+    ends = pairs.select("u", "v", F.col("n_u").alias("n")).unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"), F.col("n_v").alias("n")))
+    nodes = durable(ends.groupBy(F.col("u").alias("node")).agg(F.least("u", F.min("v")).alias("up"), F.max("n").alias("n")))
+    for _ in range(2):
+        above = bounded(nodes.select(F.col("node").alias("up"), F.col("up").alias("top")))
+        nodes = durable(nodes.join(above, "up").select("node", F.col("top").alias("up"), "n"))
+    blocks_of = lambda sets, hashes: F.greatest(F.ceil(sets / BLOCK_SETS), F.ceil(hashes * each / BLOCK_BYTES), F.lit(1))
+    shared = nodes.agg(blocks_of(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)))).first()[0]
+    groups = bounded(nodes.groupBy("up").agg(blocks_of(F.count("*"), F.sum("n")).alias("dealt")))
+    alone = F.xxhash64("up", F.pmod(F.xxhash64("node"), "dealt"))
+    places = nodes.join(groups, "up").select("node", F.when(F.col("dealt") > 1, alone).otherwise(F.pmod(F.xxhash64("up"), F.lit(shared))).alias("place"))
+    places = bounded(durable(places))
+    for side in "uv":
+        pairs = pairs.join(places.select(F.col("node").alias(side), F.col("place").alias(f"at_{side}")), side)
+    pairs = pairs.select(F.xxhash64(F.least("at_u", "at_v"), F.greatest("at_u", "at_v")).alias("tile"), "u", "v", "n_u", "n_v")
+    return pairs, durable(pairs.select(F.explode(F.array("u", "v")).alias("node"), "tile").distinct())
+
+
+def by_wide_sketches(pairs: DataFrame, wide: DataFrame) -> DataFrame:
+    """The pairs (u, v, n_u, n_v) that can be similar by their wide sketches. wide: (node, wide), of sets that have one."""
+
+    def run(sketches: pa.Table, pairs: pa.Table) -> pa.Table:
+        own = {k: np.frombuffer(x.as_buffer(), np.uint64) for k, x in zip(sketches.column("node").to_pylist(), sketches.column("wide"), strict=True)}
+        good = []
+        for u, v, n_u, n_v in zip(*(pairs.column(c).to_pylist() for c in ("u", "v", "n_u", "n_v")), strict=True):
+            x, y = own.get(u), own.get(v)
+            good.append(x is None or y is None or (1 + SIMILAR) * differing(x, y) <= (1 - SIMILAR) * (n_u + n_v) + 1e-6)
+        return pairs.select(["u", "v", "n_u", "n_v"]).filter(pa.array(good, pa.bool_()))
+
+    tiled, wanted = tiles(durable(pairs.distinct()), WIDE / 4)
+    sketches = wide.join(bounded(wanted, WANTED), "node").dropDuplicates(["tile", "node"]).select("tile", "node", "wide")
+    return sketches.groupBy("tile").cogroup(tiled.groupBy("tile")).applyInArrow(run, "u long, v long, n_u long, n_v long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """The pairs (u, v) whose shingle sets have at least this Jaccard similarity. sets: (node, shingles), one row a node."""
+    """The pairs (tile, u, v) whose shingle sets have at least this Jaccard similarity, as (u, v). sets: (tile, node, shingles)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("su"), batch.column("sv"), strict=True):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(both >= similar * (len(x) + len(y) - both) - 1e-9)
-            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+    def run(sets: pa.Table, pairs: pa.Table) -> pa.Table:
+        own = {k: np.frombuffer(x.as_buffer(), np.uint64) for k, x in zip(sets.column("node").to_pylist(), sets.column("shingles"), strict=True)}
+        good = []
+        for u, v in zip(pairs.column("u").to_pylist(), pairs.column("v").to_pylist(), strict=True):
+            x, y = own[u], own[v]
+            few, many = sorted((len(x), len(y)))
+            both = len(np.intersect1d(x, y, assume_unique=True)) if few >= similar * many - 1e-9 else 0
+            good.append(both >= similar * (few + many - both) - 1e-9)
+        return pairs.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u")
-    joined = joined.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v").select("u", "v", "su", "sv")
-    return joined.mapInArrow(run, "u long, v long")
+    return sets.groupBy("tile").cogroup(pairs.groupBy("tile")).applyInArrow(run, "u long, v long")
 
 
 def true_links(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
-    """The pairs (u, v) that their shingles verify; durable.
+    """The pairs (u, v) that their shingles verify; durable. Pairs may say how many shingles their sets have (n_u, n_v).
 
     Shingles are made anew for texts of the pairs, so that those of all texts are never stored or shuffled where
-    the hashes of these texts are few enough to be broadcast. One shuffle by text serves both ends of the pairs, and
-    nothing but the first end's shingles moves again: a checkpoint between would write and shuffle all of them anew.
+    the hashes of these texts are few enough to be broadcast. One shuffle serves both ends of the pairs: pairs of two blocks
+    make a tile, and the sets that they need are sent there, so that a set does not travel again for each pair.
     """
-    pairs = durable(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct())
-    wanted = bounded(durable(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()), WANTED)
-    sets = shingle_sets(docs, [], text_col).select("node", "shingles").join(wanted, "node", "left_semi")
-    return durable(verified(bounded(pairs), sets.dropDuplicates(["node"])))
+    n_u, n_v = (F.col(c) if c in pairs.columns else F.lit(0).cast("long") for c in ("n_u", "n_v"))
+    turn = F.col("u") > F.col("v")
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), F.when(turn, n_v).otherwise(n_u).alias("n_u"), F.when(turn, n_u).otherwise(n_v).alias("n_v"))
+    tiled, wanted = tiles(durable(pairs.where("u < v").distinct()), 8)
+    sets = shingle_sets(docs, [], text_col, once=True).select("node", "shingles").join(bounded(wanted, WANTED), "node")
+    return durable(verified(tiled.select("tile", "u", "v"), sets.select("tile", "node", "shingles")))
 
 
 def nearest(distinct: DataFrame) -> DataFrame:
-    """(u, v): pairs of nodes whose fingerprints are linked, or equal. distinct: (node, a), one row a node."""
-    firsts = durable(distinct.groupBy("a").agg(F.min("node").alias("first")))
+    """(u, v, n_u, n_v): pairs of nodes whose fingerprints are linked, or equal. distinct: (node, a, n), one row a node."""
+    firsts = durable(distinct.groupBy("a").agg(F.min(F.struct("node", "n")).alias("first")).select("a", F.col("first.node").alias("first"), F.col("first.n").alias("n_first")))
     met = links(firsts.select(F.col("a").alias("fp")), firsts.count())
-    u, v = (firsts.select(F.col("a").alias(x), F.col("first").alias(f"{x}_first")) for x in ("u", "v"))
-    apart = met.join(u, "u").join(v, "v").select(F.col("u_first").alias("u"), F.col("v_first").alias("v"))
-    return apart.unionByName(distinct.join(firsts, "a").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")))
+    u, v = (firsts.select(F.col("a").alias(x), F.col("first").alias(f"{x}_first"), F.col("n_first").alias(f"n_{x}")) for x in ("u", "v"))
+    apart = met.join(u, "u").join(v, "v").select(F.col("u_first").alias("u"), F.col("v_first").alias("v"), "n_u", "n_v")
+    equal = distinct.join(firsts, "a").where("node <> first")
+    return apart.unionByName(equal.select(F.col("node").alias("u"), F.col("first").alias("v"), F.col("n").alias("n_u"), F.col("n_first").alias("n_v")))
 
 
 def first_may_be_shared() -> Column:
@@ -428,32 +497,39 @@ def sketches_are_near() -> Column:
     return (1 + SIMILAR) * differ <= (1 - SIMILAR) * (F.col("n_x") + F.col("n_y")) + 1e-6
 
 
-def similar_roots(docs: DataFrame, distinct: DataFrame, text_col: str = "text") -> DataFrame:
+def similar_roots(docs: DataFrame, distinct: DataFrame, wide: DataFrame, text_col: str = "text") -> DataFrame:
     """(node, root) of nodes that verified pairs link: the components of all pairs that are similar.
 
-    distinct: (node, a, bits), one row a node. First the links of fingerprints, and of each text with the next one that
+    distinct: (node, a, bits, n), one row a node; wide: (node, wide), of sets that have a wide sketch. First the links of fingerprints, and of each text with the next one that
     shares a rare shingle, in a few orders, which make up most of a component. Then every other pair that can be similar and
     is not in one component already; a pair is met at the first shingle it shares, at least.
     """
     of_shingle = Window.partitionBy("shingle")
     bits = distinct.select("node", "bits")
     named = lambda df, side: df.select(*[F.col(c).alias(c if c == "shingle" else f"{c}_{side}") for c in df.columns])
-    rows = prefixes(docs, SIMILAR, text_col).repartition("shingle").distinct()
-    shared = durable(rows.withColumn("texts", F.count("*").over(of_shingle)).where("texts > 1").drop("texts"))
+    rare = prefixes(docs, SIMILAR, text_col).repartition("shingle").distinct().withColumn("texts", F.count("*").over(of_shingle))
+    shared = durable(rare.where("texts > 1").drop("texts"))
+    del rare
+    reclaim(docs.sparkSession)
     mixed = F.xxhash64("node", F.pmod("shingle", F.lit(ORDERS)))
     before = lambda c: F.lag(c).over(of_shingle.orderBy(mixed, "node"))
     chains = shared.select(*[F.col(c).alias(f"{c}_x") for c in ("node", "n", "place")], *[before(c).alias(f"{c}_y") for c in ("node", "n", "place")])
     chains = chains.where(F.col("node_y").isNotNull() & first_may_be_shared()).select("node_x", "node_y", "n_x", "n_y").distinct()
     chains = chains.join(named(bits, "x"), "node_x").join(named(bits, "y"), "node_y").where(sketches_are_near())
-    pair = [F.col("node_x").alias("u"), F.col("node_y").alias("v")]
-    roots = durable(components(true_links(docs, nearest(distinct).unionByName(chains.select(*pair)), text_col)))
+    pair = [F.col(f"{c}_{x}").alias(name) for c, x, name in (("node", "x", "u"), ("node", "y", "v"), ("n", "x", "n_u"), ("n", "y", "n_v"))]
+    first = true_links(docs, nearest(distinct).unionByName(chains.select(*pair)), text_col)
+    del chains
+    reclaim(docs.sparkSession)
+    roots = durable(components(first))
     split = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = split.withColumns({"least": F.min("root").over(of_shingle), "most": F.max("root").over(of_shingle)}).where("least < most").drop("least", "most")
     split = durable(split.join(bits, "node"))
+    reclaim(docs.sparkSession)
     x, y = named(split, "x"), named(split, "y")
     apart = (F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y"))
     others = x.join(y, (x["shingle"] == y["shingle"]) & apart & first_may_be_shared() & sketches_are_near()).select(*pair)
-    more = true_links(docs, others, text_col)
+    more = true_links(docs, by_wide_sketches(others, wide), text_col)
+    reclaim(docs.sparkSession)
     if more.isEmpty():
         return roots
     # The new links join components, each by its root; roots of roots are then those of all their nodes.
@@ -484,9 +560,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     rows = durable(shingle_sets(docs, [id_col], text_col, ("node", "a"), sketched=True)).withColumnRenamed(id_col, "id")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first")
-    distinct = durable(rows.groupBy("node", "a").agg(first, F.first("bits").alias("bits")).select("node", "a", "bits", "first.*"))
-    roots = similar_roots(docs, distinct.select("node", "a", "bits"), text_col)
-    kept = durable(keepers(distinct.drop("bits"), roots))
+    distinct = durable(rows.groupBy("node", "a").agg(first, F.first("bits").alias("bits"), F.first("n").alias("n")).select("node", "a", "bits", "n", "first.*"))
+    roots = similar_roots(docs, distinct.select("node", "a", "bits", "n"), rows.select("node", "wide").where("wide IS NOT NULL"), text_col)
+    kept = durable(keepers(distinct.drop("bits", "n"), roots))
     counted = rows.select("id", F.lit(0).alias("kept")).unionByName(kept.select("id", F.lit(1).alias("kept")))
     per_id = counted.groupBy("id").agg(F.sum(1 - F.col("kept")).alias("n_rows"), F.sum("kept").alias("n_kept"))
     out = durable(per_id.where("n_kept = 0 or n_rows > 1"))

@@ -228,3 +228,42 @@ def test_shingle_sets_of_pairs_move_once(spark, monkeypatch):
     assert "ReusedExchange" in plan
     monkeypatch.setattr(simhash, "bounded", lambda table, rows=0: table.hint("shuffle_hash"))
     assert {tuple(r) for r in simhash.true_links(docs, pairs, "text").collect()} == want
+
+
+def test_shingles_of_a_family_do_not_move_with_each_pair(spark, monkeypatch):
+    """All pairs of a family are verified with each set sent once to each two blocks; links are those of all pairs, at any size of a block."""
+    draw, sent, verified = random.Random(4), [], simhash.verified
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(w if draw.random() > 0.02 else f"{w}x{draw.randrange(10**6)}" for w in base) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = [r.node for r in simhash.shingle_sets(docs, ["doc_id"], names=("node",)).orderBy("doc_id").collect()]
+    sets = [shingles(x) for x in texts]
+    alike = {(u, v): len(sets[u] & sets[v]) / len(sets[u] | sets[v]) for u in range(60) for v in range(u)}
+    want = {tuple(sorted((nodes[u], nodes[v]))) for (u, v), j in alike.items() if j >= 0.8}
+    assert 100 < len(want) < len(alike) - 100
+    monkeypatch.setattr(simhash, "verified", lambda pairs, sets: sent.append(sets.count()) or verified(pairs, sets))
+    for most in (1_024, 20):
+        monkeypatch.setattr(simhash, "BLOCK_SETS", most)
+        for n in (0, 300):
+            pairs = spark.createDataFrame([(nodes[u], nodes[v], n, n) for u, v in alike], "u long, v long, n_u long, n_v long")
+            assert {tuple(r) for r in simhash.true_links(docs, pairs, "text").collect()} == want
+    assert sent[:2] == [60, 60] and all(60 < n <= 60 * 6 for n in sent[2:])
+
+
+def test_wide_sketches_tell_large_sets_apart(spark):
+    """No similar pair is lost, of sets of equal or other size; large sets that are not similar do not pass."""
+    draw, rows, own = np.random.default_rng(5), [], {}
+    new = lambda n: draw.integers(0, 1 << 63, n).astype(np.uint64)
+    for k in range(200):
+        n, keep = int(draw.integers(200, 6_000)), draw.uniform(0.3, 1)
+        x = np.unique(new(n))
+        y = np.unique(np.concatenate([x[draw.random(len(x)) < keep], new(int(draw.integers(0, n // 8)))]))
+        both = len(np.intersect1d(x, y))
+        rows.append((2 * k, 2 * k + 1, len(x), len(y), both / (len(x) + len(y) - both)))
+        own |= {2 * k: simhash.wide_sketch(x), 2 * k + 1: simhash.wide_sketch(y)}
+    pairs = spark.createDataFrame([r[:4] for r in rows], "u long, v long, n_u long, n_v long")
+    wide = spark.createDataFrame([(k, bytearray(x)) for k, x in own.items() if x] * 2, "node long, wide binary")
+    got = sorted(tuple(r) for r in simhash.by_wide_sketches(pairs, wide).collect())
+    good = {r[:4] for r in rows if r[4] >= 0.8}
+    assert len(good) > 40 and good <= set(got) and len(got) == len(set(got))
+    assert sum(r[4] < 0.7 for r in rows) > 80 and not [r for r in rows if r[4] < 0.7 and min(r[2:4]) > 256 and r[:4] in set(got)]
