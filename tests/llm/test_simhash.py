@@ -267,3 +267,14 @@ def test_wide_sketches_tell_large_sets_apart(spark):
     good = {r[:4] for r in rows if r[4] >= 0.8}
     assert len(good) > 40 and good <= set(got) and len(got) == len(set(got))
     assert sum(r[4] < 0.7 for r in rows) > 80 and not [r for r in rows if r[4] < 0.7 and min(r[2:4]) > 256 and r[:4] in set(got)]
+
+
+def test_large_texts_that_are_not_similar_are_not_verified(spark, monkeypatch):
+    """40 texts of 2,500 words share over half of their shingles, which no order tells from others; few pairs of them have their shingles compared."""
+    draw, pairs, links = random.Random(6), [], simhash.true_links
+    base = [f"w{i}" for i in range(2_500)]
+    rows = [(i, " ".join(w if draw.random() > 0.03 else f"{w}x{i}" for w in base)) for i in range(40)]
+    monkeypatch.setattr(simhash, "COMMON", 0)
+    monkeypatch.setattr(simhash, "true_links", lambda docs, some, text: pairs.append(some.count()) or links(docs, some, text))
+    assert simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).count() == 40
+    assert sum(pairs) < 400
